@@ -191,7 +191,7 @@ SELECT uid AS user, split, {chunk} AS chunk, {joined('sid')} AS items,
        {joined('market_segment')} AS segments,
        {joined('round(latitude * 1000)::BIGINT')} AS latitudes,
        {joined('round(longitude * 1000)::BIGINT')} AS longitudes
-FROM dense GROUP BY uid, split, {chunk}"""
+FROM dense GROUP BY ALL"""
 
 
 # -- item features ----------------------------------------------------------------------------

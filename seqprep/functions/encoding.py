@@ -14,7 +14,7 @@ _NUMBER = r"-?(?:0|[1-9][0-9]*+)(?:[.][0-9]++)?+"
 _ATOM = rf"(?:{_SINGLE}|{_DOUBLE}|{_NUMBER}|None|True|False)"
 _MORE = rf"(?:\s*+,\s*+{_ATOM})"
 _LIST = rf"(?s)^\[\s*+(?:{_ATOM}{_MORE}*+\s*+,?+\s*+)?+\]$"
-_TUPLE = rf"(?s)^\(\s*+(?:{_ATOM}(?:\s*+,|{_MORE}++\s*+,?+)\s*+)?+\)$"
+_TUPLE = rf"(?s)^\(\s*+(?:{_ATOM}(?:{_MORE}++\s*+,?+|\s*+,)\s*+)?+\)$"
 
 
 def _element_text(token: Column) -> Column:
