@@ -87,62 +87,56 @@ def listing_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _choose(key: Column, *values: str | None) -> Column:
-    chosen = F.lit(values[-1])
-    for place, value in reversed(list(enumerate(values[:-1]))):
-        chosen = F.when(key % len(values) == place, F.lit(value)).otherwise(chosen)
-    return chosen
+def _coordinate(start: int, zero_at: int) -> str:
+    return f"""
+        CASE WHEN p_partkey % 50 IN ({zero_at}, 0) THEN '0'
+             WHEN p_partkey % 51 = {zero_at} THEN 'abc'
+             WHEN p_partkey % 53 = {zero_at} THEN NULL
+             ELSE concat('-', {start} + p_partkey % 20, '.', lpad(p_partkey % 1000, 3, '0')) END"""
+
+
+ITEM_EXPRESSIONS = {
+    "canonical_listing_id": "string(p_partkey)",
+    "lat_region": _coordinate(5, 11),
+    "lon_region": _coordinate(35, 13),
+    "zip_code": """
+        CASE WHEN p_partkey % 13 = 0 THEN ' '
+             ELSE lpad(string(p_partkey * 7919 % 100000), 8, '3') END""",
+    "neighborhood": "CASE WHEN p_partkey % 17 <> 0 THEN p_brand END",
+    "usable_areas": "CASE WHEN p_partkey % 3 <> 0 THEN p_size * 10D END",
+    "total_areas": "CASE WHEN p_partkey % 4 <> 0 THEN p_size * 12.5D - 100D END",
+    "bedrooms": "p_size",
+    "bathrooms": "CASE WHEN p_partkey % 5 <> 0 THEN p_size % 4 END",
+    "suites": "CASE WHEN p_partkey % 6 <> 0 THEN p_size % 3 END",
+    "parking_spaces": "CASE WHEN p_partkey % 7 <> 0 THEN p_size % 5 - 1 END",
+    "price": "CASE WHEN p_partkey % 9 <> 0 THEN p_retailprice END",
+    "unit_type": "p_type",
+    "amenities": """
+        CASE p_partkey % 8
+             WHEN 0 THEN NULL
+             WHEN 1 THEN concat("['", split(p_name, ' ')[0], "', ' ", split(p_name, ' ')[1], " ', None]")
+             WHEN 2 THEN concat("('", split(p_name, ' ')[0], "', \\"", split(p_name, ' ')[1], "\\", 7)")
+             WHEN 3 THEN concat('garbage(', split(p_name, ' ')[0])
+             WHEN 4 THEN concat("['", split(p_name, ' ')[0], "', '", split(p_name, ' ')[0], "',]")
+             WHEN 5 THEN '[]'
+             ELSE concat("['", split(p_name, ' ')[0], "', '", split(p_name, ' ')[1], "']") END""",
+    "business_type": """
+        CASE p_partkey % 7
+             WHEN 0 THEN NULL WHEN 1 THEN ' sell ' WHEN 2 THEN 'SALE' WHEN 3 THEN 'rental'
+             WHEN 4 THEN 'RENTAL' WHEN 5 THEN 'Sale' ELSE 'RENTAL' END""",
+    "usage_type": """
+        CASE p_partkey % 5
+             WHEN 0 THEN 'RESIDENTIAL' WHEN 1 THEN 'residential ' WHEN 2 THEN 'COMMERCIAL'
+             WHEN 3 THEN 'MIXED' ELSE NULL END""",
+}
 
 
 def catalog_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts as catalogue items with gaps in every optional attribute."""
-    key = F.col("p_partkey")
-    words = F.split("p_name", " ")
-    first, second = words.getItem(0), words.getItem(1)
-
-    def degrees(start: int) -> Column:
-        whole = text(start + key % 20)
-        return F.concat(F.lit("-"), whole, F.lit("."), F.lpad(text(key % 1000), 3, "0"))
-
-    def coordinate(start: int, zero_at: int) -> Column:
-        return (
-            F.when(key % 50 == zero_at, F.lit("0"))
-            .when(key % 50 == 0, F.lit("0"))
-            .when(key % 51 == zero_at, F.lit("abc"))
-            .when(key % 53 == zero_at, F.lit(None))
-            .otherwise(degrees(start))
-        )
-
-    items = table(spark, sf_dir, "part").select(
-        text(key).alias("canonical_listing_id"),
-        coordinate(5, 11).alias("lat_region"),
-        coordinate(35, 13).alias("lon_region"),
-        F.when(key % 13 == 0, F.lit(" "))
-        .otherwise(F.lpad(text(key * 7919 % 100000), 8, "3"))
-        .alias("zip_code"),
-        F.when(key % 17 != 0, F.col("p_brand")).alias("neighborhood"),
-        F.when(key % 3 != 0, F.col("p_size") * 10.0).alias("usable_areas"),
-        F.when(key % 4 != 0, F.col("p_size") * 12.5 - 100.0).alias("total_areas"),
-        F.col("p_size").alias("bedrooms"),
-        F.when(key % 5 != 0, F.col("p_size") % 4).cast("int").alias("bathrooms"),
-        F.when(key % 6 != 0, F.col("p_size") % 3).cast("int").alias("suites"),
-        F.when(key % 7 != 0, F.col("p_size") % 5 - 1).cast("int").alias("parking_spaces"),
-        F.when(key % 9 != 0, F.col("p_retailprice")).alias("price"),
-        F.col("p_type").alias("unit_type"),
-        F.when(key % 8 == 0, F.lit(None).cast("string"))
-        .when(key % 8 == 1, F.concat(F.lit("['"), first, F.lit("', ' "), second, F.lit(" ', None]")))
-        .when(key % 8 == 2, F.concat(F.lit("('"), first, F.lit("', \""), second, F.lit("\", 7)")))
-        .when(key % 8 == 3, F.concat(F.lit("garbage("), first))
-        .when(key % 8 == 4, F.concat(F.lit("['"), first, F.lit("', '"), first, F.lit("',]")))
-        .when(key % 8 == 5, F.lit("[]"))
-        .otherwise(F.concat(F.lit("['"), first, F.lit("', '"), second, F.lit("']")))
-        .alias("amenities"),
-        _choose(key, None, " sell ", "SALE", "rental", "RENTAL", "Sale", "RENTAL").alias(
-            "business_type"
-        ),
-        _choose(key, "RESIDENTIAL", "residential ", "COMMERCIAL", "MIXED", None).alias("usage_type"),
+    parts = table(spark, sf_dir, "part")
+    return add_cells(
+        parts.selectExpr(*(f"{text} AS {name}" for name, text in ITEM_EXPRESSIONS.items()))
     )
-    return add_cells(items)
 
 
 def part_map(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

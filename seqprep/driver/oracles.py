@@ -482,10 +482,11 @@ FROM dense""",
     "q_sequences_chunked": _sequences("((position - 1) // 2)::INTEGER"),
     "q_list_parse": f"""WITH {ITEMS}, {PARSED}
 SELECT canonical_listing_id, array_to_string(amenities, '|') AS amenities FROM parsed""",
-    "q_vocabulary": f"""WITH {ITEMS}
-SELECT neighborhood, count(*) AS count,
-       row_number() OVER (ORDER BY count(*) DESC, neighborhood) AS rank
-FROM items WHERE neighborhood IS NOT NULL GROUP BY neighborhood""",
+    "q_vocabulary": f"""WITH {ITEMS} {_union([
+    f"SELECT '{name}' AS column, {name} AS value, count(*) AS count, "
+    f"row_number() OVER (ORDER BY count(*) DESC, {name}) AS rank "
+    f"FROM items WHERE {name} IS NOT NULL GROUP BY {name}"
+    for name in ('neighborhood', 'unit_type', 'business_type')])}""",
     "q_topk_amenities": f"""WITH {ITEMS}, {PARSED}, {TOP_AMENITIES.format(source='parsed')}
 SELECT * FROM top_amenities""",
     "q_hash_bucket": f"""WITH {ITEMS}

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from seqprep import contract
 from seqprep.driver import fixtures as fx
 from seqprep.functions import cleaning
-from seqprep.functions.encoding import code_of, hash_bucket, literal_list
+from seqprep.functions.encoding import code_of
 from seqprep.operators import catalog, checks, dataset, features, regions, sessions, skew
 from seqprep.operators.dense_ids import dense_ids
 from seqprep.sources import tables
@@ -350,29 +350,25 @@ def sequences_chunked(spark, sf_dir):
 
 
 def list_parse(spark, sf_dir):
-    parsed = literal_list(F.col("amenities"))
-    return fx.catalog_items(spark, sf_dir).select(
-        "canonical_listing_id", F.array_join(parsed, "|").alias("amenities")
+    parsed = features.with_amenity_list(fx.catalog_items(spark, sf_dir))
+    return parsed.select(
+        "canonical_listing_id", F.array_join("amenity_list", "|").alias("amenities")
     )
 
 
 def vocabulary(spark, sf_dir):
-    return features.vocabulary(fx.catalog_items(spark, sf_dir), "neighborhood")
+    items = fx.catalog_items(spark, sf_dir)
+    return features.vocabularies(items, ["neighborhood", "unit_type", "business_type"])
 
 
 def topk_amenities(spark, sf_dir):
-    return features.top_amenities(fx.catalog_items(spark, sf_dir), 7)
+    return features.top_amenities(features.with_amenity_list(fx.catalog_items(spark, sf_dir)), 7)
 
 
 def hash_buckets(spark, sf_dir):
-    items = fx.catalog_items(spark, sf_dir)
-    return items.select(
-        "canonical_listing_id",
-        *(
-            hash_bucket(F.col(name), buckets).alias(f"{name}_bucket")
-            for name, buckets in contract.HASHED_FEATURES.items()
-        ),
-    )
+    items = features.hash_buckets(fx.catalog_items(spark, sf_dir))
+    buckets = [f"{name}_bucket" for name in contract.HASHED_FEATURES]
+    return items.select("canonical_listing_id", *buckets)
 
 
 def _aligned(spark, sf_dir, **limits):
@@ -389,8 +385,11 @@ def _matrix(spark, sf_dir, top=7, **limits):
     return features.feature_matrix(_aligned(spark, sf_dir, **limits), top, **limits)
 
 
-def _cells(result, condition):
-    cells = features.long_features(result).filter(condition & (F.col("dense_id") > 0))
+def _cells(result, wanted, set_only=False):
+    """Cells of the wanted columns, without the padding row."""
+    cells = features.long_features(result, wanted).filter("dense_id > 0")
+    if set_only:
+        cells = cells.filter("value <> 0")
     return cells.select("dense_id", "name", F.round(F.col("value").cast("double"), 3).alias("value"))
 
 
@@ -412,16 +411,15 @@ def feat_coord(spark, sf_dir):
     return _cells(_matrix(spark, sf_dir), _block(*contract.COORDINATE_FEATURES))
 
 
+_ONE_HOT = " OR ".join(f"startswith(name, '{name}=')" for name in contract.ONE_HOT_FEATURES)
+
+
 def feat_onehot(spark, sf_dir):
-    named = [F.col("name").startswith(f"{name}=") for name in contract.ONE_HOT_FEATURES]
-    condition = named[0] | named[1] | named[2] | named[3]
-    return _cells(_matrix(spark, sf_dir), condition & (F.col("value") != 0))
+    return _cells(_matrix(spark, sf_dir), F.expr(_ONE_HOT), set_only=True)
 
 
 def feat_onehot_salted(spark, sf_dir):
-    named = [F.col("name").startswith(f"{name}=") for name in contract.ONE_HOT_FEATURES]
-    condition = named[0] | named[1] | named[2] | named[3]
-    return _cells(_matrix(spark, sf_dir, **SALTED), condition & (F.col("value") != 0))
+    return _cells(_matrix(spark, sf_dir, **SALTED), F.expr(_ONE_HOT), set_only=True)
 
 
 def feat_amenity(spark, sf_dir):
@@ -432,7 +430,7 @@ def feat_hash(spark, sf_dir):
     hashed = F.col("name").contains("_hash_") | F.col("name").isin(
         *(f"missing_{name}" for name in contract.HASHED_FEATURES)
     )
-    return _cells(_matrix(spark, sf_dir), hashed & (F.col("value") != 0))
+    return _cells(_matrix(spark, sf_dir), hashed, set_only=True)
 
 
 def feature_columns(spark, sf_dir):
@@ -440,13 +438,15 @@ def feature_columns(spark, sf_dir):
 
 
 def feature_matrix(spark, sf_dir):
-    """Every non-zero cell by vector position, padding row included."""
-    cells = _matrix(spark, sf_dir).features.select(
-        "dense_id", F.size("features").alias("width"), F.posexplode("features").alias("position", "value")
-    )
-    return cells.groupBy("dense_id", "width").agg(
-        F.count_if(F.col("value") != 0).alias("non_zero"),
-        F.sum(F.when(F.col("value") != 0, F.col("position")).otherwise(0)).alias("position_sum"),
+    """Every item vector, padding row included, summed up by its non-zero positions."""
+    return _matrix(spark, sf_dir).features.select(
+        "dense_id",
+        F.size("features").alias("width"),
+        F.expr("size(filter(features, value -> value <> 0))").cast("bigint").alias("non_zero"),
+        F.expr(
+            "aggregate(transform(features, (value, place) -> IF(value <> 0, place, 0)), 0L,"
+            " (total, place) -> total + place)"
+        ).alias("position_sum"),
     )
 
 

@@ -52,15 +52,20 @@ def indicator(condition: Column) -> Column:
 
 
 def one_of(position: Column, width: int) -> list[Column]:
-    """A 0/1 run of ``width`` floats as one array column, set at the zero-based position."""
+    """``width`` zeros with a 1 at the zero-based position (none if NULL), as one array column.
+
+    ``position`` should be a plain column: it is used several times.
+    """
     if width == 0:
         return []
-    return [
-        F.transform(
-            F.sequence(F.lit(0), F.lit(width - 1)),
-            lambda slot: indicator(slot == position),
-        )
-    ]
+
+    def zeros(count) -> Column:
+        return F.array_repeat(F.lit(0.0).cast("float"), count)
+
+    position = position.cast("int")
+    one = F.array(F.lit(1.0).cast("float"))
+    found = F.concat(zeros(position), one, zeros(F.lit(width - 1) - position))
+    return [F.when(position.isNull(), zeros(F.lit(width))).otherwise(found)]
 
 
 def code_of(value: Column, codes: dict[str, int]) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from seqprep import contract
 from seqprep.functions.cleaning import coordinate_or_zero, market_segment
 from seqprep.functions.encoding import code_of
-from seqprep.operators.dense_ids import dense_ids
+from seqprep.operators.dense_ids import DenseMaps, dense_maps
 from seqprep.operators.skew import (
     BROADCAST_ROWS,
     GROUP_ROWS,
@@ -33,6 +33,10 @@ SEQUENCE_ARRAYS = {
 }
 
 
+# Mapped row column -> id column of its map table.
+MAPPED_COLUMNS = {"uid": "user", "sid": "dense_id", "market_segment": "segment_id"}
+
+
 @dataclass(frozen=True)
 class Dataset:
     """The tables of one model dataset."""
@@ -104,10 +108,9 @@ def keep_active_users(
     return numbered.filter(F.col("group_size") >= min_user_events)
 
 
-def id_map(kept: DataFrame, source: str, target: str) -> DataFrame:
-    """Sorted distinct values to 1..n."""
-    ids = dense_ids(kept.select(source).distinct(), [source], target)
-    return ids.withColumn(target, F.col(target).cast("int"))
+def id_maps(kept: DataFrame) -> DenseMaps:
+    """Sorted distinct users, items and segments to 1..n."""
+    return dense_maps(kept, list(MAPPED_COLUMNS))
 
 
 def behavior_map(
@@ -119,29 +122,30 @@ def behavior_map(
 
 def densify(
     kept: DataFrame,
-    umap: DataFrame,
-    smap: DataFrame,
-    segmap: DataFrame,
+    maps: DenseMaps,
     codes: Mapping[str, int] = contract.BEHAVIOR_IDS,
     broadcast_rows: int = BROADCAST_ROWS,
     group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """Replace uid, sid, behaviour and segment by their dense ids."""
-
-    def replace(frame: DataFrame, mapping: DataFrame, source: str, target: str) -> DataFrame:
+    sizes = maps.sizes()
+    frame = kept.withColumn("behavior", code_of(F.col("behavior"), codes))
+    for column, id_column in MAPPED_COLUMNS.items():
         joined = join_skewed(
             frame,
-            mapping,
-            [source],
+            _int_map(maps, column),
+            [column],
             broadcast_rows=broadcast_rows,
             group_rows=group_rows,
+            side_rows=sizes[column],
         )
-        return joined.drop(source).withColumnRenamed(target, source)
+        frame = joined.drop(column).withColumnRenamed(id_column, column)
+    return frame.select(kept.columns)
 
-    frame = kept.withColumn("behavior", code_of(F.col("behavior"), codes))
-    frame = replace(frame, segmap, "market_segment", "segment_id")
-    frame = replace(frame, smap, "sid", "dense_id")
-    return replace(frame, umap, "uid", "user").select(kept.columns)
+
+def _int_map(maps: DenseMaps, column: str) -> DataFrame:
+    id_column = MAPPED_COLUMNS[column]
+    return maps.mapping(column, id_column).withColumn(id_column, F.col(id_column).cast("int"))
 
 
 def split_holdout(dense: DataFrame, target_id: int) -> DataFrame:
@@ -195,22 +199,20 @@ def build_dataset(
 ) -> Dataset:
     """The whole dataset; data-quality checks live in ``checks`` and run in the job.
 
-    The filtered frame and the maps are stored, because each feeds several tables.
+    The filtered frame and the ids are stored, because they feed several tables.
     """
     if target_behavior not in codes:
         raise ValueError(f"target behavior is unknown: {target_behavior}")
     frame = model_frame(events, items, broadcast_rows, group_rows)
     kept = spool(keep_active_users(frame, min_user_events, group_rows), "active-users")
-    umap = spool(id_map(kept, "uid", "user"), "umap")
-    smap = spool(id_map(kept, "sid", "dense_id"), "smap")
-    segmap = spool(id_map(kept, "market_segment", "segment_id"), "segmap")
-    dense = densify(kept, umap, smap, segmap, codes, broadcast_rows, group_rows)
+    maps = id_maps(kept)
+    dense = densify(kept, maps, codes, broadcast_rows, group_rows)
     rows = split_holdout(dense, codes[target_behavior])
     return Dataset(
         rows=rows,
         sequences=sequences(rows, chunk_rows),
-        umap=umap,
-        smap=smap,
+        umap=_int_map(maps, "uid"),
+        smap=_int_map(maps, "sid"),
         bmap=behavior_map(kept, codes),
-        segmap=segmap,
+        segmap=_int_map(maps, "market_segment"),
     )

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from seqprep.sources.spool import spool
 
@@ -46,3 +47,56 @@ def dense_ids(
             id_column, F.col(id_column) - F.col("start")
         )
     return numbered.select(*keys.columns, id_column)
+
+
+@dataclass(frozen=True)
+class DenseMaps:
+    """Ids of the distinct values of several columns, made in one pass."""
+
+    ids: DataFrame
+    within: tuple[str, ...]
+    columns: tuple[T.StructField, ...]
+
+    def mapping(self, column: str, id_column: str) -> DataFrame:
+        """``column`` to ``id_column``: 1..n in value order, per ``within`` group."""
+        names = [field.name for field in self.columns]
+        field = self.columns[names.index(column)]
+        value = F.col(_slot(field)).cast(field.dataType).alias(column)
+        own = self.ids.filter(F.col("kind") == names.index(column))
+        return own.select(*self.within, value, F.col("id").alias(id_column))
+
+    def sizes(self) -> dict[str, int]:
+        """Entries per column; the driver gets one number for each."""
+        rows = self.ids.groupBy("kind").agg(F.count("*").alias("entries")).collect()
+        found = {row["kind"]: row["entries"] for row in rows}
+        return {field.name: found.get(place, 0) for place, field in enumerate(self.columns)}
+
+
+def _slot(field: T.StructField) -> str:
+    return "number" if isinstance(field.dataType, T.IntegralType) else "text"
+
+
+def dense_maps(df: DataFrame, columns: Sequence[str], within: Sequence[str] = ()) -> DenseMaps:
+    """Number the distinct values of each column from 1, in numeric or text order.
+
+    ``df`` is read once for all columns, and values are made distinct ahead of the shuffle.
+    """
+    fields = tuple(df.schema[name] for name in columns)
+    entries = [
+        F.struct(
+            F.lit(kind).alias("kind"),
+            (F.col(field.name) if _slot(field) == "number" else F.lit(None))
+            .cast("bigint")
+            .alias("number"),
+            (F.col(field.name) if _slot(field) == "text" else F.lit(None))
+            .cast("string")
+            .alias("text"),
+        )
+        for kind, field in enumerate(fields)
+    ]
+    keys = df.select(*within, F.explode(F.array(*entries)).alias("entry"))
+    keys = keys.select(*within, "entry.*").distinct()
+    group = ["kind", *within]
+    return DenseMaps(
+        dense_ids(keys, [*group, "number", "text"], "id", group), tuple(within), fields
+    )

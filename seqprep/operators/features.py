@@ -7,6 +7,7 @@ beyond the alignment joins, and the plan does not grow with the vector.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
@@ -16,7 +17,6 @@ from seqprep.functions.cleaning import finite_double, market_segment
 from seqprep.functions.encoding import hash_bucket, indicator, literal_list, one_of
 from seqprep.operators.dense_ids import dense_ids
 from seqprep.operators.skew import BROADCAST_ROWS, GROUP_ROWS, join_skewed
-from seqprep.sources.spool import spool
 
 
 @dataclass(frozen=True)
@@ -35,6 +35,12 @@ def catalog_with_segment(items: DataFrame) -> DataFrame:
     )
 
 
+def with_amenity_list(items: DataFrame) -> DataFrame:
+    if "amenities" not in items.columns:
+        return items
+    return items.withColumn("amenity_list", literal_list(F.col("amenities")))
+
+
 def sid_to_canonical(events: DataFrame) -> DataFrame:
     """Distinct (sid, canonical id) pairs; pairs are merged ahead of the shuffle."""
     return events.select("sid", "canonical_listing_id").distinct()
@@ -47,26 +53,44 @@ def align_items(
     broadcast_rows: int = BROADCAST_ROWS,
     group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
-    """Catalogue row of every dense id. A listing known in two regions serves two dense ids."""
+    """Catalogue row of every dense id, with its amenities parsed into ``amenity_list``.
+
+    A listing known in two regions serves two dense ids.
+    """
     named = smap.join(sid_canonical, "sid").select("dense_id", "canonical_listing_id")
     return join_skewed(
         named,
-        catalog_with_segment(items),
+        with_amenity_list(catalog_with_segment(items)),
         ["canonical_listing_id"],
         broadcast_rows=broadcast_rows,
         group_rows=group_rows,
     )
 
 
-def vocabulary(values: DataFrame, value: str, id_column: str = "rank") -> DataFrame:
-    """Values ranked from 1 by falling count, then by text."""
-    counts = values.dropna(subset=[value]).groupBy(value).agg(F.count("*").alias("count"))
-    return dense_ids(counts, [F.desc("count"), F.col(value)], id_column)
+def vocabularies(aligned: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(column, value, count, rank)``: per column, ranks from 1 by falling count, then by text.
+
+    All columns are counted in one pass over the items.
+    """
+    entries = F.array(
+        *(
+            F.struct(F.lit(name).alias("column"), F.col(name).cast("string").alias("value"))
+            for name in columns
+        )
+    )
+    counts = (
+        aligned.select(F.explode(entries).alias("entry"))
+        .select("entry.*")
+        .dropna(subset=["value"])
+        .groupBy("column", "value")
+        .agg(F.count("*").alias("count"))
+    )
+    return dense_ids(counts, ["column", F.desc("count"), "value"], "rank", ["column"])
 
 
 def amenity_counts(aligned: DataFrame) -> DataFrame:
     """Mentions per amenity over the model items; repeats within an item count again."""
-    mentions = aligned.select(F.explode(literal_list(F.col("amenities"))).alias("value"))
+    mentions = aligned.select(F.explode("amenity_list").alias("value"))
     return mentions.groupBy("value").agg(F.count("*").alias("count"))
 
 
@@ -123,12 +147,23 @@ def coordinate_block(aligned: DataFrame) -> dict[str, Column]:
     return values | missing
 
 
-def hash_block(aligned: DataFrame) -> tuple[list[str], list[Column]]:
+def hash_buckets(aligned: DataFrame) -> DataFrame:
+    """Add ``{column}_bucket`` per hashed column; NULL where the value is missing."""
+    return aligned.withColumns(
+        {
+            f"{name}_bucket": hash_bucket(F.col(name), buckets)
+            if name in aligned.columns
+            else F.lit(None).cast("int")
+            for name, buckets in contract.HASHED_FEATURES.items()
+        }
+    )
+
+
+def hash_block() -> tuple[list[str], list[Column]]:
     """Per hashed column a missing indicator and its bucket, one-hot: names and arrays."""
     names, arrays = [], []
     for name, buckets in contract.HASHED_FEATURES.items():
-        present = name in aligned.columns
-        bucket = hash_bucket(F.col(name), buckets) if present else F.lit(None).cast("int")
+        bucket = F.col(f"{name}_bucket")
         names += [f"missing_{name}", *(f"{name}_hash_{slot}" for slot in range(buckets))]
         arrays += [F.array(indicator(bucket.isNull())), *one_of(bucket, buckets)]
     return names, arrays
@@ -155,39 +190,36 @@ def feature_matrix(
     width = len(fixed)
 
     encoded = aligned
-    for name in contract.ONE_HOT_FEATURES:
-        if name not in aligned.columns:
-            continue
-        text = F.col(name).cast("string")
-        ranked = spool(
-            vocabulary(aligned.select(text.alias("value")), "value"), f"vocabulary-{name}"
-        )
-        size = ranked.count()
+    categories = [name for name in contract.ONE_HOT_FEATURES if name in aligned.columns]
+    ranked = vocabularies(aligned, categories)
+    found = ranked.groupBy("column").agg(F.count("*").alias("values")).collect()
+    sizes = {row["column"]: row["values"] for row in found}
+    for name in categories:
+        own = ranked.filter(F.col("column") == name)
+        slot = F.col("rank") - 1
         names.append(
-            ranked.select(
-                (F.col("rank") - 1 + width).cast("int").alias("position"),
+            own.select(
+                (slot + width).cast("int").alias("position"),
                 F.concat(F.lit(f"{name}="), "value").alias("name"),
             )
         )
-        codes = ranked.select(
-            F.col("value").alias(f"{name}_key"), (F.col("rank") - 1).alias(f"{name}_slot")
-        )
+        key = f"{name}_key"
         encoded = join_skewed(
-            encoded.withColumn(f"{name}_key", text),
-            codes,
-            [f"{name}_key"],
+            encoded.withColumn(key, F.col(name).cast("string")),
+            own.select(F.col("value").alias(key), slot.alias(f"{name}_slot")),
+            [key],
             "left",
             broadcast_rows,
             group_rows,
+            sizes.get(name, 0),
         )
-        arrays += one_of(F.col(f"{name}_slot"), size)
-        width += size
+        arrays += one_of(F.col(f"{name}_slot"), sizes.get(name, 0))
+        width += sizes.get(name, 0)
 
-    if "amenities" in aligned.columns and amenities_top:
+    if "amenity_list" in aligned.columns and amenities_top:
         ranked = top_amenities(aligned, amenities_top).orderBy("rank")
         best = [row["value"] for row in ranked.take(amenities_top)]
         if best:
-            encoded = encoded.withColumn("amenity_list", literal_list(F.col("amenities")))
             wanted = F.array(*(F.lit(value) for value in best))
             held = F.col("amenity_list")
             arrays.append(
@@ -196,11 +228,11 @@ def feature_matrix(
             names.append(_named(spark, [f"amenity={value}" for value in best], width))
             width += len(best)
 
-    hashed_names, hashed = hash_block(aligned)
+    hashed_names, hashed = hash_block()
     names.append(_named(spark, hashed_names, width))
     width += len(hashed_names)
 
-    vectors = encoded.select("dense_id", F.concat(*arrays, *hashed).alias("features"))
+    vectors = hash_buckets(encoded).select("dense_id", F.concat(*arrays, *hashed).alias("features"))
     padding = spark.range(1).select(
         F.lit(0).cast(aligned.schema["dense_id"].dataType).alias("dense_id"),
         F.array_repeat(F.lit(0.0).cast("float"), width).alias("features"),
@@ -218,10 +250,11 @@ def _named(spark, names: list[str], start: int) -> DataFrame:
     ).select((F.col("slot") + start).alias("position"), "name")
 
 
-def long_features(result: ItemFeatures) -> DataFrame:
-    """One row per item and vector position."""
+def long_features(result: ItemFeatures, wanted: Column | None = None) -> DataFrame:
+    """One row per item and vector position; ``wanted`` picks positions by ``name``."""
     cells = result.features.select("dense_id", F.posexplode("features").alias("position", "value"))
-    named = join_skewed(cells, result.columns, ["position"])
+    columns = result.columns if wanted is None else result.columns.filter(wanted)
+    named = join_skewed(cells, columns, ["position"], side_rows=result.dimensions)
     return named.select("dense_id", "position", "name", "value")
 
 

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from seqprep import contract
-from seqprep.operators.dense_ids import dense_ids
+from seqprep.operators.dense_ids import dense_maps
 from seqprep.operators.skew import (
     BROADCAST_ROWS,
     GROUP_ROWS,
@@ -19,7 +19,7 @@ from seqprep.operators.skew import (
     ordered_blocks,
     split_hot_groups,
 )
-from seqprep.sources.spool import spool
+from seqprep.sources.spool import spool, spool_counted
 
 RUN_COLUMNS = ("item_id", "event_type", "timestamp", "intensity", "run_seq")
 
@@ -192,15 +192,9 @@ def filter_rare_items(
 ) -> DataFrame:
     """Drop items with fewer than ``min_support`` rows; ``runs`` is read twice."""
     keys = [*within, "item_id"]
-    frequent = item_support(runs, within).filter(F.col("support") >= min_support).select(*keys)
-    return join_skewed(
-        runs,
-        spool(frequent, "frequent-items"),
-        keys,
-        "left_semi",
-        broadcast_rows=broadcast_rows,
-        group_rows=group_rows,
-    )
+    support = item_support(runs, within).filter(F.col("support") >= min_support)
+    frequent, rows = spool_counted(support.select(*keys), "frequent-items")
+    return join_skewed(runs, frequent, keys, "left_semi", broadcast_rows, group_rows, rows)
 
 
 def add_session_ids(
@@ -212,21 +206,22 @@ def add_session_ids(
 ) -> DataFrame:
     """Add ``session_id_numeric`` and ``item_id_numeric``, dense in key order.
 
-    With ``within`` (leading session columns, such as the region) both restart in every group.
+    The session columns are ``within`` (such as the region) plus one; ids restart in every
+    ``within`` group.
     """
-    session, item = list(session), [*within, "item_id"]
-    sessions = dense_ids(
-        runs.select(*session).distinct(), session, "session_id_numeric", within
-    )
-    items = dense_ids(runs.select(*item).distinct(), item, "item_id_numeric", within)
-    # Session rows are few per key after the length limits; items may be heavily skewed.
-    return join_skewed(
-        runs.join(sessions, session),
-        items,
-        item,
-        broadcast_rows=broadcast_rows,
-        group_rows=group_rows,
-    )
+    *outer, key = session
+    if outer != list(within):
+        raise ValueError("session must be the within columns and one key column")
+    maps = dense_maps(runs, [key, "item_id"], within)
+    sizes = maps.sizes()
+    limits = {"broadcast_rows": broadcast_rows, "group_rows": group_rows}
+    ids = {key: "session_id_numeric", "item_id": "item_id_numeric"}
+    for column, id_column in ids.items():
+        mapping = maps.mapping(column, id_column)
+        runs = join_skewed(
+            runs, mapping, [*within, column], side_rows=sizes[column], **limits
+        )
+    return runs
 
 
 def check_lengths(min_length: int, max_length: int) -> None:

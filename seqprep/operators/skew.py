@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from seqprep.sources.spool import spool
+from seqprep.sources.spool import spool, spool_counted
 
 # A group may be handled inside one task up to this many rows.
 GROUP_ROWS = 1_000_000
@@ -36,8 +36,9 @@ def split_hot_groups(
     """Rows of ordinary groups, and rows of groups with more than ``group_rows`` rows, if any."""
     group = list(group)
     counts = df.groupBy(*group).agg(F.count("*").alias("rows"))
-    hot = spool(counts.filter(F.col("rows") > group_rows).select(*group), "hot-groups")
-    if hot.isEmpty():
+    oversized = counts.filter(F.col("rows") > group_rows).select(*group)
+    hot, found = spool_counted(oversized, "hot-groups")
+    if found == 0:
         return df, None
     # At most (rows / group_rows) keys, stored with a known size: Spark broadcasts them if they fit.
     return df.join(hot, group, "left_anti"), df.join(hot, group, "left_semi")
@@ -97,14 +98,16 @@ def join_skewed(
     how: str = "inner",
     broadcast_rows: int = BROADCAST_ROWS,
     group_rows: int = GROUP_ROWS,
+    side_rows: int | None = None,
 ) -> DataFrame:
     """Join where one key of ``big`` may hold much of it; ``side`` has one row per key.
 
-    A side counted as small is broadcast. Otherwise the heaviest keys of ``big`` are spread over
+    A side counted as small (``side_rows``, if the caller knows) is broadcast. Otherwise the heaviest keys of ``big`` are spread over
     enough salts for ``group_rows`` rows each, and their rows in ``side`` are repeated per salt.
     """
     keys = list(keys)
-    if is_small(side, broadcast_rows):
+    small = is_small(side, broadcast_rows) if side_rows is None else side_rows <= broadcast_rows
+    if small:
         return big.join(F.broadcast(side), keys, how)
     hot = (
         big.dropna(subset=keys)

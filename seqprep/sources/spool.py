@@ -9,7 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -32,3 +32,13 @@ def spool(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(spark)}/seqprep-{application}/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spool_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """``spool``, with the row count taken while writing.
+
+    A repeated task may be counted twice: use the number as an upper limit for choosing a plan.
+    """
+    seen = Observation()
+    stored = spool(df.observe(seen, F.count(F.lit(1)).alias("rows")), name)
+    return stored, seen.get["rows"]
