@@ -38,19 +38,30 @@ class CheckFailed(ValueError):
 def _offenders(name: str, offending: DataFrame, key: str) -> DataFrame:
     """Count distinct offending keys and show the first few; keys are merged ahead of the shuffle."""
     keys = offending.select(F.col(key).cast("string").alias("key")).distinct()
+    counted = keys.agg(F.count("*").alias("violations")).withColumn("examples", _no_examples())
     first = keys.orderBy(F.asc_nulls_first("key")).limit(EXAMPLES)
     shown = first.agg(F.array_sort(F.collect_list("key")).alias("examples"))
-    counted = keys.agg(F.count("*").alias("violations"))
-    return _named(name, counted).join(_named(name, shown), "check_name")
+    both = counted.unionByName(shown.withColumn("violations", F.lit(0).cast("bigint")))
+    return _named(
+        name,
+        both.agg(
+            F.sum("violations").alias("violations"),
+            F.flatten(F.collect_list("examples")).alias("examples"),
+        ),
+    )
+
+
+def _no_examples() -> Column:
+    return F.array().cast("array<string>")
 
 
 def _named(name: str, df: DataFrame) -> DataFrame:
-    return df.withColumn("check_name", F.lit(name)).select("check_name", *df.columns)
+    return df.select(F.lit(name).alias("check_name"), "violations", "examples")
 
 
 def _count(name: str, df: DataFrame, violations: Column) -> DataFrame:
     counted = df.agg(F.coalesce(violations.cast("bigint"), F.lit(0)).alias("violations"))
-    return _named(name, counted).withColumn("examples", F.array().cast("array<string>"))
+    return _named(name, counted.withColumn("examples", _no_examples()))
 
 
 def unknown_behaviors(events: DataFrame, column: str = "event_type", codes=contract.BEHAVIOR_IDS) -> DataFrame:

@@ -6,7 +6,7 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from seqprep.sources.tables import read_regions, table_exists
+from seqprep.sources.tables import read_regions, regions_exist
 
 
 def parameter_text(**parameters) -> str:
@@ -29,7 +29,7 @@ def pending_regions(
 ) -> DataFrame:
     """Regions whose files or parameters differ from the last finished load."""
     wanted = inputs.withColumn("parameters", F.lit(parameters))
-    if not table_exists(spark, path):
+    if not regions_exist(spark, path):
         return wanted
     done = read_regions(spark, path)
     return wanted.join(done, ["region", "files", "fingerprint", "parameters"], "left_anti")
@@ -37,7 +37,7 @@ def pending_regions(
 
 def finished_regions(spark: SparkSession, path: str) -> set[str]:
     """Names of all regions loaded so far: one row each."""
-    if not table_exists(spark, path):
+    if not regions_exist(spark, path):
         return set()
     return {row["region"] for row in read_regions(spark, path).select("region").collect()}
 

@@ -21,10 +21,10 @@ def read_tables(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     )
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` holds a finished table (one with a ``_SUCCESS`` mark)."""
+def _found(load) -> bool:
+    """Whether a reader finds its path."""
     try:
-        spark.read.format("binaryFile").load(f"{path}/_SUCCESS")
+        load()
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return False
@@ -32,6 +32,16 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` holds a finished table (one with a ``_SUCCESS`` mark)."""
+    return _found(lambda: spark.read.format("binaryFile").load(f"{path}/_SUCCESS"))
+
+
+def regions_exist(spark: SparkSession, path: str) -> bool:
+    """Whether any region was written to ``path``; Spark leaves no mark on partial overwrites."""
+    return _found(lambda: spark.read.format("binaryFile").load(f"{path}/region=*"))
+
+
 def write_table(
     df: DataFrame, path: str, force: bool = False, partition_by: Sequence[str] = ()
 ) -> None:
