@@ -378,11 +378,12 @@ def _aligned(spark, sf_dir, **limits):
 
 
 def item_alignment(spark, sf_dir):
-    return _aligned(spark, sf_dir).select("dense_id", "canonical_listing_id", "market_segment")
+    aligned = _aligned(spark, sf_dir, broadcast_rows=0)
+    return aligned.select("dense_id", "canonical_listing_id", "market_segment")
 
 
 def _matrix(spark, sf_dir, top=7, **limits):
-    return features.feature_matrix(_aligned(spark, sf_dir, **limits), top, **limits)
+    return features.feature_matrix(_aligned(spark, sf_dir), top, **limits)
 
 
 def _cells(result, wanted, set_only=False):

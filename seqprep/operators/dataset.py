@@ -127,7 +127,7 @@ def densify(
     broadcast_rows: int = BROADCAST_ROWS,
     group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
-    """Replace uid, sid, behaviour and segment by their dense ids."""
+    """Replace uid, sid, behaviour and segment of the stored rows by their dense ids."""
     sizes = maps.sizes()
     frame = kept.withColumn("behavior", code_of(F.col("behavior"), codes))
     for column, id_column in MAPPED_COLUMNS.items():
@@ -138,6 +138,7 @@ def densify(
             broadcast_rows=broadcast_rows,
             group_rows=group_rows,
             side_rows=sizes[column],
+            keyed_like=kept,
         )
         frame = joined.drop(column).withColumnRenamed(id_column, column)
     return frame.select(kept.columns)
@@ -187,6 +188,14 @@ def split_stats(rows: DataFrame) -> DataFrame:
     )
 
 
+def sequence_stats(stored: DataFrame) -> DataFrame:
+    """Rows and holdouts, from the sequence table; a user has at most one val row, of one event."""
+    return stored.agg(
+        F.sum(F.size("items")).alias("rows"),
+        F.count_if(F.col("split") == "val").alias("val_num"),
+    )
+
+
 def build_dataset(
     events: DataFrame,
     items: DataFrame,

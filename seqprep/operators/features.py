@@ -16,7 +16,7 @@ from seqprep import contract
 from seqprep.functions.cleaning import finite_double, market_segment
 from seqprep.functions.encoding import hash_bucket, indicator, literal_list, one_of
 from seqprep.operators.dense_ids import dense_ids
-from seqprep.operators.skew import BROADCAST_ROWS, GROUP_ROWS, join_skewed
+from seqprep.operators.skew import BROADCAST_ROWS, GROUP_ROWS, join_sized, join_skewed
 
 
 @dataclass(frozen=True)
@@ -51,20 +51,15 @@ def align_items(
     sid_canonical: DataFrame,
     items: DataFrame,
     broadcast_rows: int = BROADCAST_ROWS,
-    group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """Catalogue row of every dense id, with its amenities parsed into ``amenity_list``.
 
     A listing known in two regions serves two dense ids.
     """
     named = smap.join(sid_canonical, "sid").select("dense_id", "canonical_listing_id")
-    return join_skewed(
-        named,
-        with_amenity_list(catalog_with_segment(items)),
-        ["canonical_listing_id"],
-        broadcast_rows=broadcast_rows,
-        group_rows=group_rows,
-    )
+    catalog = with_amenity_list(catalog_with_segment(items))
+    # A canonical id repeats once per region at most.
+    return join_sized(named, catalog, ["canonical_listing_id"], "inner", broadcast_rows)
 
 
 def vocabularies(aligned: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -204,14 +199,16 @@ def feature_matrix(
             )
         )
         key = f"{name}_key"
+        keyed = F.col(name).cast("string").alias(key)
         encoded = join_skewed(
-            encoded.withColumn(key, F.col(name).cast("string")),
+            encoded.select("*", keyed),
             own.select(F.col("value").alias(key), slot.alias(f"{name}_slot")),
             [key],
             "left",
             broadcast_rows,
             group_rows,
             sizes.get(name, 0),
+            keyed_like=aligned.select(keyed),
         )
         arrays += one_of(F.col(f"{name}_slot"), sizes.get(name, 0))
         width += sizes.get(name, 0)

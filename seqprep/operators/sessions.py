@@ -14,6 +14,7 @@ from seqprep.operators.dense_ids import dense_maps
 from seqprep.operators.skew import (
     BROADCAST_ROWS,
     GROUP_ROWS,
+    join_sized,
     join_skewed,
     number_within_groups,
     ordered_blocks,
@@ -207,21 +208,29 @@ def add_session_ids(
     """Add ``session_id_numeric`` and ``item_id_numeric``, dense in key order.
 
     The session columns are ``within`` (such as the region) plus one; ids restart in every
-    ``within`` group.
+    ``within`` group. ``runs`` should be a stored table whose sessions are within a length limit.
     """
     *outer, key = session
     if outer != list(within):
         raise ValueError("session must be the within columns and one key column")
     maps = dense_maps(runs, [key, "item_id"], within)
     sizes = maps.sizes()
-    limits = {"broadcast_rows": broadcast_rows, "group_rows": group_rows}
-    ids = {key: "session_id_numeric", "item_id": "item_id_numeric"}
-    for column, id_column in ids.items():
-        mapping = maps.mapping(column, id_column)
-        runs = join_skewed(
-            runs, mapping, [*within, column], side_rows=sizes[column], **limits
-        )
-    return runs
+    session_ids = maps.mapping(key, "session_id_numeric")
+    item_ids = maps.mapping("item_id", "item_id_numeric")
+    # Sessions are short after the length limits; an item may hold much of the table.
+    with_sessions = join_sized(
+        runs, session_ids, session, "inner", broadcast_rows, sizes[key]
+    )
+    return join_skewed(
+        with_sessions,
+        item_ids,
+        [*within, "item_id"],
+        "inner",
+        broadcast_rows,
+        group_rows,
+        sizes["item_id"],
+        keyed_like=runs,
+    )
 
 
 def check_lengths(min_length: int, max_length: int) -> None:

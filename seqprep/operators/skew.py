@@ -19,6 +19,8 @@ GROUP_ROWS = 1_000_000
 BROADCAST_ROWS = 100_000
 # Heaviest keys that a join salts; every further key takes the plain path.
 SALTED_KEYS = 4096
+# Copies of one row that one task writes out in a go.
+COPY_STEP = 65_536
 
 
 def _parallelism(df: DataFrame) -> int:
@@ -55,7 +57,7 @@ def ordered_blocks(df: DataFrame, group: Sequence[str], order: Sequence[str], na
 
 def _block_offsets(blocks: DataFrame, group: Sequence[str]) -> DataFrame:
     """Rows before each block of a group, and rows of the whole group; one row per block."""
-    sizes = blocks.groupBy(*group, "block").agg(F.count("*").alias("block_rows"))
+    sizes = blocks.groupBy(*group, "block").agg(F.sum("copies").alias("block_rows"))
     before = Window.partitionBy(*group).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     return sizes.select(
         *group,
@@ -71,8 +73,9 @@ def number_within_groups(
     order: Sequence[str],
     group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
-    """Add ``position`` (1..n in ``order``) and ``group_size``; (group, order) identifies a row."""
-    group, order = list(group), list(order)
+    """Add ``position`` (1..n in ``order``, then by all other columns) and ``group_size``."""
+    group = list(group)
+    order = [*order, *(name for name in df.columns if name not in {*group, *order})]
     cold, hot = split_hot_groups(df, group, group_rows)
     ordered = Window.partitionBy(*group).orderBy(*order)
     numbered = cold.withColumn("position", F.row_number().over(ordered).cast("bigint")).withColumn(
@@ -80,15 +83,41 @@ def number_within_groups(
     )
     if hot is None:
         return numbered
-    blocks = ordered_blocks(hot, group, order, "position-blocks")
-    local = F.row_number().over(Window.partitionBy(*group, "block").orderBy(*order))
-    numbered_hot = (
-        blocks.withColumn("local", local)
+    return numbered.unionByName(_number_hot(hot, group, order).select(numbered.columns))
+
+
+def _number_hot(hot: DataFrame, group: list[str], order: list[str]) -> DataFrame:
+    """Positions in oversized groups: equal rows are counted, placed by block, and repeated."""
+    counted = hot.groupBy(*group, *order).agg(F.count("*").alias("copies"))
+    blocks = ordered_blocks(counted, group, order, "position-blocks")
+    earlier = Window.partitionBy(*group, "block").orderBy(*order)
+    earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
+    placed = (
+        blocks.withColumn("before", F.coalesce(F.sum("copies").over(earlier), F.lit(0)))
         .join(_block_offsets(blocks, group), [*group, "block"])
-        .withColumn("position", F.col("rows_before") + F.col("local"))
-        .select(numbered.columns)
+        .withColumn("before", F.col("rows_before") + F.col("before"))
+    )
+    # Repeat in two steps with a shuffle between, so that one row's copies spread over tasks.
+    last = F.col("copies") - 1
+    steps = placed.withColumn("step", F.explode(F.sequence(F.lit(0), last, F.lit(COPY_STEP))))
+    spread = steps.repartition(_parallelism(hot), *group, *order, "step")
+    step_end = F.least(last, F.col("step") + (COPY_STEP - 1))
+    return spread.withColumn("copy", F.explode(F.sequence("step", step_end))).withColumn(
+        "position", F.col("before") + F.col("copy") + 1
     )
-    return numbered.unionByName(numbered_hot)
+
+
+def join_sized(
+    big: DataFrame,
+    side: DataFrame,
+    keys: Sequence[str],
+    how: str = "inner",
+    broadcast_rows: int = BROADCAST_ROWS,
+    side_rows: int | None = None,
+) -> DataFrame:
+    """Join whose keys are known to repeat little; ``side`` is broadcast if counted as small."""
+    small = is_small(side, broadcast_rows) if side_rows is None else side_rows <= broadcast_rows
+    return big.join(F.broadcast(side) if small else side, list(keys), how)
 
 
 def join_skewed(
@@ -99,18 +128,22 @@ def join_skewed(
     broadcast_rows: int = BROADCAST_ROWS,
     group_rows: int = GROUP_ROWS,
     side_rows: int | None = None,
+    keyed_like: DataFrame | None = None,
 ) -> DataFrame:
     """Join where one key of ``big`` may hold much of it; ``side`` has one row per key.
 
-    A side counted as small (``side_rows``, if the caller knows) is broadcast. Otherwise the heaviest keys of ``big`` are spread over
-    enough salts for ``group_rows`` rows each, and their rows in ``side`` are repeated per salt.
+    A side counted as small (``side_rows``, if the caller knows) is broadcast. Otherwise the
+    heaviest keys of ``big`` are spread over enough salts for ``group_rows`` rows each, and their
+    rows in ``side`` are repeated per salt. ``keyed_like`` may name a stored table with about the
+    same keys, to count them there when ``big`` is costly to compute twice.
     """
     keys = list(keys)
     small = is_small(side, broadcast_rows) if side_rows is None else side_rows <= broadcast_rows
     if small:
         return big.join(F.broadcast(side), keys, how)
     hot = (
-        big.dropna(subset=keys)
+        (big if keyed_like is None else keyed_like)
+        .dropna(subset=keys)
         .groupBy(*keys)
         .agg(F.count("*").alias("rows"))
         .filter(F.col("rows") > group_rows)

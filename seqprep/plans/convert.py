@@ -112,7 +112,7 @@ def merge(
     spark: SparkSession,
     out_dir: str,
     regions: Sequence[str],
-    output_partitions: int = contract.OUTPUT_PARTITIONS,
+    output_partitions: int | None = None,
 ) -> dict:
     """All regions into the final event and item tables."""
     unfinished = sorted(set(regions) - manifest.finished_regions(spark, f"{out_dir}/{LOADS}"))
@@ -123,7 +123,7 @@ def merge(
     checks.enforce([checks.empty_regions(expected, events)])
     merged = regional.merge_regions(events).drop("region", "region_order")
     tables.write_sorted(
-        merged, f"{out_dir}/{FINAL_EVENTS}", output_partitions, "uid", ["timestamp", "pos"]
+        merged, f"{out_dir}/{FINAL_EVENTS}", "uid", ["timestamp", "pos"], output_partitions
     )
     items = catalog.unique_items(_ordered(spark, f"{out_dir}/{ITEMS}", regions, merge=True))
     items, item_count = tables.counted(items.drop("region", "region_order"), FINAL_ITEMS)
@@ -141,7 +141,7 @@ def convert(
     max_session_length: int = contract.MAX_SESSION_LENGTH,
     min_item_freq: int = contract.MIN_ITEM_FREQ,
     resolutions: Sequence[int] = contract.RESOLUTIONS,
-    output_partitions: int = contract.OUTPUT_PARTITIONS,
+    output_partitions: int | None = None,
     final_only: bool = False,
     broadcast_rows: int = BROADCAST_ROWS,
     group_rows: int = GROUP_ROWS,
@@ -152,7 +152,7 @@ def convert(
     """
     regions = raw.check_regions(regions)
     sessions.check_lengths(min_session_length, max_session_length)
-    if min_item_freq <= 0 or output_partitions <= 0:
+    if min_item_freq <= 0 or (output_partitions is not None and output_partitions <= 0):
         raise ValueError("min item frequency and output partitions must be positive")
     loaded: list[str] = []
     if not final_only:

@@ -47,7 +47,7 @@ def export_item_features(
         ]
     )
     aligned = spool(
-        features.align_items(smap, pairs, items, broadcast_rows, group_rows), "aligned-items"
+        features.align_items(smap, pairs, items, broadcast_rows), "aligned-items"
     )
     result = features.feature_matrix(aligned, amenities_top, broadcast_rows, group_rows)
     tables.write_table(result.features, f"{out_dir}/item_features", force)

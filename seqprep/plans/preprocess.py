@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession, functions as F
 
 from seqprep import contract
 from seqprep.operators import checks
-from seqprep.operators.dataset import CHUNK_ROWS, build_dataset, split_stats
+from seqprep.operators.dataset import CHUNK_ROWS, build_dataset, sequence_stats
 from seqprep.operators.skew import BROADCAST_ROWS, GROUP_ROWS
 from seqprep.plans.convert import FINAL_EVENTS, FINAL_ITEMS
 from seqprep.sources import manifest, tables
@@ -60,12 +60,16 @@ def preprocess(
         mapping = bmap if name == "bmap" else getattr(dataset, name)
         tables.write_table(mapping, f"{out_dir}/{name}", force)
 
-    stats = split_stats(dataset.rows).first().asDict()
+    stored = tables.read_table(spark, f"{out_dir}/sequences")
+    stats = sequence_stats(stored).first().asDict()
     content = stats | {
         "schema": SCHEMA,
+        "sessions": dataset.umap.count(),
+        "items": dataset.smap.count(),
+        "behaviors": sorted(row["id"] for row in bmap.collect()),
         "target_behavior": target_behavior,
         "min_user_events": min_user_events,
-        "sequences": tables.fingerprint_text(tables.read_table(spark, f"{out_dir}/sequences")),
+        "sequences": tables.fingerprint_text(stored),
         "smap": tables.fingerprint_text(dataset.smap),
     }
     manifest.write_manifest(spark, f"{out_dir}/manifest", content, force)

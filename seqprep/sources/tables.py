@@ -72,13 +72,17 @@ def read_regions(spark: SparkSession, path: str, merge: bool = False) -> DataFra
     return spark.read.schema(schema).parquet(path)
 
 
-def write_sorted(df: DataFrame, path: str, partitions: int, key: str, order: Sequence[str]) -> None:
-    """Write ``partitions`` files, each holding whole ``key`` groups in order."""
-    if partitions <= 0:
+def write_sorted(
+    df: DataFrame, path: str, key: str, order: Sequence[str], partitions: int | None = None
+) -> None:
+    """Write files that each hold whole ``key`` groups in order.
+
+    Without a number of partitions Spark chooses by size.
+    """
+    if partitions is not None and partitions <= 0:
         raise ValueError("output partitions must be positive")
-    df.repartition(partitions, key).sortWithinPartitions(key, *order).write.mode(
-        "overwrite"
-    ).parquet(path)
+    spread = df.repartition(key) if partitions is None else df.repartition(partitions, key)
+    spread.sortWithinPartitions(key, *order).write.mode("overwrite").parquet(path)
 
 
 def counted(df: DataFrame, label: str, **metrics: Column) -> tuple[DataFrame, Observation]:

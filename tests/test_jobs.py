@@ -181,7 +181,7 @@ def test_table_sinks(spark, tmp_path):
 
 def test_sorted_sink_keeps_groups_whole(spark, tmp_path):
     df = spark.range(1000).selectExpr("id % 50 AS uid", "1000 - id AS timestamp")
-    tables.write_sorted(df, f"{tmp_path}/s", 5, "uid", ["timestamp"])
+    tables.write_sorted(df, f"{tmp_path}/s", "uid", ["timestamp"], 5)
     files = sorted(Path(f"{tmp_path}/s").glob("*.parquet"))
     assert len(files) == 5
     keys = [{r["uid"] for r in spark.read.parquet(str(file)).collect()} for file in files]

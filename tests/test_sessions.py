@@ -7,7 +7,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from seqprep.operators import sessions as ops
+from seqprep.operators import sessions as ops, skew
 from seqprep.operators.catalog import active_catalog, enrich_events, latest_versions, unique_items
 from seqprep.operators.dense_ids import dense_ids, dense_maps
 from seqprep.operators.regions import merge_regions
@@ -243,3 +243,15 @@ def test_numbering_of_oversized_groups(spark):
     numbered = number_within_groups(spark.createDataFrame(rows, "g string, o int"), ["g"], ["o"], 50)
     found = {(r["g"], r["o"], r["position"], r["group_size"]) for r in numbered.collect()}
     assert found == {("hot", n, n + 1, 1000) for n in range(1000)} | {("a", 3, 1, 2), ("a", 5, 2, 2)}
+
+
+def test_numbering_of_copies(spark, monkeypatch):
+    """Copies of one row fill most of a group; each gets its own position."""
+    monkeypatch.setattr(skew, "COPY_STEP", 64)
+    rows = [("hot", 1, "a")] * 700 + [("hot", 1, "b")] * 2 + [("hot", 0, "z")]
+    df = spark.createDataFrame(rows, "g string, o int, v string").repartition(4)
+    for limit in (50, 10_000):
+        numbered = number_within_groups(df, ["g"], ["o"], limit)
+        found = sorted((r["position"], r["v"], r["group_size"]) for r in numbered.collect())
+        expected = ["z"] + ["a"] * 700 + ["b"] * 2
+        assert found == [(place, value, 703) for place, value in enumerate(expected, start=1)]
