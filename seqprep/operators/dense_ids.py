@@ -22,7 +22,8 @@ def dense_ids(
 
     The keys are range partitioned and sorted in place, so the row number inside a partition plus
     the rows of all earlier partitions is the id. With ``within`` (leading columns of the order)
-    the ids restart at 1 in every such group.
+    the ids restart at 1 in every such group; these groups must be few, such as the regions that a
+    caller lists, because one row of each is broadcast.
     """
     ranged = keys.repartitionByRange(*order).sortWithinPartitions(*order)
     placed = spool(ranged.withColumn("place", F.monotonically_increasing_id()), id_column)
@@ -43,7 +44,7 @@ def dense_ids(
     )
     if within:
         starts = numbered.groupBy(*within).agg((F.min(id_column) - 1).alias("start"))
-        numbered = numbered.join(starts, list(within)).withColumn(
+        numbered = numbered.join(F.broadcast(starts), list(within)).withColumn(
             id_column, F.col(id_column) - F.col("start")
         )
     return numbered.select(*keys.columns, id_column)

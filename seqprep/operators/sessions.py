@@ -14,6 +14,7 @@ from seqprep.operators.dense_ids import dense_maps
 from seqprep.operators.skew import (
     BROADCAST_ROWS,
     GROUP_ROWS,
+    HotGroups,
     join_sized,
     join_skewed,
     number_within_groups,
@@ -65,12 +66,12 @@ def _collapse(events: DataFrame, session: list[str], order: list[str]) -> DataFr
     ).select(*session, *RUN_COLUMNS)
 
 
-def _collapse_hot(events: DataFrame, session: list[str], order: list[str]) -> DataFrame:
+def _collapse_hot(hot: HotGroups, session: list[str], order: list[str]) -> DataFrame:
     """Runs of oversized sessions, block by block, stitched at the block edges."""
     # Rows that agree in everything that is kept are neighbours of one run: count them first.
     row = list(dict.fromkeys([*session, *order, "item_id", "event_type", "timestamp"]))
-    weighted = events.groupBy(*row).agg(F.count("*").alias("weight"))
-    blocks = ordered_blocks(weighted, session, order, "session-blocks")
+    weighted = hot.rows.groupBy(*row).agg(F.count("*").alias("weight"))
+    blocks = ordered_blocks(weighted, session, order, hot.blocks, "session-blocks")
 
     ordered = Window.partitionBy(*session, "block").orderBy(*order)
     before = ordered.rowsBetween(Window.unboundedPreceding, -1)

@@ -8,6 +8,7 @@ size, worked on block by block, and stitched together from one summary row per b
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -17,6 +18,8 @@ from seqprep.sources.spool import spool, spool_counted
 GROUP_ROWS = 1_000_000
 # A join side is broadcast only after its row count was found to be within this.
 BROADCAST_ROWS = 100_000
+# ... and, for a table of unknown row width, its size as text within this.
+BROADCAST_BYTES = 64 * 1024 * 1024
 # Heaviest keys that a join salts; every further key takes the plain path.
 SALTED_KEYS = 4096
 # Copies of one row that one task writes out in a go.
@@ -28,30 +31,47 @@ def _parallelism(df: DataFrame) -> int:
 
 
 def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``rows`` rows; reads no more than that many per partition."""
-    return df.select(F.lit(1).alias("one")).limit(rows + 1).count() <= rows
+    """Whether ``df`` is within the row limit and, counted as text, within the byte limit."""
+    if df.count() > rows:
+        return False
+    width = F.length(F.to_json(F.struct(*df.columns)))
+    return (df.agg(F.sum(width).alias("width")).first()["width"] or 0) <= BROADCAST_BYTES
+
+
+@dataclass(frozen=True)
+class HotGroups:
+    """All rows of the groups above a row limit, and how many blocks they should be cut into."""
+
+    rows: DataFrame
+    blocks: int
 
 
 def split_hot_groups(
     df: DataFrame, group: Sequence[str], group_rows: int = GROUP_ROWS
-) -> tuple[DataFrame, DataFrame | None]:
-    """Rows of ordinary groups, and rows of groups with more than ``group_rows`` rows, if any."""
+) -> tuple[DataFrame, HotGroups | None]:
+    """Rows of ordinary groups, and those of groups with more than ``group_rows`` rows, if any."""
     group = list(group)
     counts = df.groupBy(*group).agg(F.count("*").alias("rows"))
-    oversized = counts.filter(F.col("rows") > group_rows).select(*group)
-    hot, found = spool_counted(oversized, "hot-groups")
+    hot, found = spool_counted(counts.filter(F.col("rows") > group_rows), "hot-groups")
     if found == 0:
         return df, None
-    # At most (rows / group_rows) keys, stored with a known size: Spark broadcasts them if they fit.
-    return df.join(hot, group, "left_anti"), df.join(hot, group, "left_semi")
+    total = hot.agg(F.sum("rows").alias("rows")).first()["rows"]
+    blocks = max(_parallelism(df), -(-total // group_rows))
+    # There are at most (all rows / group_rows) such keys; broadcast them if counted as few.
+    keys = hot.select(*group)
+    keys = F.broadcast(keys) if found <= BROADCAST_ROWS else keys
+    cold = df.join(keys, group, "left_anti")
+    return cold, HotGroups(df.join(keys, group, "left_semi"), blocks)
 
 
-def ordered_blocks(df: DataFrame, group: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
+def ordered_blocks(
+    df: DataFrame, group: Sequence[str], order: Sequence[str], blocks: int, name: str
+) -> DataFrame:
     """Number contiguous blocks (``block``) of the (group, order) sequence and store the rows.
 
     (group, order) should identify a row, so that range boundaries can fall anywhere.
     """
-    ranged = df.repartitionByRange(_parallelism(df), *group, *order)
+    ranged = df.repartitionByRange(blocks, *group, *order)
     return spool(ranged.withColumn("block", F.spark_partition_id()), name)
 
 
@@ -86,10 +106,10 @@ def number_within_groups(
     return numbered.unionByName(_number_hot(hot, group, order).select(numbered.columns))
 
 
-def _number_hot(hot: DataFrame, group: list[str], order: list[str]) -> DataFrame:
+def _number_hot(hot: HotGroups, group: list[str], order: list[str]) -> DataFrame:
     """Positions in oversized groups: equal rows are counted, placed by block, and repeated."""
-    counted = hot.groupBy(*group, *order).agg(F.count("*").alias("copies"))
-    blocks = ordered_blocks(counted, group, order, "position-blocks")
+    counted = hot.rows.groupBy(*group, *order).agg(F.count("*").alias("copies"))
+    blocks = ordered_blocks(counted, group, order, hot.blocks, "position-blocks")
     earlier = Window.partitionBy(*group, "block").orderBy(*order)
     earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
     placed = (
@@ -100,7 +120,7 @@ def _number_hot(hot: DataFrame, group: list[str], order: list[str]) -> DataFrame
     # Repeat in two steps with a shuffle between, so that one row's copies spread over tasks.
     last = F.col("copies") - 1
     steps = placed.withColumn("step", F.explode(F.sequence(F.lit(0), last, F.lit(COPY_STEP))))
-    spread = steps.repartition(_parallelism(hot), *group, *order, "step")
+    spread = steps.repartition(hot.blocks, *group, *order, "step")
     step_end = F.least(last, F.col("step") + (COPY_STEP - 1))
     return spread.withColumn("copy", F.explode(F.sequence("step", step_end))).withColumn(
         "position", F.col("before") + F.col("copy") + 1

@@ -41,4 +41,4 @@ def spool_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
     """
     seen = Observation()
     stored = spool(df.observe(seen, F.count(F.lit(1)).alias("rows")), name)
-    return stored, seen.get["rows"]
+    return stored, seen.get.get("rows") or 0
