@@ -12,6 +12,36 @@ from seqprep.sources.spool import spool
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in its low 33 bits
 
 
+def _place(
+    keys: DataFrame, order: Sequence[str | Column], name: str, within: Sequence[str]
+) -> tuple[DataFrame, DataFrame]:
+    """Stored keys with the range partition and row they sort to, and where partitions start.
+
+    The second table has one row per partition and ``within`` group in it, however many keys there
+    are: ``shift`` turns a row number into one that runs through the whole group.
+    """
+    ranged = keys.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = spool(ranged.withColumn("place", F.monotonically_increasing_id()), name)
+    placed = placed.withColumn("part", F.shiftright("place", _ROW_BITS)).withColumn(
+        "row", F.col("place").bitwiseAND((1 << _ROW_BITS) - 1)
+    )
+    parts = placed.groupBy(*within, "part").agg(
+        F.count("*").alias("keys"), F.min("row").alias("first")
+    )
+    earlier = Window.partitionBy(*within).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("keys").over(earlier), F.lit(0)) - F.col("first") + 1
+    return placed, spool(parts.select(*within, "part", "keys", shift.alias("shift")), f"{name}-parts")
+
+
+def _number(
+    placed: DataFrame, parts: DataFrame, id_column: str, within: Sequence[str]
+) -> DataFrame:
+    shifts = F.broadcast(parts.drop("keys"))
+    return placed.join(shifts, [*within, "part"]).withColumn(
+        id_column, F.col("row") + F.col("shift")
+    )
+
+
 def dense_ids(
     keys: DataFrame,
     order: Sequence[str | Column],
@@ -21,33 +51,12 @@ def dense_ids(
     """Add ``id_column`` to a table of distinct keys: 1..n in the given total order.
 
     The keys are range partitioned and sorted in place, so the row number inside a partition plus
-    the rows of all earlier partitions is the id. With ``within`` (leading columns of the order)
-    the ids restart at 1 in every such group; these groups must be few, such as the regions that a
-    caller lists, because one row of each is broadcast.
+    the rows of all earlier partitions is the id. With ``within`` (leading columns of the order,
+    without NULLs) the ids restart at 1 in every such group; these groups must be few, such as the
+    regions that a caller lists.
     """
-    ranged = keys.repartitionByRange(*order).sortWithinPartitions(*order)
-    placed = spool(ranged.withColumn("place", F.monotonically_increasing_id()), id_column)
-    part = F.shiftright("place", _ROW_BITS)
-    row = F.col("place").bitwiseAND((1 << _ROW_BITS) - 1)
-    # One row per range partition from here on, however many keys there are.
-    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        placed.groupBy(part.alias("part"))
-        .agg(F.count("*").alias("keys"))
-        .select("part", F.coalesce(F.sum("keys").over(earlier), F.lit(0)).alias("offset"))
-    )
-    numbered = (
-        placed.withColumn("part", part)
-        .withColumn("row", row)
-        .join(F.broadcast(offsets), "part")
-        .withColumn(id_column, F.col("offset") + F.col("row") + 1)
-    )
-    if within:
-        starts = numbered.groupBy(*within).agg((F.min(id_column) - 1).alias("start"))
-        numbered = numbered.join(F.broadcast(starts), list(within)).withColumn(
-            id_column, F.col(id_column) - F.col("start")
-        )
-    return numbered.select(*keys.columns, id_column)
+    placed, parts = _place(keys, order, id_column, within)
+    return _number(placed, parts, id_column, within).select(*keys.columns, id_column)
 
 
 @dataclass(frozen=True)
@@ -55,6 +64,7 @@ class DenseMaps:
     """Ids of the distinct values of several columns, made in one pass."""
 
     ids: DataFrame
+    parts: DataFrame
     within: tuple[str, ...]
     columns: tuple[T.StructField, ...]
 
@@ -68,7 +78,7 @@ class DenseMaps:
 
     def sizes(self) -> dict[str, int]:
         """Entries per column; the driver gets one number for each."""
-        rows = self.ids.groupBy("kind").agg(F.count("*").alias("entries")).collect()
+        rows = self.parts.groupBy("kind").agg(F.sum("keys").alias("entries")).collect()
         found = {row["kind"]: row["entries"] for row in rows}
         return {field.name: found.get(place, 0) for place, field in enumerate(self.columns)}
 
@@ -98,6 +108,5 @@ def dense_maps(df: DataFrame, columns: Sequence[str], within: Sequence[str] = ()
     keys = df.select(*within, F.explode(F.array(*entries)).alias("entry"))
     keys = keys.select(*within, "entry.*").distinct()
     group = ["kind", *within]
-    return DenseMaps(
-        dense_ids(keys, [*group, "number", "text"], "id", group), tuple(within), fields
-    )
+    placed, parts = _place(keys, [*group, "number", "text"], "ids", group)
+    return DenseMaps(_number(placed, parts, "id", group), parts, tuple(within), fields)
