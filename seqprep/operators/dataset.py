@@ -75,6 +75,7 @@ def model_frame(
         "left",
         broadcast_rows,
         group_rows,
+        side_rows=items.count(),
     )
     position = ["pos"] if "pos" in events.columns else []
     return joined.select(

@@ -7,10 +7,11 @@ beyond the alignment joins, and the plan does not grow with the vector.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from seqprep import contract
 from seqprep.functions.cleaning import finite_double, market_segment
@@ -57,9 +58,9 @@ def align_items(
     A listing known in two regions serves two dense ids.
     """
     named = smap.join(sid_canonical, "sid").select("dense_id", "canonical_listing_id")
-    catalog = with_amenity_list(catalog_with_segment(items))
     # A canonical id repeats once per region at most.
-    return join_sized(named, catalog, ["canonical_listing_id"], "inner", broadcast_rows)
+    aligned = join_sized(named, items, ["canonical_listing_id"], "inner", broadcast_rows)
+    return with_amenity_list(catalog_with_segment(aligned))
 
 
 def vocabularies(aligned: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -240,11 +241,11 @@ def feature_matrix(
     return ItemFeatures(vectors.unionByName(padding), columns, width)
 
 
-def _named(spark, names: list[str], start: int) -> DataFrame:
-    """Block of contract column names as a table of positions."""
-    return spark.range(1).select(
-        F.posexplode(F.array(*(F.lit(name) for name in names))).alias("slot", "name")
-    ).select((F.col("slot") + start).alias("position"), "name")
+def _named(spark: SparkSession, names: list[str], start: int) -> DataFrame:
+    """A block of column names as a table of positions."""
+    listed = F.from_json(F.lit(json.dumps(names)), "array<string>")
+    slots = spark.range(1).select(F.posexplode(listed).alias("slot", "name"))
+    return slots.select((F.col("slot") + start).alias("position"), "name")
 
 
 def long_features(result: ItemFeatures, wanted: Column | None = None) -> DataFrame:
