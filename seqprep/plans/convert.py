@@ -11,7 +11,7 @@ from seqprep.functions.encoding import code_of
 from seqprep.operators import catalog, checks, regions as regional, sessions
 from seqprep.operators.skew import BROADCAST_ROWS, GROUP_ROWS, is_small
 from seqprep.sources import manifest, raw, tables
-from seqprep.sources.spool import spool
+from seqprep.sources.spool import spool, spool_scope
 
 LISTINGS = "listings_processed"
 MAPPING = "listing_id_mapping"
@@ -38,16 +38,18 @@ def load_listings(
     out_dir: str,
     regions: Sequence[str],
     resolutions: Sequence[int] = contract.RESOLUTIONS,
-) -> None:
-    """Catalogue, id map and item columns of the given regions."""
+) -> int:
+    """Catalogue, id map and item columns of the given regions; returns the listings kept."""
     scanned = raw.checked_scan(
         spark, data_root, raw.LISTING_FOLDERS, regions, contract.LISTING_COLUMNS, "listings input"
     )
     listings = catalog.active_catalog(catalog.clean_listings(scanned), _REGION)
-    tables.write_regions(catalog.add_cells(listings, resolutions), f"{out_dir}/{LISTINGS}")
+    written, seen = tables.counted(catalog.add_cells(listings, resolutions), LISTINGS)
+    tables.write_regions(written, f"{out_dir}/{LISTINGS}")
     stored = _stored(spark, f"{out_dir}/{LISTINGS}", regions, merge=True)
     tables.write_regions(catalog.listing_map(stored, _REGION), f"{out_dir}/{MAPPING}")
     tables.write_regions(catalog.item_columns(stored, _REGION), f"{out_dir}/{ITEMS}")
+    return seen.get["rows"]
 
 
 def load_events(
@@ -57,8 +59,8 @@ def load_events(
     regions: Sequence[str],
     broadcast_rows: int = BROADCAST_ROWS,
     group_rows: int = GROUP_ROWS,
-) -> None:
-    """Accepted events on catalogued listings."""
+) -> int:
+    """Accepted events on catalogued listings; returns the events kept."""
     scanned = raw.checked_scan(
         spark, data_root, raw.EVENT_FOLDERS, regions, contract.EVENT_COLUMNS, "events input"
     )
@@ -69,7 +71,9 @@ def load_events(
     enriched = catalog.enrich_events(
         scanned, mapping, _REGION, broadcast_rows=broadcast_rows, group_rows=group_rows
     )
-    tables.write_regions(enriched, f"{out_dir}/{EVENTS}")
+    written, seen = tables.counted(enriched, EVENTS)
+    tables.write_regions(written, f"{out_dir}/{EVENTS}")
+    return seen.get["rows"]
 
 
 def load_sessions(
@@ -148,13 +152,15 @@ def convert(
 ) -> dict:
     """Load the regions whose files or parameters changed, all in one plan, then merge.
 
-    Returns the counts of the final tables and the names of the regions that were loaded.
+    Returns the counts of the final tables, the regions that were loaded, and the rows that each
+    stage wrote for them.
     """
     regions = raw.check_regions(regions)
     sessions.check_lengths(min_session_length, max_session_length)
     if min_item_freq <= 0 or (output_partitions is not None and output_partitions <= 0):
         raise ValueError("min item frequency and output partitions must be positive")
     loaded: list[str] = []
+    stages: dict[str, int] = {}
     if not final_only:
         parameters = manifest.parameter_text(
             min_session_length=min_session_length,
@@ -175,18 +181,22 @@ def convert(
         pending = manifest.pending_regions(spark, f"{out_dir}/{LOADS}", inputs, parameters).collect()
         loaded = [region for region in regions if region in {row["region"] for row in pending}]
         if loaded:
-            load_listings(spark, data_root, out_dir, loaded, resolutions)
-            load_events(spark, data_root, out_dir, loaded, broadcast_rows, group_rows)
-            load_sessions(
-                spark,
-                out_dir,
-                loaded,
-                min_session_length,
-                max_session_length,
-                min_item_freq,
-                broadcast_rows,
-                group_rows,
-            )
+            limits = {"broadcast_rows": broadcast_rows, "group_rows": group_rows}
+            with spool_scope(spark):
+                stages = {
+                    "listings": load_listings(spark, data_root, out_dir, loaded, resolutions),
+                    "events": load_events(spark, data_root, out_dir, loaded, **limits),
+                    "session_events": load_sessions(
+                        spark,
+                        out_dir,
+                        loaded,
+                        min_session_length,
+                        max_session_length,
+                        min_item_freq,
+                        **limits,
+                    ),
+                }
             done = spark.createDataFrame(pending)
             manifest.record_regions(spark, f"{out_dir}/{LOADS}", done)
-    return merge(spark, out_dir, regions, output_partitions) | {"loaded": loaded}
+    counts = merge(spark, out_dir, regions, output_partitions)
+    return counts | {"loaded": loaded, "stages": stages}

@@ -10,7 +10,7 @@ from seqprep.operators.skew import BROADCAST_ROWS, GROUP_ROWS
 from seqprep.plans.convert import FINAL_EVENTS, FINAL_ITEMS
 from seqprep.plans.preprocess import load_smap
 from seqprep.sources import manifest, tables
-from seqprep.sources.spool import spool
+from seqprep.sources.spool import spool, spool_scope
 
 SCHEMA = "seqprep-item-features-1"
 
@@ -30,59 +30,60 @@ def export_item_features(
         raise ValueError("amenities top cannot be negative")
     if not force and tables.table_exists(spark, f"{out_dir}/manifest"):
         raise FileExistsError(f"output already exists; use force to replace it: {out_dir}")
-    events = tables.read_table(spark, f"{source_dir}/{FINAL_EVENTS}")
-    items = tables.read_table(spark, f"{source_dir}/{FINAL_ITEMS}")
-    contract.require_columns(items, contract.CATALOG_COLUMNS, "items")
-    smap = load_smap(spark, dataset_dir)
-    pairs = spool(features.sid_to_canonical(events), "sid-canonical")
-    checks.enforce(
-        [
-            checks.smap_not_contiguous(smap),
-            checks.null_event_keys(pairs),
-            checks.no_rows(pairs),
-            checks.sid_conflicts(pairs),
-            checks.duplicate_canonicals(items),
-            checks.sids_not_in_events(smap, pairs),
-            checks.items_not_in_catalog(pairs, items, smap),
-        ]
-    )
-    aligned = spool(
-        features.align_items(smap, pairs, items, broadcast_rows), "aligned-items"
-    )
-    result = features.feature_matrix(aligned, amenities_top, broadcast_rows, group_rows)
-    tables.write_table(result.features, f"{out_dir}/item_features", force)
-    tables.write_table(result.columns, f"{out_dir}/feature_columns", force)
+    with spool_scope(spark):
+        events = tables.read_table(spark, f"{source_dir}/{FINAL_EVENTS}")
+        items = tables.read_table(spark, f"{source_dir}/{FINAL_ITEMS}")
+        contract.require_columns(items, contract.CATALOG_COLUMNS, "items")
+        smap = load_smap(spark, dataset_dir)
+        pairs = spool(features.sid_to_canonical(events), "sid-canonical")
+        checks.enforce(
+            [
+                checks.smap_not_contiguous(smap),
+                checks.null_event_keys(pairs),
+                checks.no_rows(pairs),
+                checks.sid_conflicts(pairs),
+                checks.duplicate_canonicals(items),
+                checks.sids_not_in_events(smap, pairs),
+                checks.items_not_in_catalog(pairs, items, smap),
+            ]
+        )
+        aligned = spool(
+            features.align_items(smap, pairs, items, broadcast_rows), "aligned-items"
+        )
+        result = features.feature_matrix(aligned, amenities_top, broadcast_rows, group_rows)
+        tables.write_table(result.features, f"{out_dir}/item_features", force)
+        tables.write_table(result.columns, f"{out_dir}/feature_columns", force)
 
-    stored = features.ItemFeatures(
-        tables.read_table(spark, f"{out_dir}/item_features"), result.columns, result.dimensions
-    )
-    stats = spool(features.matrix_stats(stored), "matrix-stats")
-    checks.enforce([checks.matrix_invariants(stats)])
-    shape = stats.first()
-    content = {
-        "schema": SCHEMA,
-        "rows": shape["rows"],
-        "num_items": shape["num_items"],
-        "dimensions": result.dimensions,
-        "padding_row": 0,
-        "amenities_top": amenities_top,
-        "coverage": {"catalog_items": shape["rows"] - 1, "missing_catalog_items": 0},
-        "metadata_regime": "catalog_snapshot_transductive",
-        "inputs": {
-            "smap": tables.fingerprint_text(smap),
-            "events": tables.fingerprint_text(events),
-            "items": tables.fingerprint_text(items),
-        },
-        "transforms": {
-            "log1p": contract.LOG_FEATURES,
-            "counts": contract.COUNT_FEATURES,
-            "one_hot": contract.ONE_HOT_FEATURES,
-            "hashed": contract.HASHED_FEATURES,
-            "missing_indicators": True,
-            "fitted_statistics": False,
-            "data_derived_vocabularies": True,
-        },
-        "matrix": tables.fingerprint_text(stored.features),
-    }
-    manifest.write_manifest(spark, f"{out_dir}/manifest", content, force)
-    return content
+        stored = features.ItemFeatures(
+            tables.read_table(spark, f"{out_dir}/item_features"), result.columns, result.dimensions
+        )
+        stats = spool(features.matrix_stats(stored), "matrix-stats")
+        checks.enforce([checks.matrix_invariants(stats)])
+        shape = stats.first()
+        content = {
+            "schema": SCHEMA,
+            "rows": shape["rows"],
+            "num_items": shape["num_items"],
+            "dimensions": result.dimensions,
+            "padding_row": 0,
+            "amenities_top": amenities_top,
+            "coverage": {"catalog_items": shape["rows"] - 1, "missing_catalog_items": 0},
+            "metadata_regime": "catalog_snapshot_transductive",
+            "inputs": {
+                "smap": tables.fingerprint_text(smap),
+                "events": tables.fingerprint_text(events),
+                "items": tables.fingerprint_text(items),
+            },
+            "transforms": {
+                "log1p": contract.LOG_FEATURES,
+                "counts": contract.COUNT_FEATURES,
+                "one_hot": contract.ONE_HOT_FEATURES,
+                "hashed": contract.HASHED_FEATURES,
+                "missing_indicators": True,
+                "fitted_statistics": False,
+                "data_derived_vocabularies": True,
+            },
+            "matrix": tables.fingerprint_text(stored.features),
+        }
+        manifest.write_manifest(spark, f"{out_dir}/manifest", content, force)
+        return content

@@ -10,7 +10,7 @@ from seqprep.operators.dataset import CHUNK_ROWS, build_dataset, sequence_stats
 from seqprep.operators.skew import BROADCAST_ROWS, GROUP_ROWS
 from seqprep.plans.convert import FINAL_EVENTS, FINAL_ITEMS
 from seqprep.sources import manifest, tables
-from seqprep.sources.spool import spool
+from seqprep.sources.spool import spool, spool_scope
 
 SCHEMA = "seqprep-dataset-1"
 MAPS = ("umap", "smap", "bmap", "segmap")
@@ -32,48 +32,49 @@ def preprocess(
         raise ValueError("min user events must be at least 2")
     if not force and tables.table_exists(spark, f"{out_dir}/manifest"):
         raise FileExistsError(f"output already exists; use force to replace it: {out_dir}")
-    events = tables.read_table(spark, f"{source_dir}/{FINAL_EVENTS}")
-    items = tables.read_table(spark, f"{source_dir}/{FINAL_ITEMS}")
-    contract.require_columns(events, contract.SESSION_EVENT_COLUMNS, "events")
-    contract.require_columns(items, contract.MODEL_ITEM_COLUMNS, "items")
-    checks.enforce([checks.duplicate_canonicals(items), checks.bad_intensity(events)])
+    with spool_scope(spark):
+        events = tables.read_table(spark, f"{source_dir}/{FINAL_EVENTS}")
+        items = tables.read_table(spark, f"{source_dir}/{FINAL_ITEMS}")
+        contract.require_columns(events, contract.SESSION_EVENT_COLUMNS, "events")
+        contract.require_columns(items, contract.MODEL_ITEM_COLUMNS, "items")
+        checks.enforce([checks.duplicate_canonicals(items), checks.bad_intensity(events)])
 
-    dataset = build_dataset(
-        events,
-        items,
-        min_user_events,
-        target_behavior,
-        broadcast_rows=broadcast_rows,
-        group_rows=group_rows,
-        chunk_rows=chunk_rows,
-    )
-    bmap = spool(dataset.bmap, "bmap")
-    checks.enforce(
-        [
-            checks.no_rows(dataset.umap),
-            checks.unknown_behaviors(bmap, "behavior"),
-            checks.target_absent(bmap, target_behavior),
-        ]
-    )
-    tables.write_table(dataset.sequences, f"{out_dir}/sequences", force)
-    for name in MAPS:
-        mapping = bmap if name == "bmap" else getattr(dataset, name)
-        tables.write_table(mapping, f"{out_dir}/{name}", force)
+        dataset = build_dataset(
+            events,
+            items,
+            min_user_events,
+            target_behavior,
+            broadcast_rows=broadcast_rows,
+            group_rows=group_rows,
+            chunk_rows=chunk_rows,
+        )
+        bmap = spool(dataset.bmap, "bmap")
+        checks.enforce(
+            [
+                checks.no_rows(dataset.umap),
+                checks.unknown_behaviors(bmap, "behavior"),
+                checks.target_absent(bmap, target_behavior),
+            ]
+        )
+        tables.write_table(dataset.sequences, f"{out_dir}/sequences", force)
+        for name in MAPS:
+            mapping = bmap if name == "bmap" else getattr(dataset, name)
+            tables.write_table(mapping, f"{out_dir}/{name}", force)
 
-    stored = tables.read_table(spark, f"{out_dir}/sequences")
-    stats = sequence_stats(stored).first().asDict()
-    content = stats | {
-        "schema": SCHEMA,
-        "sessions": dataset.umap.count(),
-        "items": dataset.smap.count(),
-        "behaviors": sorted(row["id"] for row in bmap.collect()),
-        "target_behavior": target_behavior,
-        "min_user_events": min_user_events,
-        "sequences": tables.fingerprint_text(stored),
-        "smap": tables.fingerprint_text(dataset.smap),
-    }
-    manifest.write_manifest(spark, f"{out_dir}/manifest", content, force)
-    return content
+        stored = tables.read_table(spark, f"{out_dir}/sequences")
+        stats = sequence_stats(stored).first().asDict()
+        content = stats | {
+            "schema": SCHEMA,
+            "sessions": dataset.umap.count(),
+            "items": dataset.smap.count(),
+            "behaviors": sorted(row["id"] for row in bmap.collect()),
+            "target_behavior": target_behavior,
+            "min_user_events": min_user_events,
+            "sequences": tables.fingerprint_text(stored),
+            "smap": tables.fingerprint_text(dataset.smap),
+        }
+        manifest.write_manifest(spark, f"{out_dir}/manifest", content, force)
+        return content
 
 
 def load_smap(spark: SparkSession, dataset_dir: str):

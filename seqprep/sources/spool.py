@@ -8,10 +8,29 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 
+_scope: ContextVar[list[str] | None] = ContextVar("spool_scope", default=None)
+
+
+@contextmanager
+def spool_scope(spark: SparkSession) -> Iterator[None]:
+    """Empty the spools written inside the block when it ends; for jobs that store their results."""
+    paths: list[str] = []
+    token = _scope.set(paths)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        for path in paths:
+            spark.range(0).write.mode("overwrite").parquet(path)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a temporary one only for local masters."""
     context = spark.sparkContext
@@ -30,6 +49,9 @@ def spool(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     application = spark.sparkContext.applicationId
     path = f"{shared_folder(spark)}/seqprep-{application}/{name}-{uuid.uuid4().hex}"
+    open_scope = _scope.get()
+    if open_scope is not None:
+        open_scope.append(path)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -10,7 +10,7 @@ from seqprep.plans.convert import convert
 from seqprep.plans.item_features import export_item_features
 from seqprep.plans.preprocess import preprocess
 from seqprep.sources import raw, tables
-from seqprep.sources.spool import shared_folder
+from seqprep.sources.spool import shared_folder, spool, spool_scope
 
 LISTING_HEADER = ["anonymized_listing_id", "status", "updated_at", "lat_region", "lon_region", "business_type", "usage_type", "price"]
 EVENT_HEADER = ["anonymized_listing_id", "anonymized_session_id", "collector_timestamp", "event_type"]
@@ -62,7 +62,10 @@ def _run(spark, data, tmp_path, **options):
 @pytest.mark.parametrize("limits", [{}, {"broadcast_rows": 0, "group_rows": 3}], ids=["plain", "skewed"])
 def test_all_jobs(spark, data, tmp_path, limits):
     counts = _run(spark, data, tmp_path, **limits)
-    assert counts == {"rows": 16, "sessions": 5, "items": 4, "catalog_items": 4, "loaded": ["mg", "es_bh"]}
+    assert counts == {
+        "rows": 16, "sessions": 5, "items": 4, "catalog_items": 4, "loaded": ["mg", "es_bh"],
+        "stages": {"listings": 5, "events": 19, "session_events": 16},
+    }
 
     events = spark.read.parquet(f"{tmp_path}/work/events.parquet")
     rows = {
@@ -91,7 +94,7 @@ def test_all_jobs(spark, data, tmp_path, limits):
 
 def test_resume_reloads_only_what_changed(spark, data, tmp_path):
     first = _run(spark, data, tmp_path)
-    assert _run(spark, data, tmp_path) == first | {"loaded": []}
+    assert _run(spark, data, tmp_path) == first | {"loaded": [], "stages": {}}
     extra = _session("s5", ("L1", "ListingRendered"), ("L9", "ListingRendered"), ("L1", "LeadClicked"))
     _write(data / "events/es_bh/b.csv.gz", EVENT_HEADER, extra)
     second = _run(spark, data, tmp_path)
@@ -107,7 +110,7 @@ def test_final_only_and_unfinished_regions(spark, data, tmp_path):
     with pytest.raises(RuntimeError, match=r"\['es_bh'\]"):
         _run(spark, data, tmp_path, final_only=True)
     again = _run(spark, data, tmp_path, regions=["mg"], final_only=True)
-    assert again == done | {"loaded": []}
+    assert again == done | {"loaded": [], "stages": {}}
 
 
 def test_region_order_decides_the_ids(spark, data, tmp_path):
@@ -190,5 +193,14 @@ def test_sorted_sink_keeps_groups_whole(spark, tmp_path):
     assert rows == sorted(rows)
 
 
+def test_jobs_empty_their_spools(spark, data, tmp_path):
+    _run(spark, data, tmp_path)
+    with spool_scope(spark):
+        kept = spool(spark.range(1000), "inside")
+        folder = Path(kept.inputFiles()[0].removeprefix("file:")).parent
+    assert spark.read.parquet(str(folder)).count() == 0
+    assert spool(spark.range(7), "after").count() == 7
+
+
 def test_spools_live_in_the_configured_folder(spark):
     assert shared_folder(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
