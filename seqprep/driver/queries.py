@@ -319,6 +319,10 @@ def split_stats(spark, sf_dir):
     return stats.withColumn("behaviors", F.array_join("behaviors", ","))
 
 
+def _thousandths(value):
+    return F.round(value * 1000).cast("bigint").cast("string")
+
+
 def _joined(sequences):
     """Arrays as text, so that both engines compare the same values."""
     return sequences.select(
@@ -329,12 +333,10 @@ def _joined(sequences):
             F.array_join(F.transform(name, lambda value: value.cast("string")), ",").alias(name)
             for name in ("items", "behaviors", "intensity", "segments")
         ),
-        F.array_join(
-            F.transform("latitudes", lambda value: F.round(value * 1000).cast("bigint").cast("string")), ","
-        ).alias("latitudes"),
-        F.array_join(
-            F.transform("longitudes", lambda value: F.round(value * 1000).cast("bigint").cast("string")), ","
-        ).alias("longitudes"),
+        *(
+            F.array_join(F.transform(name, _thousandths), ",").alias(name)
+            for name in ("latitudes", "longitudes")
+        ),
     )
 
 

@@ -28,4 +28,5 @@ def tile_cell(latitude: Column, longitude: Column, zoom: int) -> Column:
 
     cell = F.lit(zoom << 56).bitwiseOR(F.shiftleft(edge(x), 28)).bitwiseOR(edge(y))
     unusable = lat.isNull() | lon.isNull() | ((lat == 0.0) & (lon == 0.0))
-    return F.when(unusable | (F.abs(lat) > 90.0) | (F.abs(lon) > 180.0), F.lit(0).cast("bigint")).otherwise(cell)
+    outside = (F.abs(lat) > 90.0) | (F.abs(lon) > 180.0)
+    return F.when(unusable | outside, F.lit(0).cast("bigint")).otherwise(cell)

@@ -36,7 +36,7 @@ class CheckFailed(ValueError):
 
 
 def _offenders(name: str, offending: DataFrame, key: str) -> DataFrame:
-    """Count distinct offending keys and show the first few; keys are merged ahead of the shuffle."""
+    """Count the distinct offending keys and show the first few."""
     keys = offending.select(F.col(key).cast("string").alias("key")).distinct()
     counted = keys.agg(F.count("*").alias("violations")).withColumn("examples", _no_examples())
     first = keys.orderBy(F.asc_nulls_first("key")).limit(EXAMPLES)
@@ -64,7 +64,9 @@ def _count(name: str, df: DataFrame, violations: Column) -> DataFrame:
     return _named(name, counted.withColumn("examples", _no_examples()))
 
 
-def unknown_behaviors(events: DataFrame, column: str = "event_type", codes=contract.BEHAVIOR_IDS) -> DataFrame:
+def unknown_behaviors(
+    events: DataFrame, column: str = "event_type", codes: Iterable[str] = contract.BEHAVIOR_IDS
+) -> DataFrame:
     known = F.coalesce(F.col(column).isin(*codes), F.lit(False))
     return _offenders("unknown_behavior", events.filter(~known), column)
 
@@ -91,8 +93,10 @@ def sids_not_in_events(smap: DataFrame, sid_canonical: DataFrame) -> DataFrame:
     return _offenders("sid_not_in_events", smap.join(sid_canonical, "sid", "left_anti"), "sid")
 
 
-def items_not_in_catalog(sid_canonical: DataFrame, items: DataFrame, smap: DataFrame | None = None) -> DataFrame:
-    """Canonical ids of the model's items (all event items without ``smap``) missing in the catalogue."""
+def items_not_in_catalog(
+    sid_canonical: DataFrame, items: DataFrame, smap: DataFrame | None = None
+) -> DataFrame:
+    """Canonical ids of the model's items that the catalogue lacks (all event items without smap)."""
     used = sid_canonical if smap is None else sid_canonical.join(smap, "sid", "left_semi")
     key = "canonical_listing_id"
     return _offenders("item_not_in_catalog", used.join(items, key, "left_anti"), key)

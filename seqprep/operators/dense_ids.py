@@ -30,7 +30,8 @@ def _place(
     )
     earlier = Window.partitionBy(*within).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     shift = F.coalesce(F.sum("keys").over(earlier), F.lit(0)) - F.col("first") + 1
-    return placed, spool(parts.select(*within, "part", "keys", shift.alias("shift")), f"{name}-parts")
+    shifts = parts.select(*within, "part", "keys", shift.alias("shift"))
+    return placed, spool(shifts, f"{name}-parts")
 
 
 def _number(

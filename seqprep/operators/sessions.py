@@ -282,21 +282,18 @@ def build_sessions(
 
     Runs that become neighbours through the support filter stay apart, and support is not checked
     again after the last step. Both filtered tables are stored once, because each is read several
-    times.
+    times, and bucketed by session, so that no later step shuffles by session again.
     """
     if min_item_freq <= 0:
         raise ValueError("min item frequency must be positive")
     session = list(session)
-    runs = spool(
-        session_runs(events, min_length, max_length, session, order, group_rows), "session-runs"
-    )
+    limited = session_runs(events, min_length, max_length, session, order, group_rows)
+    runs = spool(limited, "session-runs", session)
     frequent = filter_rare_items(runs, min_item_freq, within, broadcast_rows, group_rows)
     # Sessions are within max_length by now, so only the minimum can still drop rows.
     lengths = F.count("*").over(Window.partitionBy(*session))
-    kept = spool(
-        frequent.withColumn("length", lengths).filter(F.col("length") >= min_length).drop("length"),
-        "sessions",
-    )
+    kept = frequent.withColumn("length", lengths).filter(F.col("length") >= min_length)
+    kept = spool(kept.drop("length"), "sessions", session)
     return add_session_ids(kept, session, within, broadcast_rows, group_rows)
 
 

@@ -178,7 +178,8 @@ def convert(
                 F.bit_xor("fingerprint").alias("fingerprint"),
             )
         )
-        pending = manifest.pending_regions(spark, f"{out_dir}/{LOADS}", inputs, parameters).collect()
+        changed = manifest.pending_regions(spark, f"{out_dir}/{LOADS}", inputs, parameters)
+        pending = changed.collect()  # one row per region at most
         loaded = [region for region in regions if region in {row["region"] for row in pending}]
         if loaded:
             limits = {"broadcast_rows": broadcast_rows, "group_rows": group_rows}

@@ -80,7 +80,7 @@ def preprocess(
 def load_smap(spark: SparkSession, dataset_dir: str):
     """The item map, after checking that it belongs to the sequences next to it."""
     if not tables.table_exists(spark, f"{dataset_dir}/manifest"):
-        raise FileNotFoundError(f"dataset manifest not found in {dataset_dir}; run preprocess first")
+        raise FileNotFoundError(f"no dataset manifest in {dataset_dir}; run preprocess first")
     content = manifest.read_manifest(spark, f"{dataset_dir}/manifest")
     if content.get("schema") != SCHEMA:
         raise ValueError("unsupported dataset schema")

@@ -8,13 +8,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 
+MAX_BUCKETS = 100_000  # Spark's own limit
+
 _scope: ContextVar[list[str] | None] = ContextVar("spool_scope", default=None)
 
 
@@ -44,16 +46,29 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def spool(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet under the shared folder and return the stored table."""
+def spool(df: DataFrame, name: str, bucket_by: Sequence[str] = ()) -> DataFrame:
+    """Write ``df`` as Parquet under the shared folder and return the stored table.
+
+    With ``bucket_by`` it can be grouped and joined on these columns without another shuffle. Spark
+    keeps bucketing in its catalog, so the table is listed there until it has been opened.
+    """
     spark = df.sparkSession
     application = spark.sparkContext.applicationId
-    path = f"{shared_folder(spark)}/seqprep-{application}/{name}-{uuid.uuid4().hex}"
+    unique = f"{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/seqprep-{application}/{unique}"
     open_scope = _scope.get()
     if open_scope is not None:
         open_scope.append(path)
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if not bucket_by:
+        df.write.mode("errorifexists").parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    table = "spark_catalog.default." + unique.replace("-", "_")
+    buckets = min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_BUCKETS)
+    writer = df.write.format("parquet").bucketBy(buckets, *bucket_by).option("path", path)
+    writer.saveAsTable(table)
+    stored = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")  # the files stay
+    return stored
 
 
 def spool_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:

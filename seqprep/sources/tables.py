@@ -93,7 +93,7 @@ def counted(df: DataFrame, label: str, **metrics: Column) -> tuple[DataFrame, Ob
 
 
 def fingerprint(df: DataFrame) -> DataFrame:
-    """``rows``, ``hash_xor`` and ``hash_sum`` of a table: the same for any row order or file layout.
+    """``rows``, ``hash_xor`` and ``hash_sum`` of a table, the same for any row order or layout.
 
     Columns enter by name, so their order does not matter either.
     """

@@ -3,7 +3,7 @@
 import re
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from seqprep.driver import fixtures as fx, queries
 from seqprep.operators import catalog, dataset, features, sessions
@@ -38,6 +38,17 @@ def test_collapse_and_length_limit_shuffle_and_sort_once(spark, static_plans):
     assert "SinglePartition" not in plan and "Python" not in plan
 
 
+def test_stored_runs_need_no_second_shuffle_by_session(spark, static_plans):
+    runs = spool(fx.click_events(spark, SF_DIR), "runs", ["user_id"])
+    frequent = sessions.filter_rare_items(runs, 2)
+    counted = frequent.withColumn("length", F.count("*").over(Window.partitionBy("user_id")))
+    plan = _plan(counted)
+    assert _count(plan, "Exchange") == 0 and "Bucketed: true" in plan
+    ids = spool(runs.select("user_id").distinct(), "ids")
+    assert _count(_plan(runs.join(ids, ["user_id"])), "Exchange") == 1
+    assert not any("runs" in table.name for table in spark.catalog.listTables())
+
+
 def test_length_limit_cuts_before_the_shuffle(spark, static_plans):
     runs = spool(sessions.collapse_runs(fx.click_events(spark, SF_DIR), order=queries.ORDER), "runs")
     plan = _plan(sessions.filter_sessions_by_length(runs, 3, 50))
