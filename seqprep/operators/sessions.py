@@ -15,6 +15,7 @@ from seqprep.operators.skew import (
     BROADCAST_ROWS,
     GROUP_ROWS,
     HotGroups,
+    Split,
     join_sized,
     join_skewed,
     number_within_groups,
@@ -136,9 +137,11 @@ def collapse_runs(
     runs of a session from 1. Equal order values are settled by item and type.
     """
     session, order = list(session), _run_order(order)
-    cold, hot = split_hot_groups(events, session, group_rows)
-    runs = _collapse(cold, session, order)
-    return runs if hot is None else runs.unionByName(_collapse_hot(hot, session, order))
+    split = split_hot_groups(events, session, group_rows)
+    runs = _collapse(split.cold, session, order)
+    if split.hot is None:
+        return runs
+    return runs.unionByName(_collapse_hot(split.hot, session, order))
 
 
 def _keep_lengths(runs: DataFrame, session: list[str], low: int, high: int) -> DataFrame:
@@ -251,13 +254,24 @@ def session_runs(
 ) -> DataFrame:
     """Run collapse and the first length limit, fused: ordinary sessions shuffle once."""
     check_lengths(min_length, max_length)
-    session, order = list(session), _run_order(order)
-    cold, hot = split_hot_groups(events, session, group_rows)
-    runs = _keep_lengths(_collapse(cold, session, order), session, min_length, max_length)
-    if hot is None:
+    split = split_hot_groups(events, session, group_rows)
+    return _limited_runs(split, min_length, max_length, list(session), order, group_rows)
+
+
+def _limited_runs(
+    split: Split,
+    min_length: int,
+    max_length: int,
+    session: list[str],
+    order: Sequence[str],
+    group_rows: int,
+) -> DataFrame:
+    order = _run_order(order)
+    runs = _keep_lengths(_collapse(split.cold, session, order), session, min_length, max_length)
+    if split.hot is None:
         return runs
     hot_runs = filter_sessions_by_length(
-        _collapse_hot(hot, session, order),
+        _collapse_hot(split.hot, session, order),
         min_length,
         max_length,
         session,
@@ -286,14 +300,16 @@ def build_sessions(
     """
     if min_item_freq <= 0:
         raise ValueError("min item frequency must be positive")
+    check_lengths(min_length, max_length)
     session = list(session)
-    limited = session_runs(events, min_length, max_length, session, order, group_rows)
-    runs = spool(limited, "session-runs", session)
+    split = split_hot_groups(events, session, group_rows)
+    limited = _limited_runs(split, min_length, max_length, session, order, group_rows)
+    runs = spool(limited, "session-runs", session, split.rows)
     frequent = filter_rare_items(runs, min_item_freq, within, broadcast_rows, group_rows)
     # Sessions are within max_length by now, so only the minimum can still drop rows.
     lengths = F.count("*").over(Window.partitionBy(*session))
     kept = frequent.withColumn("length", lengths).filter(F.col("length") >= min_length)
-    kept = spool(kept.drop("length"), "sessions", session)
+    kept = spool(kept.drop("length"), "sessions", session, split.rows)
     return add_session_ids(kept, session, within, broadcast_rows, group_rows)
 
 

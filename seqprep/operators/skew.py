@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window, functions as F
 
 from seqprep.sources.spool import spool, spool_counted
+from seqprep.sources.tables import counted
 
 # A group may be handled inside one task up to this many rows.
 GROUP_ROWS = 1_000_000
@@ -46,22 +47,31 @@ class HotGroups:
     blocks: int
 
 
-def split_hot_groups(
-    df: DataFrame, group: Sequence[str], group_rows: int = GROUP_ROWS
-) -> tuple[DataFrame, HotGroups | None]:
-    """Rows of ordinary groups, and those of groups with more than ``group_rows`` rows, if any."""
+@dataclass(frozen=True)
+class Split:
+    """Rows of ordinary groups, those of oversized groups if any, and about how many in all."""
+
+    cold: DataFrame
+    hot: HotGroups | None
+    rows: int
+
+
+def split_hot_groups(df: DataFrame, group: Sequence[str], group_rows: int = GROUP_ROWS) -> Split:
+    """Tell groups with more than ``group_rows`` rows from the others."""
     group = list(group)
     counts = df.groupBy(*group).agg(F.count("*").alias("rows"))
+    counts, seen = counted(counts, all_rows=F.sum("rows"))
     hot, found = spool_counted(counts.filter(F.col("rows") > group_rows), "hot-groups")
+    all_rows = seen.get.get("all_rows") or 0
     if found == 0:
-        return df, None
+        return Split(df, None, all_rows)
     total = hot.agg(F.sum("rows").alias("rows")).first()["rows"]
     blocks = max(_parallelism(df), -(-total // group_rows))
     # There are at most (all rows / group_rows) such keys; broadcast them if counted as few.
     keys = hot.select(*group)
     keys = F.broadcast(keys) if found <= BROADCAST_ROWS else keys
     cold = df.join(keys, group, "left_anti")
-    return cold, HotGroups(df.join(keys, group, "left_semi"), blocks)
+    return Split(cold, HotGroups(df.join(keys, group, "left_semi"), blocks), all_rows)
 
 
 def ordered_blocks(
@@ -96,14 +106,14 @@ def number_within_groups(
     """Add ``position`` (1..n in ``order``, then by all other columns) and ``group_size``."""
     group = list(group)
     order = [*order, *(name for name in df.columns if name not in {*group, *order})]
-    cold, hot = split_hot_groups(df, group, group_rows)
+    split = split_hot_groups(df, group, group_rows)
     ordered = Window.partitionBy(*group).orderBy(*order)
-    numbered = cold.withColumn("position", F.row_number().over(ordered).cast("bigint")).withColumn(
+    numbered = split.cold.withColumn("position", F.row_number().over(ordered).cast("bigint")).withColumn(
         "group_size", F.count("*").over(Window.partitionBy(*group))
     )
-    if hot is None:
+    if split.hot is None:
         return numbered
-    return numbered.unionByName(_number_hot(hot, group, order).select(numbered.columns))
+    return numbered.unionByName(_number_hot(split.hot, group, order).select(numbered.columns))
 
 
 def _number_hot(hot: HotGroups, group: list[str], order: list[str]) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 
 MAX_BUCKETS = 100_000  # Spark's own limit
+BUCKET_ROWS = 500_000  # a table with fewer rows per shuffle partition gets fewer buckets
 
 _scope: ContextVar[list[str] | None] = ContextVar("spool_scope", default=None)
 
@@ -46,11 +47,15 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def spool(df: DataFrame, name: str, bucket_by: Sequence[str] = ()) -> DataFrame:
+def spool(
+    df: DataFrame, name: str, bucket_by: Sequence[str] = (), rows: int | None = None
+) -> DataFrame:
     """Write ``df`` as Parquet under the shared folder and return the stored table.
 
-    With ``bucket_by`` it can be grouped and joined on these columns without another shuffle. Spark
-    keeps bucketing in its catalog, so the table is listed there until it has been opened.
+    With ``bucket_by`` it can be grouped and joined on these columns without another shuffle. There
+    are as many buckets as shuffle partitions, or fewer if the table has at most ``rows`` rows and
+    that is little. Spark keeps bucketing in its catalog, so the table is listed there until it has
+    been opened.
     """
     spark = df.sparkSession
     application = spark.sparkContext.applicationId
@@ -64,6 +69,8 @@ def spool(df: DataFrame, name: str, bucket_by: Sequence[str] = ()) -> DataFrame:
         return spark.read.schema(df.schema).parquet(path)
     table = "spark_catalog.default." + unique.replace("-", "_")
     buckets = min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_BUCKETS)
+    if rows is not None:
+        buckets = min(buckets, 1 + rows // BUCKET_ROWS)
     writer = df.write.format("parquet").bucketBy(buckets, *bucket_by).option("path", path)
     writer.saveAsTable(table)
     stored = spark.table(table)

@@ -85,7 +85,9 @@ def write_sorted(
     spread.sortWithinPartitions(key, *order).write.mode("overwrite").parquet(path)
 
 
-def counted(df: DataFrame, label: str, **metrics: Column) -> tuple[DataFrame, Observation]:
+def counted(
+    df: DataFrame, label: str | None = None, **metrics: Column
+) -> tuple[DataFrame, Observation]:
     """Count rows (and more) while the frame is written, without a job of its own."""
     observation = Observation(label)
     extra = [column.alias(name) for name, column in metrics.items()]

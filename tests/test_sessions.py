@@ -97,7 +97,9 @@ def test_one_session_with_most_rows_and_many_copies(spark):
 
 def test_hot_sessions_are_spread_over_blocks(spark):
     rows = [("bot", f"i{n % 7}", "x", n) for n in range(5000)]
-    cold, hot = ops.split_hot_groups(_events(spark, rows), ["user_id"], 100)
+    split = ops.split_hot_groups(_events(spark, rows), ["user_id"], 100)
+    cold, hot = split.cold, split.hot
+    assert split.rows == 5000
     assert hot.blocks == 50
     blocks = ops.ordered_blocks(hot.rows, ["user_id"], ["event_ms", "item_id"], hot.blocks, "test")
     sizes = [row["count"] for row in blocks.groupBy("block").count().collect()]
