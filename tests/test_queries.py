@@ -13,8 +13,8 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
-QUERIES = driver.queries()
-ORACLES = driver.oracle_sql()
+QUERIES = {name: query for name, query in driver.queries().items() if name.startswith("q_")}
+ORACLES = {name: sql for name, sql in driver.oracle_sql().items() if name.startswith("q_")}
 
 
 @pytest.fixture(scope="module")
