@@ -54,9 +54,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
             stored.select(F.col("v").alias("a"), F.col("u").alias("b"))
         )
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("u"), F.col("m").alias("v"))
-        large = large.distinct()
-        lowest = large.groupBy("u").agg(F.min("v").alias("m"))
+        # Stored minima meet the edges in a join of its own, which Spark may split by node.
+        large = both.join(spool(least, "edges"), "a").filter("b > a").select(F.col("b").alias("u"), F.col("m").alias("v"))
+        large = spool(large.distinct(), "edges")
+        lowest = spool(large.groupBy("u").agg(F.min("v").alias("m")), "edges")
         small = (
             large.join(lowest, "u")
             .filter("v <> m")

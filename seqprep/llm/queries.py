@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from seqprep.llm import bpe, language_id, mixing, quality, warc
+from seqprep.llm import bloom_lm, bpe, epsilon_join, language_id, mixing, ngram_join, quality, topk, warc
 from seqprep.sources.package import ship_package
 
 
@@ -41,6 +41,10 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return epsilon_join.embedding_links(_table(spark, sf_dir, "embeddings"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = remainder("doc_id", 5) == 0
@@ -57,19 +61,71 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_inner_products(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents"))
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_join(_table(spark, sf_dir, "documents"))
+
+
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = remainder("doc_id", 7) == 2
+    model, rare = bloom_lm.train(docs.filter(~held_out))
+    return bloom_lm.score(docs, model, rare).withColumn("held_out", held_out)
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op3_bpe": op3_bpe,
+    "op4_embedding_dedup": op4_embedding_dedup,
     "op5_quality": op5_quality,
     "op6_warc": op6_warc,
+    "op7_topk": op7_topk,
     "op8_mixing": op8_mixing,
+    "op9_ngram_join": op9_ngram_join,
+    "op10_lm_score": op10_lm_score,
 }
 
 ORACLES: dict[str, str] = {
+    "op4_embedding_dedup": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+            WHERE embedding IS NOT NULL AND len(embedding) > 0
+              AND len([e FOR e IN embedding IF e IS NULL OR NOT isfinite(e)]) = 0
+              AND len([e FOR e IN embedding IF e <> 0]) > 0
+        ), links AS (
+            SELECT a.vec_id AS u, b.vec_id AS v FROM v a JOIN v b
+            ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x) AND list_cosine_similarity(a.x, b.x) >= 0.95
+        ), reach AS (
+            SELECT vec_id AS u, vec_id AS v FROM embeddings
+            UNION
+            SELECT reach.u, links.v FROM reach JOIN links ON reach.v = links.u
+        ), c AS (
+            SELECT u AS vec_id, min(v) AS component_id FROM reach GROUP BY u
+        ), n AS (
+            SELECT u AS vec_id, count(*) AS n_links FROM links GROUP BY u
+        )
+        SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+        FROM c LEFT JOIN n USING (vec_id)
+    """,
+    "op7_topk": """
+        WITH v AS (
+            SELECT vec_id, [floor(256 * CAST(e AS DOUBLE)) FOR e IN embedding] AS x FROM embeddings
+            WHERE embedding IS NOT NULL AND len([e FOR e IN embedding IF e IS NULL OR NOT isfinite(e)]) = 0
+        ), s AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.x, c.x) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+        ), r AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+        )
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+    """,
     "op6_warc": """
         WITH p AS (
             SELECT page_id, encode(coalesce(html, '')) AS b FROM pages
