@@ -107,6 +107,7 @@ class BloomModel:
     hot_counts: np.ndarray
     total: int
     distinct: int
+    prior: float = PRIOR
 
     def counts(self, keys: np.ndarray) -> np.ndarray:
         """Quantised counts: levels are probed upwards until one is missing."""
@@ -133,13 +134,13 @@ class BloomModel:
     def log_probability(self, found: Tokens, kinds: np.ndarray, place: np.ndarray) -> np.ndarray:
         """log10 of each token's smoothed probability after the token before it.
 
-        The pair's count, at most its context's, is topped up with ``PRIOR`` times the one-word probability.
+        The pair's count, at most its context's, is topped up with ``prior`` times the one-word probability.
         """
         single = self.counts(kinds)
         context = single[np.searchsorted(kinds, found.before)]
         both = np.minimum(self.counts(pair_keys(found)), context)
         alone = (single[place] + 1) / (self.total + self.distinct + 1)
-        return np.log10((both + PRIOR * alone) / (context + PRIOR))
+        return np.log10((both + self.prior * alone) / (context + self.prior))
 
 
 def _count_ngrams(texts: DataFrame, shards: int) -> DataFrame:
@@ -232,7 +233,7 @@ def _unpacked(merged: DataFrame, least: int | None, below: int | None) -> DataFr
     return merged.select("words", "counts").mapInArrow(unpack, "key long, count long")
 
 
-def train(docs: DataFrame, text: str = "text") -> tuple[BloomModel, DataFrame]:
+def train(docs: DataFrame, text: str = "text", prior: float = PRIOR) -> tuple[BloomModel, DataFrame]:
     """Count words and pairs of ``docs``; returns the model and (key, count) of the words that it does not hold.
 
     Counts cover all texts: tasks count, counts are packed by shard of the hash, and one task per shard merges
@@ -263,6 +264,7 @@ def train(docs: DataFrame, text: str = "text") -> tuple[BloomModel, DataFrame]:
         hot_counts=hot.column("count").to_numpy()[order],
         total=sums["total"] or 0,
         distinct=sums["distinct"] or 0,
+        prior=prior,
     )
     return model, _unpacked(merged, None, least)
 

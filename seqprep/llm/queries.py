@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from seqprep.llm import bloom_lm, bpe, epsilon_join, language_id, mixing, ngram_join, quality, topk, warc
+from seqprep.llm import bloom_lm, bpe, epsilon_join, html_template, language_id, mixing, ngram_join, quality, topk, warc
 from seqprep.sources.package import ship_package
 
 
@@ -29,6 +29,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), *language_id.columns())
 
 
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_template.extract_main_text(_table(spark, sf_dir, "pages"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     path = public_tokenizers.path("byte_bpe_50k.json")
@@ -82,6 +86,7 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op2_main_text": op2_main_text,
     "op3_bpe": op3_bpe,
     "op4_embedding_dedup": op4_embedding_dedup,
     "op5_quality": op5_quality,
