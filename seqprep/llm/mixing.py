@@ -65,7 +65,7 @@ def mix_sources(
     budget: tuple[int, int] = BUDGET,
     repeats: int = REPEATS,
 ) -> DataFrame:
-    """One row per row of ``docs``: doc_id, size, source, source_size, target, taken.
+    """One row per row of ``docs``: doc_id, size, source, source_size, target, taken, copies.
 
     Every document is taken ``floor(target / source_size)`` times, and once more if its hash is below the
     source's threshold. The threshold comes from nested histograms: sizes summed by source and hash bucket,
@@ -114,6 +114,7 @@ def mix_sources(
         "source_size",
         "target",
         (F.col("size") * copies).alias("taken"),
+        copies.alias("copies"),
     )
 
 
