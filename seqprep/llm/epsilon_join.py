@@ -54,6 +54,8 @@ class IntervalJoin:
         self.reach = 2 - 2 * cosine + SLACK  # squared distance of unit vectors that may be linked
         self.boxes: dict[tuple[int, int, int], tuple[np.ndarray, np.ndarray]] = {}
         self.links = [np.zeros(len(units), np.int64) for units in self.units]
+        if self.own:
+            self.links[1] = self.links[0]
         shift = 0 if self.own else len(self.units[0])
         self.shift = shift
         self.labels = np.arange(len(self.units[0]) + (0 if self.own else len(self.units[1])))
