@@ -233,12 +233,12 @@ def embedding_links(
     right = right.select(
         F.col("a").alias("at"), F.col("strip").alias("along"), F.col("pos").alias("place"), F.col("vector").alias("other")
     )
-    sent = table.sparkSession.sparkContext.broadcast(basis)
+    sent, block = table.sparkSession.sparkContext.broadcast(basis), BLOCK
 
     def join(one: pa.Table, two: pa.Table) -> pa.Table:
         kept = {"pos": [], "links": [], "leader": []}
-        own = _sorted(one.column("pos"), one.column("vector"), width)
-        partners = _sorted(two.column("place"), two.column("other"), width)
+        own = _sorted(one.column("pos"), one.column("vector"), width, block)
+        partners = _sorted(two.column("place"), two.column("other"), width, block)
         number = one.column("a")[0].as_py()
         blocks = partners[2]
         parts = [(own, None)] if (blocks == number).any() else []
@@ -273,14 +273,14 @@ def embedding_links(
 
 
 def _sorted(
-    places: pa.ChunkedArray, vectors: pa.ChunkedArray, width: int
+    places: pa.ChunkedArray, vectors: pa.ChunkedArray, width: int, block: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Vectors, their lengths, blocks and positions, by position."""
     pos = places.to_numpy()
     order = np.argsort(pos)
     vectors = vectors.combine_chunks()
     lengths = np.diff(vectors.offsets.to_numpy())
-    return matrix(vectors, width)[order], lengths[order], pos[order] // BLOCK, pos[order]
+    return matrix(vectors, width)[order], lengths[order], pos[order] // block, pos[order]
 
 
 def _kept(rows: DataFrame) -> DataFrame:
