@@ -390,6 +390,29 @@ SELECT * FROM runs WHERE item_id IN (SELECT item_id FROM runs GROUP BY item_id H
 
 _PRICE = "l_extendedprice::DECIMAL(12,2)::VARCHAR"
 
+LINEITEM_TYPES = {
+    "l_discount": "double",
+    "l_extendedprice": "double",
+    "l_linenumber": "int",
+    "l_linestatus": "string",
+    "l_orderkey": "bigint",
+    "l_partkey": "bigint",
+    "l_quantity": "double",
+    "l_returnflag": "string",
+    "l_shipdate": "timestamp_ntz",
+    "l_suppkey": "bigint",
+    "l_tax": "double",
+}
+_DIGEST = " || ".join(
+    f"'{name}:{kind}:' || coalesce(length({name}::VARCHAR)::VARCHAR || ':' || {name}::VARCHAR, '-') || ';'"
+    for name, kind in LINEITEM_TYPES.items()
+)
+FINGERPRINT = f"""
+WITH d AS (SELECT md5({_DIGEST}) AS digest FROM lineitem)
+SELECT count(*) AS rows, bit_xor(('0x' || substr(digest, 1, 15))::BIGINT) AS hash_xor,
+       sum(('0x' || substr(digest, 18, 15))::BIGINT)::HUGEINT::VARCHAR AS hash_sum
+FROM d"""
+
 ORACLES: dict[str, str] = {
     "q_clean_numeric": f"""
 SELECT l_orderkey, l_linenumber, l_partkey, CASE l_linenumber
@@ -514,6 +537,7 @@ SELECT (SELECT count(*) + 1 FROM model) AS rows, (SELECT count(*) FROM model) AS
        (SELECT count(*) FROM columns)::INTEGER AS max_width,
        0::BIGINT AS not_finite, 0::BIGINT AS padding_not_zero""",
     "q_checks": CHECKS,
+    "q_fingerprint": FINGERPRINT,
     "q_pruned_pairs": """
 SELECT DISTINCT l_partkey AS sid, l_suppkey::VARCHAR AS canonical_listing_id FROM lineitem""",
 }

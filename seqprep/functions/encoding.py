@@ -11,18 +11,43 @@ from seqprep.functions.cleaning import strip
 _SINGLE = r"'[^'\\]*+(?:\\.[^'\\]*+)*+'"
 _DOUBLE = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
 _NUMBER = r"-?(?:0|[1-9][0-9]*+)(?:[.][0-9]++)?+"
-_ATOM = rf"(?:{_SINGLE}|{_DOUBLE}|{_NUMBER}|None|True|False)"
+_TEXT = rf"(?:{_SINGLE}|{_DOUBLE})"
+_ATOM = rf"(?:{_TEXT}(?:\s*+{_TEXT})*+|{_NUMBER}|None|True|False)"
 _MORE = rf"(?:\s*+,\s*+{_ATOM})"
 _LIST = rf"(?s)^\[\s*+(?:{_ATOM}{_MORE}*+\s*+,?+\s*+)?+\]$"
 _TUPLE = rf"(?s)^\(\s*+(?:{_ATOM}(?:{_MORE}++\s*+,?+|\s*+,)\s*+)?+\)$"
+# An escape of a text literal, or what lies between two.
+_PIECE = r"(?s)(\\(?:x[0-9a-fA-F]{2}|u[0-9a-fA-F]{4}|[0-7]{1,3}|.)|[^\\]++)"
+# Single-letter escapes; any other escaped character keeps its backslash.
+_ESCAPES = {"n": "\n", "t": "\t", "r": "\r", "a": "\a", "b": "\b", "f": "\f", "v": "\v", "\n": "", "\\": "\\", "'": "'", '"': '"'}
+
+
+def _unescaped(piece: Column) -> Column:
+    """The text that one escape stands for; other pieces stay as they are."""
+    rest = piece.substr(2, 9)
+    number = F.when(rest.rlike("^[0-7]+$"), F.conv(rest, 8, 16)).otherwise(F.substring(rest, 2, 8))
+    named = F.try_element_at(F.create_map(*[F.lit(part) for pair in _ESCAPES.items() for part in pair]), rest)
+    character = F.decode(F.unhex(F.lpad(number, 4, "0")), "UTF-16BE")
+    return (
+        F.when(~piece.startswith("\\"), piece)
+        .when(rest.rlike("^(?:[0-7]+|x[0-9a-fA-F]{2}|u[0-9a-fA-F]{4})$"), character)
+        .otherwise(F.coalesce(named, piece))
+    )
+
+
+def _quoted_text(token: Column) -> Column:
+    """One text, or adjacent ones joined, without quotes and escapes."""
+    parts = F.regexp_extract_all(token, F.lit(f"(?s)({_TEXT})"), F.lit(1))
+    inner = F.transform(parts, lambda part: part.substr(F.lit(2), F.length(part) - 2))
+    pieces = F.regexp_extract_all(F.array_join(inner, ""), F.lit(_PIECE), F.lit(1))
+    return F.array_join(F.transform(pieces, _unescaped), "")
 
 
 def _element_text(token: Column) -> Column:
     quoted = token.startswith("'") | token.startswith('"')
-    inner = F.regexp_replace(token.substr(F.lit(2), F.length(token) - 2), r"(?s)\\(.)", "$1")
     fraction = token.rlike(r"^-?[0-9]+[.][0-9]+$")
     return (
-        F.when(quoted, inner)
+        F.when(quoted, _quoted_text(token))
         .when(fraction, token.try_cast("double").cast("string"))
         .otherwise(token)
     )

@@ -16,18 +16,18 @@ from seqprep import contract
 EXAMPLES = 5
 
 MESSAGES = {
-    "unknown_behavior": "unknown behaviors",
-    "bad_intensity": "intensity must be finite and non-negative",
-    "smap_not_contiguous": "smap dense ids must be contiguous starting at 1, without repeats",
-    "sid_not_in_events": "smap sids are absent from events",
-    "item_not_in_catalog": "model items are absent from items",
-    "duplicate_canonical": "items have duplicate canonical ids",
-    "null_event_key": "events contain null sid or canonical_listing_id",
-    "sid_conflict": "a sid maps to multiple canonical ids",
-    "empty_region": "regions produced no sessions",
-    "no_rows": "no rows remain",
-    "target_absent": "target behavior is absent from the filtered data",
-    "matrix_invariant": "feature matrix violates finite-value or padding invariants",
+    "unknown_behavior": "event types outside the code table",
+    "bad_intensity": "intensities that are negative or no number",
+    "smap_not_contiguous": "item map ids are not exactly 1 to n",
+    "sid_not_in_events": "mapped items that no event has",
+    "item_not_in_catalog": "event items that the catalogue lacks",
+    "duplicate_canonical": "catalogue ids with several rows",
+    "null_event_key": "events without item keys",
+    "sid_conflict": "item numbers shared by several listings",
+    "empty_region": "regions left without any session",
+    "no_rows": "nothing is left",
+    "target_absent": "no event has the target behaviour",
+    "matrix_invariant": "vectors with odd values, widths or padding",
 }
 
 

@@ -17,6 +17,7 @@ from seqprep.operators.skew import (
     join_skewed,
     number_within_groups,
 )
+from seqprep.sources.schema import expect_columns
 from seqprep.sources.spool import spool
 
 # Sequences longer than this are stored in several rows, numbered by ``chunk``.
@@ -51,7 +52,7 @@ class Dataset:
 
 def item_attributes(items: DataFrame) -> DataFrame:
     """Segment and coordinates per canonical id; ids must be unique (see ``checks``)."""
-    contract.require_columns(items, contract.MODEL_ITEM_COLUMNS, "items")
+    expect_columns(items, contract.MODEL_ITEM_COLUMNS, "items")
     return items.select(
         "canonical_listing_id",
         coordinate_or_zero(F.col("lat_region")).alias("latitude"),
@@ -67,7 +68,7 @@ def model_frame(
     group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """Events with the attributes of their item; an uncatalogued item gets 0.0, 0.0, OTHER."""
-    contract.require_columns(events, contract.SESSION_EVENT_COLUMNS, "events")
+    expect_columns(events, contract.SESSION_EVENT_COLUMNS, "events")
     joined = join_skewed(
         events.withColumnRenamed("event_type", "behavior"),
         item_attributes(items),
@@ -101,11 +102,15 @@ def keep_active_users(
     frame: DataFrame,
     min_user_events: int = contract.MIN_USER_EVENTS,
     group_rows: int = GROUP_ROWS,
+    keyed_like: DataFrame | None = None,
 ) -> DataFrame:
-    """Users with enough rows; adds ``position`` (1..n) and ``group_size``."""
+    """Users with enough rows; adds ``position`` (1..n) and ``group_size``.
+
+    ``keyed_like`` may be the table that ``frame`` was joined from, to count users there.
+    """
     if min_user_events < 2:
         raise ValueError("min user events must be at least 2")
-    numbered = number_within_groups(frame, ["uid"], _session_order(frame), group_rows)
+    numbered = number_within_groups(frame, ["uid"], _session_order(frame), group_rows, keyed_like)
     return numbered.filter(F.col("group_size") >= min_user_events)
 
 
@@ -159,10 +164,10 @@ def split_holdout(dense: DataFrame, target_id: int) -> DataFrame:
 def sequences(rows: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """One row per user, split and chunk with parallel arrays in session order.
 
-    A sequence of up to ``chunk_rows`` events is one row with chunk 0; longer ones continue in the
-    next chunks, so no array outgrows a task.
+    Chunks of a split count from 0. A sequence of up to ``chunk_rows`` events is one row; a longer one continues
+    in the next chunks, so no array outgrows a task. A val row is one event and always chunk 0.
     """
-    chunk = F.floor((F.col("position") - 1) / chunk_rows).cast("int")
+    chunk = F.when(F.col("split") == "val", 0).otherwise(F.floor((F.col("position") - 1) / chunk_rows)).cast("int")
     ordered = F.array_sort(F.collect_list(F.struct("position", *SEQUENCE_ARRAYS)))
     grouped = rows.groupBy(F.col("uid").alias("user"), "split", chunk.alias("chunk")).agg(
         ordered.alias("events")
@@ -214,7 +219,7 @@ def build_dataset(
     if target_behavior not in codes:
         raise ValueError(f"target behavior is unknown: {target_behavior}")
     frame = model_frame(events, items, broadcast_rows, group_rows)
-    kept = spool(keep_active_users(frame, min_user_events, group_rows), "active-users")
+    kept = spool(keep_active_users(frame, min_user_events, group_rows, events.select("uid")), "active-users")
     maps = id_maps(kept)
     dense = densify(kept, maps, codes, broadcast_rows, group_rows)
     rows = split_holdout(dense, codes[target_behavior])

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 
 from seqprep import contract
 from seqprep.functions.cleaning import finite_double, market_segment
+from seqprep.sources.schema import expect_columns
 from seqprep.functions.encoding import hash_bucket, indicator, literal_list, one_of
 from seqprep.operators.dense_ids import dense_ids
 from seqprep.operators.skew import BROADCAST_ROWS, GROUP_ROWS, join_sized, join_skewed
@@ -30,7 +31,7 @@ class ItemFeatures:
 
 
 def catalog_with_segment(items: DataFrame) -> DataFrame:
-    contract.require_columns(items, contract.CATALOG_COLUMNS, "items")
+    expect_columns(items, contract.CATALOG_COLUMNS, "items")
     return items.withColumn(
         "market_segment", market_segment(F.col("business_type"), F.col("usage_type"))
     )

@@ -40,7 +40,7 @@ def session_events(enriched: DataFrame, within: Sequence[str] = ()) -> DataFrame
 
 
 def _new_run(ordered) -> Column:
-    """First row of a session (or block), or item or type differs from the row before."""
+    """First row of a session (or block), or item or type differs from the row before; no type is no change."""
     before = F.lag("item_id").over(ordered)
     kind_changed = F.col("event_type") != F.lag("event_type").over(ordered)
     return (
@@ -50,21 +50,28 @@ def _new_run(ordered) -> Column:
     )
 
 
+def _first_type(order: Column) -> Column:
+    """The first type that is given, in order."""
+    return F.min_by("event_type", F.when(F.col("event_type").isNotNull(), order)).alias("event_type")
+
+
 def _collapse(events: DataFrame, session: list[str], order: list[str]) -> DataFrame:
-    """Runs of sessions that fit one task: one shuffle and one sort for everything."""
+    """Runs of sessions that fit one task: one shuffle for everything."""
     ordered = Window.partitionBy(*session).orderBy(*order)
-    whole = Window.partitionBy(*session)
-    starts = (
-        events.withColumn("new_run", _new_run(ordered))
+    so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (
+        events.withColumn("new_run", _new_run(ordered).cast("bigint"))
+        .withColumn("run_seq", F.sum("new_run").over(so_far))
         .withColumn("row", F.row_number().over(ordered))
-        .withColumn("rows", F.count("*").over(whole))
-        .filter("new_run")
+        .groupBy(*session, "run_seq")
+        .agg(
+            F.min("item_id").alias("item_id"),
+            _first_type(F.col("row")),
+            F.min("timestamp").alias("timestamp"),
+            F.count("*").alias("intensity"),
+        )
+        .select(*session, *RUN_COLUMNS)
     )
-    # From here on only the first row of each run is left, still in order.
-    next_row = F.coalesce(F.lead("row").over(ordered), F.col("rows") + 1)
-    return starts.withColumn("intensity", (next_row - F.col("row")).cast("bigint")).withColumn(
-        "run_seq", F.row_number().over(ordered).cast("bigint")
-    ).select(*session, *RUN_COLUMNS)
 
 
 def _collapse_hot(hot: HotGroups, session: list[str], order: list[str]) -> DataFrame:
@@ -75,27 +82,30 @@ def _collapse_hot(hot: HotGroups, session: list[str], order: list[str]) -> DataF
     blocks = ordered_blocks(weighted, session, order, hot.blocks, "session-blocks")
 
     ordered = Window.partitionBy(*session, "block").orderBy(*order)
-    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        blocks.withColumn("new_run", _new_run(ordered))
-        .withColumn("rows_before", F.coalesce(F.sum("weight").over(before), F.lit(0)))
-        .withColumn("rows", F.sum("weight").over(Window.partitionBy(*session, "block")))
-        .filter("new_run")
+    so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = (
+        blocks.withColumn("new_run", _new_run(ordered).cast("bigint"))
+        .withColumn("local_run", F.sum("new_run").over(so_far))
+        .withColumn("row", F.row_number().over(ordered))
     )
-    following = F.coalesce(F.lead("rows_before").over(ordered), F.col("rows"))
-    pieces = starts.withColumn("weight", following - F.col("rows_before")).withColumn(
-        "local_run", F.row_number().over(ordered)
+    pieces = numbered.groupBy(*session, "block", "local_run").agg(
+        F.min("item_id").alias("item_id"),
+        _first_type(F.col("row")),
+        F.min("timestamp").alias("timestamp"),
+        F.sum("weight").alias("weight"),
     )
 
-    # One summary row per block: where it starts and ends, and how many runs it holds.
+    # One summary row per block: its first and last row, and how many runs it holds.
     edge = F.struct("item_id", "event_type")
-    summary = pieces.groupBy(*session, "block").agg(
-        F.min_by(edge, "local_run").alias("head"),
-        F.max_by(edge, "local_run").alias("tail"),
+    summary = numbered.groupBy(*session, "block").agg(
+        F.min_by(edge, "row").alias("head"),
+        F.max_by(edge, "row").alias("tail"),
         F.max("local_run").alias("runs"),
     )
     by_block = Window.partitionBy(*session).orderBy("block")
-    joined_runs = F.coalesce(F.col("head") == F.lag("tail").over(by_block), F.lit(False))
+    before = F.lag("tail").over(by_block)
+    changed = F.coalesce(F.col("head.event_type") != before["event_type"], F.lit(False))
+    joined_runs = F.coalesce(F.col("head.item_id") == before["item_id"], F.lit(False)) & ~changed
     carried = summary.withColumn("continues", joined_runs.cast("int")).select(
         *session,
         "block",
@@ -113,8 +123,13 @@ def _collapse_hot(hot: HotGroups, session: list[str], order: list[str]) -> DataF
             "run_seq",
             (F.col("runs_before") + F.col("local_run") - F.col("continues")).cast("bigint"),
         )
-        .groupBy(*session, "run_seq", "item_id", "event_type")
-        .agg(F.min("timestamp").alias("timestamp"), F.sum("weight").alias("intensity"))
+        .groupBy(*session, "run_seq")
+        .agg(
+            F.min("item_id").alias("item_id"),
+            _first_type(F.struct("block", "local_run")),
+            F.min("timestamp").alias("timestamp"),
+            F.sum("weight").alias("intensity"),
+        )
         .select(*session, *RUN_COLUMNS)
     )
 
@@ -133,8 +148,9 @@ def collapse_runs(
     """Collapse consecutive events with the same item and type into one row.
 
     Input: the session columns, ``item_id``, ``event_type``, ``timestamp`` and the order columns.
-    The run keeps its first timestamp; ``intensity`` counts its events and ``run_seq`` numbers the
-    runs of a session from 1. Equal order values are settled by item and type.
+    The run keeps its least timestamp and the first type given; ``intensity`` counts its events and
+    ``run_seq`` numbers the runs of a session from 1. A missing type does not end a run. Equal order values
+    are settled by item and type.
     """
     session, order = list(session), _run_order(order)
     split = split_hot_groups(events, session, group_rows)
@@ -164,6 +180,8 @@ def filter_sessions_by_length(
     """Drop sessions under ``min_length``; keep the last ``max_length`` rows of the others."""
     check_lengths(min_length, max_length)
     session = list(session)
+    # Rows that the order leaves open are settled by all other columns, on both ways below.
+    order = [*order, *(name for name in runs.columns if name not in {*session, *order})]
     group_limit = int(runs.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
     if max_length < group_limit:
         # Each task drops all but its last rows per session ahead of the shuffle, so no session
@@ -296,7 +314,7 @@ def build_sessions(
 
     Runs that become neighbours through the support filter stay apart, and support is not checked
     again after the last step. Both filtered tables are stored once, because each is read several
-    times, and bucketed by session, so that no later step shuffles by session again.
+    times.
     """
     if min_item_freq <= 0:
         raise ValueError("min item frequency must be positive")
@@ -304,12 +322,12 @@ def build_sessions(
     session = list(session)
     split = split_hot_groups(events, session, group_rows)
     limited = _limited_runs(split, min_length, max_length, session, order, group_rows)
-    runs = spool(limited, "session-runs", session, split.rows)
+    runs = spool(limited, "session-runs")
     frequent = filter_rare_items(runs, min_item_freq, within, broadcast_rows, group_rows)
     # Sessions are within max_length by now, so only the minimum can still drop rows.
     lengths = F.count("*").over(Window.partitionBy(*session))
     kept = frequent.withColumn("length", lengths).filter(F.col("length") >= min_length)
-    kept = spool(kept.drop("length"), "sessions", session, split.rows)
+    kept = spool(kept.drop("length"), "sessions")
     return add_session_ids(kept, session, within, broadcast_rows, group_rows)
 
 

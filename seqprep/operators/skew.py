@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from seqprep.sources.spool import spool, spool_counted
 from seqprep.sources.tables import counted
@@ -21,8 +22,7 @@ GROUP_ROWS = 1_000_000
 BROADCAST_ROWS = 100_000
 # ... and, for a table of unknown row width, its size as text within this.
 BROADCAST_BYTES = 64 * 1024 * 1024
-# Heaviest keys that a join salts; every further key takes the plain path.
-SALTED_KEYS = 4096
+FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 # Copies of one row that one task writes out in a go.
 COPY_STEP = 65_536
 
@@ -35,8 +35,36 @@ def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     """Whether ``df`` is within the row limit and, counted as text, within the byte limit."""
     if df.count() > rows:
         return False
-    width = F.length(F.to_json(F.struct(*df.columns)))
-    return (df.agg(F.sum(width).alias("width")).first()["width"] or 0) <= BROADCAST_BYTES
+    return _text_bytes(df) <= BROADCAST_BYTES
+
+
+def _text_bytes(df: DataFrame) -> int:
+    width = F.octet_length(F.to_json(F.struct(*df.columns)))
+    return df.agg(F.sum(width).alias("width")).first()["width"] or 0
+
+
+def _fits(side: DataFrame, side_rows: int | None, broadcast_rows: int) -> bool:
+    """Whether a join side may be broadcast; rows that the caller counted are not counted again."""
+    if side_rows is None:
+        return is_small(side, broadcast_rows)
+    if side_rows > broadcast_rows:
+        return False
+    fixed = all(isinstance(field.dataType, FIXED_WIDTH) for field in side.schema.fields)
+    return fixed or _text_bytes(side) <= BROADCAST_BYTES
+
+
+def _heavy(counts: DataFrame, name: str, group_rows: int) -> tuple[DataFrame, int, int]:
+    """Rows of ``counts`` (keys and ``rows``) above a limit, their number, and the sum of all ``rows``.
+
+    The limit is ``group_rows``, or the share of all rows that at most ``BROADCAST_ROWS`` keys can have: so
+    the result may be broadcast however many keys there are, and no key below it holds more than that share.
+    """
+    counts, seen = counted(counts, all_rows=F.sum("rows"))
+    heavy, found = spool_counted(counts.filter(F.col("rows") > group_rows), name)
+    all_rows = seen.get.get("all_rows") or 0
+    if found > BROADCAST_ROWS:
+        heavy = heavy.filter(F.col("rows") > all_rows // BROADCAST_ROWS)
+    return heavy, found, all_rows
 
 
 @dataclass(frozen=True)
@@ -56,20 +84,24 @@ class Split:
     rows: int
 
 
-def split_hot_groups(df: DataFrame, group: Sequence[str], group_rows: int = GROUP_ROWS) -> Split:
-    """Tell groups with more than ``group_rows`` rows from the others."""
+def split_hot_groups(
+    df: DataFrame, group: Sequence[str], group_rows: int = GROUP_ROWS, keyed_like: DataFrame | None = None
+) -> Split:
+    """Tell groups with more than ``group_rows`` rows from the others.
+
+    ``keyed_like`` may be a cheaper table with the same group columns, row for row; ``df`` is then computed
+    once, and stored if it has to be read for both parts.
+    """
     group = list(group)
-    counts = df.groupBy(*group).agg(F.count("*").alias("rows"))
-    counts, seen = counted(counts, all_rows=F.sum("rows"))
-    hot, found = spool_counted(counts.filter(F.col("rows") > group_rows), "hot-groups")
-    all_rows = seen.get.get("all_rows") or 0
+    counts = (df if keyed_like is None else keyed_like).groupBy(*group).agg(F.count("*").alias("rows"))
+    hot, found, all_rows = _heavy(counts, "hot-groups", group_rows)
     if found == 0:
         return Split(df, None, all_rows)
+    if keyed_like is not None:
+        df = spool(df, "hot-input")
     total = hot.agg(F.sum("rows").alias("rows")).first()["rows"]
     blocks = max(_parallelism(df), -(-total // group_rows))
-    # There are at most (all rows / group_rows) such keys; broadcast them if counted as few.
-    keys = hot.select(*group)
-    keys = F.broadcast(keys) if found <= BROADCAST_ROWS else keys
+    keys = F.broadcast(hot.select(*group))
     cold = df.join(keys, group, "left_anti")
     return Split(cold, HotGroups(df.join(keys, group, "left_semi"), blocks), all_rows)
 
@@ -102,11 +134,12 @@ def number_within_groups(
     group: Sequence[str],
     order: Sequence[str],
     group_rows: int = GROUP_ROWS,
+    keyed_like: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``position`` (1..n in ``order``, then by all other columns) and ``group_size``."""
     group = list(group)
     order = [*order, *(name for name in df.columns if name not in {*group, *order})]
-    split = split_hot_groups(df, group, group_rows)
+    split = split_hot_groups(df, group, group_rows, keyed_like)
     ordered = Window.partitionBy(*group).orderBy(*order)
     numbered = split.cold.withColumn("position", F.row_number().over(ordered).cast("bigint")).withColumn(
         "group_size", F.count("*").over(Window.partitionBy(*group))
@@ -146,7 +179,7 @@ def join_sized(
     side_rows: int | None = None,
 ) -> DataFrame:
     """Join whose keys are known to repeat little; ``side`` is broadcast if counted as small."""
-    small = is_small(side, broadcast_rows) if side_rows is None else side_rows <= broadcast_rows
+    small = _fits(side, side_rows, broadcast_rows)
     return big.join(F.broadcast(side) if small else side, list(keys), how)
 
 
@@ -162,35 +195,35 @@ def join_skewed(
 ) -> DataFrame:
     """Join where one key of ``big`` may hold much of it; ``side`` has one row per key.
 
-    A side counted as small (``side_rows``, if the caller knows) is broadcast. Otherwise the
-    heaviest keys of ``big`` are spread over enough salts for ``group_rows`` rows each, and their
-    rows in ``side`` are repeated per salt. ``keyed_like`` may name a stored table with about the
-    same keys, to count them there when ``big`` is costly to compute twice.
+    A side counted as small (``side_rows``, if the caller knows) is broadcast. Otherwise the heavy keys of
+    ``big`` are spread over enough salts for ``group_rows`` rows each, and their rows in ``side`` are repeated
+    per salt. Rows with a NULL key, which a left join keeps, are spread over all tasks. ``keyed_like`` may name
+    a stored table with about the same keys, to count them there when ``big`` is costly to compute twice.
     """
     keys = list(keys)
-    small = is_small(side, broadcast_rows) if side_rows is None else side_rows <= broadcast_rows
-    if small:
+    if _fits(side, side_rows, broadcast_rows):
         return big.join(F.broadcast(side), keys, how)
-    hot = (
+    counts = (
         (big if keyed_like is None else keyed_like)
         .dropna(subset=keys)
         .groupBy(*keys)
         .agg(F.count("*").alias("rows"))
-        .filter(F.col("rows") > group_rows)
-        .orderBy(F.desc("rows"), *keys)
-        .limit(SALTED_KEYS)
-        .select(*keys, F.ceil(F.col("rows") / group_rows).cast("int").alias("salts"))
     )
+    heavy, found, _ = _heavy(counts, "heavy-keys", group_rows)
+    keeps_nulls = how.lower().replace("_", "").startswith("left") and how != "left_semi"
+    if found == 0 and not keeps_nulls:
+        return big.join(side, keys, how)
+    hot = F.broadcast(heavy.select(*keys, F.ceil(F.col("rows") / group_rows).cast("int").alias("salts")))
     # Content plus partition number: stable when a task is run again, and copies of one row that
     # lie in different partitions still get different salts.
-    spread = F.pmod(F.xxhash64(*big.columns, F.spark_partition_id()), F.col("salts"))
+    spread = F.xxhash64(*big.columns, F.spark_partition_id())
+    no_key = reduce(lambda one, two: one | two, [F.col(name).isNull() for name in keys])
+    salt = F.when(no_key, F.pmod(spread, F.lit(_parallelism(big)))).otherwise(F.pmod(spread, F.col("salts")))
     salted = (
-        big.join(F.broadcast(hot), keys, "left")
-        .withColumn("salt", F.coalesce(spread.cast("int"), F.lit(0)))
-        .drop("salts")
+        big.join(hot, keys, "left").withColumn("salt", F.coalesce(salt.cast("int"), F.lit(0))).drop("salts")
     )
     repeated = (
-        side.join(F.broadcast(hot), keys, "left")
+        side.join(hot, keys, "left")
         .withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)))
         .drop("salts")
     )

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from seqprep import contract
@@ -23,48 +26,65 @@ FINAL_EVENTS = "events.parquet"
 FINAL_ITEMS = "items.parquet"
 
 _REGION = ("region",)
+STAGES = ("listings", "events", "sessions")
 
 
 def _stored(
-    spark: SparkSession, path: str, regions: Sequence[str], merge: bool = False
+    spark: SparkSession, path: str, loads: Mapping[str, str], merge: bool = False
 ) -> DataFrame:
-    """The partitions of the given regions."""
-    return tables.read_regions(spark, path, merge).filter(F.col("region").isin(*regions))
+    """Of each region the partition that a load wrote; ``loads`` is region to load.
+
+    A load that wrote nothing for its region has no partition, so older rows never stand in for it.
+    """
+    try:
+        rows = tables.read_regions(spark, path, merge)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise checks.CheckFailed(f"{path} holds no rows of {sorted(loads)}") from error
+        raise
+    by_load: dict[str, list[str]] = {}
+    for region, load in loads.items():
+        by_load.setdefault(load, []).append(region)
+    wanted = [(F.col("load") == load) & F.col("region").isin(*names) for load, names in by_load.items()]
+    return rows.filter(reduce(lambda one, two: one | two, wanted)).drop("load")
 
 
 def load_listings(
     spark: SparkSession,
     data_root: str,
     out_dir: str,
+    load: str,
     regions: Sequence[str],
     resolutions: Sequence[int] = contract.RESOLUTIONS,
-) -> int:
-    """Catalogue, id map and item columns of the given regions; returns the listings kept."""
+) -> dict[str, int]:
+    """Catalogue, id map and item columns of the given regions; returns rows read and kept."""
     scanned = raw.checked_scan(
         spark, data_root, raw.LISTING_FOLDERS, regions, contract.LISTING_COLUMNS, "listings input"
     )
+    scanned, raw_rows = tables.counted(scanned, "raw listings")
     listings = catalog.active_catalog(catalog.clean_listings(scanned), _REGION)
     written, seen = tables.counted(catalog.add_cells(listings, resolutions), LISTINGS)
-    tables.write_regions(written, f"{out_dir}/{LISTINGS}")
-    stored = _stored(spark, f"{out_dir}/{LISTINGS}", regions, merge=True)
-    tables.write_regions(catalog.listing_map(stored, _REGION), f"{out_dir}/{MAPPING}")
-    tables.write_regions(catalog.item_columns(stored, _REGION), f"{out_dir}/{ITEMS}")
-    return seen.get["rows"]
+    tables.write_load(written, f"{out_dir}/{LISTINGS}", load)
+    stored = _stored(spark, f"{out_dir}/{LISTINGS}", dict.fromkeys(regions, load), merge=True)
+    tables.write_load(catalog.listing_map(stored, _REGION), f"{out_dir}/{MAPPING}", load)
+    tables.write_load(catalog.item_columns(stored, _REGION), f"{out_dir}/{ITEMS}", load)
+    return {"raw_listings": raw_rows.get["rows"], "listings": seen.get["rows"]}
 
 
 def load_events(
     spark: SparkSession,
     data_root: str,
     out_dir: str,
-    regions: Sequence[str],
+    load: str,
+    mapping_loads: Mapping[str, str],
     broadcast_rows: int = BROADCAST_ROWS,
     group_rows: int = GROUP_ROWS,
-) -> int:
-    """Accepted events on catalogued listings; returns the events kept."""
+) -> dict[str, int]:
+    """Accepted events on catalogued listings of the regions in ``mapping_loads``; returns rows kept."""
     scanned = raw.checked_scan(
-        spark, data_root, raw.EVENT_FOLDERS, regions, contract.EVENT_COLUMNS, "events input"
+        spark, data_root, raw.EVENT_FOLDERS, list(mapping_loads), contract.EVENT_COLUMNS, "events input"
     )
-    mapping = _stored(spark, f"{out_dir}/{MAPPING}", regions)
+    mapping = _stored(spark, f"{out_dir}/{MAPPING}", mapping_loads)
     if not is_small(mapping, broadcast_rows):
         # The skew-aware join reads its input twice; parse the gzip text only once.
         scanned = spool(scanned.filter(F.col("event_type").isin(*contract.BEHAVIOR_IDS)), "events")
@@ -72,22 +92,23 @@ def load_events(
         scanned, mapping, _REGION, broadcast_rows=broadcast_rows, group_rows=group_rows
     )
     written, seen = tables.counted(enriched, EVENTS)
-    tables.write_regions(written, f"{out_dir}/{EVENTS}")
-    return seen.get["rows"]
+    tables.write_load(written, f"{out_dir}/{EVENTS}", load)
+    return {"events": seen.get["rows"]}
 
 
 def load_sessions(
     spark: SparkSession,
     out_dir: str,
-    regions: Sequence[str],
+    load: str,
+    event_loads: Mapping[str, str],
     min_session_length: int = contract.MIN_SESSION_LENGTH,
     max_session_length: int = contract.MAX_SESSION_LENGTH,
     min_item_freq: int = contract.MIN_ITEM_FREQ,
     broadcast_rows: int = BROADCAST_ROWS,
     group_rows: int = GROUP_ROWS,
-) -> int:
-    """Session events with regional ids; returns the rows written."""
-    enriched = _stored(spark, f"{out_dir}/{EVENTS}", regions)
+) -> dict[str, int]:
+    """Session events with regional ids of the regions in ``event_loads``; returns the rows written."""
+    enriched = _stored(spark, f"{out_dir}/{EVENTS}", event_loads)
     built = sessions.build_sessions(
         sessions.session_events(enriched, _REGION),
         min_session_length,
@@ -99,17 +120,16 @@ def load_sessions(
         group_rows=group_rows,
     )
     written, seen = tables.counted(sessions.model_events(built, _REGION), SESSIONS)
-    tables.write_regions(written, f"{out_dir}/{SESSIONS}")
-    return seen.get["rows"]
+    tables.write_load(written, f"{out_dir}/{SESSIONS}", load)
+    return {"session_events": seen.get["rows"]}
 
 
 def _ordered(
-    spark: SparkSession, path: str, regions: Sequence[str], merge: bool = False
+    spark: SparkSession, path: str, loads: Mapping[str, str], merge: bool = False
 ) -> DataFrame:
     """Stored rows of the regions with their place in the caller's list."""
-    places = {region: place for place, region in enumerate(regions)}
-    stored = _stored(spark, path, regions, merge)
-    return stored.withColumn("region_order", code_of(F.col("region"), places))
+    places = {region: place for place, region in enumerate(loads)}
+    return _stored(spark, path, loads, merge).withColumn("region_order", code_of(F.col("region"), places))
 
 
 def merge(
@@ -118,24 +138,36 @@ def merge(
     regions: Sequence[str],
     output_partitions: int | None = None,
 ) -> dict:
-    """All regions into the final event and item tables."""
-    unfinished = sorted(set(regions) - manifest.finished_regions(spark, f"{out_dir}/{LOADS}"))
+    """All regions into the final event and item tables, each from its last finished load."""
+    recorded = manifest.stage_loads(spark, f"{out_dir}/{LOADS}")
+    finished = {key: entry.load for key, entry in recorded.items() if entry.made_from}
+    unfinished = sorted({r for r in regions for stage in STAGES if (r, stage) not in finished})
     if unfinished:
-        raise RuntimeError(f"regions without complete session/item outputs: {unfinished}")
-    events = _ordered(spark, f"{out_dir}/{SESSIONS}", regions)
+        raise RuntimeError(f"not loaded, or not to the end: {unfinished}")
+    session_loads = {region: finished[region, "sessions"] for region in regions}
+    events = _ordered(spark, f"{out_dir}/{SESSIONS}", session_loads)
     expected = spark.createDataFrame([(region,) for region in regions], "region string")
     checks.enforce([checks.empty_regions(expected, events)])
     merged = regional.merge_regions(events).drop("region", "region_order")
     tables.write_sorted(
         merged, f"{out_dir}/{FINAL_EVENTS}", "uid", ["timestamp", "pos"], output_partitions
     )
-    items = catalog.unique_items(_ordered(spark, f"{out_dir}/{ITEMS}", regions, merge=True))
+    listing_loads = {region: finished[region, "listings"] for region in regions}
+    items = catalog.unique_items(_ordered(spark, f"{out_dir}/{ITEMS}", listing_loads, merge=True))
     items, item_count = tables.counted(items.drop("region", "region_order"), FINAL_ITEMS)
     tables.write_table(items, f"{out_dir}/{FINAL_ITEMS}", force=True)
     stats = regional.merge_stats(tables.read_table(spark, f"{out_dir}/{FINAL_EVENTS}")).first()
     return stats.asDict() | {"catalog_items": item_count.get["rows"]}
 
 
+def _sources(
+    spark: SparkSession, data_root: str, folders: Sequence[str], regions: Sequence[str]
+) -> dict[str, str]:
+    """Number and fingerprint of each region's files."""
+    rows = raw.input_fingerprints(spark, data_root, folders, regions).collect()
+    return {row["region"]: f"{row['files']}-{row['fingerprint']}" for row in rows}
+
+
 def convert(
     spark: SparkSession,
     data_root: str,
@@ -150,54 +182,62 @@ def convert(
     broadcast_rows: int = BROADCAST_ROWS,
     group_rows: int = GROUP_ROWS,
 ) -> dict:
-    """Load the regions whose files or parameters changed, all in one plan, then merge.
+    """Bring every region's stages up to date, then merge.
 
-    Returns the counts of the final tables, the regions that were loaded, and the rows that each
-    stage wrote for them.
+    A stage of a region is made again when its files, its parameters or an earlier stage changed; its entry is
+    withdrawn before and recorded after, and each load has files of its own. So a load that breaks off leaves
+    nothing that a merge would take, and a changed session limit reads no text. Earlier loads stay on disk
+    until removed. Returns the counts of the final tables, the regions that were loaded, and the rows that
+    each stage wrote for them.
     """
     regions = raw.check_regions(regions)
     sessions.check_lengths(min_session_length, max_session_length)
     if min_item_freq <= 0 or (output_partitions is not None and output_partitions <= 0):
         raise ValueError("min item frequency and output partitions must be positive")
-    loaded: list[str] = []
+    loaded: set[str] = set()
     stages: dict[str, int] = {}
     if not final_only:
-        parameters = manifest.parameter_text(
-            min_session_length=min_session_length,
-            max_session_length=max_session_length,
-            min_item_freq=min_item_freq,
-            resolutions=list(resolutions),
-        )
-        listing_files = raw.input_fingerprints(spark, data_root, raw.LISTING_FOLDERS, regions)
-        event_files = raw.input_fingerprints(spark, data_root, raw.EVENT_FOLDERS, regions)
-        inputs = (
-            listing_files.unionByName(event_files)
-            .groupBy("region")
-            .agg(
-                F.sum("files").alias("files"),
-                F.bit_xor("fingerprint").alias("fingerprint"),
+        lengths = {"min_session_length": min_session_length, "max_session_length": max_session_length}
+        limits = {"broadcast_rows": broadcast_rows, "group_rows": group_rows}
+        listing_files = _sources(spark, data_root, raw.LISTING_FOLDERS, regions)
+        event_files = _sources(spark, data_root, raw.EVENT_FOLDERS, regions)
+        made_from: dict[str, dict[str, str]] = {"listings": {}, "events": {}, "sessions": {}}
+        for region in regions:
+            before = manifest.parameter_text(files=listing_files[region], resolutions=list(resolutions))
+            made_from["listings"][region] = before
+            before = manifest.parameter_text(files=event_files[region], listings=before)
+            made_from["events"][region] = before
+            made_from["sessions"][region] = manifest.parameter_text(
+                events=before, min_item_freq=min_item_freq, **lengths
             )
-        )
-        changed = manifest.pending_regions(spark, f"{out_dir}/{LOADS}", inputs, parameters)
-        pending = changed.collect()  # one row per region at most
-        loaded = [region for region in regions if region in {row["region"] for row in pending}]
-        if loaded:
-            limits = {"broadcast_rows": broadcast_rows, "group_rows": group_rows}
+        for place, stage in enumerate(STAGES):
+            recorded = manifest.stage_loads(spark, f"{out_dir}/{LOADS}")
+            current = {region: recorded.get((region, stage)) for region in regions}
+            pending = [
+                region
+                for region, entry in current.items()
+                if entry is None or entry.made_from != made_from[stage][region]
+            ]
+            if not pending:
+                continue
+            load = f"load-{uuid.uuid4().hex}"
+            withdrawn = [
+                manifest.StageLoad(region, later, "", "") for region in pending for later in STAGES[place:]
+            ]
+            manifest.record_stages(spark, f"{out_dir}/{LOADS}", withdrawn)
+            earlier = {r: recorded[r, STAGES[place - 1]].load for r in pending} if place else {}
             with spool_scope(spark):
-                stages = {
-                    "listings": load_listings(spark, data_root, out_dir, loaded, resolutions),
-                    "events": load_events(spark, data_root, out_dir, loaded, **limits),
-                    "session_events": load_sessions(
-                        spark,
-                        out_dir,
-                        loaded,
-                        min_session_length,
-                        max_session_length,
-                        min_item_freq,
-                        **limits,
-                    ),
-                }
-            done = spark.createDataFrame(pending)
-            manifest.record_regions(spark, f"{out_dir}/{LOADS}", done)
+                if stage == "listings":
+                    rows = load_listings(spark, data_root, out_dir, load, pending, resolutions)
+                elif stage == "events":
+                    rows = load_events(spark, data_root, out_dir, load, earlier, **limits)
+                else:
+                    rows = load_sessions(
+                        spark, out_dir, load, earlier, min_item_freq=min_item_freq, **lengths, **limits
+                    )
+            done = [manifest.StageLoad(region, stage, made_from[stage][region], load) for region in pending]
+            manifest.record_stages(spark, f"{out_dir}/{LOADS}", done)
+            loaded |= set(pending)
+            stages |= rows
     counts = merge(spark, out_dir, regions, output_partitions)
-    return counts | {"loaded": loaded, "stages": stages}
+    return counts | {"loaded": [region for region in regions if region in loaded], "stages": stages}

@@ -10,6 +10,7 @@ from seqprep.operators.skew import BROADCAST_ROWS, GROUP_ROWS
 from seqprep.plans.convert import FINAL_EVENTS, FINAL_ITEMS
 from seqprep.plans.preprocess import load_smap
 from seqprep.sources import manifest, tables
+from seqprep.sources.schema import expect_columns
 from seqprep.sources.spool import spool, spool_scope
 
 SCHEMA = "seqprep-item-features-1"
@@ -33,7 +34,7 @@ def export_item_features(
     with spool_scope(spark):
         events = tables.read_table(spark, f"{source_dir}/{FINAL_EVENTS}")
         items = tables.read_table(spark, f"{source_dir}/{FINAL_ITEMS}")
-        contract.require_columns(items, contract.CATALOG_COLUMNS, "items")
+        expect_columns(items, contract.CATALOG_COLUMNS, "items")
         smap = load_smap(spark, dataset_dir)
         pairs = spool(features.sid_to_canonical(events), "sid-canonical")
         checks.enforce(
@@ -61,29 +62,19 @@ def export_item_features(
         checks.enforce([checks.matrix_invariants(stats)])
         shape = stats.first()
         content = {
-            "schema": SCHEMA,
-            "rows": shape["rows"],
-            "num_items": shape["num_items"],
-            "dimensions": result.dimensions,
-            "padding_row": 0,
-            "amenities_top": amenities_top,
-            "coverage": {"catalog_items": shape["rows"] - 1, "missing_catalog_items": 0},
-            "metadata_regime": "catalog_snapshot_transductive",
-            "inputs": {
-                "smap": tables.fingerprint_text(smap),
-                "events": tables.fingerprint_text(events),
-                "items": tables.fingerprint_text(items),
+            "format": SCHEMA,
+            "vectors": shape["rows"],
+            "items": shape["num_items"],
+            "width": result.dimensions,
+            "alignment": "the vector of dense_id n belongs to row n of the item map; dense_id 0 is all zeros",
+            "column_table": "feature_columns",
+            "options": {"amenities_top": amenities_top},
+            "fingerprints": {
+                "item_map": tables.fingerprint_text(smap),
+                "session_events": tables.fingerprint_text(events),
+                "catalogue": tables.fingerprint_text(items),
+                "vectors": tables.fingerprint_text(stored.features),
             },
-            "transforms": {
-                "log1p": contract.LOG_FEATURES,
-                "counts": contract.COUNT_FEATURES,
-                "one_hot": contract.ONE_HOT_FEATURES,
-                "hashed": contract.HASHED_FEATURES,
-                "missing_indicators": True,
-                "fitted_statistics": False,
-                "data_derived_vocabularies": True,
-            },
-            "matrix": tables.fingerprint_text(stored.features),
         }
         manifest.write_manifest(spark, f"{out_dir}/manifest", content, force)
         return content

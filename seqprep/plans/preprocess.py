@@ -10,6 +10,7 @@ from seqprep.operators.dataset import CHUNK_ROWS, build_dataset, sequence_stats
 from seqprep.operators.skew import BROADCAST_ROWS, GROUP_ROWS
 from seqprep.plans.convert import FINAL_EVENTS, FINAL_ITEMS
 from seqprep.sources import manifest, tables
+from seqprep.sources.schema import expect_columns
 from seqprep.sources.spool import spool, spool_scope
 
 SCHEMA = "seqprep-dataset-1"
@@ -35,8 +36,8 @@ def preprocess(
     with spool_scope(spark):
         events = tables.read_table(spark, f"{source_dir}/{FINAL_EVENTS}")
         items = tables.read_table(spark, f"{source_dir}/{FINAL_ITEMS}")
-        contract.require_columns(events, contract.SESSION_EVENT_COLUMNS, "events")
-        contract.require_columns(items, contract.MODEL_ITEM_COLUMNS, "items")
+        expect_columns(events, contract.SESSION_EVENT_COLUMNS, "events")
+        expect_columns(items, contract.MODEL_ITEM_COLUMNS, "items")
         checks.enforce([checks.duplicate_canonicals(items), checks.bad_intensity(events)])
 
         dataset = build_dataset(
@@ -83,13 +84,13 @@ def load_smap(spark: SparkSession, dataset_dir: str):
         raise FileNotFoundError(f"no dataset manifest in {dataset_dir}; run preprocess first")
     content = manifest.read_manifest(spark, f"{dataset_dir}/manifest")
     if content.get("schema") != SCHEMA:
-        raise ValueError("unsupported dataset schema")
+        raise ValueError("the dataset has another format")
     smap = tables.read_table(spark, f"{dataset_dir}/smap")
     sequences = tables.read_table(spark, f"{dataset_dir}/sequences")
     if content["sequences"] != tables.fingerprint_text(sequences):
-        raise ValueError("smap belongs to a different dataset")
+        raise ValueError("the sequences are not those of the manifest")
     if content["smap"] != tables.fingerprint_text(smap):
-        raise ValueError("smap does not match its manifest")
+        raise ValueError("the item map is not that of the manifest")
     if set(smap.columns) != {"sid", "dense_id"}:
-        raise ValueError("smap must contain exactly sid and dense_id")
+        raise ValueError("the item map has columns other than sid and dense_id")
     return smap.select(F.col("sid"), F.col("dense_id"))

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterable
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import SparkSession, functions as F
 
 from seqprep.sources.tables import read_regions, regions_exist
 
@@ -24,26 +26,28 @@ def read_manifest(spark: SparkSession, path: str) -> dict:
     return json.loads(spark.read.text(path, wholetext=True).first()["value"])
 
 
-def pending_regions(
-    spark: SparkSession, path: str, inputs: DataFrame, parameters: str
-) -> DataFrame:
-    """Regions whose files or parameters differ from the last finished load."""
-    wanted = inputs.withColumn("parameters", F.lit(parameters))
-    if not regions_exist(spark, path):
-        return wanted
-    done = read_regions(spark, path)
-    return wanted.join(done, ["region", "files", "fingerprint", "parameters"], "left_anti")
-
+@dataclass(frozen=True)
+class StageLoad:
+    """One stage of one region: what it was made from (empty while it is being made), and its load."""
 
-def finished_regions(spark: SparkSession, path: str) -> set[str]:
-    """Names of all regions loaded so far: one row each."""
-    if not regions_exist(spark, path):
-        return set()
-    return {row["region"] for row in read_regions(spark, path).select("region").collect()}
+    region: str
+    stage: str
+    made_from: str
+    load: str
 
 
-def record_regions(spark: SparkSession, path: str, loaded: DataFrame) -> None:
-    """Note finished regions; each keeps one row. ``loaded`` must not read the manifest itself."""
-    loaded.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        "region"
-    ).parquet(path)
+def stage_loads(spark: SparkSession, path: str) -> dict[tuple[str, str], StageLoad]:
+    """The last entry of every region and stage."""
+    if not regions_exist(spark, path):
+        return {}
+    rows = read_regions(spark, path).collect()  # a row per region and stage
+    loads = [StageLoad(row["region"], row["stage"], row["made_from"], row["load"]) for row in rows]
+    return {(entry.region, entry.stage): entry for entry in loads}
+
+
+def record_stages(spark: SparkSession, path: str, entries: Iterable[StageLoad]) -> None:
+    """Put entries in place of those of the same region and stage."""
+    rows = [(entry.region, entry.stage, entry.made_from, entry.load) for entry in entries]
+    frame = spark.createDataFrame(rows, "region string, stage string, made_from string, load string")
+    writer = frame.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("region", "stage").parquet(path)

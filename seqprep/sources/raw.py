@@ -11,10 +11,12 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from seqprep.contract import require_columns
+from seqprep.sources.schema import expect_columns
 
 LISTING_FOLDERS = ("listings", "listing")
 EVENT_FOLDERS = ("events", "event")
+SPREAD_BYTES = 64 << 20  # a compressed file above this makes the scan deal out its rows
+TASK_BYTES = 16 << 20  # compressed bytes per task then
 
 
 def check_regions(regions: Sequence[str]) -> list[str]:
@@ -75,9 +77,20 @@ def checked_scan(
     required: Sequence[str],
     label: str,
 ) -> DataFrame:
+    """Scan, with the required columns checked; text of large files is dealt out to more tasks.
+
+    One gzip file is one task up to the next shuffle, whatever its size.
+    """
+    regions = list(regions)
     scanned = scan_csv(spark, root, folders, regions)
-    require_columns(scanned, required, label)
-    return scanned
+    expect_columns(scanned, required, label)
+    folder = source_folder(spark, root, folders)
+    files = [_files(spark, region_pattern(root, folder, region)) for region in regions]
+    sizes = reduce(DataFrame.unionByName, files).agg(F.max("length").alias("most"), F.sum("length").alias("all"))
+    size = sizes.first()
+    if size["most"] <= SPREAD_BYTES:
+        return scanned
+    return scanned.repartition(max(2, size["all"] // TASK_BYTES))
 
 
 def input_fingerprints(

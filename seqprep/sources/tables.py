@@ -39,7 +39,7 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 def regions_exist(spark: SparkSession, path: str) -> bool:
     """Whether any region was written to ``path``; Spark leaves no mark on partial overwrites."""
-    return _found(lambda: spark.read.format("binaryFile").load(f"{path}/region=*"))
+    return _found(lambda: spark.read.format("binaryFile").option("basePath", path).load(f"{path}/region=*"))
 
 
 def write_table(
@@ -52,23 +52,19 @@ def write_table(
     writer.parquet(path)
 
 
-def write_regions(df: DataFrame, path: str) -> None:
-    """Replace the regions that ``df`` contains and leave the others as they are."""
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("region")
-        .parquet(path)
-    )
+def write_load(df: DataFrame, path: str, load: str) -> None:
+    """Write rows by region in the folder of a load, next to those of other loads."""
+    df.write.mode("errorifexists").partitionBy("region").parquet(f"{path}/load={load}")
 
 
 def read_regions(spark: SparkSession, path: str, merge: bool = False) -> DataFrame:
-    """A table stored by region; region names stay text even if they look like numbers.
+    """A table stored by region (and load); these names stay text even if they look like numbers.
 
     ``merge`` looks at the files of all regions, for tables whose optional columns differ.
     """
     schema = spark.read.option("mergeSchema", merge).parquet(path).schema
-    schema["region"].dataType = T.StringType()
+    for name in {"region", "load"} & set(schema.names):
+        schema[name].dataType = T.StringType()
     return spark.read.schema(schema).parquet(path)
 
 
@@ -94,17 +90,30 @@ def counted(
     return df.observe(observation, F.count(F.lit(1)).alias("rows"), *extra), observation
 
 
+def row_digest(df: DataFrame) -> Column:
+    """MD5 of a row's columns by name: name, type, and the length and text of the value or a mark for NULL."""
+    parts = []
+    for field in sorted(df.schema.fields, key=lambda field: field.name):
+        text = F.col(f"`{field.name}`").cast("string")
+        value = F.concat_ws(":", F.char_length(text).cast("string"), text)
+        head = f"{field.name}:{field.dataType.simpleString()}:"
+        parts.append(F.concat(F.lit(head), F.when(text.isNull(), F.lit("-")).otherwise(value), F.lit(";")))
+    return F.md5(F.concat(*parts))
+
+
 def fingerprint(df: DataFrame) -> DataFrame:
     """``rows``, ``hash_xor`` and ``hash_sum`` of a table, the same for any row order or layout.
 
-    Columns enter by name, so their order does not matter either.
+    Columns enter by name, so their order does not matter, but their names, types and NULLs do.
     """
-    names = sorted(df.columns)
-    each = F.xxhash64(*names)
-    return df.select(each.alias("hash")).agg(
+    digest = row_digest(df)
+    return df.select(
+        F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint").alias("head"),
+        F.conv(F.substring(digest, 18, 15), 16, 10).cast("decimal(20,0)").alias("tail"),
+    ).agg(
         F.count("*").alias("rows"),
-        F.coalesce(F.bit_xor("hash"), F.lit(0)).alias("hash_xor"),
-        F.coalesce(F.sum(F.col("hash").cast("decimal(38,0)")), F.lit(0)).alias("hash_sum"),
+        F.coalesce(F.bit_xor("head"), F.lit(0).cast("bigint")).alias("hash_xor"),
+        F.coalesce(F.sum("tail"), F.lit(0)).cast("string").alias("hash_sum"),
     )
 
 

@@ -135,6 +135,10 @@ def test_coordinate_or_zero(spark, ansi):
         ("['a', 'b'] trailing", []),
         ("['a'; 'b']", []),
         ("['A', 'A']", ["A", "A"]),
+        (r"['a\nb', 'c\td']", ["A\nB", "C\tD"]),
+        (r"['a\xa0b', '\u00e9', '\101']", ["A\xa0B", "É", "A"]),
+        (r"['\q', 'a\\nb']", [r"\Q", r"A\NB"]),
+        ("['A' 'B', \"C\"'d']", ["AB", "CD"]),
     ],
 )
 def test_literal_list(spark, text, expected):

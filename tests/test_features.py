@@ -1,10 +1,13 @@
 """Item features: vectors of three known items and the job's checks."""
 
+import ast
+import hashlib
 import math
 
 import pytest
 from pyspark.sql import functions as F
 
+from seqprep import contract
 from seqprep.operators import checks, features
 from seqprep.plans.item_features import export_item_features
 from seqprep.plans.preprocess import SCHEMA, load_smap
@@ -12,24 +15,27 @@ from seqprep.sources import manifest, tables
 
 EVENT_SCHEMA = "uid long, sid long, canonical_listing_id string, event_type string, timestamp long, intensity long"
 EVENTS = [
-    (100, 3, "CANON_A", "ListingRendered", 0, 1),
-    (100, 5, "CANON_B", "ListingRendered", 1, 1),
-    (200, 9, "CANON_C", "ListingRendered", 2, 1),
-    (200, 5, "CANON_B", "ListingRendered", 3, 1),
+    (7, 41, "attic-2", "ListingRendered", 50, 2),
+    (7, 12, "house-8", "LeadClicked", 55, 1),
+    (9, 30, "field-5", "ListingRendered", 61, 4),
+    (9, 41, "attic-2", "ListingRendered", 64, 1),
+    (9, 12, "house-8", "ListingRendered", 70, 1),
 ]
+SMAP = [(12, 1), (30, 2), (41, 3)]
 ITEM_SCHEMA = (
     "canonical_listing_id string, listing_id_numeric long, lat_region string, lon_region string, zip_code string,"
     " neighborhood string, usable_areas double, total_areas double, bedrooms int, bathrooms int, suites int,"
     " parking_spaces int, price double, unit_type string, amenities string, business_type string,"
     " usage_type string, h3_res6 long, h3_res7 long"
 )
+# One field is NULL or out of range wherever a missing indicator is to be seen.
 ITEMS = [
-    ("CANON_A", 111, "-20.006", "-43.96", "34007361", "Serrana", 150.0, 150.0, 3, 2, 1, 1, 300000.0,
-     "HOME", "['GARAGE', 'POOL']", "SALE", "RESIDENTIAL", 1, 2),
-    ("CANON_B", 222, "-18.9", "-48.2", "38411475", "Centro", 80.0, 90.0, 2, 1, None, None, 1500.0,
-     "APARTMENT", "['GARAGE']", "RENTAL", "RESIDENTIAL", 3, 4),
-    ("CANON_C", 333, "0", "0", "00000000", "Unknown", None, None, 0, 0, 0, 0, None,
-     "COMMERCIAL_ALLOTMENT_LAND", "[]", "SALE", "COMMERCIAL", 5, 6),
+    ("house-8", 8001, "-27.59", "-48.54", " 88010-400", "Trindade", 210.5, 360.0, 4, 3, 2, 2, 985500.0,
+     "HOME", "['GARDEN', 'GARAGE', 'BARBECUE']", "SALE", "RESIDENTIAL", 71, 72),
+    ("attic-2", 2002, "-25.42", "-49.27", "80420090", "Batel", 46.0, None, 1, 1, 0, None, 2750.0,
+     "PENTHOUSE", "['GARAGE']", "RENTAL", "RESIDENTIAL", 81, None),
+    ("field-5", 5005, None, "nan", None, " ", None, 5000.0, None, 0, 0, 0, None,
+     "RESIDENTIAL_ALLOTMENT_LAND", None, "SALE", "COMMERCIAL", 91, 92),
 ]
 
 
@@ -48,7 +54,7 @@ def _write_dataset(spark, path, smap):
 
 @pytest.fixture
 def source(spark, tmp_path):
-    def write(events=EVENTS, items=ITEMS, smap=((3, 1), (5, 2), (9, 3))):
+    def write(events=EVENTS, items=ITEMS, smap=SMAP):
         tables.write_table(spark.createDataFrame(events, EVENT_SCHEMA), f"{tmp_path}/work/events.parquet", force=True)
         tables.write_table(spark.createDataFrame(items, ITEM_SCHEMA), f"{tmp_path}/work/items.parquet", force=True)
         _write_dataset(spark, f"{tmp_path}/dataset", list(smap))
@@ -68,27 +74,33 @@ def _matrix(spark, tmp_path):
 def test_aligned_matrix(spark, source, tmp_path):
     content = source()()
     names, rows = _matrix(spark, tmp_path)
-    assert sorted(rows) == [0, 1, 2, 3] and content["num_items"] == 3 and content["rows"] == 4
-    assert sorted(names.values()) == list(range(content["dimensions"]))
-    assert {len(row) for row in rows.values()} == {content["dimensions"]}
+    assert sorted(rows) == [0, 1, 2, 3] and content["items"] == 3 and content["vectors"] == 4
+    assert sorted(names.values()) == list(range(content["width"]))
+    assert {len(row) for row in rows.values()} == {content["width"]}
     assert all(math.isfinite(value) for row in rows.values() for value in row)
     assert not any(rows[0])
 
-    def cell(item, name):
-        return rows[item][names[name]]
-
-    assert cell(1, "log1p_price") == pytest.approx(math.log1p(300000.0), rel=1e-6)
-    assert cell(1, "missing_price") == 0.0
-    assert cell(1, "amenity=GARAGE") == cell(1, "amenity=POOL") == 1.0
-    assert cell(1, "market_segment=SALE_RESIDENTIAL") == 1.0
-    assert cell(1, "zip_code_hash_19") == 1.0
-    assert cell(1, "latitude") == pytest.approx(-20.006)
-    assert cell(2, "missing_suites") == cell(2, "missing_parking_spaces") == 1.0
-    assert cell(2, "amenity=POOL") == 0.0
-    for name in ("price", "usable_areas", "latitude", "longitude"):
-        assert cell(3, f"missing_{name}") == 1.0
-    assert cell(3, "market_segment=SALE_COMMERCIAL") == 1.0
-    assert cell(3, "bedrooms") == 0.0 and cell(3, "missing_bedrooms") == 0.0
+    listed = {number: next(row for row in ITEMS if row[0] == name) for number, name in ((1, "house-8"), (2, "field-5"), (3, "attic-2"))}
+    field = {part.split()[0]: place for place, part in enumerate(ITEM_SCHEMA.split(", "))}
+    for number, row in listed.items():
+        for name in contract.LOG_FEATURES:
+            value = row[field[name]]
+            assert rows[number][names[f"log1p_{name}"]] == pytest.approx(math.log1p(value or 0.0), rel=1e-6)
+            assert rows[number][names[f"missing_{name}"]] == float(value is None)
+        for name in contract.COUNT_FEATURES:
+            assert rows[number][names[f"missing_{name}"]] == float(row[field[name]] is None)
+        for name, width in contract.HASHED_FEATURES.items():
+            text = str(row[field[name]]).strip() if row[field[name]] is not None else ""
+            slots = [rows[number][names[f"{name}_hash_{slot}"]] for slot in range(width)]
+            expected = int.from_bytes(hashlib.sha256(text.encode()).digest()[:8], "big") % width
+            assert slots == [float(bool(text) and slot == expected) for slot in range(width)]
+            assert rows[number][names[f"missing_{name}"]] == float(not text)
+        known = set(ast.literal_eval(row[field["amenities"]] or "[]"))
+        assert {name[8:] for name in names if name.startswith("amenity=") and rows[number][names[name]]} == known
+        segment = f"{row[field['business_type']]}_{row[field['usage_type']]}"
+        assert rows[number][names[f"market_segment={segment}"]] == 1.0
+    assert [rows[number][names["missing_latitude"]] for number in (1, 2, 3)] == [0.0, 1.0, 0.0]
+    assert rows[3][names["longitude"]] == pytest.approx(-49.27)
 
 
 def test_block_order_and_vocabulary_order(spark, source, tmp_path):
@@ -97,15 +109,15 @@ def test_block_order_and_vocabulary_order(spark, source, tmp_path):
     ordered = sorted(names, key=names.get)
     assert ordered[:6] == ["log1p_price", "missing_price", "log1p_usable_areas", "missing_usable_areas", "log1p_total_areas", "missing_total_areas"]
     assert ordered[14:20] == ["latitude", "longitude", "missing_latitude", "missing_longitude", "business_type=SALE", "business_type=RENTAL"]
-    assert ordered.index("amenity=GARAGE") < ordered.index("amenity=POOL") < ordered.index("missing_zip_code")
+    assert ordered.index("amenity=GARAGE") < ordered.index("amenity=BARBECUE") < ordered.index("amenity=GARDEN") < ordered.index("missing_zip_code")
     assert ordered[-1] == "h3_res7_hash_63"
-    assert len(ordered) == 214 + 2 + 2 + 3 + 3 + 2
+    assert len(ordered) == 214 + 2 + 2 + 3 + 3 + 3
 
 
 def test_absent_columns_are_missing_everywhere(spark, source):
     events = spark.createDataFrame(EVENTS, EVENT_SCHEMA)
     items = spark.createDataFrame(ITEMS, ITEM_SCHEMA).select("canonical_listing_id", "business_type", "usage_type")
-    smap = spark.createDataFrame([(3, 1), (5, 2), (9, 3)], "sid long, dense_id int")
+    smap = spark.createDataFrame(SMAP, "sid long, dense_id int")
     aligned = features.align_items(smap, features.sid_to_canonical(events), items)
     result = features.feature_matrix(aligned)
     cells = features.long_features(result, F.col("name").startswith("missing_"))
@@ -128,10 +140,10 @@ def test_repeated_item_counts_once_per_dense_id(spark):
     """One listing known under two sids fills two rows and counts twice in the vocabulary."""
     items = spark.createDataFrame(ITEMS, ITEM_SCHEMA)
     smap = spark.createDataFrame([(1, 1), (2, 2), (3, 3)], "sid long, dense_id int")
-    pairs = spark.createDataFrame([(1, "CANON_B"), (2, "CANON_B"), (3, "CANON_A")], "sid long, canonical_listing_id string")
+    pairs = spark.createDataFrame([(1, "attic-2"), (2, "attic-2"), (3, "house-8")], "sid long, canonical_listing_id string")
     aligned = features.align_items(smap, pairs, items)
     ranks = {(r["column"], r["value"]): (r["count"], r["rank"]) for r in features.vocabularies(aligned, ["unit_type"]).collect()}
-    assert ranks == {("unit_type", "APARTMENT"): (2, 1), ("unit_type", "HOME"): (1, 2)}
+    assert ranks == {("unit_type", "PENTHOUSE"): (2, 1), ("unit_type", "HOME"): (1, 2)}
 
 
 def test_no_overwrite_without_force(spark, source):
@@ -139,47 +151,48 @@ def test_no_overwrite_without_force(spark, source):
     first = export()
     with pytest.raises(FileExistsError):
         export()
-    assert export(force=True)["matrix"] == first["matrix"]
+    assert export(force=True)["fingerprints"] == first["fingerprints"]
 
 
 def test_item_missing_from_catalogue(source):
     export = source(items=ITEMS[:2])
-    with pytest.raises(ValueError, match="absent from items.*CANON_C"):
+    with pytest.raises(ValueError, match="catalogue lacks.*field-5"):
         export()
 
 
 def test_duplicate_catalogue_id(source):
     export = source(items=[*ITEMS, ITEMS[0]])
-    with pytest.raises(ValueError, match="duplicate canonical.*CANON_A"):
+    with pytest.raises(ValueError, match="several rows.*house-8"):
         export()
 
 
 def test_sid_with_two_canonical_ids(source):
-    export = source(events=[(1, 3, "CANON_A", "x", 0, 1), (1, 3, "CANON_B", "x", 1, 1)], smap=[(3, 1)])
-    with pytest.raises(ValueError, match="multiple canonical"):
+    export = source(events=[(1, 30, "house-8", "x", 0, 1), (2, 30, "attic-2", "x", 1, 1)], smap=[(30, 1)])
+    with pytest.raises(ValueError, match="several listings"):
         export()
 
 
 def test_smap_sid_missing_from_events(source):
-    export = source(smap=[(3, 1), (5, 2), (77, 3)])
-    with pytest.raises(ValueError, match="absent from events.*77"):
+    export = source(smap=[(12, 1), (30, 2), (500, 3)])
+    with pytest.raises(ValueError, match="no event has.*500"):
         export()
 
 
 def test_null_keys_in_events(source):
-    export = source(events=[*EVENTS, (1, None, "CANON_A", "x", 0, 1)])
-    with pytest.raises(ValueError, match="null sid"):
+    export = source(events=[*EVENTS, (1, None, "house-8", "x", 0, 1)])
+    with pytest.raises(ValueError, match="without item keys"):
         export()
 
 
 @pytest.mark.parametrize(
     "smap,bad",
     [
-        ([(7, 1), (8, 2), (9, 3)], 0),
-        ([(7, 1), (8, 3)], 1),
-        ([(7, 1), (7, 2)], 1),
-        ([(7, 1), (8, 1)], 1),
-        ([(7, 2), (8, 3)], 1),
+        (SMAP, 0),
+        ([(4, 2), (6, 1)], 0),
+        ([(4, 1), (6, 4)], 1),
+        ([(4, 1), (4, 2)], 1),
+        ([(4, 1), (6, 1)], 1),
+        ([(4, 0), (6, 1)], 1),
         ([], 1),
     ],
 )
@@ -187,30 +200,30 @@ def test_smap_must_be_contiguous(spark, smap, bad):
     df = spark.createDataFrame(smap, "sid long, dense_id int")
     assert checks.smap_not_contiguous(df).first()["violations"] == bad
     if bad:
-        with pytest.raises(ValueError, match="contiguous"):
+        with pytest.raises(ValueError, match="1 to n"):
             checks.enforce([checks.smap_not_contiguous(df)])
 
 
 def test_manifest_names_its_inputs(spark, source, tmp_path):
     content = source()()
     events = spark.read.parquet(f"{tmp_path}/work/events.parquet")
-    assert content["inputs"]["events"] == tables.fingerprint_text(events)
-    assert manifest.read_manifest(spark, f"{tmp_path}/out/manifest")["matrix"] == content["matrix"]
+    assert content["fingerprints"]["session_events"] == tables.fingerprint_text(events)
+    assert manifest.read_manifest(spark, f"{tmp_path}/out/manifest")["fingerprints"] == content["fingerprints"]
 
 
 def test_map_of_another_dataset(spark, source, tmp_path):
     export = source()
     changed = spark.createDataFrame([(1, "train", [1, 2, 3])], "user int, split string, items array<int>")
     tables.write_table(changed, f"{tmp_path}/dataset/sequences", force=True)
-    with pytest.raises(ValueError, match="different dataset"):
+    with pytest.raises(ValueError, match="not those of the manifest"):
         export()
 
 
 def test_changed_or_missing_map(spark, source, tmp_path):
     source()
-    smap = spark.createDataFrame([(3, 2), (5, 1), (9, 3)], "sid long, dense_id int")
+    smap = spark.createDataFrame([(12, 2), (30, 1), (41, 3)], "sid long, dense_id int")
     tables.write_table(smap, f"{tmp_path}/dataset/smap", force=True)
-    with pytest.raises(ValueError, match="does not match its manifest"):
+    with pytest.raises(ValueError, match="not that of the manifest"):
         load_smap(spark, f"{tmp_path}/dataset")
     with pytest.raises(FileNotFoundError, match="run preprocess"):
         load_smap(spark, f"{tmp_path}/nothing")
@@ -222,3 +235,14 @@ def test_fingerprint_ignores_layout_but_not_rows(spark):
     assert tables.fingerprint_text(df) == tables.fingerprint_text(same)
     assert tables.fingerprint_text(df) != tables.fingerprint_text(df.union(df.limit(1)))
     assert tables.fingerprint_text(df.limit(0)).startswith("0-")
+
+
+def test_fingerprint_tells_nulls_names_and_types_apart(spark):
+    def text(sql):
+        return tables.fingerprint_text(spark.sql(f"SELECT {sql}"))
+
+    assert text("1 AS a, CAST(NULL AS INT) AS b") != text("CAST(NULL AS INT) AS a, 1 AS b")
+    assert text("1 AS x, 2 AS y") != text("1 AS p, 2 AS q")
+    assert text("1 AS x") != text("1L AS x") != text("'1' AS x")
+    assert text("'a' AS x, 'bc' AS y") != text("'ab' AS x, 'c' AS y")
+    assert text("CAST(NULL AS STRING) AS x") != text("'-' AS x")

@@ -64,7 +64,7 @@ def test_all_jobs(spark, data, tmp_path, limits):
     counts = _run(spark, data, tmp_path, **limits)
     assert counts == {
         "rows": 16, "sessions": 5, "items": 4, "catalog_items": 4, "loaded": ["mg", "es_bh"],
-        "stages": {"listings": 5, "events": 19, "session_events": 16},
+        "stages": {"raw_listings": 7, "listings": 5, "events": 19, "session_events": 16},
     }
 
     events = spark.read.parquet(f"{tmp_path}/work/events.parquet")
@@ -89,7 +89,7 @@ def test_all_jobs(spark, data, tmp_path, limits):
         preprocess(spark, f"{tmp_path}/work", f"{tmp_path}/dataset", 3)
 
     exported = export_item_features(spark, f"{tmp_path}/dataset", f"{tmp_path}/work", f"{tmp_path}/features", **limits)
-    assert exported["num_items"] == 4 and exported["rows"] == 5
+    assert exported["items"] == 4 and exported["vectors"] == 5
 
 
 def test_resume_reloads_only_what_changed(spark, data, tmp_path):
@@ -103,8 +103,48 @@ def test_resume_reloads_only_what_changed(spark, data, tmp_path):
     assert third["loaded"] == ["mg"] and third["sessions"] == 1
 
 
+def test_only_the_stages_that_changed_run_again(spark, data, tmp_path):
+    _run(spark, data, tmp_path)
+    fewer = _run(spark, data, tmp_path, min_item_freq=3)
+    assert fewer["loaded"] == ["mg", "es_bh"] and set(fewer["stages"]) == {"session_events"}
+    _write(data / "events/mg/c.csv.gz", EVENT_HEADER, _session("s9", *[("L1", "LeadClicked"), ("L2", "ListingRendered")] * 3))
+    more = _run(spark, data, tmp_path, min_item_freq=3)
+    assert more["loaded"] == ["mg"] and set(more["stages"]) == {"events", "session_events"}
+
+
+def test_a_region_that_becomes_empty_is_an_error(spark, data, tmp_path):
+    _run(spark, data, tmp_path)
+    with pytest.raises(ValueError, match="no rows of|without any session"):
+        _run(spark, data, tmp_path, min_item_freq=1000)
+    short = [_session("t", ("L9", "LeadClicked"))[0]]
+    _write(data / "events/es_bh/a.csv.gz", EVENT_HEADER, short)
+    with pytest.raises(ValueError, match="without any session.*es_bh"):
+        _run(spark, data, tmp_path)
+
+
+def test_nothing_is_merged_after_a_load_broke_off(spark, data, tmp_path, monkeypatch):
+    _run(spark, data, tmp_path)
+    _write(data / "listings/mg/a.csv.gz", LISTING_HEADER, [_listing("M1"), _listing("M2")])
+
+    def fails(*args, **options):
+        raise OSError("executor lost")
+
+    monkeypatch.setattr("seqprep.plans.convert.load_sessions", fails)
+    with pytest.raises(OSError):
+        _run(spark, data, tmp_path)
+    with pytest.raises(RuntimeError, match=r"not to the end.*\['mg'\]"):
+        _run(spark, data, tmp_path, final_only=True)
+
+
+def test_large_files_are_dealt_out(spark, data, monkeypatch):
+    monkeypatch.setattr(raw, "SPREAD_BYTES", 10)
+    monkeypatch.setattr(raw, "TASK_BYTES", 50)
+    scanned = raw.checked_scan(spark, str(data), raw.EVENT_FOLDERS, ["mg"], EVENT_HEADER, "events input")
+    assert scanned.rdd.getNumPartitions() > 2 and scanned.count() == 15
+
+
 def test_final_only_and_unfinished_regions(spark, data, tmp_path):
-    with pytest.raises(RuntimeError, match=r"without complete.*\['es_bh', 'mg'\]"):
+    with pytest.raises(RuntimeError, match=r"not to the end.*\['es_bh', 'mg'\]"):
         _run(spark, data, tmp_path, final_only=True)
     done = _run(spark, data, tmp_path, regions=["mg"])
     with pytest.raises(RuntimeError, match=r"\['es_bh'\]"):
@@ -124,7 +164,7 @@ def test_region_order_decides_the_ids(spark, data, tmp_path):
 def test_region_without_sessions(spark, data, tmp_path):
     _write(data / "events/none/a.csv.gz", EVENT_HEADER, _session("s", ("L1", "LeadClicked")))
     _write(data / "listings/none/a.csv.gz", LISTING_HEADER, [_listing("L1")])
-    with pytest.raises(ValueError, match="no sessions.*none"):
+    with pytest.raises(ValueError, match="without any session.*none"):
         _run(spark, data, tmp_path, regions=["mg", "none"])
 
 
@@ -147,7 +187,7 @@ def test_bad_inputs(spark, data, tmp_path):
         with pytest.raises(ValueError):
             _run(spark, data, tmp_path, **options)
     _write(data / "events/es_bh/a.csv.gz", EVENT_HEADER[:3], [["a", "s", "1"]])
-    with pytest.raises(ValueError, match=r"events input is missing required columns: \['event_type'\]"):
+    with pytest.raises(ValueError, match="events input: no column event_type"):
         raw.checked_scan(spark, str(data), raw.EVENT_FOLDERS, ["es_bh"], EVENT_HEADER, "events input")
 
 

@@ -258,3 +258,26 @@ def test_numbering_of_copies(spark, monkeypatch):
         found = sorted((r["position"], r["v"], r["group_size"]) for r in numbered.collect())
         expected = ["z"] + ["a"] * 700 + ["b"] * 2
         assert found == [(place, value, 703) for place, value in enumerate(expected, start=1)]
+
+
+@pytest.mark.parametrize("group_rows", [1, 2, 7, 1_000_000])
+def test_one_answer_at_every_size_limit(spark, group_rows):
+    """Times that fall along the order, missing types, and copies of events."""
+    rows = [("s", "A" if n % 11 < 8 else "B", (None, "x", "x", "y")[n % 4], 100 - n, n) for n in range(40)] + [
+        ("s", "A", None, 500, 41), ("t", "A", None, 9, 1), ("t", "A", "z", 5, 2), ("t", "A", "z", 5, 2),
+    ]
+    schema = "user_id string, item_id string, event_type string, timestamp long, place long"
+    events = spark.createDataFrame(rows, schema)
+    expected, before = [], {}
+    for user, item, kind, time, _ in sorted(rows, key=lambda row: (row[0], row[4])):
+        last = before.get(user)
+        run = [r for r in expected if r[0] == user]
+        if last and last[0] == item and not (kind is not None and last[1] is not None and kind != last[1]):
+            run[-1][2] = run[-1][2] if run[-1][2] is not None else kind
+            run[-1][3], run[-1][4] = min(run[-1][3], time), run[-1][4] + 1
+        else:
+            expected.append([user, item, kind, time, 1, len(run) + 1])
+        before[user] = (item, kind)
+    runs = ops.collapse_runs(events, order=["place"], group_rows=group_rows)
+    found = runs.select("user_id", "item_id", "event_type", "timestamp", "intensity", "run_seq").collect()
+    assert sorted(map(list, found), key=str) == sorted(expected, key=str)
