@@ -413,7 +413,26 @@ SELECT count(*) AS rows, bit_xor(('0x' || substr(digest, 1, 15))::BIGINT) AS has
        sum(('0x' || substr(digest, 18, 15))::BIGINT)::HUGEINT::VARCHAR AS hash_sum
 FROM d"""
 
+UNTIMED = f"""WITH {USER_EVENTS.replace("ev AS (SELECT * REPLACE", "long_ev AS (SELECT * REPLACE")}, ev AS (
+  SELECT * REPLACE (-timestamp AS timestamp, CASE WHEN event_id % 3 <> 0 THEN event_type END AS event_type) FROM long_ev
+), {_runs().replace(
+    "min(event_type) AS event_type",
+    "arg_min(event_type, (event_us, event_id)) FILTER (event_type IS NOT NULL) AS event_type",
+)} SELECT * FROM runs"""
+
 ORACLES: dict[str, str] = {
+    "q_item_columns": f"""WITH {ITEMS}
+SELECT canonical_listing_id, lat_region, lon_region, zip_code, neighborhood, usable_areas::DOUBLE AS usable_areas, total_areas::DOUBLE AS total_areas, bedrooms,
+       bathrooms, suites, parking_spaces, price::DOUBLE AS price, unit_type, amenities, business_type, usage_type, h3_res6, h3_res7
+FROM items""",
+    "q_regional_loads": f"""WITH {VERSIONS}
+SELECT region, CASE WHEN active THEN 'ACTIVE' ELSE 'INACTIVE' END AS status, count(*) AS rows
+FROM versions WHERE region <> 'r1' OR active GROUP BY ALL""",
+    "q_sorted_sink": f"""WITH {EVENTS}
+SELECT user_id, count(*) AS rows, count(DISTINCT user_id) AS files, count(*) FILTER (user_id IS NULL) AS late
+FROM ev GROUP BY user_id""",
+    "q_run_collapse_untimed": UNTIMED,
+    "q_run_collapse_untimed_hot": UNTIMED,
     "q_clean_numeric": f"""
 SELECT l_orderkey, l_linenumber, l_partkey, CASE l_linenumber
   WHEN 3 THEN NULL WHEN 4 THEN NULL ELSE {_PRICE}::DOUBLE END AS price

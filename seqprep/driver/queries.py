@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from seqprep import contract
 from seqprep.driver import fixtures as fx
@@ -13,7 +14,7 @@ from seqprep.functions.encoding import code_of
 from seqprep.operators import catalog, checks, dataset, features, regions, sessions, skew
 from seqprep.operators.dense_ids import dense_ids
 from seqprep.sources import tables
-from seqprep.sources.spool import spool
+from seqprep.sources.spool import shared_folder, spool
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -127,6 +128,37 @@ def unique_items(spark, sf_dir):
     return catalog.unique_items(ordered)
 
 
+def item_columns(spark, sf_dir):
+    return catalog.item_columns(fx.catalog_items(spark, sf_dir))
+
+
+def regional_loads(spark, sf_dir):
+    """Two loads of one table; each region is read from its own."""
+    versions = fx.listing_versions(spark, sf_dir)
+    path = f"{shared_folder(spark)}/regional-loads-{uuid.uuid4().hex}"
+    tables.write_load(versions, path, "first")
+    tables.write_load(versions.filter("status = 'ACTIVE'"), path, "second")
+    stored = tables.read_loads(spark, path, {"r0": "first", "r1": "second", "r2": "first"})
+    return stored.groupBy("region", "status").agg(F.count("*").alias("rows"))
+
+
+def sorted_sink(spark, sf_dir):
+    """Per session the files that hold it, and the rows that stand before an earlier one in a file."""
+    path = f"{shared_folder(spark)}/sorted-sink-{uuid.uuid4().hex}"
+    events = fx.click_events(spark, sf_dir).select("user_id", "event_us", "event_id")
+    tables.write_sorted(events, path, "user_id", ["event_us", "event_id"], 7)
+    stored = tables.read_table(spark, path).select(
+        "*", F.input_file_name().alias("file"), F.col("_metadata.row_index").alias("place")
+    )
+    in_file = Window.partitionBy("file").orderBy("place")
+    late = F.struct("user_id", "event_us", "event_id") < F.lag(F.struct("user_id", "event_us", "event_id")).over(in_file)
+    return (
+        stored.withColumn("late", F.coalesce(late, F.lit(False)))
+        .groupBy("user_id")
+        .agg(F.count("*").alias("rows"), F.count_distinct("file").alias("files"), F.count_if("late").alias("late"))
+    )
+
+
 def _part_mapping(spark, sf_dir):
     parts = fx.table(spark, sf_dir, "part")
     return parts.select(
@@ -167,6 +199,23 @@ def run_collapse_hot(spark, sf_dir):
     return sessions.collapse_runs(fx.user_events(spark, sf_dir), order=ORDER, **TIGHT)
 
 
+def _untimed_events(spark, sf_dir):
+    """Long sessions whose times fall along the order, with some types missing."""
+    return (
+        fx.user_events(spark, sf_dir)
+        .withColumn("timestamp", -F.col("timestamp"))
+        .withColumn("event_type", F.when(F.col("event_id") % 3 != 0, F.col("event_type")))
+    )
+
+
+def run_collapse_untimed(spark, sf_dir):
+    return sessions.collapse_runs(_untimed_events(spark, sf_dir), order=ORDER)
+
+
+def run_collapse_untimed_hot(spark, sf_dir):
+    return sessions.collapse_runs(_untimed_events(spark, sf_dir), order=ORDER, **TIGHT)
+
+
 def session_length(spark, sf_dir):
     runs = sessions.collapse_runs(fx.click_events(spark, sf_dir), order=ORDER)
     return sessions.filter_sessions_by_length(runs, 3, 5)
@@ -569,5 +618,10 @@ REGISTRY: dict[str, Query] = {
     "q_feature_stats": feature_stats,
     "q_checks": quality_checks,
     "q_fingerprint": fingerprint,
+    "q_item_columns": item_columns,
+    "q_regional_loads": regional_loads,
+    "q_sorted_sink": sorted_sink,
+    "q_run_collapse_untimed": run_collapse_untimed,
+    "q_run_collapse_untimed_hot": run_collapse_untimed_hot,
     "q_pruned_pairs": pruned_pairs,
 }

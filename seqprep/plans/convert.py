@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -32,21 +31,13 @@ STAGES = ("listings", "events", "sessions")
 def _stored(
     spark: SparkSession, path: str, loads: Mapping[str, str], merge: bool = False
 ) -> DataFrame:
-    """Of each region the partition that a load wrote; ``loads`` is region to load.
-
-    A load that wrote nothing for its region has no partition, so older rows never stand in for it.
-    """
+    """Of each region the partition that its load wrote."""
     try:
-        rows = tables.read_regions(spark, path, merge)
+        return tables.read_loads(spark, path, loads, merge)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise checks.CheckFailed(f"{path} holds no rows of {sorted(loads)}") from error
         raise
-    by_load: dict[str, list[str]] = {}
-    for region, load in loads.items():
-        by_load.setdefault(load, []).append(region)
-    wanted = [(F.col("load") == load) & F.col("region").isin(*names) for load, names in by_load.items()]
-    return rows.filter(reduce(lambda one, two: one | two, wanted)).drop("load")
 
 
 def load_listings(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -68,6 +68,21 @@ def read_regions(spark: SparkSession, path: str, merge: bool = False) -> DataFra
     return spark.read.schema(schema).parquet(path)
 
 
+def read_loads(
+    spark: SparkSession, path: str, loads: Mapping[str, str], merge: bool = False
+) -> DataFrame:
+    """Of each region the partition that one load wrote; ``loads`` is region to load.
+
+    A load that wrote nothing for its region has no partition, so older rows never stand in for it.
+    """
+    by_load: dict[str, list[str]] = {}
+    for region, load in loads.items():
+        by_load.setdefault(load, []).append(region)
+    wanted = [(F.col("load") == load) & F.col("region").isin(*names) for load, names in by_load.items()]
+    rows = read_regions(spark, path, merge)
+    return rows.filter(reduce(lambda one, two: one | two, wanted)).drop("load")
+
+
 def write_sorted(
     df: DataFrame, path: str, key: str, order: Sequence[str], partitions: int | None = None
 ) -> None:
