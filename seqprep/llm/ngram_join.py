@@ -16,12 +16,13 @@ WORDS = 3  # words of a shingle
 PERCENT = 90  # of the union that two sets must share
 COUNTERS = 1 << 20  # hash counters of shingle frequency; they only decide the order, never a result
 COUNTER_BLOCK = 1 << 12
-PAIRED = 32  # sets that share a prefix shingle are paired one by one up to this many, else grouped
+PAIRED = 100  # sets that share a prefix shingle are paired one by one up to this many, else grouped
 HOT_ROWS = 2000  # a prefix shingle with this many rows, and over 1/4096 of all, is grouped without a shuffle
 HOT_SHARE = 4096
 TILE_SETS = 4096  # different sets that one task compares
 TILE_SHINGLES = 4_000_000
-PARITY_WORDS = 8  # 64-bit words of the parity map used by the suffix filter
+CELLS = 64  # of the counts that pairs are filtered with before any texts move
+TILE_CELLS = 512  # of the counts that the comparison of a tile filters with
 
 _U64 = np.uint64
 _LEVEL_SHIFT = _U64(58)
@@ -65,6 +66,21 @@ def _distinct(owners: np.ndarray, values: np.ndarray, rows: int) -> tuple[np.nda
     return owners, values, np.searchsorted(owners, np.arange(rows + 1))
 
 
+def cell_counts(owners: np.ndarray, values: np.ndarray, rows: int, cells: int) -> np.ndarray:
+    """How many members of each set fall on each of ``cells`` cells of the hash.
+
+    Two sets differ in at least as many members as these counts differ, summed over all cells.
+    """
+    place = owners * cells + ((values >> _U64(24)) & _U64(cells - 1)).astype(np.int64)
+    return np.bincount(place, minlength=rows * cells).reshape(rows, cells)
+
+
+def least_difference(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Lower bound on the members that one set has and the other lacks, from counts kept modulo 256."""
+    apart = np.abs(one.astype(np.int16) - two.astype(np.int16))
+    return np.minimum(apart, 256 - apart).sum(1, dtype=np.int64)
+
+
 def _set_keys(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """A 64-bit number per set that does not depend on the order of its members."""
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(values ^ _U64(0xA24BAED4963EE407)))))
@@ -72,7 +88,7 @@ def _set_keys(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def _describe(docs: DataFrame, size: int) -> DataFrame:
-    """Rows of kind 0: (id, set key, set size) per document; of kind 1: a task's counters, block by block."""
+    """Rows of kind 0: (id, set key, set size, cell counts) per document; of kind 1: a task's counters by block."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters = np.zeros(COUNTERS, np.uint32)
@@ -80,7 +96,8 @@ def _describe(docs: DataFrame, size: int) -> DataFrame:
             ids = batch.column("id")
             for chunk in chunks(batch.column("text")):
                 owners, hashes = shingle_sets(chunk, size)
-                _, values, bounds = _distinct(owners, hashes, chunk.size)
+                owners, values, bounds = _distinct(owners, hashes, chunk.size)
+                cells = cell_counts(owners, values, chunk.size, CELLS).astype(np.uint8)
                 counters += np.bincount(_counter(values), minlength=COUNTERS).astype(np.uint32)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -88,7 +105,7 @@ def _describe(docs: DataFrame, size: int) -> DataFrame:
                         ids.slice(chunk.first, chunk.size),
                         pa.array(_set_keys(values, bounds)),
                         pa.array(np.diff(bounds)),
-                        pa.nulls(chunk.size, pa.binary()),
+                        pa.array([row.tobytes() for row in cells], pa.binary()),
                     ],
                     names=["kind", "id", "set_key", "n", "counts"],
                 )
@@ -168,7 +185,7 @@ def _prefixes(docs: DataFrame, levels: np.ndarray, size: int, percent: int) -> D
     return docs.mapInArrow(prefixes, "shingle long, set_key long, n int, pos int")
 
 
-def _candidate_pairs(rows: DataFrame, percent: int) -> DataFrame:
+def _candidate_pairs(rows: DataFrame, cells: DataFrame, percent: int) -> DataFrame:
     """Pairs (u, v) of sets that share a prefix shingle; of shingles that many sets share, a star.
 
     Rows meet by shingle, sorted by size. Up to ``PAIRED`` sets are paired if their sizes allow a link (length
@@ -198,8 +215,34 @@ def _candidate_pairs(rows: DataFrame, percent: int) -> DataFrame:
     n_u, n_v = F.first("n_u"), F.first("n_v")
     after = F.least(n_u - 1 - F.max("pos_u"), n_v - 1 - F.max("pos_v"))
     needed = F.ceil((n_u + n_v) * percent / (100 + percent) - 1e-9)
-    met = met.groupBy("u", "v").agg((F.max("star") | (F.count("*") + after >= needed)).alias("kept"))
-    return met.filter("kept").select("u", "v")
+    met = met.groupBy("u", "v").agg(
+        F.max("star").alias("star"), n_u.alias("n_u"), n_v.alias("n_v"), (F.count("*") + after >= needed).alias("kept")
+    )
+    met = spool(met.filter("star OR kept"), "join-pairs")
+    plain = met.filter("NOT star")
+    for side in ("u", "v"):
+        counts = cells.select(F.col("set_key").alias(side), F.col("counts").alias(f"cells_{side}"))
+        plain = plain.join(counts, side)
+    plain = plain.select("u", "v", "n_u", "n_v", "cells_u", "cells_v").mapInArrow(_near(percent), "u long, v long")
+    return plain.unionByName(met.filter("star").select("u", "v"))
+
+
+def _near(percent: int):
+    """Suffix filter: pairs whose cell counts differ by no more than a link allows."""
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            one, two = (
+                np.frombuffer(b"".join(batch.column(name).to_pylist()), np.uint8).reshape(-1, CELLS)
+                for name in ("cells_u", "cells_v")
+            )
+            n = batch.column("n_u").to_numpy().astype(np.int64), batch.column("n_v").to_numpy().astype(np.int64)
+            allowed = n[0] + n[1] - 2 * least_overlap(*n, percent)
+            yield batch.select(["u", "v"]).filter(pa.array(least_difference(one, two) <= allowed))
+
+    return near
 
 
 def _pair_groups(columns: list[np.ndarray], percent: int, paired: int) -> Iterator[pa.RecordBatch]:
@@ -241,29 +284,17 @@ def _hot_shingles(rows: DataFrame) -> DataFrame:
     return spool(counts.filter(F.col("rows") > limit).select("shingle", "first_key"), "hot-shingles")
 
 
-def _parities(sets: list[np.ndarray]) -> np.ndarray:
-    """One parity map per set: bit b tells whether an odd number of members fall on b.
-
-    The maps of two sets differ in no more bits than the sets have members that the other lacks.
-    """
-    maps = np.zeros((len(sets), PARITY_WORDS), np.uint64)
-    for place, members in enumerate(sets):
-        cells = (members >> _U64(20)) & _U64(64 * PARITY_WORDS - 1)
-        odd = (np.bincount(cells.astype(np.int64), minlength=64 * PARITY_WORDS) & 1).astype(np.uint8)
-        maps[place] = np.packbits(odd, bitorder="little").view(np.uint64)
-    return maps
-
-
 def compare_tile(sets: list[np.ndarray], labels: np.ndarray, minor: np.ndarray | None, percent: int) -> np.ndarray:
     """New labels of the sets: equal for sets that links of this tile connect.
 
     Sets go by size, so a window bounds the partners (length filter); the suffix filter leaves out pairs whose
-    parity maps differ in more bits than a link allows; pairs already connected are not compared again.
+    cell counts differ by more than a link allows; pairs already connected are not compared again.
     With ``minor`` given, only pairs with a minor member are looked at.
     """
     order = np.argsort([len(members) for members in sets], kind="stable")
     sizes = np.array([len(sets[i]) for i in order], dtype=np.int64)
-    maps = _parities([sets[i] for i in order])
+    owners = np.repeat(np.arange(len(order)), sizes)
+    cells = cell_counts(owners, np.concatenate([sets[i] for i in order]), len(order), TILE_CELLS).astype(np.int32)
     _, labels_now = np.unique(labels[order], return_inverse=True)
     small = None if minor is None else minor[order]
     for i in range(len(order)):
@@ -275,8 +306,7 @@ def compare_tile(sets: list[np.ndarray], labels: np.ndarray, minor: np.ndarray |
         if not len(others):
             continue
         needed = least_overlap(sizes[i], sizes[others], percent)
-        apart = np.bitwise_count(maps[others] ^ maps[i]).sum(1, dtype=np.int64)
-        near = apart <= sizes[i] + sizes[others] - 2 * needed
+        near = np.abs(cells[others] - cells[i]).sum(1) <= sizes[i] + sizes[others] - 2 * needed
         own = sets[order[i]]
         for j, least in zip(others[near].tolist(), needed[near].tolist()):
             if labels_now[j] == labels_now[i]:
@@ -430,14 +460,15 @@ def ngram_join(
     docs = docs.select(F.col(identity).cast("long").alias("id"), F.col(text).alias("text"))
     found = spool(_describe(docs, size), "join-sets")
     levels = _frequency_levels(found)
-    described = found.filter("kind = 0").select("id", "set_key", "n")
+    described = found.filter("kind = 0").select("id", "set_key", "n", "counts")
     linkable = described.filter("id IS NOT NULL AND n > 0")
     rows = spool(_prefixes(docs.filter("id IS NOT NULL"), levels, size, percent), "join-prefixes")
     hot = _hot_shingles(rows)
     # At most HOT_SHARE rows of two numbers.
     ordinary = rows.join(F.broadcast(hot.select("shingle")), "shingle", "left_anti")
     stars = rows.join(F.broadcast(hot), "shingle").select(F.col("set_key").alias("u"), F.col("first_key").alias("v"))
-    candidates = _candidate_pairs(ordinary, percent).unionByName(stars)
+    cells = linkable.groupBy("set_key").agg(F.first("counts").alias("counts"))
+    candidates = _candidate_pairs(ordinary, cells, percent).unionByName(stars)
     edges = _links(docs, linkable, candidates, size, percent)
     groups = connected_components(edges)
     placed = spool(
