@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import json
 from array import array
 from collections.abc import Iterator
@@ -10,11 +11,13 @@ from functools import lru_cache
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
-WORD_CACHE = 400_000  # words whose tokens a task remembers before it starts again
-PAIR_CACHE = 1_000_000  # pairs of tokens, likewise
+WORD_CACHE = 200_000  # words of a generation; a task remembers the tokens of two
+PAIR_CACHE = 300_000  # pairs of tokens that a task remembers before it starts again
+SLICE = 1 << 20  # characters or tokens worked on at a time
 
 # The pattern of byte-level tokenizers, white space spelt out as Unicode's White_Space.
 _WS = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -32,20 +35,24 @@ def byte_characters() -> dict[str, int]:
     return {chr(byte): byte for byte in kept} | {chr(256 + place): byte for place, byte in enumerate(others)}
 
 
+def token_bytes(state: dict) -> tuple[dict[int, bytes], dict[str, int]]:
+    """Bytes of every token of a vocabulary file, and the special tokens by name."""
+    as_byte = byte_characters()
+    special = {token["content"]: token["id"] for token in state.get("added_tokens", [])}
+    table = {}
+    for name, number in (state["model"]["vocab"] | special).items():
+        spelt = [as_byte.get(character) for character in name]
+        table[number] = name.encode() if None in spelt else bytes(spelt)
+    return table, special
+
+
 class Vocabulary:
     """Tokens, merges and special tokens of a byte-level BPE file."""
 
     def __init__(self, content: bytes) -> None:
         state = json.loads(content)
         model = state["model"]
-        as_byte = byte_characters()
-        self.bytes: dict[int, bytes] = {}
-        for token, number in model["vocab"].items():
-            if all(c in as_byte for c in token):
-                self.bytes[number] = bytes(as_byte[c] for c in token)
-        self.special = {t["content"]: t["id"] for t in state.get("added_tokens", [])}
-        for token, number in self.special.items():
-            self.bytes[number] = bytes(as_byte[c] for c in token) if all(c in as_byte for c in token) else token.encode()
+        self.bytes, self.special = token_bytes(state)
         merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         ids = model["vocab"]
         self.rank: dict[tuple[int, int], int] = {}
@@ -54,11 +61,13 @@ class Vocabulary:
             pair = ids[left], ids[right]
             self.rank[pair] = rank
             self.parts[ids[left + right]] = (rank, *pair)
+        self._packed = [array("i", [token]).tobytes() for token in range(max(self.bytes) + 1)]
+        self._edges = lru_cache(None)(self._edge)  # two lists a token at most
         ordinary = [t for t in self.bytes if t not in set(self.special.values())]
         usable = [t for t in ordinary if self._stands(t)]
         self.automaton = ahocorasick.Automaton()
         for token in usable:
-            self.automaton.add_word(self.bytes[token].decode("latin-1"), (len(self.bytes[token]), token))
+            self.automaton.add_word(self.bytes[token].decode("latin-1"), token)
         self.automaton.make_automaton()
         self.splitter = (
             regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")")
@@ -66,6 +75,7 @@ class Vocabulary:
             else None
         )
         self._whole = {self.bytes[token].decode("latin-1"): token for token in usable}
+        self._lengths = [len(self.bytes.get(token, b"")) for token in range(max(self.bytes) + 1)]
         self._pairs: dict[int, bool] = {}
 
     def _edge(self, token: int, side: int) -> list[tuple[int, float]]:
@@ -80,7 +90,7 @@ class Vocabulary:
 
     def _first_meeting(self, left: int, right: int) -> tuple[int, int] | None:
         """The pieces that would merge across the border of two tokens, if any do, in order of rank."""
-        before, after = self._edge(left, 2), self._edge(right, 1)
+        before, after = self._edges(left, 2), self._edges(right, 1)
         i = j = 0
         while True:
             (a, a_ends), (b, b_ends) = before[i], after[j]
@@ -103,6 +113,8 @@ class Vocabulary:
 
     def _compatible(self, left: int, right: int) -> bool:
         """Whether the tokens stay apart when their bytes are encoded together; remembered."""
+        if left < 0:
+            return False
         key = left << 32 | right
         known = self._pairs.get(key)
         if known is None:
@@ -111,35 +123,37 @@ class Vocabulary:
             known = self._pairs[key] = self._first_meeting(left, right) is None
         return known
 
-    def encode_piece(self, piece: bytes) -> list[int]:
-        """Tokens of one word.
+    def encode_piece(self, piece: str) -> bytes:
+        """Tokens of one word, packed as 32-bit numbers.
 
         For every prefix, of the tokens that end there (all suffixes of the prefix that the automaton finds)
         the one is kept that can follow the last token of the prefix before it; there is exactly one, and it
         is the last token of the prefix's encoding.
         """
-        text = piece.decode("latin-1")
-        whole = self._whole.get(text)
-        if whole is not None:
-            return [whole]
-        pairs = self._pairs
-        last, begins = [-1] * (len(piece) + 1), [0] * (len(piece) + 1)
-        for end, (length, token) in self.automaton.iter(text):
-            if last[end + 1] < 0:
-                start = end + 1 - length
+        text = piece if piece.isascii() else piece.encode().decode("latin-1")
+        packed = self._packed
+        if text in self._whole:
+            return packed[self._whole[text]]
+        pairs, lengths = self._pairs, self._lengths
+        last = [-1] * (len(text) + 1)
+        end = 0
+        for end, token in self.automaton.iter(text):
+            end += 1
+            if last[end] < 0:
+                start = end - lengths[token]
                 if start:
-                    before = last[start]
-                    known = pairs.get(before << 32 | token)
-                    if known is False or known is None and not self._compatible(before, token):
+                    known = pairs.get(last[start] << 32 | token)
+                    if known is False or known is None and not self._compatible(last[start], token):
                         continue
-                last[end + 1], begins[end + 1] = token, start
-        tokens, at = [], len(piece)
+                last[end] = token
+        found, at = [], len(text)
         while at:
-            if last[at] < 0:
+            token = last[at]
+            if token < 0:
                 raise ValueError(f"the vocabulary cannot encode {piece!r}")
-            tokens.append(last[at])
-            at = begins[at]
-        return tokens[::-1]
+            found.append(packed[token])
+            at -= lengths[token]
+        return b"".join(found[::-1])
 
 
 class Encoder:
@@ -148,34 +162,32 @@ class Encoder:
     def __init__(self, content: bytes) -> None:
         self.vocabulary = Vocabulary(content)
         self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-
-    def _piece(self, piece: str) -> bytes:
-        packed = self.pieces.get(piece)
-        if packed is None:
-            packed = array("i", self.vocabulary.encode_piece(piece.encode())).tobytes()
-            if len(self.pieces) >= WORD_CACHE:
-                self.pieces.clear()
-            if len(piece) <= 64:
-                self.pieces[piece] = packed
-        return packed
+        self.older: dict[str, bytes] = {}
 
     def _word(self, word: str) -> bytes:
-        """Tokens of a stretch of text, packed as 32-bit numbers."""
-        packed = b"".join([self._piece(piece) for piece in _PIECE.findall(word)])
+        """Tokens of a stretch of text that is not among the latest; one used lately is still among the older."""
+        packed = self.older.get(word)
+        if packed is None:
+            letters = word[1:] if word[0] == " " else word
+            pieces = [word] if letters.isalpha() else _PIECE.findall(word)
+            if len(pieces) == 1:
+                packed = self.vocabulary.encode_piece(word)
+            else:
+                words = self.words
+                packed = b"".join([words[p] if p in words else self._word(p) for p in pieces])
         if len(self.words) >= WORD_CACHE:
-            self.words.clear()
+            self.words, self.older = {}, self.words
         if len(word) <= 64:
             self.words[word] = packed
         return packed
 
     def _plain(self, text: str) -> bytes:
-        words = self.words
         if _ODD_BLANK.search(text):
             pieces = _PIECE.findall(text)
         else:
             first, *rest = text.split(" ")
             pieces = [first, *[" " + word for word in rest]] if first else [" " + word for word in rest]
+        words = self.words
         return b"".join([words[w] if w in words else self._word(w) for w in pieces])
 
     def encode(self, text: str) -> bytes:
@@ -191,14 +203,61 @@ class Encoder:
         return b"".join(packed)
 
 
+class Decoder:
+    """The bytes of all tokens in a row, and where each begins."""
+
+    def __init__(self, content: bytes) -> None:
+        table, _ = token_bytes(json.loads(content))
+        names = [table.get(number, b"") for number in range(max(table) + 1)]
+        self.data = np.frombuffer(b"".join(names), np.uint8)
+        self.lengths = np.array([*map(len, names), 0])  # the last stands for unknown tokens
+        self.starts = np.cumsum(self.lengths) - self.lengths
+
+    def decode(self, tokens: np.ndarray, bounds: np.ndarray) -> pa.Array:
+        """The text of tokens[bounds[i]:bounds[i + 1]] for every i."""
+        parts = [pa.array([], pa.string())]
+        for begin, end in _slices(bounds):
+            parts.append(self._slice(tokens[bounds[begin] : bounds[end]], bounds[begin : end + 1] - bounds[begin]))
+        return pa.concat_arrays(parts)
+
+    def _slice(self, tokens: np.ndarray, bounds: np.ndarray) -> pa.Array:
+        unknown = len(self.lengths) - 1
+        tokens = np.where((tokens >= 0) & (tokens < unknown), tokens, unknown)
+        lengths = self.lengths[tokens]
+        ends = np.concatenate(([0], np.cumsum(lengths)))
+        data = self.data[np.arange(ends[-1]) + np.repeat(self.starts[tokens] - ends[:-1], lengths)]
+        limits = ends[bounds]
+        buffers = [None, pa.py_buffer(limits.astype(np.int64)), pa.py_buffer(data)]
+        texts = pa.Array.from_buffers(pa.large_string(), len(limits) - 1, buffers)
+        try:
+            texts.validate(full=True)
+        except pa.ArrowInvalid:  # bytes that are not UTF-8
+            raw = data.tobytes()
+            texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(limits[:-1].tolist(), limits[1:].tolist())]
+            return pa.array(texts, pa.string())
+        return texts.cast(pa.string())
+
+
+def _slices(bounds: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with about ``SLICE`` members each; a longer row is a range of its own."""
+    begin = 0
+    while begin < len(bounds) - 1:
+        end = int(np.searchsorted(bounds, bounds[begin] + SLICE, side="right")) - 1
+        end = max(begin + 1, end)
+        yield begin, end
+        begin = end
+
+
 @lru_cache(2)
 def _encoder(content: bytes) -> Encoder:
-    return Encoder(content)
+    encoder = Encoder(content)
+    gc.freeze()  # the tables stay; collections need not walk them
+    return encoder
 
 
 @lru_cache(2)
-def _byte_table(content: bytes) -> dict[int, bytes]:
-    return Vocabulary(content).bytes
+def _decoder(content: bytes) -> Decoder:
+    return Decoder(content)
 
 
 def read_vocabulary(path: str) -> bytes:
@@ -213,22 +272,44 @@ def _int_lists(packed: list[bytes]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), dtype=np.int32)))
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
+def _encoded(encoder: Encoder, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens of all texts in a row, and where each text's begin."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64)
+    parts, counts = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)]
+    for begin, end in _slices(np.concatenate(([0], np.cumsum(sizes)))):
+        packed = [encoder.encode(text) if text else b"" for text in texts[begin:end].to_pylist()]
+        counts.append(np.array([len(part) // 4 for part in packed], dtype=np.int64))
+        parts.append(np.frombuffer(b"".join(packed), np.int32))
+    return np.concatenate(parts), np.cumsum(np.concatenate(counts))
+
+
+def _lists(tokens: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(tokens))
+
+
+def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
     """Add ``ids`` (array<int>): the tokens of ``text`` by the vocabulary file at ``path``.
 
     As the tokenizers library encodes with add_special_tokens=False: names of special tokens found in the
-    text become these tokens. Null and empty texts give an empty array. The whole text is encoded at any
-    length; a column already called ``ids`` is replaced; an empty table stays empty.
+    text become these tokens. With ``decoded`` a column of that name gets what the tokens decode to, in the same
+    pass. Null and empty texts give an empty array (and empty text). The whole text is encoded at any length;
+    columns already called like the new ones are replaced; an empty table stays empty.
     """
     content = docs.sparkSession.sparkContext.broadcast(read_vocabulary(path))
+    back = decoded is not None
 
-    @F.arrow_udf(T.ArrayType(T.IntegerType()))
-    def tokens(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    @F.arrow_udf("ids array<int>, decoded string")
+    def tokens(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = _encoder(content.value)
-        for batch in texts:
-            yield _int_lists([encoder.encode(value) if value else b"" for value in batch.to_pylist()])
+        for texts in batches:
+            numbers, bounds = _encoded(encoder, texts)
+            plain = _decoder(content.value).decode(numbers, bounds) if back else pa.nulls(len(texts), pa.string())
+            yield pa.StructArray.from_arrays([_lists(numbers, bounds), plain], names=["ids", "decoded"])
 
-    return docs.withColumn(ids, tokens(F.col(text)))
+    found = docs.withColumn(ids, tokens(F.col(text)))
+    if back:
+        found = found.withColumn(decoded, F.col(f"{ids}.decoded"))
+    return found.withColumn(ids, F.col(f"{ids}.ids"))
 
 
 def decode(docs: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -240,20 +321,11 @@ def decode(docs: DataFrame, path: str, ids: str = "ids", text: str = "decoded")
 
     @F.arrow_udf(T.StringType())
     def texts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        table = _byte_table(content.value)
-        names = [table.get(number, b"") for number in range(max(table) + 1)]
+        decoder = _decoder(content.value)
         for batch in batches:
-            offsets, numbers = batch.offsets.to_numpy(), batch.values
-            clean = numbers.fill_null(-1).to_numpy()
-            known = (clean >= 0) & (clean < len(names))
-            parts = [names[n] if ok else b"" for n, ok in zip(clean.tolist(), known.tolist())]
-            missing = batch.is_null().to_pylist()
-            yield pa.array(
-                [
-                    None if gone else b"".join(parts[a:b]).decode("utf-8", "replace")
-                    for a, b, gone in zip(offsets[:-1].tolist(), offsets[1:].tolist(), missing)
-                ],
-                pa.string(),
-            )
+            offsets = batch.offsets.to_numpy().astype(np.int64)
+            numbers = batch.values.fill_null(-1).to_numpy()[offsets[0] : offsets[-1]]
+            plain = decoder.decode(numbers, offsets - offsets[0])
+            yield pc.if_else(batch.is_valid(), plain, pa.scalar(None, pa.string()))
 
     return docs.withColumn(text, texts(F.col(ids)))

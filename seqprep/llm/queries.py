@@ -36,8 +36,7 @@ def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     path = public_tokenizers.path("byte_bpe_50k.json")
-    decoded = bpe.decode(bpe.encode(docs, path).select("doc_id", "ids"), path)
-    return decoded.select(
+    return bpe.encode(docs, path, decoded="decoded").select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
@@ -70,7 +69,7 @@ def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix_sources(_table(spark, sf_dir, "documents"))
+    return mixing.mix_sources(_table(spark, sf_dir, "documents")).drop("copies")
 
 
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
