@@ -17,6 +17,7 @@ REVISIT_BYTES = 100  # payloads below this many bytes are always written in full
 ARCHIVE_BYTES = 1 << 30  # a task begins another archive after this many bytes
 GAP_BYTES = 64 << 10  # unselected bytes that a read may pass over
 READ_BYTES = 8 << 20  # most bytes of one read, unless a single record is longer
+TASK_BYTES = 16 << 20  # of records read by a task, about
 RECORD_DATE = "2000-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -189,7 +190,9 @@ def read_archives(index: DataFrame, folder: str) -> DataFrame:
             source.close()
 
     ranges = index.select("file", "offset", "length")
-    ranges = ranges.repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    # Index rows are small whatever they point to, so tasks are counted by the bytes to be read.
+    size = ranges.agg(F.sum("length")).first()[0] or 0
+    ranges = ranges.repartitionByRange(1 + size // TASK_BYTES, "file", "offset").sortWithinPartitions("file", "offset")
     return ranges.mapInArrow(read, RECORD_SCHEMA)
 
 
