@@ -521,7 +521,7 @@ SELECT count(DISTINCT uid) AS sessions, count(DISTINCT sid) AS items, count(*) A
          AS behaviors
 FROM dense""",
     "q_sequences": _sequences("0"),
-    "q_sequences_chunked": _sequences("((position - 1) // 2)::INTEGER"),
+    "q_sequences_chunked": _sequences("(CASE WHEN split = 'val' THEN 0 ELSE (position - 1) // 2 END)::INTEGER"),
     "q_list_parse": f"""WITH {ITEMS}, {PARSED}
 SELECT canonical_listing_id, array_to_string(amenities, '|') AS amenities FROM parsed""",
     "q_vocabulary": f"""WITH {ITEMS} {_union([
