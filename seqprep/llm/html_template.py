@@ -10,6 +10,9 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from seqprep.operators.skew import join_skewed
+from seqprep.sources.spool import spool
+
 GROUP_PAGES = 64  # pages of a host that one template is deduced from, about
 MIN_PAGES = 8  # different pages that a template takes
 SUPPORT = 0.9  # of a group's different pages that a template token is on
@@ -271,9 +274,11 @@ def extract_main_text(pages: DataFrame, identity: str = "page_id", url: str = "u
         F.col(identity).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"), host.alias("host")
     )
     parts = rows.groupBy("host").agg(F.ceil(F.count("*") / GROUP_PAGES).alias("parts"))
-    # One row per host; Spark broadcasts it only if its size allows.
-    grouped = rows.join(parts, "host").withColumn("part", F.pmod(F.xxhash64("page_id", "html"), F.col("parts")))
-    grouped = grouped.select("page_id", "url", "html", "host", "part")
+    # One row per host, broadcast if counted as small; else pages of large hosts are salted. Either way pages are
+    # dealt out by host and part, never by host alone.
+    grouped = join_skewed(rows, spool(parts, "hosts"), ["host"])
+    grouped = grouped.withColumn("part", F.pmod(F.xxhash64("page_id", "html"), F.col("parts")))
+    grouped = grouped.select("page_id", "url", "html", "host", "part").repartition("host", "part")
 
     def extract(group: pa.Table) -> pa.Table:
         parsed = [parse(source or "") for source in group.column("html").to_pylist()]
