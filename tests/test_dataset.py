@@ -93,3 +93,10 @@ def test_unknown_behavior_and_missing_target(spark):
 def test_intensity_check(spark, value, bad):
     df = spark.createDataFrame([(value,)], "intensity string").select(F.col("intensity").try_cast("double"))
     assert checks.bad_intensity(df).first()["violations"] == bad
+
+
+def test_val_is_chunk_zero_at_any_chunk_size(spark, items):
+    rows = [(1, n % 3, "A", "LeadClicked" if n == 9 else "ListingRendered", n, n) for n in range(1, 10)]
+    built = dataset.build_dataset(_events(spark, rows), items, 3, chunk_rows=4)
+    found = {(r["split"], r["chunk"]): len(r["items"]) for r in built.sequences.collect()}
+    assert found == {("train", 0): 4, ("train", 1): 4, ("val", 0): 1}
