@@ -79,8 +79,8 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = remainder("doc_id", 7) == 2
-    model, rare = bloom_lm.train(docs.filter(~held_out))
-    return bloom_lm.score(docs, model, rare).withColumn("held_out", held_out)
+    model, shards = bloom_lm.train(docs.filter(~held_out))
+    return bloom_lm.score(docs, model, shards).withColumn("held_out", held_out)
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
