@@ -7,7 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from seqprep.llm import bloom_lm, bpe, epsilon_join, html_template, language_id, mixing, ngram_join, quality, topk, warc
+from seqprep.llm import (
+    bloom_lm,
+    bpe,
+    collocations,
+    epsilon_join,
+    html_template,
+    language_id,
+    mixing,
+    ngram_join,
+    ptolemaic,
+    quality,
+    topk,
+    url_filter,
+    warc,
+)
 from seqprep.sources.package import ship_package
 
 
@@ -83,6 +97,23 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bloom_lm.score(docs, model, shards).withColumn("held_out", held_out)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """URLs that a rule decides are the labelled ones; the trees judge the others."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    ruled = url_filter.with_rules(pages).filter("ruled IS NOT NULL")
+    model = url_filter.train(ruled.withColumn("label", (F.col("ruled") == url_filter.BLOCK).cast("int")))
+    judged = url_filter.judge(pages, model)
+    return judged.select("page_id", "host", "path", "rule", "verdict", F.col("score").alias("block_score"))
+
+
+def op13_ptolemaic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ptolemaic.cluster_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_main_text": op2_main_text,
@@ -94,8 +125,34 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_ngram_join": op9_ngram_join,
     "op10_lm_score": op10_lm_score,
+    "op11_collocations": op11_collocations,
+    "op12_url_filter": op12_url_filter,
+    "op13_ptolemaic": op13_ptolemaic,
 }
 
+
+def _cluster_rounds(rounds: int) -> str:
+    """The assignments a0, a1, ... and centroids c1, c2, ... of all rounds, as common table expressions."""
+    assign = """
+        a{i} AS MATERIALIZED (
+            SELECT r, vec_id, x, min({{'d': d, 'c': c}}) AS best
+            FROM (SELECT v.*, c, list_sum([(z[1] - z[2]) * (z[1] - z[2]) FOR z IN list_zip(v.x, c{i}.x)]) AS d FROM v, c{i})
+            GROUP BY r, vec_id, x
+        )"""
+    move = """
+        c{n} AS MATERIALIZED (
+            SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY p) AS x
+            FROM (SELECT best.c AS c, p, sum(x[p]) AS s, count(*) AS n FROM a{i}, range(1, 65) AS places(p) GROUP BY ALL)
+            GROUP BY c
+            UNION ALL
+            SELECT c, x FROM c{i} WHERE c NOT IN (SELECT best.c FROM a{i})
+        )"""
+    steps = [assign.format(i=0)]
+    for i in range(rounds):
+        steps += [move.format(i=i, n=i + 1), assign.format(i=i + 1)]
+    return ",".join(steps)
+
+
 ORACLES: dict[str, str] = {
     "op4_embedding_dedup": """
         WITH RECURSIVE v AS (
@@ -185,4 +242,66 @@ ORACLES: dict[str, str] = {
         FROM n JOIN c ON n.source IS NOT DISTINCT FROM c.source
                LEFT JOIN cut ON n.source IS NOT DISTINCT FROM cut.source
     """,
+    "op11_collocations": r"""
+        WITH t AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+            FROM documents
+        ), p AS (
+            SELECT row_number() OVER () AS piece, lang, regexp_extract_all(text, '[^\x20\x09]+') AS words
+            FROM (SELECT lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) AS text FROM t)
+        ), o AS MATERIALIZED (
+            SELECT piece, lang, unnest(words) AS one, generate_subscripts(words, 1) AS i FROM p
+        ), g AS (
+            SELECT lang, one, lead(one, 1) OVER w AS two, lead(one, 2) OVER w AS three FROM o
+            WINDOW w AS (PARTITION BY piece ORDER BY i)
+        ), f AS MATERIALIZED (
+            SELECT lang, 1 AS size, one AS phrase, count(*) AS a FROM g GROUP BY ALL
+            UNION ALL
+            SELECT lang, 2, one || ' ' || two, count(*) FROM g WHERE two IS NOT NULL GROUP BY ALL HAVING count(*) >= 10
+            UNION ALL
+            SELECT lang, 3, one || ' ' || two || ' ' || three, count(*) FROM g WHERE three IS NOT NULL
+            GROUP BY ALL HAVING count(*) >= 10
+        ), inner_pairs AS (
+            SELECT lang, unnest([split_part(phrase, ' ', 1) || ' ' || split_part(phrase, ' ', 2),
+                                 split_part(phrase, ' ', 2) || ' ' || split_part(phrase, ' ', 3)]) AS phrase, a
+            FROM f WHERE size = 3
+        ), covered AS (
+            SELECT lang, phrase, max(a) AS most FROM inner_pairs GROUP BY ALL
+        ), c AS (
+            SELECT f.* FROM f LEFT JOIN covered USING (lang, phrase)
+            WHERE size > 1 AND coalesce(100 * most < 50 * a, true)
+        ), k AS (
+            SELECT *, 1 AS k, split_part(phrase, ' ', 1) AS head, phrase[len(split_part(phrase, ' ', 1)) + 2:] AS tail FROM c
+            UNION ALL
+            SELECT *, 2, split_part(phrase, ' ', 1) || ' ' || split_part(phrase, ' ', 2), split_part(phrase, ' ', 3)
+            FROM c WHERE size = 3
+        ), s AS (
+            SELECT k.lang, k.phrase, k.a, x.a AS l, y.a AS r, k,
+                   CAST(1000000::HUGEINT * k.a * k.a // (x.a::HUGEINT * y.a) AS BIGINT) AS score
+            FROM k JOIN f x ON x.lang || ' ' || x.phrase = k.lang || ' ' || head
+                   JOIN f y ON y.lang || ' ' || y.phrase = k.lang || ' ' || tail
+        ), b AS (
+            SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS cut FROM s
+        ), n AS (
+            SELECT lang, count(*) AS n FROM o GROUP BY lang
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM b WHERE cut = 1
+        )
+        SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+    """,
+    "op13_ptolemaic": f"""
+        WITH v AS MATERIALIZED (
+            SELECT row_number() OVER () AS r, vec_id, [CAST(floor(256 * CAST(e AS DOUBLE)) AS BIGINT) FOR e IN embedding] AS x
+            FROM embeddings
+            WHERE len(embedding) = 64 AND len([e FOR e IN embedding IF e IS NULL OR NOT isfinite(e)]) = 0
+        ), c0 AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY sha256('2:' || coalesce(vec_id::VARCHAR, '')), x) - 1 AS c, x
+            FROM v QUALIFY c < 40
+        ), {_cluster_rounds(ptolemaic.ROUNDS)}
+        SELECT vec_id, CAST(best.c AS INTEGER) AS cluster, CAST(best.d AS BIGINT) AS distance,
+               CAST(sum(best.d) OVER (PARTITION BY best.c) AS BIGINT) AS cluster_inertia,
+               CAST(sum(best.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.x, ',')) AS centroid_sha256
+        FROM a{ptolemaic.ROUNDS} JOIN c{ptolemaic.ROUNDS} c ON c.c = best.c
+    """,
 }

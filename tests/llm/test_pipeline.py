@@ -47,7 +47,7 @@ def test_language_stage(kept):
 
 def test_near_copy_stage(kept):
     before = [(r["doc_id"], r["text"]) for r in kept[2].collect()]
-    smallest = {i for i, _, component in expected_components(before) if i == component}
+    smallest = {i for i, _, component in expected_components(before, corpus_pipeline.NEAR_PERCENT, corpus_pipeline.NEAR_WORDS) if i == component}
     after = [r["doc_id"] for r in kept[3].collect()]
     assert sorted(i for i in after if i is not None) == sorted(smallest)
     assert after.count(None) == sum(i is None for i, _ in before)

@@ -9,8 +9,10 @@ import pytest
 from tokenizers import Tokenizer
 
 import __spark_entry__ as driver
-from seqprep.llm import queries
+from pyspark.sql import functions as F
+from seqprep.llm import queries, url_filter
 from tests.llm.test_ngram_join import expected as expected_components
+from tests.llm.test_url_filter import expected_rule, parts
 from tests.test_queries import _sorted_rows, duck  # noqa: F401
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
@@ -25,6 +27,9 @@ COLUMNS = {
     "op8_mixing": {"doc_id", "size", "source_size", "target", "taken"},
     "op9_ngram_join": {"doc_id", "n_shingles", "component_id"},
     "op10_lm_score": {"doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"},
+    "op11_collocations": {"lang", "rank", "phrase", "a", "l", "r", "n", "score"},
+    "op12_url_filter": {"page_id", "host", "path", "rule", "verdict"},
+    "op13_ptolemaic": {"vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"},
 }
 
 
@@ -90,3 +95,22 @@ def test_main_text(spark):
     for r in rows:
         assert r["n_chars"] == len(r["text"]) and "<" not in r["text"].replace("< ", "")
         assert r["text"].split("\n")[0] in " ".join(pages[r["page_id"]].replace("&amp;", "&").split())
+
+
+def test_url_filter(spark):
+    pages = {r["page_id"]: r["url"] for r in table(spark, "pages").collect()}
+    rows = queries.op12_url_filter(spark, SF_DIR).collect()
+    assert COLUMNS["op12_url_filter"] <= set(rows[0].asDict()) and sorted(r["page_id"] for r in rows) == sorted(pages)
+    for r in rows:
+        rule = expected_rule(pages[r["page_id"]])
+        assert (r["host"], r["path"]) == parts(pages[r["page_id"]]) and r["rule"] == (rule and rule.text)
+        assert r["verdict"] == (rule.verdict if rule else "block" if r["block_score"] >= 0.5 else "allow")
+
+
+def test_url_trees_agree_with_rules_on_urls_not_seen(spark):
+    ruled = url_filter.with_rules(table(spark, "pages")).filter("ruled IS NOT NULL")
+    ruled = ruled.withColumn("label", (F.col("ruled") == "block").cast("int"))
+    unseen = queries.remainder("page_id", 4) == 2
+    model = url_filter.train(ruled.filter(~unseen))
+    judged = url_filter.judge(ruled.filter(unseen).drop("rule"), model, rules=()).collect()
+    assert sum((r["verdict"] == "block") == r["label"] for r in judged) / len(judged) > 0.95
