@@ -21,10 +21,11 @@ SCALE = 1_000_000
 COVERED = 50  # percent of a candidate's occurrences that lie in one longer candidate and drop it
 UNKNOWN = "und"
 
-BLOCK_BYTES = 8 << 20  # of words in a block, about
+BLOCK_BYTES = 4 << 20  # of words in a block, about
 WINDOW_BYTES = 1 << 20  # of text that is split into words at a time
 SHARD_WORDS = 500_000  # (block, word) pairs of a shard, about
 SHARD_PHRASES = 2_000_000  # occurrences that a shard of phrases stands for, about
+RANK_PARTS = 16  # of a language, each ranked for itself before the language is
 TASK_BLOCKS = 16  # blocks, or a quarter of it shards, that a task works through one by one
 _ID_BITS = 32
 
@@ -455,8 +456,11 @@ def collocations(
     )
     best = F.min(F.struct(score.alias("score"), "k", "l", "r"))
     scored = cuts.groupBy("lang", "phrase", "a").agg(best.alias("best")).select("lang", "phrase", "a", "best.*")
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
-    return ranked.join(totals, "lang").select(
+    order = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    part = F.pmod(F.xxhash64("phrase"), F.lit(RANK_PARTS))  # so that a language's last task sees a bounded number
+    for group in ([F.col("lang"), part], [F.col("lang")]):
+        scored = scored.withColumn("rank", F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
+        scored = scored.filter(F.col("rank") <= top)
+    return scored.join(totals, "lang").select(
         "lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score"
     )
