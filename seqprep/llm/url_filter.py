@@ -269,12 +269,14 @@ class UrlModel:
 
 
 def train(labelled: DataFrame, url: str = "url", label: str = "label", limit: int = TRAIN_URLS) -> UrlModel:
-    """Fit on at most ``limit`` distinct labelled URLs (label 1: block), the first by a hash of the URL.
+    """Fit on at most ``limit`` distinct labelled URLs (label 1: block), picked by a hash of the URL.
 
     Null labels and URLs teach nothing; a URL with several labels teaches each once. Without any labelled URL
     every URL scores 0.5. The driver holds the sample, its suffixes and the trees: a bounded amount.
     """
-    rows = labelled.select(F.col(url).alias("url"), (F.col(label) > 0).cast("int").alias("label")).dropna().distinct()
+    rows = labelled.select(F.col(url).alias("url"), (F.col(label) > 0).cast("int").alias("label")).dropna()
+    place = F.pmod(F.xxhash64("url"), F.lit(1 << 30)) / float(1 << 30)
+    rows = rows.filter(place * max(rows.count(), 1) < limit).distinct()
     rows = rows.orderBy(F.xxhash64("url"), "url", "label").limit(limit)
     found = rows.select("url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), "label").toArrow()
     found = found.combine_chunks().sort_by([("url", "ascending"), ("label", "ascending")])
