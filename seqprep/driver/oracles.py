@@ -556,7 +556,11 @@ SELECT (SELECT count(*) + 1 FROM model) AS rows, (SELECT count(*) FROM model) AS
        (SELECT count(*) FROM columns)::INTEGER AS max_width,
        0::BIGINT AS not_finite, 0::BIGINT AS padding_not_zero""",
     "q_checks": CHECKS,
-    "q_fingerprint": FINGERPRINT,
+    "q_fingerprint": """
+SELECT l_returnflag AS load, count(*) AS rows, true AS adds_up,
+       count(*) FILTER (l_orderkey % 97 = 5 AND l_linenumber = 1 AND l_tax IS NOT NULL) > 0 AS change_found
+FROM lineitem GROUP BY l_returnflag""",
+    "q_fingerprint_portable": FINGERPRINT,
     "q_pruned_pairs": """
 SELECT DISTINCT l_partkey AS sid, l_suppkey::VARCHAR AS canonical_listing_id FROM lineitem""",
 }

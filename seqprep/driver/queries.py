@@ -13,7 +13,7 @@ from seqprep.functions import cleaning
 from seqprep.functions.encoding import code_of
 from seqprep.operators import catalog, checks, dataset, features, regions, sessions, skew
 from seqprep.operators.dense_ids import dense_ids
-from seqprep.sources import tables
+from seqprep.sources import fingerprints, tables
 from seqprep.sources.spool import shared_folder, spool
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -554,7 +554,31 @@ def quality_checks(spark, sf_dir):
 
 
 def fingerprint(spark, sf_dir):
-    return tables.fingerprint(fx.table(spark, sf_dir, "lineitem"))
+    """States of line items by load, whether they add up to that of the table, and what a change does to them."""
+    lines = fx.table(spark, sf_dir, "lineitem")
+    touched = (F.col("l_orderkey") % 97 == 5) & (F.col("l_linenumber") == 1)
+    each = fingerprints.row_hash(lines)
+    hashed = lines.withColumn("hash", each)
+    hashed = hashed.withColumn("l_tax", F.when(~touched, F.col("l_tax"))).withColumn("changed_hash", each)
+    states = [
+        column.alias(f"{prefix}{name}")
+        for prefix in ("", "changed_")
+        for name, column in fingerprints.digests(F.col(f"{prefix}hash")).items()
+    ]
+    loads = hashed.groupBy("l_returnflag").agg(*states)
+    whole = fingerprints.scanned_state(lines)
+    found = F.lit(False)
+    for name in fingerprints.STATE:
+        found = found | (F.col(name) != F.col(f"changed_{name}"))
+    together = Window.partitionBy()  # a row per load
+    adds_up = F.lit(True)
+    for name, column in fingerprints.merged_digests().items():
+        adds_up = adds_up & (column.over(together) == getattr(whole, name))
+    return loads.select(F.col("l_returnflag").alias("load"), "rows", adds_up.alias("adds_up"), found.alias("change_found"))
+
+
+def fingerprint_portable(spark, sf_dir):
+    return fingerprints.portable(fx.table(spark, sf_dir, "lineitem"))
 
 
 def pruned_pairs(spark, sf_dir):
@@ -618,6 +642,7 @@ REGISTRY: dict[str, Query] = {
     "q_feature_stats": feature_stats,
     "q_checks": quality_checks,
     "q_fingerprint": fingerprint,
+    "q_fingerprint_portable": fingerprint_portable,
     "q_item_columns": item_columns,
     "q_regional_loads": regional_loads,
     "q_sorted_sink": sorted_sink,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from seqprep import contract
 from seqprep.functions.cleaning import coordinate_or_zero, market_segment
@@ -194,12 +194,12 @@ def split_stats(rows: DataFrame) -> DataFrame:
     )
 
 
-def sequence_stats(stored: DataFrame) -> DataFrame:
-    """Rows and holdouts, from the sequence table; a user has at most one val row, of one event."""
-    return stored.agg(
-        F.sum(F.size("items")).alias("rows"),
-        F.count_if(F.col("split") == "val").alias("val_num"),
-    )
+def sequence_stats() -> dict[str, Column]:
+    """Aggregates over the sequence table: its events and holdouts; a user has at most one val row, of one event."""
+    return {
+        "events": F.sum(F.size("items")),
+        "val_num": F.count_if(F.col("split") == "val"),
+    }
 
 
 def build_dataset(

@@ -140,15 +140,15 @@ def merge(
     expected = spark.createDataFrame([(region,) for region in regions], "region string")
     checks.enforce([checks.empty_regions(expected, events)])
     merged = regional.merge_regions(events).drop("region", "region_order")
-    tables.write_sorted(
+    event_state = tables.write_sorted(
         merged, f"{out_dir}/{FINAL_EVENTS}", "uid", ["timestamp", "pos"], output_partitions
     )
     listing_loads = {region: finished[region, "listings"] for region in regions}
     items = catalog.unique_items(_ordered(spark, f"{out_dir}/{ITEMS}", listing_loads, merge=True))
-    items, item_count = tables.counted(items.drop("region", "region_order"), FINAL_ITEMS)
-    tables.write_table(items, f"{out_dir}/{FINAL_ITEMS}", force=True)
+    item_state = tables.write_hashed(items.drop("region", "region_order"), f"{out_dir}/{FINAL_ITEMS}", force=True)
+    manifest.record_states(spark, out_dir, {FINAL_EVENTS: event_state, FINAL_ITEMS: item_state})
     stats = regional.merge_stats(tables.read_table(spark, f"{out_dir}/{FINAL_EVENTS}")).first()
-    return stats.asDict() | {"catalog_items": item_count.get["rows"]}
+    return stats.asDict() | {"catalog_items": item_state.rows}
 
 
 def _sources(

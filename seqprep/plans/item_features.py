@@ -52,7 +52,7 @@ def export_item_features(
             features.align_items(smap, pairs, items, broadcast_rows), "aligned-items"
         )
         result = features.feature_matrix(aligned, amenities_top, broadcast_rows, group_rows)
-        tables.write_table(result.features, f"{out_dir}/item_features", force)
+        vectors = tables.write_hashed(result.features, f"{out_dir}/item_features", force)
         tables.write_table(result.columns, f"{out_dir}/feature_columns", force)
 
         stored = features.ItemFeatures(
@@ -70,10 +70,10 @@ def export_item_features(
             "column_table": "feature_columns",
             "options": {"amenities_top": amenities_top},
             "fingerprints": {
-                "item_map": tables.fingerprint_text(smap),
-                "session_events": tables.fingerprint_text(events),
-                "catalogue": tables.fingerprint_text(items),
-                "vectors": tables.fingerprint_text(stored.features),
+                "item_map": manifest.read_manifest(spark, f"{dataset_dir}/manifest")["smap"],
+                "session_events": manifest.recorded_state(spark, source_dir, FINAL_EVENTS),
+                "catalogue": manifest.recorded_state(spark, source_dir, FINAL_ITEMS),
+                "vectors": vectors.text,
             },
         }
         manifest.write_manifest(spark, f"{out_dir}/manifest", content, force)

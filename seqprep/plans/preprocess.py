@@ -9,11 +9,11 @@ from seqprep.operators import checks
 from seqprep.operators.dataset import CHUNK_ROWS, build_dataset, sequence_stats
 from seqprep.operators.skew import BROADCAST_ROWS, GROUP_ROWS
 from seqprep.plans.convert import FINAL_EVENTS, FINAL_ITEMS
-from seqprep.sources import manifest, tables
+from seqprep.sources import fingerprints, manifest, tables
 from seqprep.sources.schema import expect_columns
 from seqprep.sources.spool import spool, spool_scope
 
-SCHEMA = "seqprep-dataset-1"
+SCHEMA = "seqprep-dataset-2"
 MAPS = ("umap", "smap", "bmap", "segmap")
 
 
@@ -57,40 +57,50 @@ def preprocess(
                 checks.target_absent(bmap, target_behavior),
             ]
         )
-        tables.write_table(dataset.sequences, f"{out_dir}/sequences", force)
-        for name in MAPS:
-            mapping = bmap if name == "bmap" else getattr(dataset, name)
-            tables.write_table(mapping, f"{out_dir}/{name}", force)
-
-        stored = tables.read_table(spark, f"{out_dir}/sequences")
-        stats = sequence_stats(stored).first().asDict()
-        content = stats | {
+        seen = sequence_stats()
+        sequences, counts = fingerprints.observed(dataset.sequences, **seen)
+        tables.write_table(sequences, f"{out_dir}/sequences", force)
+        states = {
+            name: tables.write_hashed(bmap if name == "bmap" else getattr(dataset, name), f"{out_dir}/{name}", force)
+            for name in MAPS
+        }
+        content = {
             "schema": SCHEMA,
-            "sessions": dataset.umap.count(),
-            "items": dataset.smap.count(),
+            "rows": counts.get["events"] or 0,
+            "val_num": counts.get["val_num"],
+            "sessions": states["umap"].rows,
+            "items": states["smap"].rows,
             "behaviors": sorted(row["id"] for row in bmap.collect()),
             "target_behavior": target_behavior,
             "min_user_events": min_user_events,
-            "sequences": tables.fingerprint_text(stored),
-            "smap": tables.fingerprint_text(dataset.smap),
-        }
+            "sequences": fingerprints.state_of(counts).text,
+            "sequence_files": fingerprints.file_state(spark, f"{out_dir}/sequences"),
+        } | {name: state.text for name, state in states.items()}
         manifest.write_manifest(spark, f"{out_dir}/manifest", content, force)
         return content
 
 
-def load_smap(spark: SparkSession, dataset_dir: str):
-    """The item map, after checking that it belongs to the sequences next to it."""
+def load_smap(spark: SparkSession, dataset_dir: str, deep: bool = False):
+    """The item map, after checking that it belongs to the sequences next to it; call it inside a spool scope.
+
+    The map's state is taken while it is copied for the steps that follow. The sequences are not read: their
+    files must be those that the job listed, by name and length. With ``deep`` their rows are hashed too.
+    """
     if not tables.table_exists(spark, f"{dataset_dir}/manifest"):
         raise FileNotFoundError(f"no dataset manifest in {dataset_dir}; run preprocess first")
     content = manifest.read_manifest(spark, f"{dataset_dir}/manifest")
     if content.get("schema") != SCHEMA:
         raise ValueError("the dataset has another format")
-    smap = tables.read_table(spark, f"{dataset_dir}/smap")
-    sequences = tables.read_table(spark, f"{dataset_dir}/sequences")
-    if content["sequences"] != tables.fingerprint_text(sequences):
+    sequences = f"{dataset_dir}/sequences"
+    if content["sequence_files"] != fingerprints.file_state(spark, sequences):
         raise ValueError("the sequences are not those of the manifest")
-    if content["smap"] != tables.fingerprint_text(smap):
-        raise ValueError("the item map is not that of the manifest")
+    if deep and content["sequences"] != fingerprints.scanned_state(tables.read_table(spark, sequences)).text:
+        raise ValueError("the sequences are not those of the manifest")
+    smap = tables.read_table(spark, f"{dataset_dir}/smap")
     if set(smap.columns) != {"sid", "dense_id"}:
         raise ValueError("the item map has columns other than sid and dense_id")
-    return smap.select(F.col("sid"), F.col("dense_id"))
+    rows, seen = fingerprints.observed(smap)
+    stored = spool(rows, "item-map")
+    if content["smap"] != fingerprints.state_of(seen).text:
+        raise ValueError("the item map is not that of the manifest")
+    return stored.select(F.col("sid"), F.col("dense_id"))

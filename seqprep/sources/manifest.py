@@ -8,7 +8,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import SparkSession, functions as F
 
-from seqprep.sources.tables import read_regions, regions_exist
+from seqprep.sources.fingerprints import TableState, file_state
+from seqprep.sources.tables import read_regions, regions_exist, table_exists
 
 
 def parameter_text(**parameters) -> str:
@@ -26,6 +27,22 @@ def read_manifest(spark: SparkSession, path: str) -> dict:
     return json.loads(spark.read.text(path, wholetext=True).first()["value"])
 
 
+def record_states(spark: SparkSession, folder: str, states: dict[str, TableState]) -> None:
+    """Keep the states of tables in ``folder`` that were taken while writing, with the files they hold for."""
+    content = {name: {"state": state.text, "files": file_state(spark, f"{folder}/{name}")} for name, state in states.items()}
+    write_manifest(spark, f"{folder}/table_states", content, force=True)
+
+
+def recorded_state(spark: SparkSession, folder: str, name: str) -> str:
+    """The recorded state of a table, or one of its files if they are not those that were recorded."""
+    files = file_state(spark, f"{folder}/{name}")
+    if table_exists(spark, f"{folder}/table_states"):
+        entry = read_manifest(spark, f"{folder}/table_states").get(name)
+        if entry and entry["files"] == files:
+            return entry["state"]
+    return f"files-{files}"
+
+
 @dataclass(frozen=True)
 class StageLoad:
     """One stage of one region: what it was made from (empty while it is being made), and its load."""

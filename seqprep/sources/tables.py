@@ -1,4 +1,4 @@
-"""Parquet tables: reading, writing, counting on the way, fingerprints."""
+"""Parquet tables: reading, writing, counting and fingerprinting on the way."""
 
 from __future__ import annotations
 
@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
+from seqprep.sources.fingerprints import TableState, observed, state_of
+
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
@@ -52,6 +54,13 @@ def write_table(
     writer.parquet(path)
 
 
+def write_hashed(df: DataFrame, path: str, force: bool = False) -> TableState:
+    """``write_table``, and the state of what was written, taken on the way."""
+    rows, seen = observed(df)
+    write_table(rows, path, force)
+    return state_of(seen)
+
+
 def write_load(df: DataFrame, path: str, load: str) -> None:
     """Write rows by region in the folder of a load, next to those of other loads."""
     df.write.mode("errorifexists").partitionBy("region").parquet(f"{path}/load={load}")
@@ -85,15 +94,17 @@ def read_loads(
 
 def write_sorted(
     df: DataFrame, path: str, key: str, order: Sequence[str], partitions: int | None = None
-) -> None:
-    """Write files that each hold whole ``key`` groups in order.
+) -> TableState:
+    """Write files that each hold whole ``key`` groups in order; returns the state of the rows.
 
     Without a number of partitions Spark chooses by size.
     """
     if partitions is not None and partitions <= 0:
         raise ValueError("output partitions must be positive")
     spread = df.repartition(key) if partitions is None else df.repartition(partitions, key)
-    spread.sortWithinPartitions(key, *order).write.mode("overwrite").parquet(path)
+    rows, seen = observed(spread.sortWithinPartitions(key, *order))
+    rows.write.mode("overwrite").parquet(path)
+    return state_of(seen)
 
 
 def counted(
@@ -103,36 +114,3 @@ def counted(
     observation = Observation(label)
     extra = [column.alias(name) for name, column in metrics.items()]
     return df.observe(observation, F.count(F.lit(1)).alias("rows"), *extra), observation
-
-
-def row_digest(df: DataFrame) -> Column:
-    """MD5 of a row's columns by name: name, type, and the length and text of the value or a mark for NULL."""
-    parts = []
-    for field in sorted(df.schema.fields, key=lambda field: field.name):
-        text = F.col(f"`{field.name}`").cast("string")
-        value = F.concat_ws(":", F.char_length(text).cast("string"), text)
-        head = f"{field.name}:{field.dataType.simpleString()}:"
-        parts.append(F.concat(F.lit(head), F.when(text.isNull(), F.lit("-")).otherwise(value), F.lit(";")))
-    return F.md5(F.concat(*parts))
-
-
-def fingerprint(df: DataFrame) -> DataFrame:
-    """``rows``, ``hash_xor`` and ``hash_sum`` of a table, the same for any row order or layout.
-
-    Columns enter by name, so their order does not matter, but their names, types and NULLs do.
-    """
-    digest = row_digest(df)
-    return df.select(
-        F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint").alias("head"),
-        F.conv(F.substring(digest, 18, 15), 16, 10).cast("decimal(20,0)").alias("tail"),
-    ).agg(
-        F.count("*").alias("rows"),
-        F.coalesce(F.bit_xor("head"), F.lit(0).cast("bigint")).alias("hash_xor"),
-        F.coalesce(F.sum("tail"), F.lit(0)).cast("string").alias("hash_sum"),
-    )
-
-
-def fingerprint_text(df: DataFrame) -> str:
-    """The fingerprint as text; one aggregate row reaches the driver."""
-    row = fingerprint(df).first()
-    return f"{row['rows']}-{row['hash_xor']}-{row['hash_sum']}"

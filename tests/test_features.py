@@ -11,7 +11,8 @@ from seqprep import contract
 from seqprep.operators import checks, features
 from seqprep.plans.item_features import export_item_features
 from seqprep.plans.preprocess import SCHEMA, load_smap
-from seqprep.sources import manifest, tables
+from seqprep.sources import fingerprints, manifest, tables
+from seqprep.sources.spool import spool
 
 EVENT_SCHEMA = "uid long, sid long, canonical_listing_id string, event_type string, timestamp long, intensity long"
 EVENTS = [
@@ -46,8 +47,9 @@ def _write_dataset(spark, path, smap):
     tables.write_table(sequences, f"{path}/sequences")
     content = {
         "schema": SCHEMA,
-        "smap": tables.fingerprint_text(smap),
-        "sequences": tables.fingerprint_text(sequences),
+        "smap": fingerprints.scanned_state(smap).text,
+        "sequences": fingerprints.scanned_state(sequences).text,
+        "sequence_files": fingerprints.file_state(spark, f"{path}/sequences"),
     }
     manifest.write_manifest(spark, f"{path}/manifest", content)
 
@@ -205,10 +207,21 @@ def test_smap_must_be_contiguous(spark, smap, bad):
 
 
 def test_manifest_names_its_inputs(spark, source, tmp_path):
-    content = source()()
-    events = spark.read.parquet(f"{tmp_path}/work/events.parquet")
-    assert content["fingerprints"]["session_events"] == tables.fingerprint_text(events)
+    export = source()
+    plain = export()["fingerprints"]
+    assert plain["session_events"].startswith("files-") and plain["catalogue"].startswith("files-")
+    events, items = (tables.read_table(spark, f"{tmp_path}/work/{name}.parquet") for name in ("events", "items"))
+    states = {f"{name}.parquet": fingerprints.scanned_state(df) for name, df in (("events", events), ("items", items))}
+    manifest.record_states(spark, f"{tmp_path}/work", states)
+    content = export(force=True)
+    assert content["fingerprints"]["session_events"] == states["events.parquet"].text
+    vectors = tables.read_table(spark, f"{tmp_path}/out/item_features")
+    assert content["fingerprints"]["vectors"] == fingerprints.scanned_state(vectors).text
     assert manifest.read_manifest(spark, f"{tmp_path}/out/manifest")["fingerprints"] == content["fingerprints"]
+    tables.write_table(items.limit(2), f"{tmp_path}/work/items.parquet.new")
+    changed = tables.read_table(spark, f"{tmp_path}/work/items.parquet.new").unionByName(spool(items, "items").limit(1))
+    tables.write_table(changed, f"{tmp_path}/work/items.parquet", force=True)
+    assert manifest.recorded_state(spark, f"{tmp_path}/work", "items.parquet").startswith("files-")
 
 
 def test_map_of_another_dataset(spark, source, tmp_path):
@@ -229,20 +242,59 @@ def test_changed_or_missing_map(spark, source, tmp_path):
         load_smap(spark, f"{tmp_path}/nothing")
 
 
-def test_fingerprint_ignores_layout_but_not_rows(spark):
+def test_rows_changed_behind_the_file_list(spark, source, tmp_path):
+    """With the same file list only ``deep`` sees that the manifest speaks of other rows."""
+    source()
+    path = f"{tmp_path}/dataset/manifest"
+    content = manifest.read_manifest(spark, path)
+    manifest.write_manifest(spark, path, content | {"sequences": "1-2-3-4"}, force=True)
+    assert load_smap(spark, f"{tmp_path}/dataset").count() == 3
+    with pytest.raises(ValueError, match="not those of the manifest"):
+        load_smap(spark, f"{tmp_path}/dataset", deep=True)
+
+
+def _state(df):
+    return fingerprints.scanned_state(df).text
+
+
+def test_states_ignore_layout_but_not_rows(spark):
     df = spark.createDataFrame([(n, str(n)) for n in range(500)], "a long, b string")
     same = df.repartition(7).select("b", "a")
-    assert tables.fingerprint_text(df) == tables.fingerprint_text(same)
-    assert tables.fingerprint_text(df) != tables.fingerprint_text(df.union(df.limit(1)))
-    assert tables.fingerprint_text(df.limit(0)).startswith("0-")
+    assert _state(df) == _state(same)
+    assert _state(df) != _state(df.union(df.limit(1))) != _state(df.union(df.limit(1)).union(df.limit(1)))
+    assert _state(df.limit(0)) == fingerprints.TableState().text == "0-0-0-0"
+
 
+def test_states_of_loads_add_up(spark, tmp_path):
+    df = spark.createDataFrame([(n, str(n % 7) if n % 5 else None) for n in range(300)], "a long, b string")
+    parts = [df.filter(f"a % 3 = {n}") for n in range(3)]
+    written = [tables.write_hashed(part, f"{tmp_path}/{n}") for n, part in enumerate(parts)]
+    assert [state.rows for state in written] == [100] * 3
+    assert sum(written, fingerprints.TableState()) == fingerprints.scanned_state(df)
+    merged = fingerprints.scan(df.withColumn("c", df.a % 3), ["c"]).agg(*(c.alias(n) for n, c in fingerprints.merged_digests().items()))
+    assert fingerprints.state_of(merged.first()).rows == 300
+    sorted_state = tables.write_sorted(df, f"{tmp_path}/s", "a", ["b"], 5)
+    assert sorted_state == fingerprints.scanned_state(tables.read_table(spark, f"{tmp_path}/s"))
+    assert tables.write_hashed(df.limit(0), f"{tmp_path}/none") == fingerprints.TableState()
 
-def test_fingerprint_tells_nulls_names_and_types_apart(spark):
+
+def test_states_tell_nulls_names_and_types_apart(spark):
     def text(sql):
-        return tables.fingerprint_text(spark.sql(f"SELECT {sql}"))
+        return _state(spark.sql(f"SELECT {sql}"))
 
     assert text("1 AS a, CAST(NULL AS INT) AS b") != text("CAST(NULL AS INT) AS a, 1 AS b")
     assert text("1 AS x, 2 AS y") != text("1 AS p, 2 AS q")
     assert text("1 AS x") != text("1L AS x") != text("'1' AS x")
     assert text("'a' AS x, 'bc' AS y") != text("'ab' AS x, 'c' AS y")
     assert text("CAST(NULL AS STRING) AS x") != text("'-' AS x")
+    many = ", ".join(f"CAST(NULL AS INT) AS c{n}" for n in range(70))
+    assert text(many) != text(many.replace("CAST(NULL AS INT) AS c65", "0 AS c65"))
+    assert text("map('a', 1) AS m") != text("map('a', 2) AS m") and text("array(1, NULL) AS v") == text("array(1, NULL) AS v")
+
+
+def test_file_states(spark, tmp_path):
+    tables.write_table(spark.range(10), f"{tmp_path}/t")
+    first = fingerprints.file_state(spark, f"{tmp_path}/t")
+    assert first == fingerprints.file_state(spark, f"{tmp_path}/t")
+    tables.write_table(spark.range(10), f"{tmp_path}/t", force=True)
+    assert fingerprints.file_state(spark, f"{tmp_path}/t") != first
