@@ -164,6 +164,11 @@ class Encoder:
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
+    def forget(self) -> None:
+        """Empty the memory of words and pairs: workers outlive their tasks."""
+        self.words, self.older = {}, {}
+        self.vocabulary._pairs.clear()
+
     def _word(self, word: str) -> bytes:
         """Tokens of a stretch of text that is not among the latest; one used lately is still among the older."""
         packed = self.older.get(word)
@@ -301,10 +306,13 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", dec
     @F.arrow_udf("ids array<int>, decoded string")
     def tokens(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = _encoder(content.value)
-        for texts in batches:
-            numbers, bounds = _encoded(encoder, texts)
-            plain = _decoder(content.value).decode(numbers, bounds) if back else pa.nulls(len(texts), pa.string())
-            yield pa.StructArray.from_arrays([_lists(numbers, bounds), plain], names=["ids", "decoded"])
+        try:
+            for texts in batches:
+                numbers, bounds = _encoded(encoder, texts)
+                plain = _decoder(content.value).decode(numbers, bounds) if back else pa.nulls(len(texts), pa.string())
+                yield pa.StructArray.from_arrays([_lists(numbers, bounds), plain], names=["ids", "decoded"])
+        finally:
+            encoder.forget()
 
     found = docs.withColumn(ids, tokens(F.col(text)))
     if back:

@@ -10,11 +10,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-from seqprep.llm.text import Chunk, chunks, per_document
+from seqprep.llm.text import Chunk, chunks, per_document, windows
 
 TRAIN_DOCS = 2000  # labelled documents per language that the classifiers are fitted on, about
 BUCKETS = 1 << 16  # of hashed byte trigrams; byte pairs have one of their own each
 SMOOTHING = 0.5
+WINDOW_BYTES = 1 << 16  # of text that are looked up in the weights at a time
 AMBIGUOUS = 0.05  # a decision is flagged if the second best language scores within this of the best
 UNKNOWN = "und"
 
@@ -47,17 +48,21 @@ def codewords(languages: int) -> np.ndarray:
     return best
 
 
-def _grams(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Feature numbers of byte pairs and byte trigrams at every byte, and which bytes begin a pair or trigram."""
-    low = _LOWER[chunk.data]
-    left = np.repeat(np.diff(chunk.bounds) - 1, np.diff(chunk.bounds)) + np.repeat(
-        chunk.bounds[:-1], np.diff(chunk.bounds)
-    )
-    left = left - np.arange(len(low))  # bytes of the document that follow
-    pad = np.concatenate((low, np.zeros(2, np.uint32)))
-    pairs = pad[:-2] | pad[1:-1] << np.uint32(8)
-    triples = ((pairs | pad[2:] << np.uint32(16)) * np.uint32(0x9E3779B1)) >> np.uint32(16)
-    return pairs, triples + np.uint32(BUCKETS), left
+def _grams(chunk: Chunk) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Window by window: its documents, their bounds in it, the feature numbers of the byte pair and of the byte
+    trigram at every byte, and how many bytes of the document follow (2 stands for more)."""
+    for begin, end, first, last in windows(chunk.data, chunk.bounds, None, WINDOW_BYTES):
+        low = _LOWER[chunk.data[begin : end + 2]]
+        pad = np.concatenate((low, np.zeros(end + 2 - begin - len(low), np.uint32)))
+        pairs = pad[:-2] | pad[1:-1] << np.uint32(8)
+        triples = ((pairs | pad[2:] << np.uint32(16)) * np.uint32(0x9E3779B1)) >> np.uint32(16)
+        left = np.full(end - begin, 2, np.int8)
+        for back in (1, 2):  # the last byte of a document, and the one before it
+            tails = chunk.bounds[first + 1 : last + 1] - begin - back
+            at = tails[(tails >= 0) & (tails < len(left)) & (np.diff(chunk.bounds[first : last + 1]) >= back)]
+            left[at] = np.minimum(left[at], back - 1)
+        bounds = np.clip(chunk.bounds[first : last + 1], begin, end) - begin
+        yield slice(first, last), bounds, pairs, triples + np.uint32(BUCKETS), left
 
 
 @dataclass
@@ -69,15 +74,15 @@ class LanguageModel:
     trust: np.ndarray  # languages x bits: how often the bit's classifier is right on that language
 
     def margins(self, chunk: Chunk) -> np.ndarray:
-        """Mean of the n-grams' weights per document and bit."""
-        pairs, triples, left = _grams(chunk)
+        """Mean of the n-grams' weights per document and bit; memory holds one window, whatever a text's length."""
         total = np.zeros((chunk.size, self.code.shape[1]))
-        if len(pairs):
+        for rows, bounds, pairs, triples, left in _grams(chunk):
             gains = self.weights[pairs]
             gains[left < 1] = 0
-            more = self.weights[triples]
-            more[left < 2] = 0
-            total = per_document(gains + more, chunk.bounds)
+            total[rows] += per_document(gains, bounds)
+            gains = self.weights[triples]
+            gains[left < 2] = 0
+            total[rows] += per_document(gains, bounds)
         return total / np.maximum(np.diff(chunk.bounds), 1)[:, None] / self.scale
 
     def decide(self, margins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -125,14 +130,14 @@ def train(
         for batch in batches:
             langs = np.array(batch.column("lang").to_pylist(), dtype=object)
             for chunk in chunks(batch.column("text")):
-                pairs, triples, left = _grams(chunk)
-                row = np.repeat(np.arange(chunk.size), np.diff(chunk.bounds))
                 own = langs[chunk.first : chunk.first + chunk.size]
-                for name in dict.fromkeys(own):
-                    here = (own == name)[row]
-                    found = np.concatenate((pairs[here & (left >= 1)], triples[here & (left >= 2)]))
-                    totals.setdefault(name, np.zeros(2 * BUCKETS, np.int64))
-                    totals[name] += np.bincount(found, minlength=2 * BUCKETS)
+                for rows, bounds, pairs, triples, left in _grams(chunk):
+                    row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+                    for name in dict.fromkeys(own[rows]):
+                        here = (own[rows] == name)[row]
+                        found = np.concatenate((pairs[here & (left >= 1)], triples[here & (left >= 2)]))
+                        totals.setdefault(name, np.zeros(2 * BUCKETS, np.int64))
+                        np.add.at(totals[name], found, 1)
         for name, total in totals.items():
             seen = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays(

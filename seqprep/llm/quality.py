@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from seqprep.llm.text import Chunk, chunks, ngrams, per_document, words
+from seqprep.llm.text import WINDOW_BYTES, Chunk, chunks, ngrams, per_document, windows, words
 
 TRAIN_DOCS = 12_000  # labelled documents that the machine is fitted on, at most
 BUCKETS = 1 << 14  # of hashed words
@@ -70,8 +70,12 @@ def features(chunk: Chunk) -> Features:
     size = np.diff(chunk.bounds)
     number = np.diff(found.bounds)
     spread = np.maximum(size, 1)[:, None]
-    kinds = np.bincount(np.repeat(np.arange(rows), size) * KINDS + _KINDS[chunk.data], minlength=rows * KINDS)
-    kinds = kinds.reshape(rows, KINDS) / spread
+    kinds = np.zeros((rows, KINDS))
+    for begin, end, first, last in windows(chunk.data, chunk.bounds, None, WINDOW_BYTES):
+        taken = np.diff(np.clip(chunk.bounds[first : last + 1], begin, end))
+        place = np.repeat(np.arange(last - first), taken) * KINDS + _KINDS[chunk.data[begin:end]]
+        kinds[first:last] += np.bincount(place, minlength=(last - first) * KINDS).reshape(-1, KINDS)
+    kinds /= spread
     distinct, most = _most_repeated(found.hashes, documents, rows)
     pairs = ngrams(found, 2)
     pair_count = np.diff(pairs.bounds)

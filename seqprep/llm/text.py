@@ -13,18 +13,28 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-# Bytes of text worked on at a time; a longer document is worked on alone.
+# Bytes of text worked on at a time; a longer document is a chunk of its own, and walked in windows.
 CHUNK_BYTES = 1 << 20
+WINDOW_BYTES = 1 << 18
 
 _U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15
-_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint64)
 _LOWER[ord("A") : ord("Z") + 1] += _U64(32)
 _LOWER += _U64(1)  # no byte counts as zero
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_KEPT_POWERS = 1 << 12
+
+
+def _power_table(length: int) -> np.ndarray:
+    """Powers of the hash base modulo 2**64, from 0 on."""
+    steps = np.full(length, _BASE, dtype=np.uint64)
+    steps[:1] = 1
+    return np.multiply.accumulate(steps)
+
+
+_POWERS = _power_table(_KEPT_POWERS)
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -37,21 +47,6 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values
 
 
-def _geometric(length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the hash base and of its inverse modulo 2**64."""
-    size = 1 << max(21, int(length).bit_length())
-    if size not in _powers:
-        pair = []
-        for base in (_BASE, _BASE_INVERSE):
-            steps = np.full(size, base, dtype=np.uint64)
-            steps[0] = 1
-            pair.append(np.multiply.accumulate(steps))
-        if size > 1 << 24:
-            return pair[0], pair[1]
-        _powers[size] = (pair[0], pair[1])
-    return _powers[size]
-
-
 @dataclass
 class Chunk:
     """Documents ``first`` to ``first + len(bounds) - 1`` of a batch."""
@@ -92,24 +87,48 @@ def chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[Chunk]:
         start = end
 
 
+def windows(data: np.ndarray, bounds: np.ndarray, ends: np.ndarray | None, size: int) -> Iterator[tuple[int, int, int, int]]:
+    """(begin, end, first, last): stretches of about ``size`` bytes, and the documents that have bytes in them.
+
+    With ``ends``, a mark per byte value, a stretch ends behind a marked byte (or with the data), so nothing
+    between marked bytes is cut; without, it may end anywhere.
+    """
+    begin = 0
+    while begin < len(data):
+        end = min(begin + size, len(data))
+        while ends is not None and end < len(data) and not ends[data[end - 1]]:
+            found = np.flatnonzero(ends[data[end : end + size]])
+            end = end + int(found[0]) + 1 if len(found) else min(end + size, len(data))
+        first = int(np.searchsorted(bounds, begin, side="right")) - 1
+        yield begin, end, first, int(np.searchsorted(bounds, end, side="left"))
+        begin = end
+
+
 def words(chunk: Chunk) -> Words:
-    """Hashes of all words of a chunk."""
+    """Hashes of all words of a chunk; besides them memory holds one window."""
     data, bounds = chunk.data, chunk.bounds
-    if len(data) == 0:
-        return Words(np.zeros(0, np.uint64), np.zeros(len(bounds), np.int64))
-    blank = _SPACE[data]
-    opens = np.ones(len(data), dtype=bool)  # preceded by white space or a document's start
-    opens[1:] = blank[:-1]
-    opens[bounds[:-1][bounds[:-1] < len(data)]] = True
-    closes = np.ones(len(data), dtype=bool)
-    closes[:-1] = opens[1:] | blank[1:]
-    starts = np.flatnonzero(opens & ~blank)
-    ends = np.flatnonzero(closes & ~blank) + 1
-    power, inverse = _geometric(len(data))
-    sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_LOWER[data] * power[: len(data)], out=sums[1:])
-    hashes = mix((sums[ends] - sums[starts]) * inverse[starts])
-    return Words(hashes, np.searchsorted(starts, bounds))
+    hashes, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for begin, end, first, last in windows(data, bounds, _SPACE, WINDOW_BYTES):
+        part = data[begin:end]
+        blank = _SPACE[part]
+        opens = ~blank
+        opens[1:] &= blank[:-1]
+        borders = bounds[first:last] - begin
+        borders = borders[(borders >= 0) & (borders < len(part))]
+        opens[borders] = ~blank[borders]
+        starts = np.flatnonzero(opens)
+        if not len(starts):
+            continue
+        number = np.cumsum(opens) - 1
+        inside = np.flatnonzero(~blank)
+        place = inside - starts[number[inside]]
+        longest = int(place.max())
+        powers = _POWERS if longest < _KEPT_POWERS else _power_table(longest + 1)
+        cuts = np.searchsorted(inside, starts)
+        hashes.append(mix(np.add.reduceat(_LOWER[part[inside]] * powers[place], cuts)))
+        places.append(starts + begin)
+    starts = np.concatenate(places)
+    return Words(np.concatenate(hashes), np.searchsorted(starts, bounds))
 
 
 def ngrams(found: Words, size: int) -> Words:

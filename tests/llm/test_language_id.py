@@ -1,8 +1,10 @@
 """Language ID: codes, held-out accuracy, odd input."""
 
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from seqprep.llm import language_id
@@ -75,3 +77,59 @@ def test_one_language_none_and_no_rows(spark):
     assert language_id.predict(none, language_id.train(none)).select(*language_id.columns()).first()[:2] == ("und", 0.0)
     empty = frame(spark, [])
     assert language_id.predict(empty, language_id.train(empty)).collect() == []
+
+
+def _plain_margins(model, text):
+    data = bytes(b + 32 if 65 <= b <= 90 else b for b in (text or "").encode())
+    total = np.zeros(model.code.shape[1])
+    for i in range(len(data) - 1):
+        total += model.weights[data[i] | data[i + 1] << 8]
+        if i + 2 < len(data):
+            gram = data[i] | data[i + 1] << 8 | data[i + 2] << 16
+            total += model.weights[language_id.BUCKETS + (gram * 0x9E3779B1 % (1 << 32) >> 16)]
+    return total / max(len(data), 1) / model.scale
+
+
+def _plain_decision(model, margins):
+    """Share of every language and the nearest codeword, by the loss written out."""
+    losses = []
+    for word, trust in zip(model.code, model.trust):
+        losses.append(sum(t * np.exp(-b * min(3, max(-3, m))) for b, t, m in zip(word, trust, margins)))
+    weights = [np.exp(-4 * (loss - min(losses))) for loss in losses]
+    shares = sorted((w / sum(weights) for w in weights), reverse=True)
+    return losses.index(min(losses)), shares[0], shares[0] - shares[1]
+
+
+@pytest.mark.parametrize("window", [1, 2, 5, 1 << 16])
+def test_decoding_matches_brute_force(spark, monkeypatch, window):
+    model = language_id.train(frame(spark, corpus(90)))
+    monkeypatch.setattr(language_id, "WINDOW_BYTES", window)
+    texts = [t for _, t, _ in corpus(12, seed=4)] + ["", None, "A", "ab", "Ab ", "ß", "THE ung", ""]
+    (chunk,) = list(language_id.chunks(pa.array(texts)))
+    margins = model.margins(chunk)
+    best, share, lead = model.decide(margins)
+    for row, text in enumerate(texts):
+        assert margins[row] == pytest.approx(_plain_margins(model, text), rel=1e-4, abs=1e-5)
+        name, most, ahead = _plain_decision(model, margins[row])
+        assert (best[row], share[row], lead[row]) == (name, pytest.approx(most), pytest.approx(ahead))
+
+
+def test_ambiguous_texts_are_flagged_somewhere(spark):
+    rng = random.Random(7)
+    mixed = [(i, " ".join(sentence(g, 1, rng) for g in rng.choices(("aa", "bb"), k=2)), None) for i in range(400)]
+    model = language_id.train(frame(spark, corpus()))
+    found = language_id.predict(frame(spark, mixed), model).select(*language_id.columns()).collect()
+    flagged = [r for r in found if r["ambiguous"]]
+    assert 0 < len(flagged) < len(found) and all(r["score"] < 0.6 for r in flagged)
+
+
+def test_memory_does_not_grow_with_languages_or_text(spark):
+    """20 languages have 75 bits; a text of 50 MB is walked in windows."""
+    counts = np.random.default_rng(3).integers(0, 9, size=(20, 2 * language_id.BUCKETS)).astype(float)
+    model = language_id._bit_classifiers([f"l{i}" for i in range(20)], counts)
+    (chunk,) = list(language_id.chunks(pa.array(["the ung ción " * 3_800_000])))
+    tracemalloc.start()
+    margins = model.margins(chunk)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert margins.shape == (1, 75) and peak < 200 << 20
