@@ -17,6 +17,7 @@ BUCKETS = 1 << 16  # of hashed byte trigrams; byte pairs have one of their own e
 SMOOTHING = 0.5
 WINDOW_BYTES = 1 << 16  # of text that are looked up in the weights at a time
 AMBIGUOUS = 0.05  # a decision is flagged if the second best language scores within this of the best
+NO_EVIDENCE = 0.98  # loss to the nearest codeword from which a text's language counts as not known
 UNKNOWN = "und"
 
 _LETTER = regex.compile(r"\p{L}")
@@ -85,8 +86,10 @@ class LanguageModel:
             total[rows] += per_document(gains, bounds)
         return total / np.maximum(np.diff(chunk.bounds), 1)[:, None] / self.scale
 
-    def decide(self, margins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Nearest codeword under exponential loss, weighted by trust; its share; and the lead over the next."""
+    def decide(self, margins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Nearest codeword under exponential loss, weighted by trust; its share; the lead over the next; its loss.
+
+        Trusts of a language add up to 1, so a text whose n-grams say nothing is at a loss of 1 from all."""
         margins = np.clip(margins, -3, 3)
         loss = np.stack(
             [(trust * np.exp(-word * margins)).sum(1) for word, trust in zip(self.code, self.trust)], axis=1
@@ -95,7 +98,7 @@ class LanguageModel:
         share /= share.sum(1, keepdims=True)
         order = np.sort(share, axis=1)
         lead = order[:, -1] - order[:, -2] if share.shape[1] > 1 else order[:, -1]
-        return loss.argmin(1), order[:, -1], lead
+        return loss.argmin(1), order[:, -1], lead, loss.min(1)
 
 
 def _sample(docs: DataFrame, identity: str, text: str, lang: str, keep: Column, per_language: int) -> DataFrame:
@@ -214,31 +217,35 @@ def _calibrate(sample: DataFrame, model: LanguageModel) -> None:
 
 
 def predict(docs: DataFrame, model: LanguageModel, text: str = "text", output: str = "language") -> DataFrame:
-    """Add the struct ``output``: lang_pred, score (0 to 1), ambiguous.
+    """Add the struct ``output``: lang_pred, score (0 to 1), ambiguous, known.
 
+    ``known`` says whether the nearest codeword is nearer than it is to a text without any evidence, so it is
+    false for texts in letters that no language of the model has; ``und`` is never known.
     The whole text is read. Null texts and texts without a letter are ``und`` with score 0; so is everything if
     the model knows no language. With one known language every other text is that one. Equal texts get equal
     answers, ties go to the language first in order; a column already called ``output`` is replaced.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.arrow_udf("lang_pred string, score double, ambiguous boolean")
+    @F.arrow_udf("lang_pred string, score double, ambiguous boolean, known boolean")
     def decide(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known = sent.value
         for texts in batches:
             names: list[str] = [UNKNOWN] * len(texts)
             scores, close = np.zeros(len(texts)), np.ones(len(texts), dtype=bool)
+            told = np.zeros(len(texts), dtype=bool)
             for chunk in chunks(texts) if known.languages else ():
-                best, share, lead = known.decide(known.margins(chunk))
+                best, share, lead, loss = known.decide(known.margins(chunk))
                 for row in range(chunk.size):
                     place = chunk.first + row
                     value = texts[place].as_py()
                     if value and _LETTER.search(value):
                         names[place] = known.languages[best[row]]
                         scores[place], close[place] = min(1.0, share[row]), lead[row] < AMBIGUOUS
+                        told[place] = loss[row] < NO_EVIDENCE or len(known.languages) == 1
             yield pa.StructArray.from_arrays(
-                [pa.array(names, pa.string()), pa.array(scores), pa.array(close)],
-                names=["lang_pred", "score", "ambiguous"],
+                [pa.array(names, pa.string()), pa.array(scores), pa.array(close), pa.array(told)],
+                names=["lang_pred", "score", "ambiguous", "known"],
             )
 
     return docs.withColumn(output, decide(F.col(text)))

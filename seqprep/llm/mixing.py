@@ -56,7 +56,7 @@ def hash_digits(identity: Column) -> Column:
     return F.substring(F.md5(F.coalesce(identity.cast("string"), F.lit(""))), 1, DIGITS * LEVELS)
 
 
-def mix_sources(
+def mix_limits(
     docs: DataFrame,
     identity: str = "doc_id",
     source: str = "source",
@@ -64,16 +64,11 @@ def mix_sources(
     weights: Sequence[int] = WEIGHTS,
     budget: tuple[int, int] = BUDGET,
     repeats: int = REPEATS,
-) -> DataFrame:
-    """One row per row of ``docs``: doc_id, size, source, source_size, target, taken, copies.
+) -> tuple[DataFrame, DataFrame]:
+    """Stored (doc_id, source, size, digits) of all rows, and one row per source that decides on them.
 
-    Every document is taken ``floor(target / source_size)`` times, and once more if its hash is below the
-    source's threshold. The threshold comes from nested histograms: sizes summed by source and hash bucket,
-    the bucket where the running sum passes the budget opened into finer buckets, and so on; no rows are
-    sorted, and only the few rows of boundary buckets are looked at again. The last bucket is taken if that
-    comes nearer to the target (half or more of it fits). Rows with one id stand or fall together, hash
-    included, so a rerun decides alike. Null text has size 0; a null source is a source of its own, last in
-    order; null ids share one hash. An empty table gives an empty result; other columns are not looked at.
+    The limits hold source_size, target, copies that every document gets, and the hash digits up to which it
+    gets one more.
     """
     narrow = docs.select(
         F.col(identity).alias("doc_id"),
@@ -99,22 +94,44 @@ def mix_sources(
         F.col("source").eqNullSafe(F.col("at")),
         "left",
     ).drop("at")
+    return narrow, spool(limits.drop("left"), "mix-limits")
+
+
+def take_by_limits(rows: DataFrame, limits: DataFrame, repeats: int = REPEATS) -> DataFrame:
+    """Add source_size, target, taken and copies to rows with source, size and digits; each row is decided alone."""
     below = (F.col("digits") < F.col("digits_below")) | (
         (F.col("digits") == F.col("digits_below")) & F.col("take_last")
     )
+    more = F.least(F.col("copies") + F.coalesce(below, F.lit(False)).cast("bigint"), F.lit(repeats))
     # One row per source; Spark broadcasts it only if its size allows.
-    joined = narrow.join(
-        limits.withColumnRenamed("source", "at"), F.col("source").eqNullSafe(F.col("at")), "left"
-    )
-    copies = F.least(F.col("copies") + F.coalesce(below, F.lit(False)).cast("bigint"), F.lit(repeats))
+    joined = rows.join(limits.withColumnRenamed("source", "at"), F.col("source").eqNullSafe(F.col("at")), "left")
     return joined.select(
-        "doc_id",
-        "size",
-        "source",
-        "source_size",
-        "target",
-        (F.col("size") * copies).alias("taken"),
-        copies.alias("copies"),
+        *rows.columns, "source_size", "target", (F.col("size") * more).alias("taken"), more.alias("copies")
+    )
+
+
+def mix_sources(
+    docs: DataFrame,
+    identity: str = "doc_id",
+    source: str = "source",
+    text: str = "text",
+    weights: Sequence[int] = WEIGHTS,
+    budget: tuple[int, int] = BUDGET,
+    repeats: int = REPEATS,
+) -> DataFrame:
+    """One row per row of ``docs``: doc_id, size, source, source_size, target, taken, copies.
+
+    Every document is taken ``floor(target / source_size)`` times, and once more if its hash is below the
+    source's threshold. The threshold comes from nested histograms: sizes summed by source and hash bucket,
+    the bucket where the running sum passes the budget opened into finer buckets, and so on; no rows are
+    sorted, and only the few rows of boundary buckets are looked at again. The last bucket is taken if that
+    comes nearer to the target (half or more of it fits). Rows with one id stand or fall together, hash
+    included, so a rerun decides alike. Null text has size 0; a null source is a source of its own, last in
+    order; null ids share one hash. An empty table gives an empty result; other columns are not looked at.
+    """
+    narrow, limits = mix_limits(docs, identity, source, text, weights, budget, repeats)
+    return take_by_limits(narrow, limits, repeats).select(
+        "doc_id", "size", "source", "source_size", "target", "taken", "copies"
     )
 
 

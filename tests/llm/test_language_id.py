@@ -107,7 +107,7 @@ def test_decoding_matches_brute_force(spark, monkeypatch, window):
     texts = [t for _, t, _ in corpus(12, seed=4)] + ["", None, "A", "ab", "Ab ", "ß", "THE ung", ""]
     (chunk,) = list(language_id.chunks(pa.array(texts)))
     margins = model.margins(chunk)
-    best, share, lead = model.decide(margins)
+    best, share, lead, _ = model.decide(margins)
     for row, text in enumerate(texts):
         assert margins[row] == pytest.approx(_plain_margins(model, text), rel=1e-4, abs=1e-5)
         name, most, ahead = _plain_decision(model, margins[row])
@@ -133,3 +133,11 @@ def test_memory_does_not_grow_with_languages_or_text(spark):
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert margins.shape == (1, 75) and peak < 200 << 20
+
+
+def test_letters_of_no_language_are_not_known(spark):
+    model = language_id.train(frame(spark, corpus()))
+    rows = [(1, "漢字かな混じり文", None), (2, "ℵℶ ⵣⴰⵎ", None), (3, "12 !", None), (4, None, None), *corpus(90, seed=3)]
+    found = language_id.predict(frame(spark, rows), model).select("text", "language.known").collect()
+    texts = {t for _, t, _ in rows[4:]}
+    assert all(r["known"] == (r["text"] in texts) for r in found)
