@@ -428,6 +428,18 @@ FROM items""",
     "q_regional_loads": f"""WITH {VERSIONS}
 SELECT region, CASE WHEN active THEN 'ACTIVE' ELSE 'INACTIVE' END AS status, count(*) AS rows
 FROM versions WHERE region <> 'r1' OR active GROUP BY ALL""",
+    "q_regional_scan": """
+WITH v AS (
+  SELECT 'r' || (l_suppkey % 3) AS region, l_partkey::VARCHAR AS part, l_orderkey AS o, l_linenumber AS n,
+         CASE WHEN l_linestatus = 'O' THEN 'ACTIVE' ELSE 'INACTIVE' END AS status
+  FROM lineitem
+)
+SELECT region, part AS anonymized_listing_id, CASE WHEN o % 50 NOT IN (3, 7) THEN status END AS status,
+       CASE WHEN o % 50 NOT IN (3, 7) THEN o::VARCHAR END AS updated_at,
+       CASE WHEN o % 50 NOT IN (3, 7) THEN n::VARCHAR END AS price,
+       CASE o % 50 WHEN 3 THEN part || ',' || status
+                   WHEN 7 THEN part || ',' || status || ',' || o || ',' || n || ',x,y' END AS rejected
+FROM v""",
     "q_sorted_sink": f"""WITH {EVENTS}
 SELECT user_id, count(*) AS rows, count(DISTINCT user_id) AS files, count(*) FILTER (user_id IS NULL) AS late
 FROM ev GROUP BY user_id""",

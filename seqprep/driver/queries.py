@@ -13,7 +13,7 @@ from seqprep.functions import cleaning
 from seqprep.functions.encoding import code_of
 from seqprep.operators import catalog, checks, dataset, features, regions, sessions, skew
 from seqprep.operators.dense_ids import dense_ids
-from seqprep.sources import fingerprints, tables
+from seqprep.sources import fingerprints, raw, tables
 from seqprep.sources.spool import shared_folder, spool
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -142,6 +142,33 @@ def regional_loads(spark, sf_dir):
     return stored.groupBy("region", "status").agg(F.count("*").alias("rows"))
 
 
+def regional_scan(spark, sf_dir):
+    """Line items written as raw files of three regions, some with a field too few or too many, and scanned."""
+    names = ["anonymized_listing_id", "status", "updated_at", "price", "note"]
+    lines = fx.listing_versions(spark, sf_dir).select(
+        "region",
+        F.col("l_orderkey").alias("order"),
+        F.col("l_linenumber").alias("line"),
+        F.col("anonymized_listing_id").alias("part"),
+        "status",
+    )
+    head = F.concat_ws(",", "part", "status", fx.text("order"), fx.text("line"))
+    text = F.when(F.col("order") % 50 == 3, F.concat_ws(",", "part", "status")).when(
+        F.col("order") % 50 == 7, F.concat(head, F.lit(",x,y"))
+    ).otherwise(F.concat(head, F.lit(",")))
+    root = f"{shared_folder(spark)}/regional-scan-{uuid.uuid4().hex}"
+    for region in ("r0", "r1", "r2"):
+        own = lines.filter(F.col("region") == region).select(text.alias(",".join(names)))
+        writer = own.write.option("header", True).option("sep", "\u0001").option("compression", "gzip")
+        writer.csv(f"{root}/listings/{region}")
+    scan = raw.checked_scan(spark, root, raw.LISTING_FOLDERS, ["r0", "r1", "r2"], names, "listings", keep_rejects=False)
+    kept = scan.rows.select("region", *names[:4], F.lit(None).cast("string").alias("rejected"))
+    empty = [F.lit(None).cast("string").alias(name) for name in names[1:4]]
+    return kept.unionByName(
+        scan.rejects.select("region", F.col("key").alias(names[0]), *empty, F.col("line").alias("rejected"))
+    )
+
+
 def sorted_sink(spark, sf_dir):
     """Per session the files that hold it, and the rows that stand before an earlier one in a file."""
     path = f"{shared_folder(spark)}/sorted-sink-{uuid.uuid4().hex}"
@@ -645,6 +672,7 @@ REGISTRY: dict[str, Query] = {
     "q_fingerprint_portable": fingerprint_portable,
     "q_item_columns": item_columns,
     "q_regional_loads": regional_loads,
+    "q_regional_scan": regional_scan,
     "q_sorted_sink": sorted_sink,
     "q_run_collapse_untimed": run_collapse_untimed,
     "q_run_collapse_untimed_hot": run_collapse_untimed_hot,

@@ -49,17 +49,17 @@ def load_listings(
     resolutions: Sequence[int] = contract.RESOLUTIONS,
 ) -> dict[str, int]:
     """Catalogue, id map and item columns of the given regions; returns rows read and kept."""
-    scanned = raw.checked_scan(
+    scan = raw.checked_scan(
         spark, data_root, raw.LISTING_FOLDERS, regions, contract.LISTING_COLUMNS, "listings input"
     )
-    scanned, raw_rows = tables.counted(scanned, "raw listings")
-    listings = catalog.active_catalog(catalog.clean_listings(scanned), _REGION)
+    listings = catalog.active_catalog(catalog.clean_listings(scan.rows), _REGION)
     written, seen = tables.counted(catalog.add_cells(listings, resolutions), LISTINGS)
     tables.write_load(written, f"{out_dir}/{LISTINGS}", load)
     stored = _stored(spark, f"{out_dir}/{LISTINGS}", dict.fromkeys(regions, load), merge=True)
     tables.write_load(catalog.listing_map(stored, _REGION), f"{out_dir}/{MAPPING}", load)
     tables.write_load(catalog.item_columns(stored, _REGION), f"{out_dir}/{ITEMS}", load)
-    return {"raw_listings": raw_rows.get["rows"], "listings": seen.get["rows"]}
+    rejected = raw.write_rejects(scan, f"{out_dir}/{LISTINGS}_rejects", load)
+    return {"raw_listings": scan.counts()["lines"], "rejected_listings": rejected, "listings": seen.get["rows"]}
 
 
 def load_events(
@@ -72,9 +72,10 @@ def load_events(
     group_rows: int = GROUP_ROWS,
 ) -> dict[str, int]:
     """Accepted events on catalogued listings of the regions in ``mapping_loads``; returns rows kept."""
-    scanned = raw.checked_scan(
+    scan = raw.checked_scan(
         spark, data_root, raw.EVENT_FOLDERS, list(mapping_loads), contract.EVENT_COLUMNS, "events input"
     )
+    scanned = scan.rows
     mapping = _stored(spark, f"{out_dir}/{MAPPING}", mapping_loads)
     if not is_small(mapping, broadcast_rows):
         # The skew-aware join reads its input twice; parse the gzip text only once.
@@ -84,7 +85,8 @@ def load_events(
     )
     written, seen = tables.counted(enriched, EVENTS)
     tables.write_load(written, f"{out_dir}/{EVENTS}", load)
-    return {"events": seen.get["rows"]}
+    rejected = raw.write_rejects(scan, f"{out_dir}/{EVENTS}_rejects", load)
+    return {"raw_events": scan.counts()["lines"], "rejected_events": rejected, "events": seen.get["rows"]}
 
 
 def load_sessions(

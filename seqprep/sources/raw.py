@@ -6,15 +6,18 @@ Layout: ``<root>/<listings|listing>/<region>/*.csv.gz`` and ``<root>/<events|eve
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from seqprep.sources.schema import expect_columns
+from seqprep.sources.tables import counted, write_load
 
 LISTING_FOLDERS = ("listings", "listing")
 EVENT_FOLDERS = ("events", "event")
+FILE, LINE = "source_file", "unparsed_line"  # columns that a scan adds
 SPREAD_BYTES = 64 << 20  # a compressed file above this makes the scan deal out its rows
 TASK_BYTES = 16 << 20  # compressed bytes per task then
 
@@ -49,13 +52,23 @@ def region_pattern(root: str, folder: str, region: str) -> str:
     return f"{root}/{folder}/{region}/*.csv.gz"
 
 
+def _part(spark: SparkSession, pattern: str) -> DataFrame:
+    """Text columns by the header, the file's name, and the whole line where it has other than the header's fields."""
+    header = spark.read.option("header", True).csv(pattern).schema
+    reader = spark.read.schema(header.add(LINE, "string")).option("header", True).option("enforceSchema", False)
+    # Without pruning a line is held against all columns, whichever are used later.
+    reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", LINE).option("columnPruning", False)
+    return reader.csv(pattern).withColumn(FILE, F.col("_metadata.file_name"))
+
+
 def scan_csv(
     spark: SparkSession, root: str, folders: Sequence[str], regions: Iterable[str]
 ) -> DataFrame:
-    """All regions as one table of text columns plus ``region`` and ``region_order``.
+    """All regions as one table of text columns plus ``region``, ``FILE`` and ``LINE``.
 
     Columns that only some regions have are NULL elsewhere. Within a region every file must have
-    the same header; another column order fails instead of being read by position.
+    the same header; another column order fails instead of being read by position. A line with too few fields
+    has NULLs, one with too many loses the last ones; both keep their text in ``LINE``, which is NULL otherwise.
     """
     regions = list(regions)
     folder = source_folder(spark, root, folders)
@@ -64,11 +77,27 @@ def scan_csv(
         pattern = region_pattern(root, folder, region)
         if _files(spark, pattern) is None:
             raise FileNotFoundError(f"no .csv.gz files found: {pattern}")
-        part = spark.read.option("header", True).option("enforceSchema", False).csv(pattern)
-        parts.append(part.withColumn("region", F.lit(region)))
+        parts.append(_part(spark, pattern).withColumn("region", F.lit(region)))
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), parts)
 
 
+@dataclass(frozen=True)
+class Scan:
+    """Rows of a regional scan; the lines among them that did not parse; and the number of both, once read.
+
+    ``rows`` holds all lines, padded or cut to the header, unless the scan was told to leave out the others.
+    """
+
+    rows: DataFrame
+    rejects: DataFrame
+    seen: Observation
+
+    def counts(self) -> dict[str, int]:
+        """Lines read, rejected, and without a key; only after ``rows`` was written or collected."""
+        found = self.seen.get
+        return {"lines": found["rows"], "rejected": found["rejected"], "no_key": found["no_key"]}
+
+
 def checked_scan(
     spark: SparkSession,
     root: str,
@@ -76,21 +105,39 @@ def checked_scan(
     regions: Iterable[str],
     required: Sequence[str],
     label: str,
-) -> DataFrame:
+    keep_rejects: bool = True,
+) -> Scan:
     """Scan, with the required columns checked; text of large files is dealt out to more tasks.
 
-    One gzip file is one task up to the next shuffle, whatever its size.
+    One gzip file is one task up to the next shuffle, whatever its size. Rejects are counted in the same pass
+    as rows; reading ``rejects`` (region, file, key, line) is a scan of its own, for when there are some.
     """
     regions = list(regions)
     scanned = scan_csv(spark, root, folders, regions)
     expect_columns(scanned, required, label)
+    # Spark reads the rejected line only along with a column of the file: the key.
+    rejects = scanned.filter(F.col(LINE).isNotNull()).select(
+        "region", F.col(FILE).alias("file"), F.col(required[0]).alias("key"), F.col(LINE).alias("line")
+    )
+    rows, seen = counted(scanned, rejected=F.count(LINE), no_key=F.count_if(F.col(required[0]).isNull()))
+    if not keep_rejects:
+        rows = rows.filter(F.col(LINE).isNull())
+    rows = rows.drop(FILE, LINE)
     folder = source_folder(spark, root, folders)
     files = [_files(spark, region_pattern(root, folder, region)) for region in regions]
     sizes = reduce(DataFrame.unionByName, files).agg(F.max("length").alias("most"), F.sum("length").alias("all"))
     size = sizes.first()
-    if size["most"] <= SPREAD_BYTES:
-        return scanned
-    return scanned.repartition(max(2, size["all"] // TASK_BYTES))
+    if size["most"] > SPREAD_BYTES:
+        rows = rows.repartition(max(2, size["all"] // TASK_BYTES))
+    return Scan(rows, rejects, seen)
+
+
+def write_rejects(scan: Scan, path: str, load: str) -> int:
+    """Store the rejected lines of a load by region, if its scan met any; call it when the rows have been read."""
+    rejected = scan.counts()["rejected"]
+    if rejected:
+        write_load(scan.rejects, path, load)
+    return rejected
 
 
 def input_fingerprints(

@@ -64,7 +64,10 @@ def test_all_jobs(spark, data, tmp_path, limits):
     counts = _run(spark, data, tmp_path, **limits)
     assert counts == {
         "rows": 16, "sessions": 5, "items": 4, "catalog_items": 4, "loaded": ["mg", "es_bh"],
-        "stages": {"raw_listings": 7, "listings": 5, "events": 19, "session_events": 16},
+        "stages": {
+            "raw_listings": 7, "rejected_listings": 0, "listings": 5,
+            "raw_events": 21, "rejected_events": 0, "events": 19, "session_events": 16,
+        },
     }
 
     events = spark.read.parquet(f"{tmp_path}/work/events.parquet")
@@ -109,7 +112,7 @@ def test_only_the_stages_that_changed_run_again(spark, data, tmp_path):
     assert fewer["loaded"] == ["mg", "es_bh"] and set(fewer["stages"]) == {"session_events"}
     _write(data / "events/mg/c.csv.gz", EVENT_HEADER, _session("s9", *[("L1", "LeadClicked"), ("L2", "ListingRendered")] * 3))
     more = _run(spark, data, tmp_path, min_item_freq=3)
-    assert more["loaded"] == ["mg"] and set(more["stages"]) == {"events", "session_events"}
+    assert more["loaded"] == ["mg"] and set(more["stages"]) == {"raw_events", "rejected_events", "events", "session_events"}
 
 
 def test_a_region_that_becomes_empty_is_an_error(spark, data, tmp_path):
@@ -140,7 +143,7 @@ def test_large_files_are_dealt_out(spark, data, monkeypatch):
     monkeypatch.setattr(raw, "SPREAD_BYTES", 10)
     monkeypatch.setattr(raw, "TASK_BYTES", 50)
     scanned = raw.checked_scan(spark, str(data), raw.EVENT_FOLDERS, ["mg"], EVENT_HEADER, "events input")
-    assert scanned.rdd.getNumPartitions() > 2 and scanned.count() == 15
+    assert scanned.rows.rdd.getNumPartitions() > 2 and scanned.rows.count() == 15
 
 
 def test_final_only_and_unfinished_regions(spark, data, tmp_path):
@@ -244,3 +247,19 @@ def test_jobs_empty_their_spools(spark, data, tmp_path):
 
 def test_spools_live_in_the_configured_folder(spark):
     assert shared_folder(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
+
+
+def test_lines_that_do_not_parse(spark, data, tmp_path):
+    """They stay in the rows, padded or cut, as long as nobody leaves them out, and are told line by line."""
+    path = data / "events/mg/broken.csv.gz"
+    with gzip.open(path, "wt") as stream:
+        stream.write(",".join(EVENT_HEADER) + "\nL1,s1\nL1,s1,1700000009000,ListingRendered,more\n\nL2,s2,1700000009000,LeadClicked\n")
+    scan = raw.checked_scan(spark, str(data), raw.EVENT_FOLDERS, ["mg"], EVENT_HEADER, "events input")
+    assert len(scan.rows.collect()) == 18 and scan.counts() == {"lines": 18, "rejected": 2, "no_key": 0}
+    assert scan.rows.columns == [*EVENT_HEADER, "region"]
+    lines = {"L1,s1", "L1,s1,1700000009000,ListingRendered,more"}
+    assert {tuple(r) for r in scan.rejects.collect()} == {("mg", "broken.csv.gz", "L1", line) for line in lines}
+    strict = raw.checked_scan(spark, str(data), raw.EVENT_FOLDERS, ["mg"], EVENT_HEADER, "events input", keep_rejects=False)
+    assert len(strict.rows.collect()) == 16
+    assert raw.write_rejects(scan, f"{tmp_path}/rejects", "one") == 2
+    assert spark.read.parquet(f"{tmp_path}/rejects/load=one/region=mg").count() == 2
