@@ -9,9 +9,10 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from seqprep import contract
+from seqprep.sources.spool import spool
 
 EXAMPLES = 5
 
@@ -36,8 +37,11 @@ class CheckFailed(ValueError):
 
 
 def _offenders(name: str, offending: DataFrame, key: str) -> DataFrame:
-    """Count the distinct offending keys and show the first few."""
-    keys = offending.select(F.col(key).cast("string").alias("key")).distinct()
+    """Count the distinct offending keys and show the first few.
+
+    The table is looked through once; the offending keys are stored, and counted and cut to the first few there.
+    """
+    keys = spool(offending.select(F.col(key).cast("string").alias("key")).distinct(), "offenders")
     counted = keys.agg(F.count("*").alias("violations")).withColumn("examples", _no_examples())
     first = keys.orderBy(F.asc_nulls_first("key")).limit(EXAMPLES)
     shown = first.agg(F.array_sort(F.collect_list("key")).alias("examples"))
@@ -77,16 +81,40 @@ def bad_intensity(events: DataFrame) -> DataFrame:
     return _count("bad_intensity", events, F.count_if(~good))
 
 
+def _neighbours(keys: DataFrame, column: str, steps_of_one: bool) -> DataFrame:
+    """Rows of a column, and how many break its order: repeats, NULLs, and with ``steps_of_one`` also gaps.
+
+    The column is range partitioned, sorted and stored, so a row meets its neighbour inside its partition; the
+    partitions' first and last values, one row each, settle what happens between them.
+    """
+    sorted_keys = keys.select(F.col(column).alias("key")).repartitionByRange("key").sortWithinPartitions("key")
+    stored = spool(sorted_keys.select("key", F.spark_partition_id().alias("part")), "check-order")
+    before = F.lag("key").over(Window.partitionBy("part").orderBy("key"))
+    step = F.col("key") - F.col("before") if steps_of_one else F.lit(None).cast("bigint")
+    broken = (F.col("key") == F.col("before")) | F.col("key").isNull()
+    if steps_of_one:
+        broken = broken | (step != 1)
+    inside = stored.withColumn("before", before).groupBy("part").agg(
+        F.count("*").alias("rows"), F.count_if(broken).alias("broken"), F.min("key").alias("key"), F.max("key").alias("last")
+    )
+    previous = F.lag("last").over(Window.orderBy("part"))  # a row per partition
+    between = (F.col("key") != F.col("before") + 1) if steps_of_one else (F.col("key") == F.col("before"))
+    return inside.withColumn("before", previous).agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum("broken"), F.lit(0)).alias("inside"),
+        F.count_if(between).alias("between"),
+        F.min("key").alias("least"),
+    )
+
+
 def smap_not_contiguous(smap: DataFrame) -> DataFrame:
     """Any of: empty, ids not 1..n, repeated ids, repeated sids."""
-    broken = (
-        (F.count("*") == 0)
-        | (F.min("dense_id") != 1)
-        | (F.max("dense_id") != F.count("*"))
-        | (F.count_distinct("dense_id") != F.count("*"))
-        | (F.count_distinct("sid") != F.count("*"))
-    )
-    return _count("smap_not_contiguous", smap, broken.cast("int"))
+    ids = _neighbours(smap, "dense_id", steps_of_one=True)
+    sids = _neighbours(smap, "sid", steps_of_one=False).select(F.col("inside").alias("sid_inside"), F.col("between").alias("sid_between"))
+    broken = (F.col("rows") == 0) | (F.coalesce("least", F.lit(0)) != 1) | (F.col("inside") + F.col("between") > 0)
+    broken = broken | (F.col("sid_inside") + F.col("sid_between") > 0)
+    both = ids.withColumn("one", F.lit(1)).join(sids.withColumn("one", F.lit(1)), "one")  # one row each
+    return _named("smap_not_contiguous", both.select(broken.cast("bigint").alias("violations"), _no_examples().alias("examples")))
 
 
 def sids_not_in_events(smap: DataFrame, sid_canonical: DataFrame) -> DataFrame:
