@@ -58,6 +58,19 @@ def active_catalog(listings: DataFrame, within: Sequence[str] = ()) -> DataFrame
     return dense_ids(latest, [*within, key], "listing_id_numeric", within)
 
 
+def grown_catalog(
+    catalog: DataFrame, listings: DataFrame, within: Sequence[str] = (), added: Sequence[str] = ()
+) -> DataFrame:
+    """The active catalogue of what ``catalog`` was made from and further cleaned ``listings`` together.
+
+    Only newest ACTIVE versions are looked at again, which is enough: an older version never wins. Columns
+    that the catalogue got (ids, and those ``added`` since) are made anew.
+    """
+    made = {"canonical_listing_id", "listing_id_numeric", *added}
+    before = catalog.select(*(name for name in catalog.columns if name not in made))
+    return active_catalog(before.unionByName(listings, allowMissingColumns=True), within)
+
+
 def listing_map(catalog: DataFrame, within: Sequence[str] = ()) -> DataFrame:
     return catalog.select(
         *within, "anonymized_listing_id", "canonical_listing_id", "listing_id_numeric"

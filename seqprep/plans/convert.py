@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Mapping, Sequence
 
@@ -21,6 +22,7 @@ ITEMS = "items_processed"
 EVENTS = "events_processed"
 SESSIONS = "sessions_processed"
 LOADS = "loads"
+FILES = "loaded_files"
 FINAL_EVENTS = "events.parquet"
 FINAL_ITEMS = "items.parquet"
 
@@ -47,12 +49,23 @@ def load_listings(
     load: str,
     regions: Sequence[str],
     resolutions: Sequence[int] = contract.RESOLUTIONS,
+    files: Mapping[str, Sequence[str]] | None = None,
+    grown_from: Mapping[str, str] | None = None,
 ) -> dict[str, int]:
-    """Catalogue, id map and item columns of the given regions; returns rows read and kept."""
+    """Catalogue, id map and item columns of the given regions; returns rows read and kept.
+
+    With ``files`` only these are read, and the catalogues of the loads in ``grown_from`` grow by them.
+    """
     scan = raw.checked_scan(
-        spark, data_root, raw.LISTING_FOLDERS, regions, contract.LISTING_COLUMNS, "listings input"
+        spark, data_root, raw.LISTING_FOLDERS, regions, contract.LISTING_COLUMNS, "listings input", files=files
     )
-    listings = catalog.active_catalog(catalog.clean_listings(scan.rows), _REGION)
+    cleaned = catalog.clean_listings(scan.rows)
+    if grown_from is None:
+        listings = catalog.active_catalog(cleaned, _REGION)
+    else:
+        cells = [f"{contract.CELL_PREFIX}{resolution}" for resolution in resolutions]
+        earlier = _stored(spark, f"{out_dir}/{LISTINGS}", grown_from, merge=True)
+        listings = catalog.grown_catalog(earlier, cleaned, _REGION, cells)
     written, seen = tables.counted(catalog.add_cells(listings, resolutions), LISTINGS)
     tables.write_load(written, f"{out_dir}/{LISTINGS}", load)
     stored = _stored(spark, f"{out_dir}/{LISTINGS}", dict.fromkeys(regions, load), merge=True)
@@ -70,10 +83,14 @@ def load_events(
     mapping_loads: Mapping[str, str],
     broadcast_rows: int = BROADCAST_ROWS,
     group_rows: int = GROUP_ROWS,
+    files: Mapping[str, Sequence[str]] | None = None,
 ) -> dict[str, int]:
-    """Accepted events on catalogued listings of the regions in ``mapping_loads``; returns rows kept."""
+    """Accepted events on catalogued listings of the regions in ``mapping_loads``; returns rows kept.
+
+    With ``files`` only these are read; the caller keeps the loads that hold the others.
+    """
     scan = raw.checked_scan(
-        spark, data_root, raw.EVENT_FOLDERS, list(mapping_loads), contract.EVENT_COLUMNS, "events input"
+        spark, data_root, raw.EVENT_FOLDERS, list(mapping_loads), contract.EVENT_COLUMNS, "events input", files=files
     )
     scanned = scan.rows
     mapping = _stored(spark, f"{out_dir}/{MAPPING}", mapping_loads)
@@ -153,14 +170,28 @@ def merge(
     return stats.asDict() | {"catalog_items": item_state.rows}
 
 
-def _sources(
-    spark: SparkSession, data_root: str, folders: Sequence[str], regions: Sequence[str]
-) -> dict[str, str]:
+def _sources(files: DataFrame) -> dict[str, str]:
     """Number and fingerprint of each region's files."""
-    rows = raw.input_fingerprints(spark, data_root, folders, regions).collect()
+    rows = raw.input_fingerprints(files).collect()
     return {row["region"]: f"{row['files']}-{row['fingerprint']}" for row in rows}
 
 
+def _growth(
+    current: DataFrame, loaded: DataFrame, entries: Mapping[str, manifest.StageLoad | None], wanted: Mapping[str, str]
+) -> dict[str, list[str]]:
+    """Regions whose stage differs from what is wanted by new files alone, with these files."""
+    added = raw.added_files(current, loaded)
+
+    def but_files(text: str) -> dict:
+        return {name: value for name, value in json.loads(text).items() if name != "files"}
+
+    return {
+        region: added[region]
+        for region, entry in entries.items()
+        if entry and entry.made_from and added.get(region) and but_files(entry.made_from) == but_files(wanted[region])
+    }
+
+
 def convert(
     spark: SparkSession,
     data_root: str,
@@ -177,7 +208,9 @@ def convert(
 ) -> dict:
     """Bring every region's stages up to date, then merge.
 
-    A stage of a region is made again when its files, its parameters or an earlier stage changed; its entry is
+    A stage of a region is made again when its files, its parameters or an earlier stage changed. Where the
+    only change is further files, only these are read: catalogues grow by them, and their events are stored next
+    to those loaded before (new listings make a region's events be joined again). A stage's entry is
     withdrawn before and recorded after, and each load has files of its own. So a load that breaks off leaves
     nothing that a merge would take, and a changed session limit reads no text. Earlier loads stay on disk
     until removed. Returns the counts of the final tables, the regions that were loaded, and the rows that
@@ -192,8 +225,11 @@ def convert(
     if not final_only:
         lengths = {"min_session_length": min_session_length, "max_session_length": max_session_length}
         limits = {"broadcast_rows": broadcast_rows, "group_rows": group_rows}
-        listing_files = _sources(spark, data_root, raw.LISTING_FOLDERS, regions)
-        event_files = _sources(spark, data_root, raw.EVENT_FOLDERS, regions)
+        files = {
+            "listings": raw.listed_files(spark, data_root, raw.LISTING_FOLDERS, regions),
+            "events": raw.listed_files(spark, data_root, raw.EVENT_FOLDERS, regions),
+        }
+        listing_files, event_files = _sources(files["listings"]), _sources(files["events"])
         made_from: dict[str, dict[str, str]] = {"listings": {}, "events": {}, "sessions": {}}
         for region in regions:
             before = manifest.parameter_text(files=listing_files[region], resolutions=list(resolutions))
@@ -213,24 +249,39 @@ def convert(
             ]
             if not pending:
                 continue
-            load = f"load-{uuid.uuid4().hex}"
+            grown: dict[str, list[str]] = {}
+            if stage in files:
+                entries = {region: current[region] for region in pending}
+                seen = manifest.loaded_files(spark, f"{out_dir}/{FILES}", stage)
+                grown = _growth(files[stage], seen, entries, made_from[stage])
             withdrawn = [
                 manifest.StageLoad(region, later, "", "") for region in pending for later in STAGES[place:]
             ]
             manifest.record_stages(spark, f"{out_dir}/{LOADS}", withdrawn)
-            earlier = {r: recorded[r, STAGES[place - 1]].load for r in pending} if place else {}
-            with spool_scope(spark):
-                if stage == "listings":
-                    rows = load_listings(spark, data_root, out_dir, load, pending, resolutions)
-                elif stage == "events":
-                    rows = load_events(spark, data_root, out_dir, load, earlier, **limits)
-                else:
-                    rows = load_sessions(
-                        spark, out_dir, load, earlier, min_item_freq=min_item_freq, **lengths, **limits
-                    )
-            done = [manifest.StageLoad(region, stage, made_from[stage][region], load) for region in pending]
-            manifest.record_stages(spark, f"{out_dir}/{LOADS}", done)
-            loaded |= set(pending)
-            stages |= rows
+            for part in (list(grown), [region for region in pending if region not in grown]):
+                if not part:
+                    continue
+                load = f"load-{uuid.uuid4().hex}"
+                new = {region: grown[region] for region in part} if part[0] in grown else None
+                earlier = {r: recorded[r, STAGES[place - 1]].load for r in part} if place else {}
+                kept = {r: recorded[r, stage].load for r in part} if new else None
+                with spool_scope(spark):
+                    if stage == "listings":
+                        rows = load_listings(spark, data_root, out_dir, load, part, resolutions, new, kept)
+                    elif stage == "events":
+                        rows = load_events(spark, data_root, out_dir, load, earlier, files=new, **limits)
+                    else:
+                        rows = load_sessions(
+                            spark, out_dir, load, earlier, min_item_freq=min_item_freq, **lengths, **limits
+                        )
+                if stage in files:
+                    own = files[stage].filter(F.col("region").isin(*part))
+                    manifest.record_files(spark, f"{out_dir}/{FILES}", stage, own)
+                # New events stand beside the loads that hold the others.
+                loads = {r: f"{kept[r]},{load}" if new and stage == "events" else load for r in part}
+                done = [manifest.StageLoad(region, stage, made_from[stage][region], loads[region]) for region in part]
+                manifest.record_stages(spark, f"{out_dir}/{LOADS}", done)
+                loaded |= set(part)
+                stages |= {name: stages.get(name, 0) + count for name, count in rows.items()}
     counts = merge(spark, out_dir, regions, output_partitions)
     return counts | {"loaded": [region for region in regions if region in loaded], "stages": stages}

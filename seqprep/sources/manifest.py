@@ -6,7 +6,7 @@ import json
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from seqprep.sources.fingerprints import TableState, file_state
 from seqprep.sources.tables import read_regions, regions_exist, table_exists
@@ -68,3 +68,18 @@ def record_stages(spark: SparkSession, path: str, entries: Iterable[StageLoad])
     frame = spark.createDataFrame(rows, "region string, stage string, made_from string, load string")
     writer = frame.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("region", "stage").parquet(path)
+
+
+_FILES = "path string, length bigint, modified bigint, region string, stage string"
+
+
+def loaded_files(spark: SparkSession, path: str, stage: str) -> DataFrame:
+    """(region, path, length, modified) of the files that finished loads of a stage have read."""
+    known = read_regions(spark, path) if regions_exist(spark, path) else spark.createDataFrame([], _FILES)
+    return known.filter(F.col("stage") == stage).select("region", "path", "length", "modified")
+
+
+def record_files(spark: SparkSession, path: str, stage: str, files: DataFrame) -> None:
+    """Put the files of the given regions in place of those recorded before."""
+    writer = files.withColumn("stage", F.lit(stage)).coalesce(1).write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy("region", "stage").parquet(path)

@@ -5,7 +5,7 @@ Layout: ``<root>/<listings|listing>/<region>/*.csv.gz`` and ``<root>/<events|eve
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -29,7 +29,7 @@ def check_regions(regions: Sequence[str]) -> list[str]:
     return regions
 
 
-def _files(spark: SparkSession, pattern: str) -> DataFrame | None:
+def _files(spark: SparkSession, pattern: str | Sequence[str]) -> DataFrame | None:
     """Names, sizes and times of the matching files (contents are not read), or None."""
     try:
         found = spark.read.format("binaryFile").load(pattern)
@@ -52,7 +52,31 @@ def region_pattern(root: str, folder: str, region: str) -> str:
     return f"{root}/{folder}/{region}/*.csv.gz"
 
 
-def _part(spark: SparkSession, pattern: str) -> DataFrame:
+def listed_files(spark: SparkSession, root: str, folders: Sequence[str], regions: Iterable[str]) -> DataFrame:
+    """(region, path, length, modified) of every file of the regions; contents are not read."""
+    folder = source_folder(spark, root, folders)
+    parts = []
+    for region in regions:
+        files = _files(spark, region_pattern(root, folder, region))
+        if files is None:
+            raise FileNotFoundError(f"no .csv.gz files found for {region} in {root}/{folder}")
+        parts.append(files.select(F.lit(region).alias("region"), "path", "length", F.unix_micros("modificationTime").alias("modified")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def added_files(current: DataFrame, loaded: DataFrame) -> dict[str, list[str] | None]:
+    """Per region the files that no load has read yet; None where a loaded file changed or is gone.
+
+    Both tables are as ``listed_files`` makes them. The driver gets the paths of new files.
+    """
+    gone = {row["region"] for row in loaded.join(current, current.columns, "left_anti").select("region").distinct().collect()}
+    found: dict[str, list[str] | None] = {}
+    for row in current.join(loaded, current.columns, "left_anti").select("region", "path").collect():
+        found.setdefault(row["region"], []).append(row["path"])
+    return found | dict.fromkeys(gone)
+
+
+def _part(spark: SparkSession, pattern: str | Sequence[str]) -> DataFrame:
     """Text columns by the header, the file's name, and the whole line where it has other than the header's fields."""
     header = spark.read.option("header", True).csv(pattern).schema
     reader = spark.read.schema(header.add(LINE, "string")).option("header", True).option("enforceSchema", False)
@@ -62,9 +86,13 @@ def _part(spark: SparkSession, pattern: str) -> DataFrame:
 
 
 def scan_csv(
-    spark: SparkSession, root: str, folders: Sequence[str], regions: Iterable[str]
+    spark: SparkSession,
+    root: str,
+    folders: Sequence[str],
+    regions: Iterable[str],
+    files: Mapping[str, Sequence[str]] | None = None,
 ) -> DataFrame:
-    """All regions as one table of text columns plus ``region``, ``FILE`` and ``LINE``.
+    """All regions, or of each only the given ``files``, as one table of text columns plus ``region``, ``FILE`` and ``LINE``.
 
     Columns that only some regions have are NULL elsewhere. Within a region every file must have
     the same header; another column order fails instead of being read by position. A line with too few fields
@@ -74,7 +102,7 @@ def scan_csv(
     folder = source_folder(spark, root, folders)
     parts = []
     for region in regions:
-        pattern = region_pattern(root, folder, region)
+        pattern = list(files[region]) if files else region_pattern(root, folder, region)
         if _files(spark, pattern) is None:
             raise FileNotFoundError(f"no .csv.gz files found: {pattern}")
         parts.append(_part(spark, pattern).withColumn("region", F.lit(region)))
@@ -106,6 +134,7 @@ def checked_scan(
     required: Sequence[str],
     label: str,
     keep_rejects: bool = True,
+    files: Mapping[str, Sequence[str]] | None = None,
 ) -> Scan:
     """Scan, with the required columns checked; text of large files is dealt out to more tasks.
 
@@ -113,7 +142,7 @@ def checked_scan(
     as rows; reading ``rejects`` (region, file, key, line) is a scan of its own, for when there are some.
     """
     regions = list(regions)
-    scanned = scan_csv(spark, root, folders, regions)
+    scanned = scan_csv(spark, root, folders, regions, files)
     expect_columns(scanned, required, label)
     # Spark reads the rejected line only along with a column of the file: the key.
     rejects = scanned.filter(F.col(LINE).isNotNull()).select(
@@ -124,8 +153,8 @@ def checked_scan(
         rows = rows.filter(F.col(LINE).isNull())
     rows = rows.drop(FILE, LINE)
     folder = source_folder(spark, root, folders)
-    files = [_files(spark, region_pattern(root, folder, region)) for region in regions]
-    sizes = reduce(DataFrame.unionByName, files).agg(F.max("length").alias("most"), F.sum("length").alias("all"))
+    read = [_files(spark, list(files[r]) if files else region_pattern(root, folder, r)) for r in regions]
+    sizes = reduce(DataFrame.unionByName, read).agg(F.max("length").alias("most"), F.sum("length").alias("all"))
     size = sizes.first()
     if size["most"] > SPREAD_BYTES:
         rows = rows.repartition(max(2, size["all"] // TASK_BYTES))
@@ -140,20 +169,7 @@ def write_rejects(scan: Scan, path: str, load: str) -> int:
     return rejected
 
 
-def input_fingerprints(
-    spark: SparkSession, root: str, folders: Sequence[str], regions: Iterable[str]
-) -> DataFrame:
-    """One fingerprint per region over names, sizes and times of its files."""
-    folder = source_folder(spark, root, folders)
-    parts = []
-    for region in regions:
-        files = _files(spark, region_pattern(root, folder, region))
-        if files is None:
-            raise FileNotFoundError(f"no .csv.gz files found for {region} in {root}/{folder}")
-        parts.append(files.withColumn("region", F.lit(region)))
-    each = F.xxhash64("path", "length", F.unix_micros("modificationTime"))
-    return (
-        reduce(DataFrame.unionByName, parts)
-        .groupBy("region")
-        .agg(F.count("*").alias("files"), F.bit_xor(each).alias("fingerprint"))
-    )
+def input_fingerprints(files: DataFrame) -> DataFrame:
+    """One fingerprint per region over paths, sizes and times of its files, as ``listed_files`` gives them."""
+    each = F.xxhash64("path", "length", "modified")
+    return files.groupBy("region").agg(F.count("*").alias("files"), F.bit_xor(each).alias("fingerprint"))

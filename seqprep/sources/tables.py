@@ -80,13 +80,14 @@ def read_regions(spark: SparkSession, path: str, merge: bool = False) -> DataFra
 def read_loads(
     spark: SparkSession, path: str, loads: Mapping[str, str], merge: bool = False
 ) -> DataFrame:
-    """Of each region the partition that one load wrote; ``loads`` is region to load.
+    """Of each region the partitions that its loads wrote; ``loads`` is region to load, or to several with commas.
 
     A load that wrote nothing for its region has no partition, so older rows never stand in for it.
     """
     by_load: dict[str, list[str]] = {}
-    for region, load in loads.items():
-        by_load.setdefault(load, []).append(region)
+    for region, names in loads.items():
+        for load in names.split(","):
+            by_load.setdefault(load, []).append(region)
     wanted = [(F.col("load") == load) & F.col("region").isin(*names) for load, names in by_load.items()]
     rows = read_regions(spark, path, merge)
     return rows.filter(reduce(lambda one, two: one | two, wanted)).drop("load")

@@ -263,3 +263,22 @@ def test_lines_that_do_not_parse(spark, data, tmp_path):
     assert len(strict.rows.collect()) == 16
     assert raw.write_rejects(scan, f"{tmp_path}/rejects", "one") == 2
     assert spark.read.parquet(f"{tmp_path}/rejects/load=one/region=mg").count() == 2
+
+
+def test_only_new_files_are_read(spark, data, tmp_path):
+    _run(spark, data, tmp_path)
+    render = "ListingRendered"
+    _write(data / "events/mg/c.csv.gz", EVENT_HEADER, _session("s7", ("L1", render), ("L2", render), ("L1", render)))
+    more = _run(spark, data, tmp_path)
+    assert more["loaded"] == ["mg"] and more["stages"]["raw_events"] == 3 and "raw_listings" not in more["stages"]
+    new = [_listing("L7"), _listing("L1", updated="2023-01-01 00:00:00", price="R$ 7"), _listing("L4", updated="2024-03-01 00:00:00", price="R$ 4")]
+    _write(data / "listings/mg/b.csv.gz", LISTING_HEADER, new)
+    again = _run(spark, data, tmp_path)
+    assert again["stages"]["raw_listings"] == 3 and again["stages"]["listings"] == 4 and again["stages"]["raw_events"] == 18
+    fresh = convert(spark, str(data), f"{tmp_path}/fresh", min_item_freq=2, output_partitions=3)
+    for name in ("events", "items"):
+        grown, whole = (sorted(map(str, spark.read.parquet(f"{tmp_path}/{where}/{name}.parquet").collect())) for where in ("work", "fresh"))
+        assert grown == whole
+    assert {k: v for k, v in again.items() if k not in ("stages", "loaded")} == {k: v for k, v in fresh.items() if k not in ("stages", "loaded")}
+    (data / "events/mg/c.csv.gz").unlink()
+    assert _run(spark, data, tmp_path)["stages"]["raw_events"] == 15
