@@ -428,6 +428,16 @@ FROM items""",
     "q_regional_loads": f"""WITH {VERSIONS}
 SELECT region, CASE WHEN active THEN 'ACTIVE' ELSE 'INACTIVE' END AS status, count(*) AS rows
 FROM versions WHERE region <> 'r1' OR active GROUP BY ALL""",
+    "q_incremental_load": """
+WITH v AS (
+  SELECT 'r' || (l_suppkey % 3) AS region, l_partkey::VARCHAR AS id, l_shipdate AS moment, l_orderkey, l_linenumber
+  FROM lineitem WHERE l_linestatus = 'O'
+), newest AS (
+  SELECT * FROM v QUALIFY row_number() OVER (PARTITION BY region, id ORDER BY moment DESC, l_orderkey, l_linenumber) = 1
+)
+SELECT region, id AS anonymized_listing_id, epoch_us(moment) // 1000000 AS updated_s, l_orderkey, l_linenumber,
+       row_number() OVER (PARTITION BY region ORDER BY id) AS listing_id_numeric
+FROM newest""",
     "q_regional_scan": """
 WITH v AS (
   SELECT 'r' || (l_suppkey % 3) AS region, l_partkey::VARCHAR AS part, l_orderkey AS o, l_linenumber AS n,

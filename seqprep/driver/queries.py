@@ -142,6 +142,43 @@ def regional_loads(spark, sf_dir):
     return stored.groupBy("region", "status").agg(F.count("*").alias("rows"))
 
 
+def _write_listings(lines, root):
+    """Raw files of three regions, next to those that are there, from (region, a line under its header)."""
+    for region in ("r0", "r1", "r2"):
+        own = lines.filter(F.col("region") == region).drop("region")
+        writer = own.write.mode("append").option("header", True).option("sep", "\u0001").option("compression", "gzip")
+        writer.csv(f"{root}/listings/{region}")
+
+
+def incremental_load(spark, sf_dir):
+    """Catalogues of three regions made from a first batch of files and grown by the files of a second."""
+    names = ["anonymized_listing_id", "status", "updated_at", "l_orderkey", "l_linenumber"]
+    versions = fx.listing_versions(spark, sf_dir)
+    moment = F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss")
+    text = F.concat_ws(",", names[0], "status", moment, fx.text("l_orderkey"), fx.text("l_linenumber"))
+    root = f"{shared_folder(spark)}/incremental-load-{uuid.uuid4().hex}"
+    regions = ["r0", "r1", "r2"]
+
+    def listed():
+        return spool(raw.listed_files(spark, root, raw.LISTING_FOLDERS, regions), "listed-files")
+
+    def cleaned(files=None):
+        scan = raw.checked_scan(spark, root, raw.LISTING_FOLDERS, regions, names, "listings", files=files)
+        whole = {name: F.col(name).cast("bigint") for name in names[3:]}
+        return catalog.clean_listings(scan.rows).withColumns(whole)
+
+    second = F.col("l_orderkey") % 4 == 1
+    _write_listings(versions.filter(~second).select("region", text.alias(",".join(names))), root)
+    first_files = listed()
+    first = spool(catalog.active_catalog(cleaned(), ["region"]), "first-catalog")
+    _write_listings(versions.filter(second).select("region", text.alias(",".join(names))), root)
+    added = raw.added_files(listed(), first_files)
+    grown = catalog.grown_catalog(first, cleaned(added), ["region"])
+    return grown.select(
+        "region", names[0], F.unix_timestamp("updated_at").alias("updated_s"), "l_orderkey", "l_linenumber", "listing_id_numeric"
+    )
+
+
 def regional_scan(spark, sf_dir):
     """Line items written as raw files of three regions, some with a field too few or too many, and scanned."""
     names = ["anonymized_listing_id", "status", "updated_at", "price", "note"]
@@ -157,10 +194,7 @@ def regional_scan(spark, sf_dir):
         F.col("order") % 50 == 7, F.concat(head, F.lit(",x,y"))
     ).otherwise(F.concat(head, F.lit(",")))
     root = f"{shared_folder(spark)}/regional-scan-{uuid.uuid4().hex}"
-    for region in ("r0", "r1", "r2"):
-        own = lines.filter(F.col("region") == region).select(text.alias(",".join(names)))
-        writer = own.write.option("header", True).option("sep", "\u0001").option("compression", "gzip")
-        writer.csv(f"{root}/listings/{region}")
+    _write_listings(lines.select("region", text.alias(",".join(names))), root)
     scan = raw.checked_scan(spark, root, raw.LISTING_FOLDERS, ["r0", "r1", "r2"], names, "listings", keep_rejects=False)
     kept = scan.rows.select("region", *names[:4], F.lit(None).cast("string").alias("rejected"))
     empty = [F.lit(None).cast("string").alias(name) for name in names[1:4]]
@@ -673,6 +707,7 @@ REGISTRY: dict[str, Query] = {
     "q_item_columns": item_columns,
     "q_regional_loads": regional_loads,
     "q_regional_scan": regional_scan,
+    "q_incremental_load": incremental_load,
     "q_sorted_sink": sorted_sink,
     "q_run_collapse_untimed": run_collapse_untimed,
     "q_run_collapse_untimed_hot": run_collapse_untimed_hot,
