@@ -24,17 +24,20 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint64)
 _LOWER[ord("A") : ord("Z") + 1] += _U64(32)
 _LOWER += _U64(1)  # no byte counts as zero
-_KEPT_POWERS = 1 << 12
+_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 
 
-def _power_table(length: int) -> np.ndarray:
-    """Powers of the hash base modulo 2**64, from 0 on."""
-    steps = np.full(length, _BASE, dtype=np.uint64)
-    steps[:1] = 1
-    return np.multiply.accumulate(steps)
+def _geometric(length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the hash base and of its inverse modulo 2**64, from 0 on."""
+    pair = []
+    for base in (_BASE, _BASE_INVERSE):
+        steps = np.full(length, base, dtype=np.uint64)
+        steps[:1] = 1
+        pair.append(np.multiply.accumulate(steps))
+    return pair[0], pair[1]
 
 
-_POWERS = _power_table(_KEPT_POWERS)
+_WINDOW_POWERS = _geometric(2 * WINDOW_BYTES)
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -111,21 +114,19 @@ def words(chunk: Chunk) -> Words:
     for begin, end, first, last in windows(data, bounds, _SPACE, WINDOW_BYTES):
         part = data[begin:end]
         blank = _SPACE[part]
-        opens = ~blank
-        opens[1:] &= blank[:-1]
+        opens = np.ones(len(part), dtype=bool)  # preceded by white space or a document's start
+        opens[1:] = blank[:-1]
         borders = bounds[first:last] - begin
-        borders = borders[(borders >= 0) & (borders < len(part))]
-        opens[borders] = ~blank[borders]
-        starts = np.flatnonzero(opens)
-        if not len(starts):
-            continue
-        number = np.cumsum(opens) - 1
-        inside = np.flatnonzero(~blank)
-        place = inside - starts[number[inside]]
-        longest = int(place.max())
-        powers = _POWERS if longest < _KEPT_POWERS else _power_table(longest + 1)
-        cuts = np.searchsorted(inside, starts)
-        hashes.append(mix(np.add.reduceat(_LOWER[part[inside]] * powers[place], cuts)))
+        opens[borders[(borders >= 0) & (borders < len(part))]] = True
+        closes = np.ones(len(part), dtype=bool)
+        closes[:-1] = opens[1:] | blank[1:]
+        starts = np.flatnonzero(opens & ~blank)
+        ends = np.flatnonzero(closes & ~blank) + 1
+        # A window goes on to the end of its last word; it is longer than the table only where a word is very long.
+        power, inverse = _WINDOW_POWERS if len(part) <= len(_WINDOW_POWERS[0]) else _geometric(len(part))
+        sums = np.zeros(len(part) + 1, dtype=np.uint64)
+        np.cumsum(_LOWER[part] * power[: len(part)], out=sums[1:])
+        hashes.append(mix((sums[ends] - sums[starts]) * inverse[starts]))
         places.append(starts + begin)
     starts = np.concatenate(places)
     return Words(np.concatenate(hashes), np.searchsorted(starts, bounds))
