@@ -109,12 +109,11 @@ def _neighbours(keys: DataFrame, column: str, steps_of_one: bool) -> DataFrame:
 
 def smap_not_contiguous(smap: DataFrame) -> DataFrame:
     """Any of: empty, ids not 1..n, repeated ids, repeated sids."""
-    ids = _neighbours(smap, "dense_id", steps_of_one=True)
-    sids = _neighbours(smap, "sid", steps_of_one=False).select(F.col("inside").alias("sid_inside"), F.col("between").alias("sid_between"))
-    broken = (F.col("rows") == 0) | (F.coalesce("least", F.lit(0)) != 1) | (F.col("inside") + F.col("between") > 0)
-    broken = broken | (F.col("sid_inside") + F.col("sid_between") > 0)
-    both = ids.withColumn("one", F.lit(1)).join(sids.withColumn("one", F.lit(1)), "one")  # one row each
-    return _named("smap_not_contiguous", both.select(broken.cast("bigint").alias("violations"), _no_examples().alias("examples")))
+    out_of_order = F.col("inside") + F.col("between") > 0
+    not_from_one = (F.col("rows") == 0) | (F.coalesce("least", F.lit(0)) != 1)
+    ids = _neighbours(smap, "dense_id", steps_of_one=True).select((out_of_order | not_from_one).alias("broken"))
+    sids = _neighbours(smap, "sid", steps_of_one=False).select(out_of_order.alias("broken"))
+    return _count("smap_not_contiguous", ids.unionByName(sids), F.max(F.col("broken").cast("int")))
 
 
 def sids_not_in_events(smap: DataFrame, sid_canonical: DataFrame) -> DataFrame:
