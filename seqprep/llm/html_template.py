@@ -6,6 +6,7 @@ import html as entities
 import re
 from collections import Counter, defaultdict
 from dataclasses import dataclass, field
+from statistics import median
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -14,10 +15,15 @@ from seqprep.operators.skew import join_skewed
 from seqprep.sources.spool import spool
 
 GROUP_PAGES = 64  # pages of a host that one template is deduced from, about
-MIN_PAGES = 8  # different pages that a template takes
-SUPPORT = 0.9  # of a group's different pages that a template token is on
+MIN_PAGES = 2  # different pages that a template takes
+WORD_PAGES = 8  # different pages from which single words are tokens, fewer pages share whole blocks only
+SUPPORT = 0.9  # of a group's different pages that a template token is on, all if they are few
+SMALL_SHARE = 0.5  # of a typical page's text that the template of few pages may hold; beyond it they are near copies
 LONG_BLOCK = 64  # words from which a block counts as one token
-LINK_SHARE = 0.5  # of a block's characters in links from which it is a list of links
+LINK_SHARE = 0.5  # of characters in links from which a part is a list of links
+LINK_RUN = 3  # such blocks in a row on one path that make a list of links
+MOST, MOST_WITH_ARTICLE = 0.8, 0.5  # of the text from which an element is kept whatever its name says
+MARK_DEPTH = 32  # elements told by name that count apart when nested
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -41,8 +47,9 @@ _CLOSES = {name: frozenset(others.split()) for name, others in _CLOSES.items()}
 _SCOPE = frozenset("article main section div ul ol dl table body td th blockquote".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
-# What is not the article: elements, roles, and words in class and id.
-_OTHER_ELEMENTS = frozenset("head nav footer aside form button select input textarea label dialog menu object canvas".split())
+# What is not the article: elements, roles, and words in class and id. The last words only describe a state.
+_OTHER_ELEMENTS = frozenset("head nav footer aside button select input textarea dialog menu canvas".split())
+_DOUBTFUL_ELEMENTS = frozenset("form label object".split())  # may as well wrap a whole page
 _OTHER_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
 _OTHER_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored sponsors promo promotion banner nav navbar navigation "
@@ -50,30 +57,53 @@ _OTHER_WORDS = frozenset(
     "overlay newsletter subscribe subscription signup login social share sharing related recommended recommendations widget "
     "comment comments reply replies respond disqus pagination pager toolbar copyright footer skip hidden".split()
 )
+_STATE_FIRST = frozenset("has no not is with without".split())
+_STATE_LAST = frozenset("open closed enabled disabled allowed active on off left right".split())
 _MAIN_WORDS = frozenset("article content post entry story".split())
+_HEAD_ELEMENTS = frozenset("title meta link base style script noscript template".split())
 
 
 @dataclass
 class Block:
     path: int
     text: str
-    other: bool  # inside what is not the article
-    containers: tuple[int, ...]
+    mark: int  # innermost element that is not the article, -1 if none
+    article: int  # outermost article element, -1 if none
+    main: bool  # inside the main element
+    story: bool  # inside a container named like an article
     links: int  # characters inside links
 
 
 @dataclass
 class Page:
     blocks: list[Block] = field(default_factory=list)
-    kinds: list[int] = field(default_factory=list)  # of each container: 0 article, 1 main, 2 by class
+    marks: list[tuple[int, bool]] = field(default_factory=list)  # enclosing mark, and whether it is beyond doubt
+    depths: list[int] = field(default_factory=list)
+    articles: int = 0
     tags: Counter = field(default_factory=Counter)  # how often a tag opens on each path
 
+    def sure(self, block: Block) -> bool:
+        """Whether a block lies in an element that cannot be the article."""
+        return block.mark >= 0 and self.marks[block.mark][1]
+
+
+@dataclass(frozen=True)
+class Place:
+    """Where the parser is: what the open elements say about text that comes now."""
+
+    path: int = 0
+    mark: int = -1
+    article: int = -1
+    main: bool = False
+    story: bool = False
+    link: bool = False
+
 
 def parse(source: str) -> Page:
     """Blocks of a page in order, each with its path of open elements; broken markup is repaired as it comes."""
     page = Page()
     names: list[str] = []
-    states: list[tuple[int, bool, tuple[int, ...], bool]] = [(0, False, (), False)]  # path, other, containers, link
+    places: list[Place] = [Place()]
     parts: list[str] = []
     linked = at = 0
 
@@ -82,8 +112,8 @@ def parse(source: str) -> Page:
         if parts:
             text = " ".join(entities.unescape("".join(parts)).split())
             if text:
-                path, other, containers, _ = states[-1]
-                page.blocks.append(Block(path, text, other, containers, linked))
+                here = places[-1]
+                page.blocks.append(Block(here.path, text, here.mark, here.article, here.main, here.story, linked))
             parts.clear()
             linked = 0
 
@@ -91,12 +121,12 @@ def parse(source: str) -> Page:
         nonlocal linked
         if text:
             parts.append(text)
-            if states[-1][3]:
+            if places[-1].link:
                 linked += len(text.strip())
 
     def close(found: int) -> None:
         del names[found:]
-        del states[found + 1 :]
+        del places[found + 1 :]
 
     while True:
         match = _MARKUP.search(source, at)
@@ -122,6 +152,9 @@ def parse(source: str) -> Page:
                     close(found)
                     break
             continue
+        if names and names[-1] == "head" and tag not in _HEAD_ELEMENTS:  # its end tag may be missing
+            flush()
+            close(len(names) - 1)
         if tag not in _INLINE:
             ended = _CLOSES.get(tag, _CLOSES["p"])
             for found in range(len(names) - 1, -1, -1):
@@ -132,48 +165,59 @@ def parse(source: str) -> Page:
                     break
         if tag in _VOID or attributes.endswith("/") and tag not in _RAW:
             continue
-        path, other, containers, link = states[-1]
-        marked, main, label = _marks(tag, attributes, bool(containers))
-        path = hash((path, tag, label))
+        here = places[-1]
+        sure, doubtful, main, story, label = _evidence(tag, attributes, here.article >= 0 or here.main or here.story)
+        path = hash((here.path, tag, label))
         if tag not in _INLINE:
             page.tags[path] += 1
         if tag in _RAW:
             end = re.compile(rf"</{re.escape(tag)}[^>]*(?:>|\Z)", re.I).search(source, at)
             at = end.end() if end else len(source)
             continue
-        if main is not None and not (other or marked):
-            page.kinds.append(main)
-            containers = (*containers, len(page.kinds) - 1)
+        mark, article = here.mark, here.article
+        if (sure or doubtful) and not (mark >= 0 and page.marks[mark][1]):
+            depth = page.depths[mark] + 1 if mark >= 0 else 0
+            if sure or depth < MARK_DEPTH:
+                page.marks.append((mark, sure))
+                page.depths.append(depth)
+                mark = len(page.marks) - 1
+        if tag == "article" and article < 0:
+            article, page.articles = page.articles, page.articles + 1
         names.append(tag)
-        states.append((path, other or marked, containers, link or tag == "a"))
+        places.append(Place(path, mark, article, here.main or main, here.story or story, here.link or tag == "a"))
     flush()
     return page
 
 
-def _marks(tag: str, attributes: str, inside: bool) -> tuple[bool, int | None, str]:
-    """Whether an element is not the article, which kind of container it is, and its class and id words."""
-    other = tag in _OTHER_ELEMENTS or tag == "header" and not inside
-    main = {"article": 0, "main": 1}.get(tag)
+def _evidence(tag: str, attributes: str, inside: bool) -> tuple[bool, bool, bool, bool, str]:
+    """Whether an element is surely, or by its name, not the article; is main; is named so; its class and id words."""
+    sure, doubtful, main = tag in _OTHER_ELEMENTS, tag in _DOUBTFUL_ELEMENTS or tag == "header" and not inside, tag == "main"
     if not attributes or attributes.isspace():
-        return other, main, ""
-    words: list[str] = []
+        return sure, doubtful, main, False, ""
+    names: list[list[str]] = []
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name in ("class", "id"):
-            words += _NAME.findall(value)
+            names += [_NAME.findall(part) for part in value.split()]
         elif name == "role":
-            other = other or value in _OTHER_ROLES
-            main = 1 if value == "main" else main
+            sure = sure or value in _OTHER_ROLES
+            main = main or value == "main"
         elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and _HIDING.search(value):
-            other = True
+            sure = True
     if tag in ("body", "html"):
-        return other, main, ""
-    found = set(words)
-    if found & _OTHER_WORDS or "header" in found and not inside:
-        other = other or tag not in _HEADINGS
-    elif main is None and tag in ("div", "section") and found & _MAIN_WORDS:
-        main = 2
-    return other, main, " ".join(words)
+        return False, False, main, False, ""
+    words = {
+        word
+        for parts in names
+        if parts and not (len(parts) > 1 and (parts[0] in _STATE_FIRST or parts[-1] in _STATE_LAST))
+        for word in parts
+    }
+    story = False
+    if words & _OTHER_WORDS or "header" in words and not inside:
+        doubtful = doubtful or tag not in _HEADINGS
+    else:
+        story = tag in ("div", "section") and bool(words & _MAIN_WORDS)
+    return sure, doubtful, main, story, " ".join(word for parts in names for word in parts)
 
 
 def _tokens(block: Block) -> list[tuple[int, str]]:
@@ -224,35 +268,109 @@ def _nested(one: tuple[int, int], two: tuple[int, int]) -> bool:
 
 
 def template_tokens(pages: list[Page]) -> set[tuple[int, str]]:
-    """Tokens of the template that the pages share; pages with equal blocks count once."""
-    different: dict[tuple, list[tuple[int, str]]] = {}
+    """Tokens of the template that the pages share; pages with equal blocks count once.
+
+    From ``WORD_PAGES`` different pages on tokens are words, which most pages have. Fewer pages are weaker
+    evidence: tokens are whole blocks outside article elements that all of them have, every page must keep a
+    block of its own, and a template that holds most of a typical page says that the pages are near copies.
+    """
+    different: dict[tuple, tuple[Page, list[Block]]] = {}
     for page in pages:
-        seen = tuple((block.path, block.text) for block in page.blocks if not block.other)
-        if seen not in different:
-            tags = [(path, "<") for path, number in page.tags.items() for _ in range(number)]
-            different[seen] = tags + [token for block in page.blocks if not block.other for token in _tokens(block)]
+        blocks = [block for block in page.blocks if not page.sure(block)]
+        different.setdefault(tuple((block.path, block.text) for block in blocks), (page, blocks))
     if len(different) < MIN_PAGES:
         return set()
-    return {token for members in equivalence_classes(list(different.values())) for token in members}
+    few = len(different) < WORD_PAGES
+    sequences = []
+    for page, blocks in different.values():
+        tokens = [(path, "<") for path, number in page.tags.items() for _ in range(number)]
+        for block in blocks:
+            if not few:
+                tokens += _tokens(block)
+            elif block.article < 0:
+                tokens.append((block.path, block.text))
+        sequences.append(tokens)
+    found = {token for members in equivalence_classes(sequences, 1.0 if few else SUPPORT) for token in members}
+    if not few:
+        return found
+    shares = []
+    for _, blocks in different.values():
+        own = [len(block.text) for block in blocks if block.article >= 0 or (block.path, block.text) not in found]
+        if not own:
+            return set()
+        shares.append(1 - sum(own) / sum(len(block.text) for block in blocks))
+    if median(shares) > SMALL_SHARE:
+        return set()
+    # Blocks as such: a single word of a block is never a token here.
+    return {(path, text) for path, text in found if text != "<"}
+
+
+def _without_others(page: Page, blocks: list[Block]) -> list[Block]:
+    """Blocks outside elements that are not the article; a name counts only if it leaves the text."""
+    blocks = [block for block in blocks if not page.sure(block)]
+    total = sum(len(block.text) for block in blocks)
+    lifted: set[int] = set()
+    while True:
+        outermost: list[int] = []  # of each mark the outermost one around it that still counts
+        for number, (around, _) in enumerate(page.marks):
+            above = outermost[around] if around >= 0 else -1
+            outermost.append(above if above >= 0 else -1 if number in lifted else number)
+        left, sizes, links, articles = [], Counter(), Counter(), set()
+        for block in blocks:
+            mark = outermost[block.mark] if block.mark >= 0 else -1
+            if mark < 0:
+                left.append(block)
+                continue
+            sizes[mark] += len(block.text)
+            links[mark] += block.links
+            if block.article >= 0 or block.main:
+                articles.add(mark)
+        if not sizes or any(block.article >= 0 or block.main for block in left):
+            return left
+        largest = max(sizes, key=lambda mark: (sizes[mark], -mark))
+        needed = MOST_WITH_ARTICLE if largest in articles else MOST
+        if sizes[largest] <= needed * total or links[largest] > LINK_SHARE * sizes[largest]:
+            return left
+        lifted.add(largest)
 
 
 def main_text(page: Page, template: set[tuple[int, str]]) -> str:
-    """What remains of a page's slots: the largest article, else main part, else all that is not a list of links."""
-    kept = [
+    """What remains of a page's slots: all articles, else the main part, else all but lists of links."""
+    slots = [
         block
         for block in page.blocks
-        if not block.other and not (template and all(token in template for token in _tokens(block)))
+        if not (template and ((block.path, block.text) in template or all(t in template for t in _tokens(block))))
     ]
-    sizes: Counter = Counter()
-    for block in kept:
-        for container in block.containers:
-            sizes[container] += len(block.text)
-    for kind in (0, 1, 2):
-        found = [container for container in sizes if page.kinds[container] == kind]
-        if found:
-            best = max(found, key=lambda container: (sizes[container], -container))
-            return "\n".join(block.text for block in kept if best in block.containers)
-    return "\n".join(block.text for block in kept if block.links <= LINK_SHARE * len(block.text))
+    kept = _without_others(page, slots)
+    inside = [block for block in kept if block.article >= 0]
+    if inside:
+        sizes, links = Counter(), Counter()
+        for block in inside:
+            sizes[block.article] += len(block.text)
+            links[block.article] += block.links
+        prose = {article for article in sizes if links[article] <= LINK_SHARE * sizes[article]}
+        kept = [block for block in inside if not prose or block.article in prose]
+    elif any(block.main for block in kept):
+        kept = [block for block in kept if block.main]
+    else:
+        kept = _without_link_lists(kept)
+    return "\n".join(block.text for block in kept)
+
+
+def _without_link_lists(blocks: list[Block]) -> list[Block]:
+    kept: list[Block] = []
+    run: list[Block] = []
+    for block in [*blocks, None]:
+        linked = block is not None and not block.story and block.links > LINK_SHARE * len(block.text)
+        if run and not (linked and block.path == run[0].path):
+            if len(run) < LINK_RUN:
+                kept += run
+            run = []
+        if linked:
+            run.append(block)
+        elif block is not None:
+            kept.append(block)
+    return kept
 
 
 def extract_main_text(pages: DataFrame, identity: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -260,10 +378,12 @@ def extract_main_text(pages: DataFrame, identity: str = "page_id", url: str = "u
 
     Pages meet by host; a host with more than about ``GROUP_PAGES`` pages is cut into groups by a hash, so no
     group grows with a host, and every page is in one. In each group tokens (tags on their path, words and long
-    blocks on theirs) with equal occurrence vectors form classes; valid classes are the template, blocks made of
-    template tokens alone go. Of the remaining blocks those inside navigation, headers, footers, asides, forms,
-    adverts, notices, comments, scripts and the like go too, and the largest article (else main part) is the
-    result. Copies of a page count once towards the template, so they do not make one of their text.
+    blocks on theirs; whole blocks alone if pages are few) with equal occurrence vectors form classes; valid
+    classes are the template, blocks made of template tokens alone go. Of the remaining blocks those inside
+    navigation, headers, footers, asides, forms, adverts, notices, comments, scripts and the like go too, unless
+    only a name says so of what holds the article or most of the text. All articles (else the main part, else
+    everything but lists of links) are the result. Copies of a page count once towards the template, so they do
+    not make one of their text.
 
     Null, empty and text-free html gives an empty text; a missing or odd url is a host of its own; null ids
     stay null; repeated rows are answered each; broken and cut-off markup is read as far as it goes. An empty
@@ -281,9 +401,11 @@ def extract_main_text(pages: DataFrame, identity: str = "page_id", url: str = "u
     grouped = grouped.select("page_id", "url", "html", "host", "part").repartition("host", "part")
 
     def extract(group: pa.Table) -> pa.Table:
-        parsed = [parse(source or "") for source in group.column("html").to_pylist()]
-        template = template_tokens(parsed)
-        texts = pa.array([main_text(page, template) for page in parsed], pa.string())
+        sources = [source or "" for source in group.column("html").to_pylist()]
+        parsed = {source: parse(source) for source in set(sources)}
+        template = template_tokens([parsed[source] for source in sorted(parsed)])
+        found = {source: main_text(page, template) for source, page in parsed.items()}
+        texts = pa.array([found[source] for source in sources], pa.string())
         return pa.table({"page_id": group.column("page_id"), "url": group.column("url"), "text": texts})
 
     kinds = dict(rows.dtypes)

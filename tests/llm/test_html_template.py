@@ -1,8 +1,9 @@
 """Main text of pages: parsing, templates, odd input."""
 
 import random
+from html.parser import HTMLParser
 
-from seqprep.llm import html_template
+from seqprep.llm import html_template, queries
 from seqprep.sources.package import ship_package
 
 
@@ -45,10 +46,56 @@ def test_cut_off_and_broken_markup():
     assert alone("<div>" * 3000 + "deep") == "deep"
 
 
-def test_the_largest_article_is_the_main_one():
+def test_all_articles_are_kept_but_teasers_made_of_links():
     rng = random.Random(1)
     long = prose(rng, 60)
-    assert alone(f"<main><article><p>teaser</article><article><p>{long}</article></main>") == long
+    links = '<article><h2><a href="/x">more of this</a></h2></article>'
+    assert alone(f"<main><article><p>first</article><article><p>{long}</article>{links}</main>") == f"first\n{long}"
+    assert alone(f'<div class="post">one</div><div class="post">{long}</div>') == f"one\n{long}"
+
+
+def test_names_do_not_cut_what_holds_the_text():
+    long = prose(random.Random(3), 60)
+    for element in ('article class="post comments-open"', 'article class="share-enabled"', 'div class="content has-sidebar"', "form", 'div id="widget"'):
+        assert alone(f'<h1>T</h1><{element}><p>{long}</p><div class="ad">buy</div></{element.split()[0]}>').split("\n")[-1] == long, element
+    assert alone(f'<form><div class="ad">buy</div><article><p>{long}</article><div class="comments">{long} {long}</div></form>') == long
+    assert alone(f'<article><p>short</article><section class="comments"><article class="comment">{long}</article></section>') == "short"
+    assert alone(f"<p>short</p><nav>{long}</nav><footer>{long}</footer>") == "short"
+
+
+def test_text_beside_a_named_container_and_single_links_stay():
+    assert alone('<p>Headline</p><div class="story-body"><p>Body</div><p>After</p>') == "Headline\nBody\nAfter"
+    assert alone('<p>One</p><p><a href="/">a link</a></p><p>Two</p>') == "One\na link\nTwo"
+    listed = "<ul>" + '<li><a href="/">item</a>' * 5 + "</ul>"
+    assert alone(f"<p>One</p>{listed}<p>Two</p>") == "One\nTwo"
+    assert alone("<html><head><title>t</title><body><p>no end of head</p>") == "no end of head"
+
+
+def test_few_pages_share_whole_blocks_only(spark):
+    """Seven, and two, pages of a host with one menu and notice that no element or class tells."""
+    rng = random.Random(4)
+    rows, truth = [], {}
+    for number in range(9):
+        body = [prose(rng, 30) for _ in range(2)]
+        host = "seven" if number < 7 else "two"
+        article = "".join(f"<p>{p}</p>" for p in body)
+        rows.append((number, f"http://{host}.example/x", f"<div>Home News About</div>{article}<div>All rights kept</div>"))
+        truth[number] = "\n".join(body)
+    assert {r["page_id"]: r["text"] for r in run(spark, rows)} == truth
+
+
+def test_near_copies_and_equal_articles_are_no_template(spark):
+    rng = random.Random(5)
+    shared = [prose(rng, 30) for _ in range(5)]
+    bodies = [[*shared, f"changed {number}"] for number in range(3)]
+    plain = [(n, "http://a.example/", "".join(f"<p>{p}</p>" for p in body)) for n, body in enumerate(bodies)]
+    article = [(n + 3, "http://b.example/", f"<p>top {n}</p><article>" + "".join(f"<p>{p}</p>" for p in body) + "</article>") for n, body in enumerate(bodies)]
+    found = {r["page_id"]: r["text"] for r in run(spark, plain + article)}
+    assert found == {n: "\n".join(bodies[n % 3]) for n in range(6)}
+
+
+def test_deeply_nested_names_end():
+    assert alone('<div class="ad">' * 20_000 + "deep") == "deep"
 
 
 def test_template_of_a_host_is_left_out(spark):
@@ -85,3 +132,43 @@ def test_odd_rows(spark):
     long = ("word " * 50_000).strip()
     assert found == sorted([(1, None, "", 0), (2, "", "", 0), (None, "nonsense", "x", 1), (4, "http://é/", "é", 1), (4, "http://é/", "é", 1), (5, "http://A.b", long, len(long))], key=str)
     assert run(spark, []) == []
+
+
+class ArticleText(HTMLParser):
+    """Blocks inside article elements by the standard parser, for pages that have one and nothing odd in it."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.inside, self.blocks = 0, [""]
+
+    def handle_starttag(self, tag, attrs):
+        self.inside += tag == "article"
+        self._edge(tag)
+
+    def handle_endtag(self, tag):
+        self._edge(tag)
+        self.inside -= tag == "article"
+
+    def _edge(self, tag):
+        if tag == "br":
+            self.blocks[-1] += " "
+        elif tag not in ("b", "a", "i", "span"):
+            self.blocks.append("")
+
+    def handle_data(self, data):
+        if self.inside:
+            self.blocks[-1] += data
+
+
+def test_query_equals_a_plain_parser_on_the_given_pages(spark):
+    folder = "/root/testdata/sf0.01"
+    pages = spark.read.parquet(f"{folder}/pages.parquet").collect()
+    truth = {}
+    for page in pages:
+        parser = ArticleText()
+        parser.feed(page["html"] or "")
+        parser.close()
+        truth[page["page_id"]] = "\n".join(" ".join(b.split()) for b in parser.blocks if b.split())
+    found = queries.REGISTRY["op2_main_text"](spark, folder).collect()
+    assert {r["page_id"]: r["text"] for r in found} == truth
+    assert len(found) == len(pages) and all(r["n_chars"] == len(r["text"]) for r in found)
