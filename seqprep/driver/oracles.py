@@ -335,6 +335,18 @@ MATRIX = f"""WITH {_columns()}, cells AS (
   {_union([_logs(), _counts(), _coordinates(), _one_hot(), _AMENITY_CELLS, _hashed()])}
 )"""
 
+POSITIONS = f"""{MATRIX}
+SELECT dense_id, (SELECT count(*) FROM columns)::INTEGER AS width,
+       count(*) AS non_zero, sum(position)::BIGINT AS position_sum
+FROM cells JOIN columns USING (name) WHERE value <> 0 GROUP BY dense_id
+UNION ALL SELECT 0, (SELECT count(*) FROM columns)::INTEGER, 0, 0"""
+
+STATS = f"""WITH {_columns()}
+SELECT (SELECT count(*) + 1 FROM model) AS rows, (SELECT count(*) FROM model) AS num_items,
+       (SELECT count(*) FROM columns)::INTEGER AS min_width,
+       (SELECT count(*) FROM columns)::INTEGER AS max_width,
+       0::BIGINT AS not_finite, 0::BIGINT AS padding_not_zero"""
+
 # -- checks -----------------------------------------------------------------------------------
 
 
@@ -567,16 +579,12 @@ SELECT dense_id, canonical_listing_id, market_segment FROM aligned""",
     "q_feat_amenity": f"WITH {ALIGNED}, {TOP_AMENITIES.format(source='aligned')} {_AMENITY_CELLS}",
     "q_feat_hash": f"WITH {ALIGNED} {_hashed()}",
     "q_feature_columns": f"WITH {_columns()} SELECT position, name FROM columns",
-    "q_feature_matrix": f"""{MATRIX}
-SELECT dense_id, (SELECT count(*) FROM columns)::INTEGER AS width,
-       count(*) AS non_zero, sum(position)::BIGINT AS position_sum
-FROM cells JOIN columns USING (name) WHERE value <> 0 GROUP BY dense_id
-UNION ALL SELECT 0, (SELECT count(*) FROM columns)::INTEGER, 0, 0""",
-    "q_feature_stats": f"""WITH {_columns()}
-SELECT (SELECT count(*) + 1 FROM model) AS rows, (SELECT count(*) FROM model) AS num_items,
-       (SELECT count(*) FROM columns)::INTEGER AS min_width,
-       (SELECT count(*) FROM columns)::INTEGER AS max_width,
-       0::BIGINT AS not_finite, 0::BIGINT AS padding_not_zero""",
+    "q_feature_matrix": POSITIONS,
+    "q_feature_dense_view": POSITIONS,
+    "q_feature_sparse": f"""{MATRIX}
+SELECT dense_id, position, name, value FROM cells JOIN columns USING (name) WHERE value <> 0""",
+    "q_feature_stats": STATS,
+    "q_feature_sparse_stats": STATS,
     "q_checks": CHECKS,
     "q_fingerprint": """
 SELECT l_returnflag AS load, count(*) AS rows, true AS adds_up,

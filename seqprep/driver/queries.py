@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -550,9 +551,8 @@ def feature_columns(spark, sf_dir):
     return _matrix(spark, sf_dir).columns
 
 
-def feature_matrix(spark, sf_dir):
-    """Every item vector, padding row included, summed up by its non-zero positions."""
-    return _matrix(spark, sf_dir).features.select(
+def _positions(result):
+    return result.features.select(
         "dense_id",
         F.size("features").alias("width"),
         F.expr("size(filter(features, value -> value <> 0))").cast("bigint").alias("non_zero"),
@@ -563,6 +563,27 @@ def feature_matrix(spark, sf_dir):
     )
 
 
+def feature_matrix(spark, sf_dir):
+    """Every item vector, padding row included, summed up by its non-zero positions."""
+    return _positions(_matrix(spark, sf_dir))
+
+
+def feature_sparse(spark, sf_dir):
+    """Every set cell of all item vectors."""
+    cells = features.sparse_cells(features.sparse_features(_aligned(spark, sf_dir), 7))
+    return cells.withColumn("value", F.round(F.col("value").cast("double"), 3))
+
+
+def feature_dense_view(spark, sf_dir):
+    """The sparse vectors, stored and brought back to full width."""
+    sparse = features.sparse_features(_aligned(spark, sf_dir), 7)
+    return _positions(features.dense_view(replace(sparse, features=spool(sparse.features, "sparse-features"))))
+
+
+def feature_sparse_stats(spark, sf_dir):
+    return features.sparse_stats(features.sparse_features(_aligned(spark, sf_dir, broadcast_rows=0), 7, **SALTED))
+
+
 def feature_stats(spark, sf_dir):
     return features.matrix_stats(_matrix(spark, sf_dir))
 
@@ -701,6 +722,9 @@ REGISTRY: dict[str, Query] = {
     "q_feature_columns": feature_columns,
     "q_feature_matrix": feature_matrix,
     "q_feature_stats": feature_stats,
+    "q_feature_sparse": feature_sparse,
+    "q_feature_dense_view": feature_dense_view,
+    "q_feature_sparse_stats": feature_sparse_stats,
     "q_checks": quality_checks,
     "q_fingerprint": fingerprint,
     "q_fingerprint_portable": fingerprint_portable,

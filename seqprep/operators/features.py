@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
@@ -30,6 +31,15 @@ class ItemFeatures:
     dimensions: int
 
 
+@dataclass(frozen=True)
+class SparseFeatures:
+    """``features(dense_id, indices, values)``: set positions in rising order; padding row 0 has none."""
+
+    features: DataFrame
+    columns: DataFrame
+    dimensions: int
+
+
 def catalog_with_segment(items: DataFrame) -> DataFrame:
     expect_columns(items, contract.CATALOG_COLUMNS, "items")
     return items.withColumn(
@@ -186,25 +196,154 @@ def feature_matrix(
     names: list[DataFrame] = [_named(spark, list(fixed), 0)]
     width = len(fixed)
 
+    encoded, categories = _category_slots(aligned, broadcast_rows, group_rows)
+    for name, size, vocabulary in categories:
+        names.append(_category_names(name, vocabulary, width))
+        arrays += one_of(F.col(f"{name}_slot"), size)
+        width += size
+
+    best = _best_amenities(aligned, amenities_top)
+    if best:
+        wanted = F.array(*(F.lit(value) for value in best))
+        held = F.col("amenity_list")
+        arrays.append(
+            F.transform(wanted, lambda value: indicator(F.array_contains(held, value)))
+        )
+        names.append(_named(spark, [f"amenity={value}" for value in best], width))
+        width += len(best)
+
+    hashed_names, hashed = hash_block()
+    names.append(_named(spark, hashed_names, width))
+    width += len(hashed_names)
+
+    vectors = hash_buckets(encoded).select("dense_id", F.concat(*arrays, *hashed).alias("features"))
+    padding = spark.range(1).select(
+        F.lit(0).cast(aligned.schema["dense_id"].dataType).alias("dense_id"),
+        F.array_repeat(F.lit(0.0).cast("float"), width).alias("features"),
+    )
+    return ItemFeatures(vectors.unionByName(padding), reduce(DataFrame.unionByName, names), width)
+
+
+def sparse_features(
+    aligned: DataFrame,
+    amenities_top: int = contract.AMENITIES_TOP,
+    broadcast_rows: int = BROADCAST_ROWS,
+    group_rows: int = GROUP_ROWS,
+) -> SparseFeatures:
+    """The vectors of ``feature_matrix`` as their cells other than zero.
+
+    A row's size follows what its item has, not the vocabularies: each block gives at most a cell per
+    source column, the amenities one per amenity that the item has.
+    """
+    if amenities_top < 0:
+        raise ValueError("amenities top cannot be negative")
+    spark = aligned.sparkSession
+    fixed = log_block(aligned) | count_block(aligned) | coordinate_block(aligned)
+    names: list[DataFrame] = [_named(spark, list(fixed), 0)]
+    cells = [_cell(F.lit(position), value) for position, value in enumerate(fixed.values())]
+    width = len(fixed)
+
+    encoded, categories = _category_slots(aligned, broadcast_rows, group_rows)
+    for name, size, vocabulary in categories:
+        names.append(_category_names(name, vocabulary, width))
+        cells.append(_cell(F.col(f"{name}_slot") + width, F.lit(1.0)))
+        width += size
+
+    held = F.array().cast(_CELLS)
+    best = _best_amenities(aligned, amenities_top)
+    if best:
+        wanted, start = F.array(*(F.lit(value) for value in best)), width - 1
+        places = F.transform(F.array_distinct("amenity_list"), lambda value: F.array_position(wanted, value))
+        found = F.filter(places, lambda place: place > 0)
+        held = F.coalesce(F.transform(found, lambda place: _cell(place + start, F.lit(1.0))).cast(_CELLS), held)
+        names.append(_named(spark, [f"amenity={value}" for value in best], width))
+        width += len(best)
+
+    for name, buckets in contract.HASHED_FEATURES.items():
+        # The missing indicator comes first, then the buckets.
+        cells.append(_cell(F.coalesce(F.col(f"{name}_bucket") + 1, F.lit(0)) + width, F.lit(1.0)))
+        width += 1 + buckets
+    hashed_names, _ = hash_block()
+    names.append(_named(spark, hashed_names, width - len(hashed_names)))
+
+    listed = F.concat(F.array(*cells).cast(_CELLS), held)
+    is_set = F.filter(listed, lambda cell: cell["position"].isNotNull() & (cell["value"] != 0))
+    rows = hash_buckets(encoded).select("dense_id", F.array_sort(is_set).alias("cells"))
+    vectors = rows.select("dense_id", F.col("cells.position").alias("indices"), F.col("cells.value").alias("values"))
+    padding = spark.range(1).select(
+        F.lit(0).cast(aligned.schema["dense_id"].dataType).alias("dense_id"),
+        F.array().cast("array<int>").alias("indices"),
+        F.array().cast("array<float>").alias("values"),
+    )
+    return SparseFeatures(vectors.unionByName(padding), reduce(DataFrame.unionByName, names), width)
+
+
+_CELLS = "array<struct<position: int, value: float>>"
+
+
+def _cell(position: Column, value: Column) -> Column:
+    return F.struct(position.cast("int").alias("position"), value.cast("float").alias("value"))
+
+
+def dense_view(result: SparseFeatures) -> ItemFeatures:
+    """Sparse vectors at full width: the zeros between neighbouring positions are filled in."""
+
+    def zeros(count: Column) -> Column:
+        return F.array_repeat(F.lit(0.0).cast("float"), count.cast("int"))
+
+    def filled(value: Column, place: Column) -> Column:
+        before = F.coalesce(F.get("indices", place - 1), F.lit(-1))
+        return F.concat(zeros(F.get("indices", place) - before - 1), F.array(value))
+
+    last = F.coalesce(F.get("indices", F.size("indices") - 1), F.lit(-1))
+    features = F.concat(F.flatten(F.transform("values", filled)), zeros(F.lit(result.dimensions - 1) - last))
+    rows = result.features.select("dense_id", features.alias("features"))
+    return ItemFeatures(rows, result.columns, result.dimensions)
+
+
+def sparse_cells(result: SparseFeatures) -> DataFrame:
+    """One row per item and set position."""
+    zipped = F.arrays_zip("indices", "values")
+    cells = result.features.select("dense_id", F.explode(zipped).alias("cell"))
+    cells = cells.select("dense_id", F.col("cell.indices").alias("position"), F.col("cell.values").alias("value"))
+    named = join_skewed(cells, result.columns, ["position"], side_rows=result.dimensions)
+    return named.select("dense_id", "position", "name", "value")
+
+
+def sparse_stats(result: SparseFeatures) -> DataFrame:
+    """``matrix_stats`` of sparse vectors; positions out of order or range make a vector's width -1."""
+    finite = F.forall("values", lambda value: ~F.isnan(value) & (F.abs(value) < float("inf")) & (value != 0))
+    rising = F.transform("indices", lambda index, place: index > F.coalesce(F.get("indices", place - 1), F.lit(-1)))
+    fits = F.forall(rising, lambda ok: ok) & (F.coalesce(F.array_max("indices"), F.lit(-1)) < result.dimensions)
+    fits = fits & (F.size("indices") == F.size("values"))
+    width = F.when(fits, result.dimensions).otherwise(-1)
+    return result.features.agg(
+        F.count("*").alias("rows"),
+        F.max("dense_id").cast("bigint").alias("num_items"),
+        F.min(width).alias("min_width"),
+        F.max(width).alias("max_width"),
+        F.count_if(~finite).alias("not_finite"),
+        F.count_if((F.col("dense_id") == 0) & (F.size("indices") > 0)).alias("padding_not_zero"),
+    )
+
+
+def _category_slots(
+    aligned: DataFrame, broadcast_rows: int, group_rows: int
+) -> tuple[DataFrame, list[tuple[str, int, DataFrame]]]:
+    """The items with ``{column}_slot``, the zero-based rank of their value; per column its size and vocabulary."""
     encoded = aligned
     categories = [name for name in contract.ONE_HOT_FEATURES if name in aligned.columns]
     ranked = vocabularies(aligned, categories)
     found = ranked.groupBy("column").agg(F.count("*").alias("values")).collect()
     sizes = {row["column"]: row["values"] for row in found}
+    listed = []
     for name in categories:
-        own = ranked.filter(F.col("column") == name)
-        slot = F.col("rank") - 1
-        names.append(
-            own.select(
-                (slot + width).cast("int").alias("position"),
-                F.concat(F.lit(f"{name}="), "value").alias("name"),
-            )
-        )
+        own = ranked.filter(F.col("column") == name).select("value", (F.col("rank") - 1).alias("slot"))
         key = f"{name}_key"
         keyed = F.col(name).cast("string").alias(key)
         encoded = join_skewed(
             encoded.select("*", keyed),
-            own.select(F.col("value").alias(key), slot.alias(f"{name}_slot")),
+            own.select(F.col("value").alias(key), F.col("slot").alias(f"{name}_slot")),
             [key],
             "left",
             broadcast_rows,
@@ -212,34 +351,21 @@ def feature_matrix(
             sizes.get(name, 0),
             keyed_like=aligned.select(keyed),
         )
-        arrays += one_of(F.col(f"{name}_slot"), sizes.get(name, 0))
-        width += sizes.get(name, 0)
-
-    if "amenity_list" in aligned.columns and amenities_top:
-        ranked = top_amenities(aligned, amenities_top).orderBy("rank")
-        best = [row["value"] for row in ranked.take(amenities_top)]
-        if best:
-            wanted = F.array(*(F.lit(value) for value in best))
-            held = F.col("amenity_list")
-            arrays.append(
-                F.transform(wanted, lambda value: indicator(F.array_contains(held, value)))
-            )
-            names.append(_named(spark, [f"amenity={value}" for value in best], width))
-            width += len(best)
+        listed.append((name, sizes.get(name, 0), own))
+    return encoded, listed
 
-    hashed_names, hashed = hash_block()
-    names.append(_named(spark, hashed_names, width))
-    width += len(hashed_names)
 
-    vectors = hash_buckets(encoded).select("dense_id", F.concat(*arrays, *hashed).alias("features"))
-    padding = spark.range(1).select(
-        F.lit(0).cast(aligned.schema["dense_id"].dataType).alias("dense_id"),
-        F.array_repeat(F.lit(0.0).cast("float"), width).alias("features"),
+def _category_names(name: str, vocabulary: DataFrame, start: int) -> DataFrame:
+    return vocabulary.select(
+        (F.col("slot") + start).cast("int").alias("position"),
+        F.concat(F.lit(f"{name}="), "value").alias("name"),
     )
-    columns = names[0]
-    for block in names[1:]:
-        columns = columns.unionByName(block)
-    return ItemFeatures(vectors.unionByName(padding), columns, width)
+
+
+def _best_amenities(aligned: DataFrame, top: int) -> list[str]:
+    if "amenity_list" not in aligned.columns or not top:
+        return []
+    return [row["value"] for row in top_amenities(aligned, top).orderBy("rank").take(top)]
 
 
 def _named(spark: SparkSession, names: list[str], start: int) -> DataFrame:

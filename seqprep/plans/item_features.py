@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import SparkSession
 
 from seqprep import contract
@@ -23,10 +25,17 @@ def export_item_features(
     out_dir: str,
     amenities_top: int = contract.AMENITIES_TOP,
     force: bool = False,
+    layout: str = "dense",
     broadcast_rows: int = BROADCAST_ROWS,
     group_rows: int = GROUP_ROWS,
 ) -> dict:
-    """Write ``item_features`` and ``feature_columns`` under ``out_dir``; returns the manifest."""
+    """Write ``item_features`` and ``feature_columns`` under ``out_dir``; returns the manifest.
+
+    A ``dense`` layout stores every position in ``features``; ``sparse`` stores ``indices`` and ``values`` of those
+    that are not zero, whose size does not grow with the vocabularies.
+    """
+    if layout not in ("dense", "sparse"):
+        raise ValueError(f"layout is dense or sparse, not {layout}")
     if amenities_top < 0:
         raise ValueError("amenities top cannot be negative")
     if not force and tables.table_exists(spark, f"{out_dir}/manifest"):
@@ -51,14 +60,14 @@ def export_item_features(
         aligned = spool(
             features.align_items(smap, pairs, items, broadcast_rows), "aligned-items"
         )
-        result = features.feature_matrix(aligned, amenities_top, broadcast_rows, group_rows)
+        build = features.sparse_features if layout == "sparse" else features.feature_matrix
+        result = build(aligned, amenities_top, broadcast_rows, group_rows)
         vectors = tables.write_hashed(result.features, f"{out_dir}/item_features", force)
         tables.write_table(result.columns, f"{out_dir}/feature_columns", force)
 
-        stored = features.ItemFeatures(
-            tables.read_table(spark, f"{out_dir}/item_features"), result.columns, result.dimensions
-        )
-        stats = spool(features.matrix_stats(stored), "matrix-stats")
+        stored = replace(result, features=tables.read_table(spark, f"{out_dir}/item_features"))
+        measured = features.sparse_stats(stored) if layout == "sparse" else features.matrix_stats(stored)
+        stats = spool(measured, "matrix-stats")
         checks.enforce([checks.matrix_invariants(stats)])
         shape = stats.first()
         content = {
@@ -66,6 +75,7 @@ def export_item_features(
             "vectors": shape["rows"],
             "items": shape["num_items"],
             "width": result.dimensions,
+            "layout": layout,
             "alignment": "the vector of dense_id n belongs to row n of the item map; dense_id 0 is all zeros",
             "column_table": "feature_columns",
             "options": {"amenities_top": amenities_top},

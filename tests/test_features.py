@@ -105,6 +105,51 @@ def test_aligned_matrix(spark, source, tmp_path):
     assert rows[3][names["longitude"]] == pytest.approx(-49.27)
 
 
+def test_sparse_layout_holds_the_cells_of_the_dense_one(spark, source, tmp_path):
+    export = source()
+    dense = export()
+    names, rows = _matrix(spark, tmp_path)
+    sparse = export(force=True, layout="sparse")
+    assert (sparse["width"], sparse["vectors"], sparse["items"]) == (dense["width"], dense["vectors"], dense["items"])
+    stored = spark.read.parquet(f"{tmp_path}/out/item_features")
+    columns = spark.read.parquet(f"{tmp_path}/out/feature_columns")
+    assert {r["name"]: r["position"] for r in columns.collect()} == names
+    found = {r["dense_id"]: (r["indices"], r["values"]) for r in stored.collect()}
+    for number, row in rows.items():
+        places = [place for place, value in enumerate(row) if value]
+        assert found[number] == (places, [row[place] for place in places])
+    result = features.SparseFeatures(stored, columns, sparse["width"])
+    assert {r["dense_id"]: r["features"] for r in features.dense_view(result).features.collect()} == rows
+    with pytest.raises(ValueError, match="dense or sparse"):
+        export(force=True, layout="wide")
+
+
+def test_sparse_stats_tell_positions_out_of_order_or_range(spark):
+    rows = [(0, [], []), (1, [0, 4], [1.0, 2.0]), (2, [4, 0], [1.0, 1.0]), (3, [5], [1.0]), (4, [1], [float("nan")]), (5, [1], [0.0])]
+    table = spark.createDataFrame(rows, "dense_id int, indices array<int>, values array<float>")
+
+    def stats(wanted):
+        result = features.SparseFeatures(table.filter(wanted), None, 5)
+        found = features.sparse_stats(result).first()
+        return found["min_width"], found["max_width"], found["not_finite"], found["padding_not_zero"]
+
+    assert stats("dense_id < 2") == (5, 5, 0, 0)
+    assert stats("dense_id = 2") == stats("dense_id = 3") == (-1, -1, 0, 0)
+    assert stats("dense_id in (1, 2)")[:2] == (-1, 5)
+    assert stats("dense_id > 3") == (5, 5, 2, 0)
+
+
+def test_sparse_rows_do_not_grow_with_a_vocabulary(spark):
+    items = spark.range(1, 2001).selectExpr(
+        "cast(id as int) AS dense_id", "concat('type ', id) AS unit_type", "'SALE' AS business_type",
+        "'RESIDENTIAL' AS usage_type", "array('GARAGE', NULL, 'GARAGE') AS amenity_list",
+    )
+    result = features.sparse_features(features.catalog_with_segment(items.withColumn("canonical_listing_id", F.lit("x"))))
+    sizes = result.features.filter("dense_id > 0").select(F.size("indices").alias("n")).distinct().collect()
+    assert result.dimensions > 2000 and len(sizes) == 1 and sizes[0]["n"] < 30
+    assert features.sparse_cells(result).filter("name = 'amenity=GARAGE' AND value = 1").count() == 2000
+
+
 def test_block_order_and_vocabulary_order(spark, source, tmp_path):
     source()()
     names, _ = _matrix(spark, tmp_path)
