@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from seqprep.llm.components import connected_components
 from seqprep.llm.vectors import is_finite, matrix
-from seqprep.sources.spool import spool
+from seqprep.operators.skew import join_skewed
+from seqprep.sources.spool import spool, spool_counted
 
 COSINE = 0.95
 FIT_NUMBERS = 2_000_000  # components of the sample that the principal dimensions are fitted on, about
@@ -43,12 +44,15 @@ def _principal(vectors: DataFrame, width: int, count: int) -> np.ndarray:
 
 
 class IntervalJoin:
-    """Joins sequence intervals of two matrices of unit vectors, in halves, skipping distant ones."""
+    """Joins sequence intervals of two matrices of unit vectors, in halves, skipping distant ones.
+
+    A side is (vectors, their lengths, their copies); links count the copies of the other vector.
+    """
 
     def __init__(self, left: tuple, right: tuple | None, basis: np.ndarray, cosine: float) -> None:
         self.own = right is None
         self.rows = [left, left if right is None else right]
-        self.units = [_unit(rows) for rows, _ in self.rows]
+        self.units = [_unit(rows) for rows, _, _ in self.rows]
         self.spots = [unit @ basis for unit in self.units]
         self.cosine = cosine
         self.reach = 2 - 2 * cosine + SLACK  # squared distance of unit vectors that may be linked
@@ -100,8 +104,8 @@ class IntervalJoin:
         i, j = np.nonzero(linked)
         if not len(i):
             return
-        self.links[0][a:b] += linked.sum(1)
-        self.links[1][c:d] += linked.sum(0)
+        self.links[0][a:b] += linked @ self.rows[1][2][c:d]
+        self.links[1][c:d] += self.rows[0][2][a:b] @ linked
         i, j = i + a, j + c + self.shift
         first = np.concatenate(([True], i[1:] != i[:-1]))  # one link per row settles most of a dense part
         self._connect(i[first], j[first])
@@ -136,7 +140,7 @@ class IntervalJoin:
 
 
 def _sequence(vectors: DataFrame, basis: np.ndarray, epsilon: float) -> DataFrame:
-    """Vectors in grid order with their position, block and principal coordinates, stored."""
+    """Different vectors in grid order with their position, block and principal coordinates, stored."""
     spark = vectors.sparkSession
     sent = spark.sparkContext.broadcast(basis)
     names = [f"p{i}" for i in range(basis.shape[1])]
@@ -148,14 +152,14 @@ def _sequence(vectors: DataFrame, basis: np.ndarray, epsilon: float) -> DataFram
             grid = np.floor(spots[:, : len(cells)] / epsilon).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, *[pa.array(c) for c in spots.T.copy()], *[pa.array(c) for c in grid.T.copy()]],
-                names=["vec_id", "vector", *names, *cells],
+                names=["digest", "vec_id", "vector", "copies", *names, *cells],
             )
 
     schema = ", ".join(
-        ["vec_id long, vector array<double>", *[f"{n} double" for n in names], *[f"{c} int" for c in cells]]
+        ["digest string, vec_id long, vector array<double>, copies long", *[f"{n} double" for n in names], *[f"{c} int" for c in cells]]
     )
-    placed = vectors.select("vec_id", "vector").mapInArrow(place, schema)
-    order = [*cells, "p0", "vec_id"]
+    placed = vectors.select("digest", "vec_id", "vector", "copies").mapInArrow(place, schema)
+    order = [*cells, "p0", "digest"]
     ordered = placed.repartitionByRange(*order).sortWithinPartitions(*order)
     stored = spool(ordered.withColumn("mark", F.monotonically_increasing_id()), "grid-order")
     part = F.shiftright("mark", 33)
@@ -205,7 +209,8 @@ def embedding_links(
     blocks whose boxes are further apart than linked vectors can be are never brought together, and the others
     are joined interval by interval inside a task. Tasks return link counts and the leaders of what they
     connected, never pairs, so dense groups of near copies cost no rows. Cosines are computed in double
-    precision from the vectors themselves, all pairs that can be linked are looked at.
+    precision from the vectors themselves, all pairs that can be linked are looked at. Equal vectors (by the
+    digest of their components) are joined as one with its number of copies: copies of a vector cost no pairs.
 
     Vectors that are null, empty or zero, or hold null or non-finite components, link with nothing; nor do
     vectors of different lengths with each other. Repeated rows are vectors of their own that link with each
@@ -223,32 +228,44 @@ def embedding_links(
     if not size["rows"]:
         return _kept(others)
     width, epsilon = size["width"], float(np.sqrt(2 - 2 * cosine))
-    basis = _principal(vectors, width, size["rows"])
-    sequence = _sequence(vectors, basis, epsilon)
+    digest = F.sha2(F.concat_ws(",", F.col("vector").cast("array<string>")), 256)
+    keyed = vectors.withColumn("digest", digest)
+    different, count = spool_counted(
+        keyed.groupBy("digest").agg(
+            F.first("vector").alias("vector"), F.min("vec_id").alias("vec_id"), F.count("*").alias("copies")
+        ),
+        "different-vectors",
+    )
+    basis = _principal(different, width, count)
+    sequence = _sequence(different, basis, epsilon)
     pairs = spool(_block_pairs(sequence, basis.shape[1], epsilon).withColumn("strip", F.floor(F.col("b") / STRIP)), "block-pairs")
-    data = sequence.select("pos", "block", "vector")
+    data = sequence.select("pos", "block", "vector", "copies")
     left = data.join(pairs.select("a", "strip").distinct(), F.col("block") == F.col("a")).drop("block")
     right = data.join(pairs, F.col("block") == F.col("b"))
     # Renamed, so that both sides of the grouped join have columns of their own.
     right = right.select(
-        F.col("a").alias("at"), F.col("strip").alias("along"), F.col("pos").alias("place"), F.col("vector").alias("other")
+        F.col("a").alias("at"),
+        F.col("strip").alias("along"),
+        F.col("pos").alias("place"),
+        F.col("vector").alias("other"),
+        F.col("copies").alias("repeats"),
     )
     sent, block = table.sparkSession.sparkContext.broadcast(basis), BLOCK
 
     def join(one: pa.Table, two: pa.Table) -> pa.Table:
         kept = {"pos": [], "links": [], "leader": []}
-        own = _sorted(one.column("pos"), one.column("vector"), width, block)
-        partners = _sorted(two.column("place"), two.column("other"), width, block)
+        own = _sorted(one.column("pos"), one.column("vector"), one.column("copies"), width, block)
+        partners = _sorted(two.column("place"), two.column("other"), two.column("repeats"), width, block)
         number = one.column("a")[0].as_py()
-        blocks = partners[2]
+        blocks = partners[3]
         parts = [(own, None)] if (blocks == number).any() else []
         far = blocks != number
         if far.any():
             parts.append((own, tuple(column[far] for column in partners)))
         for mine, theirs in parts:
-            task = IntervalJoin(mine[:2], None if theirs is None else theirs[:2], sent.value, cosine)
+            task = IntervalJoin(mine[:3], None if theirs is None else theirs[:3], sent.value, cosine)
             task.join(0, len(mine[0]), 0, len(mine[0] if theirs is None else theirs[0]))
-            places = mine[3] if theirs is None else np.concatenate((mine[3], theirs[3]))
+            places = mine[4] if theirs is None else np.concatenate((mine[4], theirs[4]))
             links, labels = task.result()
             found = links > 0
             kept["pos"].append(places[found])
@@ -261,26 +278,34 @@ def embedding_links(
     links = found.groupBy("pos").agg(F.sum("links").alias("n_links"))
     groups = connected_components(found.select(F.col("pos").alias("u"), F.col("leader").alias("v")))
     named = spool(
-        sequence.select("pos", "vec_id")
+        sequence.select("pos", "digest", "vec_id", "copies")
         .join(links, "pos", "left")
         .join(groups.withColumnRenamed("node", "pos"), "pos", "left")
-        .select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component", "pos").alias("group")),
+        .select(
+            "digest",
+            "vec_id",
+            (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+            F.coalesce("component", "pos").alias("group"),
+        ),
         "grid-groups",
     )
     smallest = spool(named.groupBy("group").agg(F.min("vec_id").alias("component_id")), "grid-components")
-    result = named.join(smallest, "group").select("vec_id", "n_links", "component_id")
-    return _kept(result.unionByName(others))
+    answers = spool(named.join(smallest, "group").select("digest", "n_links", "component_id"), "grid-answers")
+    # One answer per different vector; one of them may have most of the rows.
+    result = join_skewed(keyed.select("vec_id", "digest"), answers, ["digest"], side_rows=count)
+    return _kept(result.select("vec_id", "n_links", "component_id").unionByName(others))
 
 
 def _sorted(
-    places: pa.ChunkedArray, vectors: pa.ChunkedArray, width: int, block: int
-) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Vectors, their lengths, blocks and positions, by position."""
+    places: pa.ChunkedArray, vectors: pa.ChunkedArray, copies: pa.ChunkedArray, width: int, block: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Vectors, their lengths, copies, blocks and positions, by position."""
     pos = places.to_numpy()
     order = np.argsort(pos)
     vectors = vectors.combine_chunks()
     lengths = np.diff(vectors.offsets.to_numpy())
-    return matrix(vectors, width)[order], lengths[order], pos[order] // block, pos[order]
+    repeats = copies.to_numpy()
+    return matrix(vectors, width)[order], lengths[order], repeats[order], pos[order] // block, pos[order]
 
 
 def _kept(rows: DataFrame) -> DataFrame:

@@ -71,6 +71,18 @@ def test_links_match_all_pairs(spark, monkeypatch, block):
     assert run_links(spark, rows) == expected_links(rows)
 
 
+def test_copies_of_a_vector_are_joined_as_one(spark, monkeypatch):
+    """Most rows are copies of three vectors, two of which are linked; ids repeat and are missing."""
+    rows = clouds(4, 60)
+    many = [rows[0][1], [x + 1e-3 for x in rows[0][1]], rows[-1][1]]
+    rows += [(1000 + number, many[number % 3]) for number in range(400)] + [(None, many[0]), (1000, many[0]), (None, rows[5][1])]
+    joined = []
+    compare = epsilon_join._sequence
+    monkeypatch.setattr(epsilon_join, "_sequence", lambda vectors, *rest: joined.append(vectors.count()) or compare(vectors, *rest))
+    assert run_links(spark, rows) == expected_links(rows)
+    assert joined == [len({tuple(np.float32(vector)) for _, vector in rows})]
+
+
 def test_interval_join_at_every_leaf_size(monkeypatch):
     random = np.random.default_rng(1)
     rows = np.repeat(random.normal(size=(20, 3)), 6, axis=0) + random.normal(size=(120, 3)) * 0.1
@@ -79,7 +91,7 @@ def test_interval_join_at_every_leaf_size(monkeypatch):
     linked = (unit @ unit.T >= 0.95) & ~np.eye(len(rows), dtype=bool)
     for leaf in (1, 3, 128):
         monkeypatch.setattr(epsilon_join, "LEAF", leaf)
-        task = epsilon_join.IntervalJoin((rows, lengths), None, np.eye(3), 0.95)
+        task = epsilon_join.IntervalJoin((rows, lengths, np.ones(len(rows), np.int64)), None, np.eye(3), 0.95)
         task.join(0, len(rows), 0, len(rows))
         links, labels = task.result()
         assert links.tolist() == linked.sum(1).tolist()
