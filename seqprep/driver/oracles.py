@@ -462,6 +462,15 @@ SELECT region, part AS anonymized_listing_id, CASE WHEN o % 50 NOT IN (3, 7) THE
        CASE o % 50 WHEN 3 THEN part || ',' || status
                    WHEN 7 THEN part || ',' || status || ',' || o || ',' || n || ',x,y' END AS rejected
 FROM v""",
+    "q_load_metrics": """
+WITH v AS (
+  SELECT 'r' || (l_suppkey % 3) AS region, l_orderkey % 50 IN (3, 7) AS bad, l_linestatus = 'O' AS active FROM lineitem
+)
+SELECT 'load-1' AS load, 'listings' AS stage, region, metric, rows FROM (
+  SELECT region, 'lines' AS metric, count(*) AS rows FROM v GROUP BY region
+  UNION ALL SELECT region, 'rejected', count(*) FILTER (bad) FROM v GROUP BY region
+  UNION ALL SELECT region, 'listings', count(*) FILTER (active AND NOT bad) FROM v GROUP BY region
+)""",
     "q_sorted_sink": f"""WITH {EVENTS}
 SELECT user_id, count(*) AS rows, count(DISTINCT user_id) AS files, count(*) FILTER (user_id IS NULL) AS late
 FROM ev GROUP BY user_id""",

@@ -14,7 +14,7 @@ from seqprep.functions import cleaning
 from seqprep.functions.encoding import code_of
 from seqprep.operators import catalog, checks, dataset, features, regions, sessions, skew
 from seqprep.operators.dense_ids import dense_ids
-from seqprep.sources import fingerprints, raw, tables
+from seqprep.sources import fingerprints, manifest, raw, tables
 from seqprep.sources.spool import shared_folder, spool
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -180,9 +180,12 @@ def incremental_load(spark, sf_dir):
     )
 
 
-def regional_scan(spark, sf_dir):
-    """Line items written as raw files of three regions, some with a field too few or too many, and scanned."""
-    names = ["anonymized_listing_id", "status", "updated_at", "price", "note"]
+_SCANNED = ["anonymized_listing_id", "status", "updated_at", "price", "note"]
+
+
+def _faulty_files(spark, sf_dir):
+    """Scan of line items as raw files of three regions, some lines with a field too few or too many."""
+    names = _SCANNED
     lines = fx.listing_versions(spark, sf_dir).select(
         "region",
         F.col("l_orderkey").alias("order"),
@@ -196,7 +199,24 @@ def regional_scan(spark, sf_dir):
     ).otherwise(F.concat(head, F.lit(",")))
     root = f"{shared_folder(spark)}/regional-scan-{uuid.uuid4().hex}"
     _write_listings(lines.select("region", text.alias(",".join(names))), root)
-    scan = raw.checked_scan(spark, root, raw.LISTING_FOLDERS, ["r0", "r1", "r2"], names, "listings", keep_rejects=False)
+    return raw.checked_scan(spark, root, raw.LISTING_FOLDERS, ["r0", "r1", "r2"], names, "listings", keep_rejects=False)
+
+
+def load_metrics(spark, sf_dir):
+    """What a load observes on its way, by region: lines, rejected lines, rows it writes."""
+    scan = _faulty_files(spark, sf_dir)
+    path = f"{shared_folder(spark)}/load-metrics-{uuid.uuid4().hex}"
+    active = scan.rows.filter("status = 'ACTIVE'")
+    written, seen = tables.counted(active, "listings", **tables.in_regions(["r0", "r1", "r2"], "listings"))
+    tables.write_load(written, f"{path}/listings", "load-1")
+    counts = scan.region_counts() | tables.by_region(seen.get)
+    manifest.record_metrics(spark, f"{path}/metrics", "load-1", "listings", counts)
+    return manifest.metrics(spark, f"{path}/metrics").select("load", "stage", "region", "metric", "rows")
+
+
+def regional_scan(spark, sf_dir):
+    """Line items written as raw files of three regions, and scanned: rows, and lines that do not parse."""
+    names, scan = _SCANNED, _faulty_files(spark, sf_dir)
     kept = scan.rows.select("region", *names[:4], F.lit(None).cast("string").alias("rejected"))
     empty = [F.lit(None).cast("string").alias(name) for name in names[1:4]]
     return kept.unionByName(
@@ -731,6 +751,7 @@ REGISTRY: dict[str, Query] = {
     "q_item_columns": item_columns,
     "q_regional_loads": regional_loads,
     "q_regional_scan": regional_scan,
+    "q_load_metrics": load_metrics,
     "q_incremental_load": incremental_load,
     "q_sorted_sink": sorted_sink,
     "q_run_collapse_untimed": run_collapse_untimed,

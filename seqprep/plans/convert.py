@@ -23,6 +23,7 @@ EVENTS = "events_processed"
 SESSIONS = "sessions_processed"
 LOADS = "loads"
 FILES = "loaded_files"
+METRICS = "load_metrics"
 FINAL_EVENTS = "events.parquet"
 FINAL_ITEMS = "items.parquet"
 
@@ -66,12 +67,15 @@ def load_listings(
         cells = [f"{contract.CELL_PREFIX}{resolution}" for resolution in resolutions]
         earlier = _stored(spark, f"{out_dir}/{LISTINGS}", grown_from, merge=True)
         listings = catalog.grown_catalog(earlier, cleaned, _REGION, cells)
-    written, seen = tables.counted(catalog.add_cells(listings, resolutions), LISTINGS)
+    each = tables.in_regions(regions, "listings")
+    written, seen = tables.counted(catalog.add_cells(listings, resolutions), LISTINGS, **each)
     tables.write_load(written, f"{out_dir}/{LISTINGS}", load)
     stored = _stored(spark, f"{out_dir}/{LISTINGS}", dict.fromkeys(regions, load), merge=True)
     tables.write_load(catalog.listing_map(stored, _REGION), f"{out_dir}/{MAPPING}", load)
     tables.write_load(catalog.item_columns(stored, _REGION), f"{out_dir}/{ITEMS}", load)
     rejected = raw.write_rejects(scan, f"{out_dir}/{LISTINGS}_rejects", load)
+    counts = scan.region_counts() | tables.by_region(seen.get)
+    manifest.record_metrics(spark, f"{out_dir}/{METRICS}", load, "listings", counts)
     return {"raw_listings": scan.counts()["lines"], "rejected_listings": rejected, "listings": seen.get["rows"]}
 
 
@@ -100,9 +104,11 @@ def load_events(
     enriched = catalog.enrich_events(
         scanned, mapping, _REGION, broadcast_rows=broadcast_rows, group_rows=group_rows
     )
-    written, seen = tables.counted(enriched, EVENTS)
+    written, seen = tables.counted(enriched, EVENTS, **tables.in_regions(list(mapping_loads), "events"))
     tables.write_load(written, f"{out_dir}/{EVENTS}", load)
     rejected = raw.write_rejects(scan, f"{out_dir}/{EVENTS}_rejects", load)
+    counts = scan.region_counts() | tables.by_region(seen.get)
+    manifest.record_metrics(spark, f"{out_dir}/{METRICS}", load, "events", counts)
     return {"raw_events": scan.counts()["lines"], "rejected_events": rejected, "events": seen.get["rows"]}
 
 
@@ -129,8 +135,11 @@ def load_sessions(
         broadcast_rows=broadcast_rows,
         group_rows=group_rows,
     )
-    written, seen = tables.counted(sessions.model_events(built, _REGION), SESSIONS)
+    each = tables.in_regions(list(event_loads), "session_events")
+    written, seen = tables.counted(sessions.model_events(built, _REGION), SESSIONS, **each)
     tables.write_load(written, f"{out_dir}/{SESSIONS}", load)
+    counts = tables.by_region(seen.get)
+    manifest.record_metrics(spark, f"{out_dir}/{METRICS}", load, "sessions", counts)
     return {"session_events": seen.get["rows"]}
 
 
@@ -214,7 +223,7 @@ def convert(
     withdrawn before and recorded after, and each load has files of its own. So a load that breaks off leaves
     nothing that a merge would take, and a changed session limit reads no text. Earlier loads stay on disk
     until removed. Returns the counts of the final tables, the regions that were loaded, and the rows that
-    each stage wrote for them.
+    each stage wrote for them; ``load_metrics`` keeps them by load, stage and region.
     """
     regions = raw.check_regions(regions)
     sessions.check_lengths(min_session_length, max_session_length)

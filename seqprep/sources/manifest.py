@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from seqprep.sources.fingerprints import TableState, file_state
-from seqprep.sources.tables import read_regions, regions_exist, table_exists
+from seqprep.sources.tables import read_regions, regions_exist, table_exists, write_load
 
 
 def parameter_text(**parameters) -> str:
@@ -70,6 +70,23 @@ def record_stages(spark: SparkSession, path: str, entries: Iterable[StageLoad])
     writer.partitionBy("region", "stage").parquet(path)
 
 
+def record_metrics(
+    spark: SparkSession, path: str, load: str, stage: str, counts: Mapping[tuple[str, str], int]
+) -> None:
+    """Keep a load's counts, (region, metric) to rows, next to those of other loads.
+
+    They are observed while tables are written, so rows of a repeated task may be counted twice.
+    """
+    rows = [(region, metric, count, stage) for (region, metric), count in sorted(counts.items())]
+    frame = spark.createDataFrame(rows, "region string, metric string, rows bigint, stage string")
+    write_load(frame.coalesce(1), path, f"{load}-{stage}")
+
+
+def metrics(spark: SparkSession, path: str) -> DataFrame:
+    """(region, metric, rows, stage, load) of all loads recorded."""
+    return read_regions(spark, path).withColumn("load", F.regexp_replace("load", "-[a-z]+$", ""))
+
+
 _FILES = "path string, length bigint, modified bigint, region string, stage string"
 
 

@@ -13,7 +13,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from seqprep.sources.schema import expect_columns
-from seqprep.sources.tables import counted, write_load
+from seqprep.sources.tables import by_region, counted, in_regions, write_load
 
 LISTING_FOLDERS = ("listings", "listing")
 EVENT_FOLDERS = ("events", "event")
@@ -125,6 +125,10 @@ class Scan:
         found = self.seen.get
         return {"lines": found["rows"], "rejected": found["rejected"], "no_key": found["no_key"]}
 
+    def region_counts(self) -> dict[tuple[str, str], int]:
+        """(region, ``lines`` or ``rejected``) to a number; only after ``rows`` was written or collected."""
+        return by_region(self.seen.get)
+
 
 def checked_scan(
     spark: SparkSession,
@@ -148,7 +152,9 @@ def checked_scan(
     rejects = scanned.filter(F.col(LINE).isNotNull()).select(
         "region", F.col(FILE).alias("file"), F.col(required[0]).alias("key"), F.col(LINE).alias("line")
     )
-    rows, seen = counted(scanned, rejected=F.count(LINE), no_key=F.count_if(F.col(required[0]).isNull()))
+    totals = {"rejected": F.count(LINE), "no_key": F.count_if(F.col(required[0]).isNull())}
+    each = in_regions(regions, "lines") | in_regions(regions, "rejected", F.col(LINE).isNotNull())
+    rows, seen = counted(scanned, **totals, **each)
     if not keep_rejects:
         rows = rows.filter(F.col(LINE).isNull())
     rows = rows.drop(FILE, LINE)

@@ -108,6 +108,18 @@ def write_sorted(
     return state_of(seen)
 
 
+def in_regions(regions: Sequence[str], label: str, condition: Column | None = None) -> dict[str, Column]:
+    """Metrics for ``counted``: rows of each region, of those that meet ``condition`` if there is one."""
+    wanted = F.lit(True) if condition is None else condition
+    return {f"{label}/{region}": F.count_if((F.col("region") == region) & wanted) for region in regions}
+
+
+def by_region(metrics: Mapping[str, int]) -> dict[tuple[str, str], int]:
+    """What ``in_regions`` counted, as (region, label) to rows."""
+    split = [(name.split("/", 1), rows) for name, rows in metrics.items() if "/" in name]
+    return {(region, label): rows for (label, region), rows in split}
+
+
 def counted(
     df: DataFrame, label: str | None = None, **metrics: Column
 ) -> tuple[DataFrame, Observation]:

@@ -5,11 +5,12 @@ import gzip
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from seqprep.plans.convert import convert
 from seqprep.plans.item_features import export_item_features
 from seqprep.plans.preprocess import preprocess
-from seqprep.sources import raw, tables
+from seqprep.sources import manifest, raw, tables
 from seqprep.sources.spool import shared_folder, spool, spool_scope
 
 LISTING_HEADER = ["anonymized_listing_id", "status", "updated_at", "lat_region", "lon_region", "business_type", "usage_type", "price"]
@@ -265,6 +266,24 @@ def test_lines_that_do_not_parse(spark, data, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/rejects/load=one/region=mg").count() == 2
 
 
+def test_counts_of_every_load_are_kept_by_region(spark, data, tmp_path):
+    done = _run(spark, data, tmp_path)
+    kept = manifest.metrics(spark, f"{tmp_path}/work/load_metrics")
+    sums = {(r["stage"], r["metric"]): r["n"] for r in kept.groupBy("stage", "metric").agg(F.sum("rows").alias("n")).collect()}
+    stages = done["stages"]
+    assert sums == {
+        ("listings", "lines"): stages["raw_listings"], ("listings", "rejected"): stages["rejected_listings"],
+        ("listings", "listings"): stages["listings"], ("events", "lines"): stages["raw_events"],
+        ("events", "rejected"): stages["rejected_events"], ("events", "events"): stages["events"],
+        ("sessions", "session_events"): stages["session_events"],
+    }
+    stored = spark.read.parquet(f"{tmp_path}/work/listings_processed").groupBy("region").count().collect()
+    found = kept.filter("metric = 'listings'").collect()
+    assert {r["region"]: r["rows"] for r in found} == {r["region"]: r["count"] for r in stored}
+    recorded = manifest.stage_loads(spark, f"{tmp_path}/work/loads")
+    assert {(r["region"], r["stage"], r["load"]) for r in kept.collect()} == {(*key, e.load) for key, e in recorded.items()}
+
+
 def test_only_new_files_are_read(spark, data, tmp_path):
     _run(spark, data, tmp_path)
     render = "ListingRendered"
