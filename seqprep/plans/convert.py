@@ -31,14 +31,12 @@ _REGION = ("region",)
 STAGES = ("listings", "events", "sessions")
 
 
-def _stored(
-    spark: SparkSession, path: str, loads: Mapping[str, str], merge: bool = False
-) -> DataFrame:
+def _stored(spark: SparkSession, path: str, loads: Mapping[str, str]) -> DataFrame:
     """Of each region the partition that its load wrote."""
     try:
-        return tables.read_loads(spark, path, loads, merge)
+        return tables.read_loads(spark, path, loads)
     except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if error.getCondition() == "PATH_NOT_FOUND":
             raise checks.CheckFailed(f"{path} holds no rows of {sorted(loads)}") from error
         raise
 
@@ -65,12 +63,12 @@ def load_listings(
         listings = catalog.active_catalog(cleaned, _REGION)
     else:
         cells = [f"{contract.CELL_PREFIX}{resolution}" for resolution in resolutions]
-        earlier = _stored(spark, f"{out_dir}/{LISTINGS}", grown_from, merge=True)
+        earlier = _stored(spark, f"{out_dir}/{LISTINGS}", grown_from)
         listings = catalog.grown_catalog(earlier, cleaned, _REGION, cells)
     each = tables.in_regions(regions, "listings")
     written, seen = tables.counted(catalog.add_cells(listings, resolutions), LISTINGS, **each)
     tables.write_load(written, f"{out_dir}/{LISTINGS}", load)
-    stored = _stored(spark, f"{out_dir}/{LISTINGS}", dict.fromkeys(regions, load), merge=True)
+    stored = _stored(spark, f"{out_dir}/{LISTINGS}", dict.fromkeys(regions, load))
     tables.write_load(catalog.listing_map(stored, _REGION), f"{out_dir}/{MAPPING}", load)
     tables.write_load(catalog.item_columns(stored, _REGION), f"{out_dir}/{ITEMS}", load)
     rejected = raw.write_rejects(scan, f"{out_dir}/{LISTINGS}_rejects", load)
@@ -143,12 +141,10 @@ def load_sessions(
     return {"session_events": seen.get["rows"]}
 
 
-def _ordered(
-    spark: SparkSession, path: str, loads: Mapping[str, str], merge: bool = False
-) -> DataFrame:
+def _ordered(spark: SparkSession, path: str, loads: Mapping[str, str]) -> DataFrame:
     """Stored rows of the regions with their place in the caller's list."""
     places = {region: place for place, region in enumerate(loads)}
-    return _stored(spark, path, loads, merge).withColumn("region_order", code_of(F.col("region"), places))
+    return _stored(spark, path, loads).withColumn("region_order", code_of(F.col("region"), places))
 
 
 def merge(
@@ -172,7 +168,7 @@ def merge(
         merged, f"{out_dir}/{FINAL_EVENTS}", "uid", ["timestamp", "pos"], output_partitions
     )
     listing_loads = {region: finished[region, "listings"] for region in regions}
-    items = catalog.unique_items(_ordered(spark, f"{out_dir}/{ITEMS}", listing_loads, merge=True))
+    items = catalog.unique_items(_ordered(spark, f"{out_dir}/{ITEMS}", listing_loads))
     item_state = tables.write_hashed(items.drop("region", "region_order"), f"{out_dir}/{FINAL_ITEMS}", force=True)
     manifest.record_states(spark, out_dir, {FINAL_EVENTS: event_state, FINAL_ITEMS: item_state})
     stats = regional.merge_stats(tables.read_table(spark, f"{out_dir}/{FINAL_EVENTS}")).first()

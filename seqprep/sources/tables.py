@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -15,12 +16,13 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _united(parts: Sequence[DataFrame]) -> DataFrame:
+    return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), parts)
+
+
 def read_tables(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Several tables as one, matched by column name; a column missing in one is NULL there."""
-    return reduce(
-        lambda left, right: left.unionByName(right, allowMissingColumns=True),
-        [spark.read.parquet(path) for path in paths],
-    )
+    return _united([spark.read.parquet(path) for path in paths])
 
 
 def _found(load) -> bool:
@@ -62,35 +64,49 @@ def write_hashed(df: DataFrame, path: str, force: bool = False) -> TableState:
 
 
 def write_load(df: DataFrame, path: str, load: str) -> None:
-    """Write rows by region in the folder of a load, next to those of other loads."""
+    """Write rows by region in the folder of a load, next to those of other loads, and record their columns."""
     df.write.mode("errorifexists").partitionBy("region").parquet(f"{path}/load={load}")
+    columns = df.sparkSession.range(1).select(F.lit(df.schema.json()).alias("value"))
+    columns.write.mode("errorifexists").text(f"{path}_schemas/load={load}")
 
 
-def read_regions(spark: SparkSession, path: str, merge: bool = False) -> DataFrame:
-    """A table stored by region (and load); these names stay text even if they look like numbers.
+def load_schemas(spark: SparkSession, path: str, loads: Sequence[str]) -> dict[str, T.StructType]:
+    """Load to the columns that it wrote, as recorded; no table file is opened."""
+    folders = [f"{path}_schemas/load={load}" for load in loads]
+    recorded = spark.read.option("basePath", f"{path}_schemas").schema("value string, load string").text(folders, wholetext=True)
+    return {row["load"]: T.StructType.fromJson(json.loads(row["value"])) for row in recorded.collect()}  # a row per load
 
-    ``merge`` looks at the files of all regions, for tables whose optional columns differ.
-    """
-    schema = spark.read.option("mergeSchema", merge).parquet(path).schema
+
+def read_regions(spark: SparkSession, path: str) -> DataFrame:
+    """A table stored by region (and load); these names stay text even if they look like numbers."""
+    schema = spark.read.parquet(path).schema
     for name in {"region", "load"} & set(schema.names):
         schema[name].dataType = T.StringType()
     return spark.read.schema(schema).parquet(path)
 
 
-def read_loads(
-    spark: SparkSession, path: str, loads: Mapping[str, str], merge: bool = False
-) -> DataFrame:
+def read_loads(spark: SparkSession, path: str, loads: Mapping[str, str]) -> DataFrame:
     """Of each region the partitions that its loads wrote; ``loads`` is region to load, or to several with commas.
 
-    A load that wrote nothing for its region has no partition, so older rows never stand in for it.
+    Loads with other columns are united by name, by the columns recorded for each; one missing in a load is NULL
+    there. Only folders of the wanted loads are listed. A load that wrote nothing for its region has no partition,
+    so older rows never stand in for it.
     """
     by_load: dict[str, list[str]] = {}
     for region, names in loads.items():
         for load in names.split(","):
             by_load.setdefault(load, []).append(region)
-    wanted = [(F.col("load") == load) & F.col("region").isin(*names) for load, names in by_load.items()]
-    rows = read_regions(spark, path, merge)
-    return rows.filter(reduce(lambda one, two: one | two, wanted)).drop("load")
+    alike: dict[str, list[str]] = {}
+    schemas = load_schemas(spark, path, list(by_load))
+    for load in by_load:
+        alike.setdefault(schemas[load].json(), []).append(load)
+    parts = []
+    for own in alike.values():
+        wanted = [(F.col("load") == load) & F.col("region").isin(*by_load[load]) for load in own]
+        schema = T.StructType([*schemas[own[0]].fields, T.StructField("load", T.StringType())])
+        stored = spark.read.schema(schema).option("basePath", path).parquet(*(f"{path}/load={load}" for load in own))
+        parts.append(stored.filter(reduce(lambda one, two: one | two, wanted)).drop("load"))
+    return _united(parts)
 
 
 def write_sorted(
