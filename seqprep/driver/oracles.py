@@ -603,3 +603,40 @@ FROM lineitem GROUP BY l_returnflag""",
     "q_pruned_pairs": """
 SELECT DISTINCT l_partkey AS sid, l_suppkey::VARCHAR AS canonical_listing_id FROM lineitem""",
 }
+
+_BY_REGION = "'r' || (l_suppkey % 3)::VARCHAR"
+_BY_STATUS = "CASE WHEN l_linestatus = 'O' THEN 'ACTIVE' ELSE 'INACTIVE' END"
+
+
+def _answer(request: str, part: str, source: str, refused: str = "NULL::VARCHAR") -> str:
+    return f"SELECT '{request}' AS request, {part} AS part, count(*) AS rows, {refused} AS refused FROM {source} GROUP BY ALL"
+
+
+def _refused(request: str, reason: str) -> str:
+    return f"SELECT '{request}', NULL, NULL, '{reason}'"
+
+
+ORACLES |= {
+    "q_united_loads": f"""
+SELECT region, count(*) AS rows, count(*) FILTER (load = 'first') AS quantities,
+       (sum(l_orderkey) FILTER (load = 'second'))::BIGINT AS orders
+FROM (SELECT {_BY_REGION} AS region, l_orderkey FROM lineitem)
+JOIN (VALUES ('r0', 'first'), ('r1', 'second'), ('r2', 'first'), ('r2', 'second')) AS loads(region, load) USING (region)
+GROUP BY region""",
+    "q_source_layout": _union([
+        _answer("all regions", _BY_REGION, "lineitem"),
+        _answer("one region", _BY_REGION, "lineitem WHERE l_suppkey % 3 = 1"),
+        _refused("unknown region", "FileNotFoundError"),
+        _refused("unknown column", "MissingColumns"),
+    ]),
+    "q_overwrite_guard": _union([
+        _answer("first", _BY_STATUS, "lineitem WHERE l_linestatus = 'O'"),
+        _answer("again", _BY_STATUS, "lineitem WHERE l_linestatus = 'O'", "'PATH_ALREADY_EXISTS'"),
+        _answer("forced", _BY_STATUS, "lineitem WHERE l_linestatus <> 'O'"),
+    ]),
+    "q_parameter_bounds": _union([
+        _answer("3 to 5", "event_type", f"({ORACLES['q_session_length']})"),
+        _refused("1 to 5", "min session length must be at least 2"),
+        _refused("6 to 5", "max session length must be at least the min session length"),
+    ]),
+}

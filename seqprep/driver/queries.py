@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from seqprep import contract
@@ -15,6 +16,7 @@ from seqprep.functions.encoding import code_of
 from seqprep.operators import catalog, checks, dataset, features, regions, sessions, skew
 from seqprep.operators.dense_ids import dense_ids
 from seqprep.sources import fingerprints, manifest, raw, tables
+from seqprep.sources.schema import MissingColumns
 from seqprep.sources.spool import shared_folder, spool
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -143,12 +145,26 @@ def regional_loads(spark, sf_dir):
     return stored.groupBy("region", "status").agg(F.count("*").alias("rows"))
 
 
-def _write_listings(lines, root):
+def united_loads(spark, sf_dir):
+    """Loads that wrote other columns, united by the names recorded for each."""
+    versions = fx.listing_versions(spark, sf_dir)
+    path = f"{shared_folder(spark)}/united-loads-{uuid.uuid4().hex}"
+    tables.write_load(versions.select("region", "anonymized_listing_id", "l_quantity"), path, "first")
+    tables.write_load(versions.select("l_orderkey", "region", "anonymized_listing_id"), path, "second")
+    stored = tables.read_loads(spark, path, {"r0": "first", "r1": "second", "r2": "first,second"})
+    return stored.groupBy("region").agg(
+        F.count("anonymized_listing_id").alias("rows"),
+        F.count("l_quantity").alias("quantities"),
+        F.sum("l_orderkey").alias("orders"),
+    )
+
+
+def _write_listings(lines, root, folder="listings"):
     """Raw files of three regions, next to those that are there, from (region, a line under its header)."""
     for region in ("r0", "r1", "r2"):
         own = lines.filter(F.col("region") == region).drop("region")
         writer = own.write.mode("append").option("header", True).option("sep", "\u0001").option("compression", "gzip")
-        writer.csv(f"{root}/listings/{region}")
+        writer.csv(f"{root}/{folder}/{region}")
 
 
 def incremental_load(spark, sf_dir):
@@ -224,6 +240,72 @@ def regional_scan(spark, sf_dir):
     )
 
 
+def _answer(spark, request, found=None, refused=None):
+    """What a request found, or one row that says why it was refused."""
+    if found is None:
+        found = spark.range(1).select(F.lit(None).cast("string").alias("part"), F.lit(None).cast("bigint").alias("rows"))
+    return found.select(F.lit(request).alias("request"), "part", "rows", F.lit(refused).cast("string").alias("refused"))
+
+
+def source_layout(spark, sf_dir):
+    """Lines by region of raw files under the other folder name; unknown regions and columns are refused."""
+    names = _SCANNED[:3]
+    versions = fx.listing_versions(spark, sf_dir)
+    text = F.concat_ws(",", *names[:2], F.date_format("updated_at", "yyyy-MM-dd"))
+    root = f"{shared_folder(spark)}/source-layout-{uuid.uuid4().hex}"
+    _write_listings(versions.select("region", text.alias(",".join(names))), root, "listing")
+
+    def ask(request, regions, wanted):
+        try:
+            scan = raw.checked_scan(spark, root, raw.LISTING_FOLDERS, regions, wanted, "listings")
+        except (FileNotFoundError, MissingColumns) as error:
+            return _answer(spark, request, refused=type(error).__name__)
+        lines = scan.rows.groupBy(F.col("region").alias("part")).agg(F.count("*").alias("rows"))
+        return _answer(spark, request, lines)
+
+    return (
+        ask("all regions", ["r0", "r1", "r2"], names)
+        .unionByName(ask("one region", ["r1"], names))
+        .unionByName(ask("unknown region", ["r0", "r9"], names))
+        .unionByName(ask("unknown column", ["r0"], [*names, "price"]))
+    )
+
+
+def overwrite_guard(spark, sf_dir):
+    """What a table holds after a write, a second one that is refused, and one that replaces it."""
+    versions = fx.listing_versions(spark, sf_dir)
+    active = F.col("status") == "ACTIVE"
+    path = f"{shared_folder(spark)}/overwrite-guard-{uuid.uuid4().hex}"
+
+    def write(request, rows, force=False):
+        refused = None
+        try:
+            tables.write_table(rows, path, force)
+        except AnalysisException as error:
+            refused = error.getCondition()
+        held = tables.read_table(spark, path).groupBy(F.col("status").alias("part")).agg(F.count("*").alias("rows"))
+        return spool(_answer(spark, request, held, refused), "held")
+
+    first = write("first", versions.filter(active))
+    again = write("again", versions.filter(~active))
+    forced = write("forced", versions.filter(~active), force=True)
+    return first.unionByName(again).unionByName(forced)
+
+
+def parameter_bounds(spark, sf_dir):
+    """Runs by event type that session limits leave, and the limits that are refused."""
+
+    def ask(least, most):
+        request = f"{least} to {most}"
+        try:
+            runs = sessions.session_runs(fx.click_events(spark, sf_dir), least, most, order=ORDER)
+        except ValueError as error:
+            return _answer(spark, request, refused=str(error))
+        return _answer(spark, request, runs.groupBy(F.col("event_type").alias("part")).agg(F.count("*").alias("rows")))
+
+    return ask(3, 5).unionByName(ask(1, 5)).unionByName(ask(6, 5))
+
+
 def sorted_sink(spark, sf_dir):
     """Per session the files that hold it, and the rows that stand before an earlier one in a file."""
     path = f"{shared_folder(spark)}/sorted-sink-{uuid.uuid4().hex}"
@@ -750,6 +832,10 @@ REGISTRY: dict[str, Query] = {
     "q_fingerprint_portable": fingerprint_portable,
     "q_item_columns": item_columns,
     "q_regional_loads": regional_loads,
+    "q_united_loads": united_loads,
+    "q_source_layout": source_layout,
+    "q_overwrite_guard": overwrite_guard,
+    "q_parameter_bounds": parameter_bounds,
     "q_regional_scan": regional_scan,
     "q_load_metrics": load_metrics,
     "q_incremental_load": incremental_load,

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from seqprep.driver import fixtures as fx, queries
-from seqprep.operators import catalog, dataset, features, sessions, skew
+from seqprep.operators import catalog, checks, dataset, features, sessions, skew
 from seqprep.sources.spool import spool
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -103,3 +103,17 @@ def test_no_python_and_no_cross_join_in_any_query(spark, name):
     plan = _plan(queries.REGISTRY[name](spark, SF_DIR))
     for forbidden in ("Python", "ArrowEval", "MapInPandas", "CartesianProduct", "NestedLoop"):
         assert forbidden not in plan
+
+
+def test_checks_on_one_table_share_its_scan(spark, static_plans):
+    table = spark.read.parquet(f"{SF_DIR}/lineitem.parquet").selectExpr(
+        "l_suppkey AS sid", "CAST(l_partkey AS STRING) AS canonical_listing_id", "l_quantity - 25 AS intensity"
+    )
+    asked = [checks.null_event_keys(table), checks.sid_conflicts(table), checks.no_rows(table), checks.bad_intensity(table)]
+    found = checks.all_checks(asked)
+    plan = _plan(found)
+    assert _count(plan, "FileScan") == 1 and "SinglePartition" not in plan and "Join" not in plan
+    first = {r["check_name"]: (r["violations"], r["examples"]) for r in found.collect()}
+    suppliers = sorted(str(r["sid"]) for r in table.groupBy("sid").count().filter("count > 1").collect())
+    assert first["sid_conflict"] == (len(suppliers), suppliers[:5]) and first["no_rows"] == (0, [])
+    assert first["bad_intensity"] == (table.filter("intensity < 0").count(), []) and first["null_event_key"] == (0, [])
