@@ -18,6 +18,10 @@ from seqprep.sources.tables import counted
 
 # A group may be handled inside one task up to this many rows.
 GROUP_ROWS = 1_000_000
+# Oversized groups are cut into blocks of the group limit; where that makes more than so many blocks, no
+# block gets fewer rows than this, so that a small limit does not make a task of every few rows.
+FEW_BLOCKS = 64
+BLOCK_ROWS = 250_000
 # A join side is broadcast only after its row count was found to be within this.
 BROADCAST_ROWS = 100_000
 # ... and, for a table of unknown row width, its size as text within this.
@@ -67,6 +71,12 @@ def _heavy(counts: DataFrame, name: str, group_rows: int) -> tuple[DataFrame, in
     return heavy, found, all_rows
 
 
+def _block_count(df: DataFrame, rows: int, group_rows: int) -> int:
+    """Blocks for ``rows`` rows of oversized groups: each is a task and a file, and a share of the range sample."""
+    enough = max(FEW_BLOCKS, -(-rows // BLOCK_ROWS))
+    return max(_parallelism(df), min(-(-rows // group_rows), enough))
+
+
 @dataclass(frozen=True)
 class HotGroups:
     """All rows of the groups above a row limit, and how many blocks they should be cut into."""
@@ -97,10 +107,10 @@ def split_hot_groups(
     hot, found, all_rows = _heavy(counts, "hot-groups", group_rows)
     if found == 0:
         return Split(df, None, all_rows)
+    total = hot.agg(F.sum("rows").alias("rows")).first()["rows"]
     if keyed_like is not None:
         df = spool(df, "hot-input")
-    total = hot.agg(F.sum("rows").alias("rows")).first()["rows"]
-    blocks = max(_parallelism(df), -(-total // group_rows))
+    blocks = _block_count(df, total, group_rows)
     keys = F.broadcast(hot.select(*group))
     cold = df.join(keys, group, "left_anti")
     return Split(cold, HotGroups(df.join(keys, group, "left_semi"), blocks), all_rows)

@@ -107,6 +107,17 @@ def test_hot_sessions_are_spread_over_blocks(spark):
     assert len(sizes) > 40 and max(sizes) < 400
 
 
+def test_a_small_limit_does_not_make_a_block_of_every_few_rows(spark, monkeypatch):
+    events = spark.range(40_000).select((F.col("id") % 400).cast("string").alias("user_id"), F.col("id").alias("o"))
+    assert ops.split_hot_groups(events, ["user_id"], 20).hot.blocks == 64
+    monkeypatch.setattr(skew, "BLOCK_ROWS", 400)
+    assert ops.split_hot_groups(events, ["user_id"], 20).hot.blocks == 100
+    assert ops.split_hot_groups(events, ["user_id"], 30).hot.blocks == 100
+    numbered = number_within_groups(events, ["user_id"], ["o"], 20)  # blocks that hold several groups and cut some
+    wrong = (F.col("position") != F.floor(F.col("o") / 400) + 1) | (F.col("group_size") != 100)
+    assert numbered.count() == 40_000 and numbered.filter(wrong).count() == 0
+
+
 def _lengths(df):
     return Counter(row["user_id"] for row in df.collect())
 
