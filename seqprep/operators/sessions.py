@@ -194,7 +194,8 @@ def filter_sessions_by_length(
             .filter(F.col("length") >= min_length)
             .drop("recent", "length")
         )
-    numbered = number_within_groups(runs, session, order, group_rows)
+    # Sessions are counted, then cut and numbered: the runs are computed once for all of that.
+    numbered = number_within_groups(spool(runs, "runs-by-length"), session, order, group_rows)
     return numbered.filter(
         (F.col("group_size") >= min_length)
         & (F.col("position") > F.col("group_size") - max_length)

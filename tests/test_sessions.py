@@ -241,6 +241,21 @@ def test_dense_maps_number_each_column_on_its_own(spark):
     assert {tuple(r) for r in grouped.collect()} == {(1, 2, 1), (1, 10, 2), (2, 10, 1)}
 
 
+def test_a_long_limit_computes_the_runs_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def session(number):
+        seen.add(1)
+        return "long" if number < 290 else "short"
+
+    rows = spark.range(300).select(F.col("id").alias("run_seq"), F.lit("A").alias("item_id"), F.lit(0).alias("timestamp"))
+    runs = rows.withColumn("user_id", session("run_seq"))
+    kept = ops.filter_sessions_by_length(runs, 3, 1000, group_rows=50)
+    assert _lengths(kept) == {"long": 290, "short": 10}
+    assert seen.value == 300
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
 def test_salted_join_equals_the_plain_join(spark, how):
     choose = random.Random(5)
