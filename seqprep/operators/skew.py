@@ -108,6 +108,8 @@ def split_hot_groups(
     if found == 0:
         return Split(df, None, all_rows)
     total = hot.agg(F.sum("rows").alias("rows")).first()["rows"]
+    if total is None:  # more groups are above the limit than may be broadcast, and none holds much
+        return Split(df, None, all_rows)
     if keyed_like is not None:
         df = spool(df, "hot-input")
     blocks = _block_count(df, total, group_rows)

@@ -118,6 +118,17 @@ def test_a_small_limit_does_not_make_a_block_of_every_few_rows(spark, monkeypatc
     assert numbered.count() == 40_000 and numbered.filter(wrong).count() == 0
 
 
+def test_more_oversized_sessions_than_may_be_broadcast(spark, monkeypatch):
+    """None of them holds a share that stands out: all stay whole."""
+    rows = [(f"s{n % 6}", "AB"[n % 4 // 2], "x", n) for n in range(60)]
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", 5)
+    events = _events(spark, rows)
+    assert ops.split_hot_groups(events, ["user_id"], 3).hot is None
+    assert _runs(ops.collapse_runs(events, group_rows=3)) == model_runs(rows)
+    built = ops.build_sessions(events, 3, 40, 1, broadcast_rows=0, group_rows=3)
+    assert built.select("user_id").distinct().count() == 6
+
+
 def _lengths(df):
     return Counter(row["user_id"] for row in df.collect())
 
