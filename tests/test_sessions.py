@@ -118,6 +118,35 @@ def test_a_small_limit_does_not_make_a_block_of_every_few_rows(spark, monkeypatc
     assert numbered.count() == 40_000 and numbered.filter(wrong).count() == 0
 
 
+def _cuts(monkeypatch):
+    """The blocks that oversized sessions are cut into from now on."""
+    cuts = []
+
+    def cut(*args):
+        cuts.append(skew.ordered_blocks(*args))
+        return cuts[-1]
+
+    monkeypatch.setattr(ops, "ordered_blocks", cut)
+    return cuts
+
+
+def test_untimed_runs_in_few_blocks_equal_those_of_whole_sessions(spark, monkeypatch):
+    """Times fall along the order, types are missing, runs go on over block edges."""
+    place = F.col("id")
+    events = spark.range(6000).select(
+        F.concat(F.lit("s"), place % 30).alias("user_id"),
+        F.when(F.floor(place / 900) % 2 == 0, "A").otherwise("B").alias("item_id"),
+        F.when(place % 7 == 0, F.when(place < 4000, "x").otherwise("y")).alias("event_type"),
+        (-place).alias("timestamp"),
+        place.alias("place"),
+    )
+    whole = _runs(ops.collapse_runs(events, order=["place"]))
+    cuts = _cuts(monkeypatch)
+    assert _runs(ops.collapse_runs(events, order=["place"], group_rows=10)) == whole
+    assert sum(row[-1] for row in whole) == 6000
+    assert cuts[0].select("block").distinct().count() <= 64
+
+
 def test_more_oversized_sessions_than_may_be_broadcast(spark, monkeypatch):
     """None of them holds a share that stands out: all stay whole."""
     rows = [(f"s{n % 6}", "AB"[n % 4 // 2], "x", n) for n in range(60)]
