@@ -147,6 +147,18 @@ def test_untimed_runs_in_few_blocks_equal_those_of_whole_sessions(spark, monkeyp
     assert cuts[0].select("block").distinct().count() <= 64
 
 
+def test_files_of_blocks_follow_the_rows(spark, monkeypatch):
+    """A limit of a few rows makes no more tasks and files that the driver hears of than one of many."""
+    monkeypatch.setattr(skew, "BLOCK_ROWS", 200)
+    cuts = _cuts(monkeypatch)
+    columns = ["'s' AS user_id", "'A' AS item_id", "'x' AS event_type", "id AS timestamp", "id AS event_ms"]
+    for size in (10_000, 20_000):
+        runs = ops.collapse_runs(spark.range(size).selectExpr(columns), group_rows=20)
+        assert [row[-1] for row in _runs(runs)] == [size]
+    assert len(cuts[0].inputFiles()) <= 64
+    assert len(cuts[1].inputFiles()) <= 100
+
+
 def test_more_oversized_sessions_than_may_be_broadcast(spark, monkeypatch):
     """None of them holds a share that stands out: all stay whole."""
     rows = [(f"s{n % 6}", "AB"[n % 4 // 2], "x", n) for n in range(60)]
