@@ -6,22 +6,27 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
+from seqprep.llm.among import mark_among
 from seqprep.llm.components import connected_components
 from seqprep.llm.text import Chunk, chunks, mix, ngrams, words
-from seqprep.sources.spool import spool
+from seqprep.sources.spool import spool, spool_scope
 
 WORDS = 3  # words of a shingle
 PERCENT = 90  # of the union that two sets must share
 COUNTERS = 1 << 20  # hash counters of shingle frequency; they only decide the order, never a result
 COUNTER_BLOCK = 1 << 12
-PAIRED = 100  # sets that share a prefix shingle are paired one by one up to this many, else grouped
+PAIRED = 100  # sets that share a prefix shingle are paired one by one up to this many,
+PAIRS_A_SET = 2  # and this many pairs a set; above, they meet again with their cell counts
 HOT_ROWS = 2000  # a prefix shingle with this many rows, and over 1/4096 of all, is grouped without a shuffle
 HOT_SHARE = 4096
 TILE_SETS = 4096  # different sets that one task compares
 TILE_SHINGLES = 4_000_000
-CELLS = 64  # of the counts that pairs are filtered with before any texts move
+CELLS = 64  # at least, of the counts that pairs are filtered with before any texts move;
+CELL_SIZE = 8  # as many as give a cell up to this many members, a power of two,
+MOST_CELLS = 1 << 16
 TILE_CELLS = 512  # of the counts that the comparison of a tile filters with
 
 _U64 = np.uint64
@@ -75,10 +80,39 @@ def cell_counts(owners: np.ndarray, values: np.ndarray, rows: int, cells: int) -
     return np.bincount(place, minlength=rows * cells).reshape(rows, cells)
 
 
+def _packed_counts(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """``cell_counts`` modulo 256 of every set, over more cells the larger the set is."""
+    sizes = np.diff(bounds)
+    cells = np.full(len(sizes), CELLS, dtype=np.int64)
+    while (short := (cells * CELL_SIZE < sizes) & (cells < MOST_CELLS)).any():
+        cells[short] *= 2
+    starts = np.concatenate(([0], np.cumsum(cells)))
+    inside = (values >> _U64(24)).astype(np.int64) & np.repeat(cells - 1, sizes)
+    counts = np.bincount(np.repeat(starts[:-1], sizes) + inside, minlength=starts[-1]).astype(np.uint8)
+    return pa.Array.from_buffers(
+        pa.binary(), len(sizes), [None, pa.py_buffer(starts.astype(np.int32).tobytes()), pa.py_buffer(counts.tobytes())]
+    )
+
+
+def _cell_widths(counts: pa.Array) -> np.ndarray:
+    return np.asarray(pc.binary_length(counts)).astype(np.int64)
+
+
+def _folded(counts: pa.Array, cells: int) -> np.ndarray:
+    """Counts over ``cells`` cells of sets that have at least as many: cells fold onto those of the same low bits."""
+    widths = _cell_widths(counts)
+    result = np.empty((len(widths), cells), dtype=np.uint8)
+    for width in np.unique(widths).tolist():
+        rows = np.flatnonzero(widths == width)
+        flat = np.frombuffer(b"".join(counts.take(pa.array(rows)).to_pylist()), np.uint8)
+        result[rows] = flat.reshape(len(rows), width // cells, cells).sum(1, dtype=np.uint8)
+    return result
+
+
 def least_difference(one: np.ndarray, two: np.ndarray) -> np.ndarray:
     """Lower bound on the members that one set has and the other lacks, from counts kept modulo 256."""
-    apart = np.abs(one.astype(np.int16) - two.astype(np.int16))
-    return np.minimum(apart, 256 - apart).sum(1, dtype=np.int64)
+    apart = one - two
+    return np.minimum(apart, two - one).sum(1, dtype=np.int64)
 
 
 def _set_keys(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -97,7 +131,6 @@ def _describe(docs: DataFrame, size: int) -> DataFrame:
             for chunk in chunks(batch.column("text")):
                 owners, hashes = shingle_sets(chunk, size)
                 owners, values, bounds = _distinct(owners, hashes, chunk.size)
-                cells = cell_counts(owners, values, chunk.size, CELLS).astype(np.uint8)
                 counters += np.bincount(_counter(values), minlength=COUNTERS).astype(np.uint32)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -105,7 +138,7 @@ def _describe(docs: DataFrame, size: int) -> DataFrame:
                         ids.slice(chunk.first, chunk.size),
                         pa.array(_set_keys(values, bounds)),
                         pa.array(np.diff(bounds)),
-                        pa.array([row.tobytes() for row in cells], pa.binary()),
+                        _packed_counts(values, bounds),
                     ],
                     names=["kind", "id", "set_key", "n", "counts"],
                 )
@@ -185,46 +218,53 @@ def _prefixes(docs: DataFrame, levels: np.ndarray, size: int, percent: int) -> D
     return docs.mapInArrow(prefixes, "shingle long, set_key long, n int, pos int")
 
 
+def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Tables of rows sorted by ``shingle``, none of which ends inside a shingle."""
+    carried: pa.Table | None = None
+    for batch in batches:
+        now = pa.Table.from_batches([batch])
+        if carried is not None:
+            now = pa.concat_tables([carried, now])
+        shingle = now.column("shingle").to_numpy()
+        ends = np.flatnonzero(shingle[1:] != shingle[:-1])
+        cut = int(ends[-1]) + 1 if len(ends) else 0
+        carried = now.slice(cut)
+        if cut:
+            yield now.slice(0, cut)
+    if carried is not None and len(carried):
+        yield carried
+
+
 def _candidate_pairs(rows: DataFrame, cells: DataFrame, percent: int) -> DataFrame:
-    """Pairs (u, v) of sets that share a prefix shingle; of shingles that many sets share, a star.
+    """Edges (u, v) between sets whose components hold every pair that prefix shingles and the filters leave.
 
-    Rows meet by shingle, sorted by size. Up to ``PAIRED`` sets are paired if their sizes allow a link (length
-    filter); with more, each is tied to the smallest, which keeps them together for the comparison without
-    writing out pairs.
+    Rows meet by shingle, sorted by size, and are paired if their sizes allow a link (length filter) and what
+    follows the shingle does (positional filter). Pairs then meet the cell counts (suffix filter). Where a
+    shingle has more than ``PAIRED`` sets or ``PAIRS_A_SET`` pairs a set, no pairs are written: its rows meet
+    the cell counts and then each other, and a task passes on no more edges than it has sets.
     """
 
-    paired = PAIRED
+    paired, pairs_a_set = PAIRED, PAIRS_A_SET
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        carried: list[np.ndarray] | None = None
-        for batch in batches:
-            now = [batch.column(name).to_numpy() for name in ("shingle", "set_key", "n", "pos")]
-            if carried is not None:
-                now = [np.concatenate(two) for two in zip(carried, now)]
-            ends = np.flatnonzero(now[0][1:] != now[0][:-1])
-            cut = int(ends[-1]) + 1 if len(ends) else 0
-            carried = [column[cut:] for column in now]
-            if cut:
-                yield from _pair_groups([column[:cut] for column in now], percent, paired)
-        if carried is not None and len(carried[0]):
-            yield from _pair_groups(carried, percent, paired)
-
-    schema = "u long, v long, n_u int, n_v int, pos_u int, pos_v int, star boolean"
-    met = rows.repartition("shingle").sortWithinPartitions("shingle", "n", "set_key").mapInArrow(pair, schema)
-    # Positional filter: common prefix shingles so far, and no more than what follows the last of them.
-    n_u, n_v = F.first("n_u"), F.first("n_v")
-    after = F.least(n_u - 1 - F.max("pos_u"), n_v - 1 - F.max("pos_v"))
-    needed = F.ceil((n_u + n_v) * percent / (100 + percent) - 1e-9)
-    met = met.groupBy("u", "v").agg(
-        F.max("star").alias("star"), n_u.alias("n_u"), n_v.alias("n_v"), (F.count("*") + after >= needed).alias("kept")
-    )
-    met = spool(met.filter("star OR kept"), "join-pairs")
-    plain = met.filter("NOT star")
+        for group in _whole_groups(batches):
+            columns = [group.column(name).to_numpy() for name in ("shingle", "set_key", "n", "pos")]
+            yield from _pair_groups(columns, percent, paired, pairs_a_set)
+
+    met = rows.repartition("shingle").sortWithinPartitions("shingle", "n", "set_key").mapInArrow(pair, _MET)
+    met = spool(met, "join-pairs")
+    plain = met.filter("v IS NOT NULL").groupBy("u", "v").agg(F.first("n_u").alias("n_u"), F.first("n_v").alias("n_v"))
     for side in ("u", "v"):
         counts = cells.select(F.col("set_key").alias(side), F.col("counts").alias(f"cells_{side}"))
         plain = plain.join(counts, side)
     plain = plain.select("u", "v", "n_u", "n_v", "cells_u", "cells_v").mapInArrow(_near(percent), "u long, v long")
-    return plain.unionByName(met.filter("star").select("u", "v"))
+    crowds = met.filter("v IS NULL").select("shingle", F.col("u").alias("set_key"), F.col("n_u").alias("n"), "pos")
+    crowds = crowds.join(cells, "set_key").select("shingle", "set_key", "n", "pos", "counts")
+    crowds = crowds.repartition("shingle").sortWithinPartitions("shingle", "n", "set_key")
+    return plain.unionByName(crowds.mapInArrow(_tie_crowds(percent), "u long, v long"))
+
+
+_MET = "u long, v long, n_u int, n_v int, shingle long, pos int"
 
 
 def _near(percent: int):
@@ -234,44 +274,105 @@ def _near(percent: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            one, two = (
-                np.frombuffer(b"".join(batch.column(name).to_pylist()), np.uint8).reshape(-1, CELLS)
-                for name in ("cells_u", "cells_v")
-            )
             n = batch.column("n_u").to_numpy().astype(np.int64), batch.column("n_v").to_numpy().astype(np.int64)
             allowed = n[0] + n[1] - 2 * least_overlap(*n, percent)
-            yield batch.select(["u", "v"]).filter(pa.array(least_difference(one, two) <= allowed))
+            sides = batch.column("cells_u"), batch.column("cells_v")
+            common = np.minimum(*map(_cell_widths, sides))
+            kept = np.zeros(batch.num_rows, dtype=bool)
+            for cells in np.unique(common).tolist():
+                rows = np.flatnonzero(common == cells)
+                one, two = (_folded(side.take(pa.array(rows)), cells) for side in sides)
+                kept[rows] = least_difference(one, two) <= allowed[rows]
+            yield batch.select(["u", "v"]).filter(pa.array(kept))
 
     return near
 
 
-def _pair_groups(columns: list[np.ndarray], percent: int, paired: int) -> Iterator[pa.RecordBatch]:
+def _may_begin(n_u, pos_u, n_v, pos_v, percent: int) -> np.ndarray:
+    """Positional filter: whether sets of these sizes may be linked if this shingle is the first they share."""
+    return np.minimum(n_u - pos_u, n_v - pos_v) >= least_overlap(n_u, n_v, percent)
+
+
+def _pair_groups(columns: list[np.ndarray], percent: int, paired: int, pairs_a_set: int) -> Iterator[pa.RecordBatch]:
+    """Rows of ``_MET``: pairs of sets, or the single rows of crowded shingles."""
     shingle, key, n, pos = columns
     keep = np.ones(len(key), dtype=bool)
     keep[1:] = (shingle[1:] != shingle[:-1]) | (key[1:] != key[:-1])
-    shingle, key, n, pos = (column[keep] for column in (shingle, key, n, pos))
+    shingle, key, n, pos = shingle[keep], key[keep], n[keep].astype(np.int64), pos[keep].astype(np.int64)
     starts = np.flatnonzero(np.concatenate(([True], shingle[1:] != shingle[:-1])))
     sizes = np.diff(np.append(starts, len(key)))
     group = np.repeat(np.arange(len(starts)), sizes)
     small = (sizes <= paired)[group]
+    found = [np.zeros((2, 0), np.int64)]
     for step in range(1, min(paired, int(sizes.max()))):
         left = np.flatnonzero(small[:-step] & (group[:-step] == group[step:]))
-        left = left[100 * n[left].astype(np.int64) >= percent * n[left + step].astype(np.int64)]
-        if len(left):
-            yield _pair_rows(key, n, pos, left, left + step, False)
-    many = np.flatnonzero(~small)
-    first = starts[group[many]]
-    if len(many):
-        yield _pair_rows(key, n, pos, many[many != first], first[many != first], True)
-
-
-def _pair_rows(key, n, pos, left, right, star: bool) -> pa.RecordBatch:
+        right = left + step
+        near = (100 * n[left] >= percent * n[right]) & _may_begin(n[left], pos[left], n[right], pos[right], percent)
+        found.append(np.stack((left[near], right[near])))
+    left, right = np.concatenate(found, axis=1)
+    crowded = (sizes > paired) | (np.bincount(group[left], minlength=len(starts)) > pairs_a_set * sizes)
+    plain = ~crowded[group[left]]
+    left, right = left[plain], right[plain]
     swap = key[left] > key[right]
     u, v = np.where(swap, right, left), np.where(swap, left, right)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(column) for column in (key[u], key[v], n[u], n[v], pos[u], pos[v], np.full(len(u), star))],
-        names=["u", "v", "n_u", "n_v", "pos_u", "pos_v", "star"],
-    )
+    if len(u):
+        none = pa.nulls(len(u), pa.int64()), pa.nulls(len(u), pa.int32())
+        yield _met_rows(key[u], pa.array(key[v]), n[u], pa.array(n[v].astype(np.int32)), *none)
+    rows = np.flatnonzero(crowded[group])
+    if len(rows):
+        none = pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.int32())
+        yield _met_rows(key[rows], none[0], n[rows], none[1], pa.array(shingle[rows]), pa.array(pos[rows].astype(np.int32)))
+
+
+def _met_rows(u, v, n_u, n_v, shingle, pos) -> pa.RecordBatch:
+    columns = [pa.array(u), v, pa.array(n_u.astype(np.int32)), n_v, shingle, pos]
+    return pa.RecordBatch.from_arrays(columns, names=["u", "v", "n_u", "n_v", "shingle", "pos"])
+
+
+def _tie_crowds(percent: int):
+    """Edges that connect what the filters leave among the sets of each shingle; rows are sorted by shingle and size."""
+
+    def tie(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for groups in _whole_groups(batches):
+            shingle = groups.column("shingle").to_numpy()
+            starts = np.flatnonzero(np.concatenate(([True], shingle[1:] != shingle[:-1])))
+            key, n, pos = (groups.column(name).to_numpy() for name in ("set_key", "n", "pos"))
+            counts = groups.column("counts").combine_chunks()
+            if isinstance(counts, pa.ChunkedArray):
+                counts = pa.concat_arrays(counts.chunks)
+            for a, b in zip(starts, np.append(starts[1:], len(key))):
+                u, v = tie_group(n[a:b].astype(np.int64), pos[a:b].astype(np.int64), counts.slice(a, b - a), percent)
+                yield pa.RecordBatch.from_arrays([pa.array(key[a + u]), pa.array(key[a + v])], names=["u", "v"])
+
+    return tie
+
+
+def tie_group(n: np.ndarray, pos: np.ndarray, counts: pa.Array, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places (u, v) of edges, fewer than sets, that connect all pairs that pass the three filters.
+
+    Sets go by size, so a window bounds the partners; those already connected are not looked at again.
+    """
+    widths = _cell_widths(counts)
+    ends = np.searchsorted(n, 100 * n // percent, side="right")
+    labels = np.arange(len(n))
+    edges = [np.zeros((2, 0), np.int64)]
+    for width in np.unique(widths).tolist():  # grows with the size
+        own = np.flatnonzero(widths == width)
+        first = int(own[0])
+        table = _folded(counts.slice(first, int(ends[own[-1]]) - first), width)
+        for i in own.tolist():
+            others = np.arange(i + 1, ends[i])
+            others = others[labels[others] != labels[i]]
+            others = others[_may_begin(n[i], pos[i], n[others], pos[others], percent)]
+            if not len(others):
+                continue
+            allowed = n[i] + n[others] - 2 * least_overlap(n[i], n[others], percent)
+            others = others[least_difference(table[others - first], table[i - first]) <= allowed]
+            if len(others):
+                joined, at = np.unique(labels[others], return_index=True)
+                edges.append(np.stack((np.full(len(at), i), others[at])))
+                labels[np.isin(labels, joined)] = labels[i]
+    return tuple(np.concatenate(edges, axis=1))
 
 
 def _hot_shingles(rows: DataFrame) -> DataFrame:
@@ -342,7 +443,8 @@ def _compare(rows: DataFrame, percent: int) -> DataFrame:
 def _with_sets(docs: DataFrame, members: DataFrame, size: int) -> DataFrame:
     """Add ``members`` (sorted 64-bit shingle hashes) to rows (id, set_key, ...) from the texts of the ids."""
     names = [name for name in members.columns if name != "id"]
-    joined = docs.filter("id IS NOT NULL").join(members, "id").select("text", *names)
+    members = spool(members, "join-wanted")
+    joined = mark_among(docs, "id", members.select("id")).join(members, "id").select("text", *names)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -451,7 +553,7 @@ def ngram_join(
     copies cost one row per task each and no pairs. Shingles are ordered by frequency, counted over all texts
     in hash counters, and a set enters the join with its rarest ones only. Sets that may be linked are brought
     together once per group of candidates and compared there; a group above ``TILE_SETS`` sets is cut into
-    tiles. No candidate is left out at any group size.
+    tiles. Only texts of candidates are shuffled. No candidate is left out at any group size.
 
     Null and empty texts and texts of white space have no shingles and link with nothing. Rows without an id
     get their ``n_shingles`` and a null component. Rows may repeat; every row is answered, rows of one id by
@@ -462,13 +564,15 @@ def ngram_join(
     levels = _frequency_levels(found)
     described = found.filter("kind = 0").select("id", "set_key", "n", "counts")
     linkable = described.filter("id IS NOT NULL AND n > 0")
-    rows = spool(_prefixes(docs.filter("id IS NOT NULL"), levels, size, percent), "join-prefixes")
-    hot = _hot_shingles(rows)
-    # At most HOT_SHARE rows of two numbers.
-    ordinary = rows.join(F.broadcast(hot.select("shingle")), "shingle", "left_anti")
-    stars = rows.join(F.broadcast(hot), "shingle").select(F.col("set_key").alias("u"), F.col("first_key").alias("v"))
-    cells = linkable.groupBy("set_key").agg(F.first("counts").alias("counts"))
-    candidates = _candidate_pairs(ordinary, cells, percent).unionByName(stars)
+    with spool_scope(docs.sparkSession):  # what serves to find candidates goes again
+        rows = spool(_prefixes(docs.filter("id IS NOT NULL"), levels, size, percent), "join-prefixes")
+        hot = _hot_shingles(rows)
+        # At most HOT_SHARE rows of two numbers.
+        ordinary = rows.join(F.broadcast(hot.select("shingle")), "shingle", "left_anti")
+        stars = rows.join(F.broadcast(hot), "shingle").select(F.col("set_key").alias("u"), F.col("first_key").alias("v"))
+        cells = linkable.groupBy("set_key").agg(F.first("counts").alias("counts"))
+        candidates = _candidate_pairs(ordinary, cells, percent).unionByName(stars)
+        candidates = spool(candidates, "join-candidates", outlasts=True)
     edges = _links(docs, linkable, candidates, size, percent)
     groups = connected_components(edges)
     placed = spool(

@@ -15,18 +15,21 @@ from contextvars import ContextVar
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 
-_scope: ContextVar[list[str] | None] = ContextVar("spool_scope", default=None)
+_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("spool_scopes", default=())
 
 
 @contextmanager
 def spool_scope(spark: SparkSession) -> Iterator[None]:
-    """Empty the spools written inside the block when it ends; for jobs that store their results."""
+    """Empty the spools written inside the block when it ends; for jobs that store their results.
+
+    Spools that ``outlast`` the block are left to the block around it.
+    """
     paths: list[str] = []
-    token = _scope.set(paths)
+    token = _scopes.set((*_scopes.get(), paths))
     try:
         yield
     finally:
-        _scope.reset(token)
+        _scopes.reset(token)
         for path in paths:
             spark.range(0).write.mode("overwrite").parquet(path)
 
@@ -44,14 +47,14 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def spool(df: DataFrame, name: str) -> DataFrame:
+def spool(df: DataFrame, name: str, outlasts: bool = False) -> DataFrame:
     """Write ``df`` as Parquet under the shared folder and return the stored table."""
     spark = df.sparkSession
     application = spark.sparkContext.applicationId
     path = f"{shared_folder(spark)}/seqprep-{application}/{name}-{uuid.uuid4().hex}"
-    open_scope = _scope.get()
-    if open_scope is not None:
-        open_scope.append(path)
+    scopes = _scopes.get()[:-1] if outlasts else _scopes.get()
+    if scopes:
+        scopes[-1].append(path)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
