@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from seqprep.llm import bpe, language_id, mixing, ngram_join, quality
+from seqprep.llm.among import mark_among
 from seqprep.sources.package import ship_package
 from seqprep.sources.spool import spool
 
@@ -45,7 +46,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ids: a hash of id and text stands for a row, so rows that repeat both stay once, rows that share an id only
     are decided apart, and rows without an id take part (they come after those with one). Null texts, empty
     ones and those without words are linked with nothing. Texts are compared whole; an empty table stays empty;
-    columns other than those of documents go.
+    columns other than those of documents go. Only rows that go, repeat, or look like one that does are shuffled.
     """
     ship_package(spark)
     row_key = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit("")))
@@ -53,9 +54,17 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = ngram_join.ngram_join(keyed, identity="row_key", size=NEAR_WORDS, percent=NEAR_PERCENT)
     names = keyed.select(F.col("row_key").alias("doc_id"), F.col("doc_id").alias("own_id")).distinct()
     order = F.struct(F.col("own_id").isNull(), "own_id", "doc_id")
-    groups = found.select("doc_id", "component_id").distinct().join(names, "doc_id").groupBy("component_id")
-    first = groups.agg(F.min_by("doc_id", order).alias("row_key")).select("row_key")
-    return keyed.join(first, "row_key", "left_semi").dropDuplicates(["row_key"]).select(*COLUMNS)
+    rows = found.groupBy("doc_id", "component_id").agg(F.count("*").alias("rows")).join(names, "doc_id")
+    rows = spool(rows, "near-copies")
+    first = rows.groupBy("component_id").agg(F.min_by("doc_id", order).alias("first_key"))
+    decided = rows.join(first, "component_id").select(
+        F.col("doc_id").alias("row_key"), "rows", (F.col("doc_id") == F.col("first_key")).alias("stays")
+    )
+    decided = spool(decided.filter("NOT stays OR rows > 1").select("row_key", "stays"), "near-copies")
+    asked = mark_among(keyed, "row_key", decided.select("row_key"), mark="asked")
+    go = decided.filter("NOT stays").select("row_key")
+    stay = asked.filter("asked").join(go, "row_key", "left_anti").dropDuplicates(["row_key"])
+    return asked.filter("NOT asked").select(*COLUMNS).unionByName(stay.select(*COLUMNS))
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
