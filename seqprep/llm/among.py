@@ -13,6 +13,7 @@ from seqprep.llm.text import mix
 BLOCKS = 64  # a task sets the bits of a block
 BITS_A_KEY = 16
 MOST_BITS = 1 << 26  # 8 MB; with more keys than fit, more other rows are found too, and no row of a key less
+PART_BYTES = 1 << 20  # of rows that a task gives back at a time
 
 _U64 = np.uint64
 
@@ -56,7 +57,7 @@ def mark_among(rows: DataFrame, column: str, keys: DataFrame, mark: str | None =
     Every row of a key is found, and a few others: an exact join has to follow. Tasks ask a Bloom filter of at
     most ``MOST_BITS`` bits. A null is no key. ``keys`` is read twice and should be stored.
     """
-    sent = rows.sparkSession.sparkContext.broadcast(_filter_bits(keys))
+    sent, part_bytes = rows.sparkSession.sparkContext.broadcast(_filter_bits(keys)), PART_BYTES
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = sent.value
@@ -68,10 +69,13 @@ def mark_among(rows: DataFrame, column: str, keys: DataFrame, mark: str | None =
             for place in (one, two):
                 byte = known[block, (place >> _U64(3)).astype(np.int64)]
                 found = found & ((byte >> (_U64(7) - (place & _U64(7))).astype(np.uint8)) & 1).astype(bool)
-            if mark is None:
-                yield batch.filter(pa.array(found))
-            else:
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], names=[*batch.schema.names, mark])
+            step = max(1, batch.num_rows * part_bytes // max(batch.nbytes, 1))
+            for start in range(0, batch.num_rows, step):
+                part, marks = batch.slice(start, step), pa.array(found[start : start + step])
+                if mark is None:
+                    yield part.filter(marks)
+                else:
+                    yield pa.RecordBatch.from_arrays([*part.columns, marks], names=[*part.schema.names, mark])
 
     kept = ", ".join(f"`{name}` {kind}" for name, kind in rows.dtypes)
     return rows.mapInArrow(look, kept if mark is None else f"{kept}, `{mark}` boolean")

@@ -1,11 +1,13 @@
 """Rows that may be among keys."""
 
+from seqprep.llm import among
 from seqprep.llm.among import mark_among
 from seqprep.sources.package import ship_package
 
 
-def test_every_row_of_a_key_and_few_others(spark):
+def test_every_row_of_a_key_and_few_others(spark, monkeypatch):
     ship_package(spark)
+    monkeypatch.setattr(among, "PART_BYTES", 5000)
     rows = spark.range(-5000, 5000).selectExpr("id", "cast(id AS string) AS text", "array(id) AS `odd name`")
     rows = rows.unionByName(rows.filter("id = 7")).unionByName(rows.filter("id = 1").selectExpr("null AS id", "text", "`odd name`"))
     keys = spark.range(-5000, 5000, 100).selectExpr("id + 7 AS id").unionByName(spark.sql("SELECT cast(null AS bigint) AS id"))
