@@ -13,7 +13,7 @@ from seqprep.llm.text import mix
 BLOCKS = 64  # a task sets the bits of a block
 BITS_A_KEY = 16
 MOST_BITS = 1 << 26  # 8 MB; with more keys than fit, more other rows are found too, and no row of a key less
-PART_BYTES = 1 << 20  # of rows that a task gives back at a time
+PART_BYTES = 1 << 20  # of rows that a task looks at and gives back at a time
 
 _U64 = np.uint64
 
@@ -51,8 +51,8 @@ def _filter_bits(keys: DataFrame) -> np.ndarray:
     return filled
 
 
-def mark_among(rows: DataFrame, column: str, keys: DataFrame, mark: str | None = None) -> DataFrame:
-    """``rows`` whose ``column`` (long) may be one of ``keys`` (one column, long), or all rows with that as ``mark``.
+def maybe_among(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+    """``rows`` whose ``column`` (long) may be one of ``keys`` (one column, long).
 
     Every row of a key is found, and a few others: an exact join has to follow. Tasks ask a Bloom filter of at
     most ``MOST_BITS`` bits. A null is no key. ``keys`` is read twice and should be stored.
@@ -71,11 +71,6 @@ def mark_among(rows: DataFrame, column: str, keys: DataFrame, mark: str | None =
                 found = found & ((byte >> (_U64(7) - (place & _U64(7))).astype(np.uint8)) & 1).astype(bool)
             step = max(1, batch.num_rows * part_bytes // max(batch.nbytes, 1))
             for start in range(0, batch.num_rows, step):
-                part, marks = batch.slice(start, step), pa.array(found[start : start + step])
-                if mark is None:
-                    yield part.filter(marks)
-                else:
-                    yield pa.RecordBatch.from_arrays([*part.columns, marks], names=[*part.schema.names, mark])
-
-    kept = ", ".join(f"`{name}` {kind}" for name, kind in rows.dtypes)
-    return rows.mapInArrow(look, kept if mark is None else f"{kept}, `{mark}` boolean")
+                yield batch.slice(start, step).filter(pa.array(found[start : start + step]))
+
+    return rows.mapInArrow(look, ", ".join(f"`{name}` {kind}" for name, kind in rows.dtypes))

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from seqprep.llm.among import mark_among
+from seqprep.llm.among import maybe_among
 from seqprep.llm.components import connected_components
 from seqprep.llm.text import Chunk, chunks, mix, ngrams, words
 from seqprep.sources.spool import spool, spool_scope
@@ -444,7 +444,7 @@ def _with_sets(docs: DataFrame, members: DataFrame, size: int) -> DataFrame:
     """Add ``members`` (sorted 64-bit shingle hashes) to rows (id, set_key, ...) from the texts of the ids."""
     names = [name for name in members.columns if name != "id"]
     members = spool(members, "join-wanted")
-    joined = mark_among(docs, "id", members.select("id")).join(members, "id").select("text", *names)
+    joined = maybe_among(docs, "id", members.select("id")).join(members, "id").select("text", *names)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

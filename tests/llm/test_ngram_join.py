@@ -178,7 +178,7 @@ def test_only_components_and_sets_stay_stored(spark):
     random.seed(8)
     rows = [(i, " ".join(f"v{random.randrange(10**6)}" for _ in range(30))) for i in range(200)]
     rows.append((900, rows[0][1] + " end"))
-    stored, joined, spool, mark = [], [], ngram_join.spool, ngram_join.mark_among
+    stored, joined, spool, mark = [], [], ngram_join.spool, ngram_join.maybe_among
 
     def kept(df, name, **options):
         frame = spool(df, name, **options)
@@ -192,7 +192,7 @@ def test_only_components_and_sets_stay_stored(spark):
 
     with pytest.MonkeyPatch.context() as patch:
         patch.setattr(ngram_join, "spool", kept)
-        patch.setattr(ngram_join, "mark_among", marked)
+        patch.setattr(ngram_join, "maybe_among", marked)
         assert run(spark, rows) == expected(rows)
     assert joined and max(joined) < 10
     left = {name for name, file in stored if Path(urlparse(file).path).exists()}
